@@ -1,0 +1,6 @@
+"""Registered queries over the supplied tables."""
+
+
+def load_all() -> None:
+    """Import every module that registers queries."""
+    from presslake.catalog import tag_queries  # noqa: F401

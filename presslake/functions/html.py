@@ -69,6 +69,7 @@ SITE_CHECK_RULE = TextRule(
     drop=("script", "style"),
     min_chars=200,
 )
+SITE_TEXT_RULE = TextRule(selectors=SITE_CHECK_RULE.selectors, drop=("script", "style"), strip=False)
 LINK_HREF_PARTS = ["/article/", "/news/", "/story/", "/post/", "/blog/"]
 LINK_CLASSES = ["article-link", "story-link", "headline"]
 TESTER_HREF_PARTS = ["/article", "/news", "/story", "/post", "/entry"]
@@ -96,10 +97,12 @@ def cut_elements(html: Column, tags: tuple[str, ...]) -> Column:
     return F.regexp_replace(html, rf"(?is)<!--.*?-->|<({names})\b[^>]*>.*?</\1\s*>", CUT)
 
 
-def flat_text(markup: Column, separator: str = "") -> Column:
+def flat_text(markup: Column, separator: str = "", strip: bool = True) -> Column:
     """Text pieces between tags, each stripped, empty ones dropped, joined by `separator`."""
     spaced = F.replace(markup, F.lit("&nbsp;"), F.lit("\u00a0"))
-    if separator:
+    if not strip:
+        joined = F.regexp_replace(spaced, TAG, "")
+    elif separator:
         marked = F.regexp_replace(spaced, f"{BLANK}*{TAG}{BLANK}*", "\u0001")
         ends = F.regexp_replace(marked, f"^(?:{BLANK}|\\x01)+|(?:{BLANK}|\\x01)+$", "")
         joined = F.regexp_replace(ends, "\\x01+", separator)
@@ -134,7 +137,7 @@ def _plain_article(html: Column, rule: TextRule) -> Column:
         )
         if rule.as_html:
             return F.when(exact, F.replace(body, F.lit(CUT), F.lit("")))
-        text = flat_text(body, rule.separator)
+        text = flat_text(body, rule.separator, rule.strip)
         return F.when(exact & ~body.rlike(RARE_ENTITY), text)
 
     return bind(cut_elements(html, rule.drop), from_kept)
@@ -174,6 +177,12 @@ def extract_historical(html: Column) -> Column:
     return extract_text(html, HISTORICAL_RULE)
 
 
+def extract_site_text(html: Column) -> Column:
+    """Title and content of a page as the source checker searches them, lower-cased."""
+    title = F.coalesce(element_text(html, "title"), F.lit(""))
+    return F.lower(F.concat(title, F.lit(" "), F.coalesce(extract_text(html, SITE_TEXT_RULE), F.lit(""))))
+
+
 @F.pandas_udf(T.StringType())
 def _senate_reader(html: pd.Series) -> pd.Series:
     return html.map(page_reader.senate_text, na_action="ignore").astype(object)

@@ -144,21 +144,28 @@ class TermScanner:
         self, hits: Column, entries: Sequence[tuple[str, Iterable[str]]]
     ) -> Column:
         """The values, in the order given, any of whose terms is shown by `hits`."""
-        table = F.array(
-            *[
-                F.struct(
-                    F.lit(value).alias("value"),
-                    F.array(
-                        *[F.lit(e) for e in dict.fromkeys(e for t in terms for e in self.evidence(t))]
-                    ).alias("evidence"),
-                )
-                for value, terms in entries
-            ]
-        )
+        rows = [
+            (value, list(dict.fromkeys(e for t in terms for e in self.evidence(t))))
+            for value, terms in entries
+        ]
+        table = literal_table("value", "evidence", rows)
         found = F.filter(table, lambda entry: F.arrays_overlap(hits, entry["evidence"]))
         return F.transform(found, lambda entry: entry["value"])
 
 
+def literal_table(key: str, listed: str, rows: Sequence[tuple[str, Sequence[str]]]) -> Column:
+    """Constant array<struct<key: string, listed: array<string>>>, as one expression."""
+
+    def quote(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    structs = (
+        f"named_struct('{key}', {quote(value)}, '{listed}', array({', '.join(map(quote, texts))}))"
+        for value, texts in rows
+    )
+    return F.expr(f"array({', '.join(structs)})")
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once per row and hand it to `body`, however often that uses it."""
     return F.get(F.transform(F.array(value), body), 0)

@@ -28,6 +28,7 @@ class TextRule:
     min_chars: int = 0  # the result must be longer than this
     fallback: str = "body"  # "p": all paragraphs; "body": the body, then the page
     as_html: bool = False
+    strip: bool = True  # strip each piece of text and drop empty ones
 
 
 def _selector_test(selector: str) -> Callable[[str, dict], bool]:
@@ -147,7 +148,9 @@ class PageReader(HTMLParser):
         self._flush()
 
 
-def _joined(taken: _Taken, separator: str) -> str:
+def _joined(taken: _Taken, separator: str, strip: bool = True) -> str:
+    if not strip:
+        return separator.join(taken.pieces)
     pieces = (piece.strip() for piece in taken.pieces)
     return separator.join(piece for piece in pieces if piece)
 
@@ -169,7 +172,7 @@ def main_text(html: str, rule) -> str | None:
     text = None
     for selector in rule.selectors:
         for taken in reader.found[selector]:
-            text = _markup(html, taken, reader.dropped) if rule.as_html else _joined(taken, rule.separator)
+            text = _markup(html, taken, reader.dropped) if rule.as_html else _joined(taken, rule.separator, rule.strip)
         if reader.found[selector] and (rule.enough == 0 or len(text) > rule.enough):
             return text
     if rule.fallback == "p":
@@ -179,10 +182,10 @@ def main_text(html: str, rule) -> str | None:
     elif text is None:
         body = reader.found["body"]
         if body:
-            text = _markup(html, body[0], reader.dropped) if rule.as_html else _joined(body[0], rule.separator)
+            text = _markup(html, body[0], reader.dropped) if rule.as_html else _joined(body[0], rule.separator, rule.strip)
         elif not rule.as_html:
             whole = PageReader(f"<body>{html}", ("body",), drop=rule.drop)
-            text = _joined(whole.found["body"][0], rule.separator)
+            text = _joined(whole.found["body"][0], rule.separator, rule.strip)
     return text
 
 

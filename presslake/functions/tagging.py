@@ -15,6 +15,7 @@ from presslake.functions.match import (
     TermScanner,
     any_contains,
     bind,
+    literal_table,
     no_strings,
 )
 
@@ -58,15 +59,7 @@ def matched_keywords(column: Column, keywords: Sequence[str] = lex.NEWS_KEYWORDS
 
 def core_topics(keywords: Column, lexicon: Mapping[str, Sequence[str]] = lex.TOPIC_TERMS) -> Column:
     """Sorted topics that list at least one of the matched keywords."""
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(topic).alias("topic"),
-                F.array(*[F.lit(t.lower()) for t in lexicon[topic]]).alias("terms"),
-            )
-            for topic in sorted(lexicon)
-        ]
-    )
+    table = literal_table("topic", "terms", [(t, [k.lower() for k in lexicon[t]]) for t in sorted(lexicon)])
 
     def tag(lowered: Column) -> Column:
         found = F.filter(table, lambda entry: F.arrays_overlap(lowered, entry["terms"]))

@@ -16,12 +16,13 @@ CARD_DATE = r"Daily News Collection - (\d{4}-\d{2}-\d{2})"
 
 
 def dedupe_by(df: DataFrame, keys: Sequence[str], order: str, keep: str = "first") -> DataFrame:
-    """One row per key: the smallest (`first`) or largest (`last`) value of `order`, which must
-    be unique within a key. Only (keys, order) are aggregated; the winners are then joined back
-    on a unique key, which spreads a hot key's rows evenly."""
-    best = F.min(order) if keep == "first" else F.max(order)
-    winners = df.groupBy(*keys).agg(best.alias(order))
-    return df.join(winners, [*keys, order], "left_semi")
+    """Exactly one row per key: that with the smallest (`first`) or largest (`last`) `order`.
+
+    Each task first keeps one row per key, so a hot key sends one row per task."""
+    rest = [c for c in df.columns if c not in keys]
+    pick = F.min_by if keep == "first" else F.max_by
+    best = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(order)).alias("best"))
+    return best.select(*[F.col(c) if c in keys else F.col("best")[c].alias(c) for c in df.columns])
 
 
 def dedupe_urls(df: DataFrame, order: str, keep: str = "first", url: str = "url") -> DataFrame:

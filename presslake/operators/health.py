@@ -187,8 +187,9 @@ def master_report(rss: DataFrame, site: DataFrame, geo: DataFrame | None = None)
     )
     if geo is None:
         return report
-    accuracy = health_summary(geo).select(F.col("success_rate").alias("accuracy"))
-    # `accuracy` is one row by construction.
-    return report.join(F.broadcast(accuracy)).withColumn(
-        "detection_accuracy", F.when(F.col("kind") == "all", F.col("accuracy")).otherwise(0.0)
-    ).drop("accuracy")
+    accuracy = health_summary(geo).select(
+        F.lit("all").alias("kind"), F.col("success_rate").alias("detection_accuracy")
+    )
+    return report.join(accuracy, "kind", "left").withColumn(
+        "detection_accuracy", F.coalesce("detection_accuracy", F.lit(0.0))
+    )

@@ -7,6 +7,7 @@ distinct of the small key first, so no task sees more than the distinct keys.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
@@ -123,11 +124,9 @@ def geo_distribution(df: DataFrame, continents: str = "continents") -> DataFrame
     counted = df.select(F.explode(continents).alias("continent")).groupBy("continent").agg(
         F.count("*").alias("articles")
     )
-    total = counted.agg(F.sum("articles").alias("all_tags"))
-    # `total` is one row by construction.
-    return counted.join(F.broadcast(total)).select(
-        "continent", "articles", F.round(F.col("articles") / F.col("all_tags"), 6).alias("share")
-    )
+    # The window runs over one row per continent of the lexicon.
+    all_tags = F.sum("articles").over(W.partitionBy(F.lit(0)))
+    return counted.select("continent", "articles", F.round(F.col("articles") / all_tags, 6).alias("share"))
 
 
 def upsert_master(master: DataFrame, stats: DataFrame) -> DataFrame:
