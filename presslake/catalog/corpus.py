@@ -79,6 +79,7 @@ def as_articles(documents: DataFrame) -> DataFrame:
         .select(
             "doc_id",
             "u",
+            "lang",
             F.col("source").alias("host"),
             F.concat(F.lit("https://"), "source", F.lit(".example.org/news/"), F.col("u").cast("string")).alias("url"),
             F.when(doc % 5 == 0, F.concat(F.lit("https://www.congress.gov/rss/"), "source", F.lit(".xml")))
@@ -111,7 +112,7 @@ ARTICLES = f"""documents_u AS (
 documents_d AS (
   SELECT *, CAST(DATE '2025-11-01' + CAST(u % 14 AS INTEGER) AS DATE) AS collection_date FROM documents_u),
 articles AS (
-  SELECT doc_id, u, source AS host,
+  SELECT doc_id, u, lang, source AS host,
     'https://' || source || '.example.org/news/' || CAST(u AS VARCHAR) AS url,
     CASE WHEN doc_id % 5 = 0 THEN 'https://www.congress.gov/rss/' || source || '.xml'
       ELSE 'https://' || source || '.example.org/feed' END AS feed_url,

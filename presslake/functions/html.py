@@ -320,5 +320,5 @@ def discover_article_links(url: Column, html: Column, max_links: int = 20) -> Co
 
     hrefs = link_hrefs(html, TESTER_HREF_PARTS, TESTER_LINK_CLASSES)
     absolute = F.transform(hrefs, lambda h: resolve_url(url, h))
-    kept = F.filter(absolute, is_article_url)
+    kept = F.filter(absolute, lambda link: is_article_url(link))
     return F.slice(F.array_sort(F.array_distinct(kept)), 1, max_links)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from presslake.functions import tagging, text
@@ -38,6 +39,10 @@ def market_keys(df: DataFrame) -> DataFrame:
     )
 
 
+def percent(pct: Column) -> Column:
+    return F.when(pct.isNotNull(), F.format_string("%.1f%%", pct)).otherwise("N/A")
+
+
 def market_outcomes(df: DataFrame) -> DataFrame:
     """One row per outcome that has a price: `pct` (NULL if unreadable) and its display form."""
     paired = df.where(F.col("outcomes").isNotNull() & F.col("outcomePrices").isNotNull()).select(
@@ -52,7 +57,7 @@ def market_outcomes(df: DataFrame) -> DataFrame:
         "pos",
         F.col("pair.outcomes").alias("outcome"),
         pct.alias("pct"),
-        F.coalesce(F.format_string("%.1f%%", pct), F.lit("N/A")).alias("pct_shown"),
+        percent(pct).alias("pct_shown"),
     )
 
 
@@ -90,7 +95,7 @@ def market_content(df: DataFrame) -> DataFrame:
             p["outcomes"].isNotNull() & p["outcomePrices"].isNotNull(),
             F.concat(
                 p["outcomes"], F.lit(": "),
-                F.coalesce(F.format_string("%.1f%%", p["outcomePrices"].try_cast("double") * 100), F.lit("N/A")),
+                percent(p["outcomePrices"].try_cast("double") * 100),
             ),
         ),
     )
@@ -107,3 +112,9 @@ def market_content(df: DataFrame) -> DataFrame:
             F.coalesce("description", F.lit("")),
         ),
     )
+
+
+def ranked(top: DataFrame) -> DataFrame:
+    """Rank from 1 by volume; for a top-k list, which is short by definition."""
+    order = W.partitionBy(F.lit(0)).orderBy(F.col("volume_usd").desc(), F.col("id"))
+    return top.withColumn("rank", F.row_number().over(order))
