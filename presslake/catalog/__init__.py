@@ -3,4 +3,10 @@
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from presslake.catalog import article_queries, page_queries, stream_queries, tag_queries  # noqa: F401
+    from presslake.catalog import (  # noqa: F401
+        article_queries,
+        page_queries,
+        run_queries,
+        stream_queries,
+        tag_queries,
+    )

@@ -12,7 +12,8 @@ from presslake.streaming import ingest
 
 def _stream(spark, sf_dir, name):
     schema = load(spark, sf_dir, name).schema
-    return ingest.ingest_stream(spark, f"{sf_dir}/{name}.parquet", schema)
+    # As a pattern, the path may be one file as well as a folder of files.
+    return ingest.ingest_stream(spark, f"{sf_dir}/{name}[.]parquet", schema)
 
 
 @query(
