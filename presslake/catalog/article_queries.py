@@ -7,12 +7,13 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from presslake.catalog import sql as S
-from presslake.catalog.corpus import ARTICLES, AS_OF, articles, load
+from presslake.catalog.corpus import ARTICLES, AS_OF, articles, load, spread_articles
 from presslake.catalog.registry import query
 from presslake.catalog.tag_queries import tagged
 from presslake.functions import dates as D
 from presslake.functions import lexicons as lex
 from presslake.functions import predicates as P
+from presslake.functions import tagging as T
 from presslake.functions import text as X
 from presslake.operators import dedup, index, joins, rollups, search
 from presslake.sources import store
@@ -30,7 +31,7 @@ NEWS_WORDS = list(lex.NEWS_KEYWORDS)
     [ARTICLES],
 )
 def keyword_gate(spark, sf_dir):
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     return df.where(P.rss_gate(F.col("title"), F.col("description"))).select("doc_id", "url")
 
 
@@ -41,7 +42,7 @@ WHERE {S.any_word('low_title', NEWS_WORDS)} AND {S.any_word('low', NEWS_WORDS)}"
     [ARTICLES],
 )
 def direct_gate(spark, sf_dir):
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     return df.where(P.direct_gate(F.col("title"), F.col("content"))).select("doc_id", "url")
 
 
@@ -179,7 +180,7 @@ def date_search(spark, sf_dir):
     [ARTICLES, S.TAGGED],
 )
 def daily_search(spark, sf_dir):
-    df = tagged(spark, sf_dir)
+    df = tagged(spark, sf_dir, "matched_keywords")
     first = search.daily_search(df, source="Src", keyword="i,supply").select("doc_id")
     return first.unionByName(search.daily_search(df, keyword="power", term="Project").select("doc_id"))
 
@@ -192,7 +193,9 @@ FROM (SELECT *, {S.any_part('feed_url', lex.LEGISLATIVE_DOMAINS)} AS law FROM ar
     [ARTICLES],
 )
 def type_counts(spark, sf_dir):
-    return _dated(rollups.type_counts(tagged(spark, sf_dir)))
+    df = articles(spark, sf_dir)
+    tags = F.struct(T.special_tags(F.col("feed_url")).alias("special_tags"))
+    return _dated(rollups.type_counts(df.withColumn("tags", tags)))
 
 
 # ---------------------------------------------------------------------------
@@ -484,7 +487,7 @@ FROM (SELECT DISTINCT 'source' AS facet, coalesce(source, 'Unknown') AS value FR
     [ARTICLES, S.TAGGED],
 )
 def facets(spark, sf_dir):
-    return rollups.facets(tagged(spark, sf_dir))
+    return rollups.facets(tagged(spark, sf_dir, "matched_keywords"))
 
 
 @query(
@@ -495,7 +498,7 @@ def facets(spark, sf_dir):
     [ARTICLES, S.TAGGED],
 )
 def keyword_count(spark, sf_dir):
-    return _dated(rollups.keyword_count(tagged(spark, sf_dir)))
+    return _dated(rollups.keyword_count(tagged(spark, sf_dir, "matched_keywords")))
 
 
 @query(

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presslake.operators.shape import spread
+
 PHRASES = [
     "Lagos solar power project grows",
     "Berlin nuclear AI summit",
@@ -63,6 +65,11 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_articles(load(spark, sf_dir, "documents"))
 
 
+def spread_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over all cores, for work on the text itself."""
+    return as_articles(spread(load(spark, sf_dir, "documents"), "doc_id"))
+
+
 def as_articles(documents: DataFrame) -> DataFrame:
     """documents as articles; a fifth of the URLs repeat an earlier one, on the same day."""
     doc, text = F.col("doc_id"), F.col("text")
@@ -224,10 +231,14 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last event per host: users are spread over the hosts, an error is a failed fetch."""
-    last = F.max(F.struct("ts", "event_id", "event_type", "value"))
+    source = F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string"))
+    events = load(spark, sf_dir, "events").withColumn("source", source)
+    # The last time per source needs no sort; few events then remain to choose from.
+    latest = events.groupBy("source").agg(F.max("ts").alias("ts"))
+    last = F.max(F.struct("event_id", "event_type", "value"))
     return (
-        load(spark, sf_dir, "events")
-        .groupBy(F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("source"))
+        events.join(latest, ["source", "ts"])
+        .groupBy("source")
         .agg(last.alias("last"))
         .select(
             "source",

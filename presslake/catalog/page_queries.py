@@ -19,6 +19,7 @@ from presslake.catalog.corpus import (
     markets,
     pages,
     sources,
+    spread_articles,
 )
 from presslake.catalog.registry import query
 from presslake.functions import html as H
@@ -26,6 +27,7 @@ from presslake.functions import lexicons as lex
 from presslake.functions import predicates as P
 from presslake.operators import dedup, health, joins, rollups
 from presslake.operators import markets as M
+from presslake.operators.shape import spread
 from presslake.sources import feeds
 from presslake.sources.tables import open_markets
 
@@ -65,9 +67,13 @@ LAW_TEXT = sql_article("html", H.LEGISLATION_RULE.drop, "chr(10)")
 TITLE = sql_decode(_sub(_sub(r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)", TAG), f"^{BLANK}+|{BLANK}+$"))
 
 
+def _spread_pages(spark, sf_dir):
+    return spread(pages(spark, sf_dir), "page_id")
+
+
 @query("blocked_pages", f"SELECT page_id, url FROM pages_x WHERE {S.any_part('lower(html)', lex.BLOCKED_PAGE_TERMS)}", [PAGES])
 def blocked_pages(spark, sf_dir):
-    return pages(spark, sf_dir).where(P.is_blocked(F.col("html"))).select("page_id", "url")
+    return _spread_pages(spark, sf_dir).where(P.is_blocked(F.col("html"))).select("page_id", "url")
 
 
 @query(
@@ -77,7 +83,7 @@ def blocked_pages(spark, sf_dir):
     [PAGES],
 )
 def page_titles(spark, sf_dir):
-    return pages(spark, sf_dir).select(
+    return _spread_pages(spark, sf_dir).select(
         "page_id", H.page_title(F.col("html")).alias("title"), H.page_date(F.col("html")).alias("page_date")
     )
 
@@ -88,8 +94,8 @@ def page_titles(spark, sf_dir):
     [PAGES],
 )
 def page_text(spark, sf_dir):
-    text = H.extract_news(F.col("html"))
-    return pages(spark, sf_dir).select("page_id", F.coalesce(text, F.lit("")).alias("body"))
+    read = H.extract_news(_spread_pages(spark, sf_dir), into="body")
+    return read.select("page_id", F.coalesce("body", F.lit("")).alias("body"))
 
 
 LAW_HTML = rf"replace(regexp_extract({sql_kept('html', ('script', 'style'))}, '(?is)<article\b[^>]*>.*?</article\s*>', 0), '<!>', '')"
@@ -98,11 +104,9 @@ LAW_HTML = rf"replace(regexp_extract({sql_kept('html', ('script', 'style'))}, '(
 @query("page_text_profiles", f"SELECT page_id, {LAW_TEXT} AS law, md5({LAW_HTML}) AS law_html FROM pages")
 def page_text_profiles(spark, sf_dir):
     """Text by the legislation rules, and the markup the historical rule keeps."""
-    no_bill = F.lit(None).cast("string")
-    law = H.extract_content(F.col("url"), F.col("html"), no_bill, no_bill)
-    return load(spark, sf_dir, "pages").select(
-        "page_id", F.coalesce(law, F.lit("")).alias("law"), F.md5(H.extract_historical(F.col("html"))).alias("law_html")
-    )
+    df = spread(load(spark, sf_dir, "pages"), "page_id")
+    read = H.extract_historical(H.extract_content(df, into="law"), into="markup")
+    return read.select("page_id", F.coalesce("law", F.lit("")).alias("law"), F.md5("markup").alias("law_html"))
 
 
 SITE = r"regexp_extract(url, '^[a-zA-Z]+://[^/?#]*', 0)"
@@ -115,7 +119,7 @@ FROM pages""",
 )
 def discover_links(spark, sf_dir):
     links = H.discover_links(F.col("url"), F.col("html"))
-    return pages(spark, sf_dir).select("page_id", F.explode(links).alias("link"))
+    return _spread_pages(spark, sf_dir).select("page_id", F.explode_outer(links).alias("link")).where("link IS NOT NULL")
 
 
 @query(
@@ -128,7 +132,8 @@ def distinct_links(spark, sf_dir):
     """Distinct article links per host by the source checker's rules, at most 20 each."""
     links = H.discover_article_links(F.col("url"), F.col("html"))
     host = F.concat(F.lit("src"), (F.col("page_id") % 20).cast("string"))
-    found = pages(spark, sf_dir).select(host.alias("host"), F.explode(links).alias("link")).distinct()
+    found = _spread_pages(spark, sf_dir).select(host.alias("host"), F.explode_outer(links).alias("link"))
+    found = found.where("link IS NOT NULL").distinct()
     return dedup.cap_links(found, 20, site="host", url="link")
 
 
@@ -163,7 +168,7 @@ UNION ALL SELECT doc_id, 1, 'No Title', url || '?second', '', ' s ' FROM article
     [ARTICLES],
 )
 def feed_items(spark, sf_dir):
-    documents = feed_documents(articles(spark, sf_dir)).drop("lang", "feed_url")
+    documents = feed_documents(spread_articles(spark, sf_dir)).drop("lang", "feed_url")
     return feeds.normalize_items(feeds.explode_feed(documents))
 
 
@@ -295,8 +300,7 @@ def _feed_health(spark, sf_dir):
 
 
 def _with_tier(graded, kind):
-    tiers = health.deploy_tier(graded, kind).select("source", "tier")
-    return graded.join(tiers, "source", "left").withColumn("tier", F.coalesce("tier", F.lit("")))
+    return health.with_tier(graded, kind).withColumn("tier", F.coalesce("tier", F.lit("")))
 
 
 FEED_COLUMNS = [
@@ -348,13 +352,16 @@ site_tiers AS (
 
 
 def _site_health(spark, sf_dir):
-    html = F.col("html")
-    links = pages(spark, sf_dir).select(
-        F.concat(F.lit("src"), (F.col("page_id") % 20).cast("string")).alias("source"),
-        F.col("url").alias("link"),
-        F.lit(True).alias("ok"),
-        (F.coalesce(F.char_length(H.extract_text(html, H.SITE_CHECK_RULE)) > 200, F.lit(False)) & ~P.is_blocked(html)).alias("extracted"),
-        H.extract_site_text(html).alias("text"),
+    linked = pages(spark, sf_dir).select(
+        F.concat(F.lit("src"), (F.col("page_id") % 20).cast("string")).alias("source"), F.col("url").alias("link"), "html"
+    )
+    # Only the links a site is graded by are read.
+    head = dedup.cap_links(linked, health.LINK_HEAD, site="source", url="link")
+    read = H.extract_site_text(H.extract_text(head, H.SITE_CHECK_RULE, into="main_text"), into="text")
+    links = read.select(
+        "source", "link", F.lit(True).alias("ok"),
+        (F.col("main_text").isNotNull() & ~P.is_blocked(F.col("html"))).alias("extracted"),
+        "text",
     )
     sites = joins.with_region(fetch_log(spark, sf_dir), sources(spark, sf_dir)).withColumns(
         {"blocked": F.col("source") == "src7", "parsed": F.lit(True)}

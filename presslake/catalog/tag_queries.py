@@ -6,35 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslake.catalog import sql as S
-from presslake.catalog.corpus import ARTICLES, articles, load
+from presslake.catalog.corpus import ARTICLES, load, spread_articles
 from presslake.catalog.registry import query
 from presslake.functions import lexicons as lex
 from presslake.functions import tagging as T
 from presslake.functions import text as X
 from presslake.operators import evaluation, joins, rollups
+from presslake.operators.shape import compute_once
 
 
 def all_text(df: DataFrame):
     return X.tag_text(df["title"], df["description"], df["content"])
 
 
-def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles with their tag struct."""
-    df = articles(spark, sf_dir)
-    return (
-        df.withColumn("all_text", all_text(df))
-        .withColumns({"continents": T.continents(F.col("all_text")), "keywords": T.matched_keywords(F.col("all_text"))})
-        .withColumn(
-            "tags",
-            F.struct(
-                F.col("continents"),
-                F.col("keywords").alias("matched_keywords"),
-                T.core_topics(F.col("keywords")).alias("core_topics"),
-                T.special_tags(F.col("feed_url")).alias("special_tags"),
-            ),
-        )
-        .drop("all_text", "continents", "keywords")
-    )
+def tagged(spark: SparkSession, sf_dir: str, *texts: str) -> DataFrame:
+    """Articles with their tags; of the tags read from the text only those asked for (all if none)."""
+    texts = texts or ("continents", "matched_keywords")
+    df = spread_articles(spark, sf_dir)
+    readers = {"continents": T.continents, "matched_keywords": T.matched_keywords}
+    found = compute_once(df, **{f"found_{name}": readers[name](all_text(df)) for name in texts})
+    tags = {name: F.col(f"found_{name}") for name in texts}
+    if "matched_keywords" in tags:
+        tags["core_topics"] = T.core_topics(tags["matched_keywords"])
+    tags["special_tags"] = T.special_tags(F.col("feed_url"))
+    struct = F.struct(*[column.alias(name) for name, column in tags.items()])
+    return found.withColumn("tags", struct).drop(*[f"found_{name}" for name in texts])
 
 
 def _join(column: str):
@@ -43,17 +39,17 @@ def _join(column: str):
 
 @query("tag_continents", "SELECT doc_id, array_to_string(continents, '|') AS continents FROM tagged", [ARTICLES, S.TAGGED])
 def tag_continents(spark, sf_dir):
-    return tagged(spark, sf_dir).select("doc_id", _join("tags.continents").alias("continents"))
+    return tagged(spark, sf_dir, "continents").select("doc_id", _join("tags.continents").alias("continents"))
 
 
 @query("tag_keywords", "SELECT doc_id, array_to_string(keywords, '|') AS keywords FROM tagged", [ARTICLES, S.TAGGED])
 def tag_keywords(spark, sf_dir):
-    return tagged(spark, sf_dir).select("doc_id", _join("tags.matched_keywords").alias("keywords"))
+    return tagged(spark, sf_dir, "matched_keywords").select("doc_id", _join("tags.matched_keywords").alias("keywords"))
 
 
 @query("tag_topics", "SELECT doc_id, array_to_string(topics, '|') AS topics FROM tagged", [ARTICLES, S.TAGGED])
 def tag_topics(spark, sf_dir):
-    return tagged(spark, sf_dir).select("doc_id", _join("tags.core_topics").alias("topics"))
+    return tagged(spark, sf_dir, "matched_keywords").select("doc_id", _join("tags.core_topics").alias("topics"))
 
 
 @query(
@@ -66,9 +62,9 @@ GROUP BY ALL""",
 )
 def tag_struct_counts(spark, sf_dir):
     """Articles by continent and topic: the flagship query."""
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     tags = df.select(T.tag_article(all_text(df)).alias("tags"))
-    each = tags.select(F.explode("tags.continents").alias("continent"), "tags.core_topics").select(
+    each = tags.select(F.explode_outer("tags.continents").alias("continent"), "tags.core_topics").select(
         "continent", F.explode_outer("core_topics").alias("topic")
     )
     return each.groupBy("continent", F.coalesce("topic", F.lit("none")).alias("topic")).agg(
@@ -86,7 +82,7 @@ def tag_struct_counts(spark, sf_dir):
     ],
 )
 def tag_countries(spark, sf_dir):
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     return df.select("doc_id", F.array_join(T.countries(all_text(df)), "|").alias("countries"))
 
 
@@ -104,7 +100,7 @@ LOW_TEXTS = f"texts AS (SELECT doc_id, lower({S.AND_TEXT}) AS low FROM articles)
     [ARTICLES, LOW_TEXTS, REGION_LIST],
 )
 def tag_regions(spark, sf_dir):
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     return df.select("doc_id", F.array_join(T.regions(all_text(df), REGIONS), "|").alias("regions"))
 
 
@@ -115,7 +111,7 @@ def tag_regions(spark, sf_dir):
     [ARTICLES, S.TAGGED],
 )
 def legislation_tags(spark, sf_dir):
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     return df.select(
         "doc_id", T.legislation_tags(all_text(df)).alias("tags"), T.special_tags(F.col("feed_url")).alias("by_feed")
     ).select(
@@ -163,7 +159,7 @@ ON lower(keyword) = term GROUP BY ALL""",
     [ARTICLES, LOW_TEXTS, S.keyword_list("tag_keywords", "texts", "doc_id", "low")],
 )
 def keyword_topics(spark, sf_dir):
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     keyed = df.select("doc_id", T.matched_keywords(all_text(df)).alias("keywords"))
     return (
         joins.keyword_topics(keyed, "keywords").groupBy("keyword", "topic").agg(F.count("*").alias("articles"))
@@ -177,7 +173,7 @@ FROM (SELECT continent, count(*) AS n FROM (SELECT unnest(continents) AS contine
     [ARTICLES, S.TAGGED],
 )
 def geo_distribution(spark, sf_dir):
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     return rollups.geo_distribution(df.select(T.continents(all_text(df)).alias("continents")))
 
 
@@ -187,7 +183,7 @@ NAMES = ["Africa desk", "Brazil desk", "Saudi desk", "Global desk", "Town desk"]
 
 
 def detection_cases(spark, sf_dir):
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     kind = F.col("doc_id") % 13
     expected = F.array().cast("array<string>")
     for number, names in EXPECTED.items():

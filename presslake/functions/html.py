@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from presslake.functions import page_reader
 from presslake.functions.match import any_contains, bind
 from presslake.functions.page_reader import TextRule
 from presslake.functions.text import BILL_PATH
+from presslake.operators.shape import compute_once
 
 # Workers get the reader with the task, whether or not the package is installed there.
 cloudpickle.register_pickle_by_value(page_reader)
@@ -151,36 +152,37 @@ def _reader(rule: TextRule):
     return read
 
 
-def extract_text(html: Column, rule: TextRule) -> Column:
-    """Main text of a page by a rule; NULL if there is none long enough."""
-    fast = _plain_article(html, rule)
+def extract_text(df: DataFrame, rule: TextRule, into: str = "content", html: str = "html") -> DataFrame:
+    """Adds the main text of each page by a rule; NULL if there is none long enough."""
+    fast = _plain_article(F.col(html), rule)
     if rule.enough:
         fast = bind(fast, lambda text: F.when(F.char_length(text) > rule.enough, text))
-
-    slow = _reader(rule)(F.when(fast.isNull(), html))
-    text = F.coalesce(fast, slow)
-    return bind(text, lambda t: F.when(F.char_length(t) > rule.min_chars, t))
+    plain = compute_once(df, plain_text=fast)
+    read = _reader(rule)(F.when(F.col("plain_text").isNull(), F.col(html)))
+    text = compute_once(plain, **{into: F.coalesce("plain_text", read)}).drop("plain_text")
+    return text.withColumn(into, F.when(F.char_length(into) > rule.min_chars, F.col(into)))
 
 
 # ---------------------------------------------------------------------------
 # Rules by page kind
 # ---------------------------------------------------------------------------
-def extract_news(html: Column) -> Column:
-    return extract_text(html, NEWS_RULE)
+def extract_news(df: DataFrame, into: str = "content", html: str = "html") -> DataFrame:
+    return extract_text(df, NEWS_RULE, into, html)
 
 
-def extract_legislation(html: Column) -> Column:
-    return extract_text(html, LEGISLATION_RULE)
+def extract_legislation(df: DataFrame, into: str = "content", html: str = "html") -> DataFrame:
+    return extract_text(df, LEGISLATION_RULE, into, html)
 
 
-def extract_historical(html: Column) -> Column:
-    return extract_text(html, HISTORICAL_RULE)
+def extract_historical(df: DataFrame, into: str = "content", html: str = "html") -> DataFrame:
+    return extract_text(df, HISTORICAL_RULE, into, html)
 
 
-def extract_site_text(html: Column) -> Column:
-    """Title and content of a page as the source checker searches them, lower-cased."""
-    title = F.coalesce(element_text(html, "title"), F.lit(""))
-    return F.lower(F.concat(title, F.lit(" "), F.coalesce(extract_text(html, SITE_TEXT_RULE), F.lit(""))))
+def extract_site_text(df: DataFrame, into: str = "text", html: str = "html") -> DataFrame:
+    """Adds title and content of each page as the source checker searches them, lower-cased."""
+    title = F.coalesce(element_text(F.col(html), "title"), F.lit(""))
+    body = F.coalesce(F.col(into), F.lit(""))
+    return extract_text(df, SITE_TEXT_RULE, into, html).withColumn(into, F.lower(F.concat(title, F.lit(" "), body)))
 
 
 @F.pandas_udf(T.StringType())
@@ -203,15 +205,19 @@ def extract_bill(xml: Column, html: Column, min_bytes: int = 1000) -> Column:
     )
 
 
-def extract_content(
-    url: Column, html: Column, bill_xml: Column, bill_html: Column, rule: TextRule = LEGISLATION_RULE
-) -> Column:
-    """Bill rule, then senate rule, then the generic one; each falls through when it finds nothing."""
-    is_bill, is_senate = url.contains(BILL_PATH), url.contains("senado.leg.br")
-    return F.coalesce(
-        F.when(is_bill, extract_bill(bill_xml, bill_html)),
-        extract_senate(F.when(is_senate, html)),
-        extract_text(html, rule),
+def extract_content(df: DataFrame, rule: TextRule = LEGISLATION_RULE, into: str = "content") -> DataFrame:
+    """Bill rule, then senate rule, then the generic one, each falling through when it finds
+    nothing. Takes url and html, and bill_xml and bill_html where bills are read."""
+    none = F.lit(None).cast("string")
+    xml, version = (F.col(c) if c in df.columns else none for c in ("bill_xml", "bill_html"))
+    url, html = F.col("url"), F.col("html")
+    bill = F.when(url.contains(BILL_PATH), extract_bill(xml, version))
+    special = F.coalesce(bill, extract_senate(F.when(url.contains("senado.leg.br"), html)))
+    ruled = compute_once(df, special_text=special)
+    generic = F.when(F.col("special_text").isNull(), html)
+    read = extract_text(ruled.withColumn("page_html", generic), rule, "generic_text", "page_html")
+    return read.withColumn(into, F.coalesce("special_text", "generic_text")).drop(
+        "special_text", "generic_text", "page_html"
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from presslake.operators.shape import compute_once
+
 # Words of a case's name that put it into a bucket, in order.
 BUCKETS = [
     ("Africa", ["Africa"]),
@@ -31,7 +33,7 @@ def tag_pass(df: DataFrame) -> DataFrame:
 
 
 def evaluate(cases: DataFrame, detected: Column) -> DataFrame:
-    return tag_pass(tag_diff(cases.withColumn("detected", detected)))
+    return tag_pass(tag_diff(compute_once(cases, detected=detected)))
 
 
 def bucket(name: Column) -> Column:
@@ -61,7 +63,7 @@ def failure_patterns(results: DataFrame) -> DataFrame:
         F.struct(F.lit("false_positive").alias("kind"), F.array_join("false_positives", ", ").alias("regions")),
     )
     return (
-        failed.select(F.explode(kinds).alias("pattern"))
+        failed.select(F.explode_outer(kinds).alias("pattern"))
         .select("pattern.*")
         .where(F.col("regions") != "")
         .groupBy("kind", "regions")

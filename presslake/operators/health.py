@@ -132,8 +132,9 @@ def gate(df: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def deploy_tier(df: DataFrame, kind: str) -> DataFrame:
-    """Tier of each passed source: deploy_immediately, deploy_with_monitoring or do_not_deploy."""
+def with_tier(df: DataFrame, kind: str) -> DataFrame:
+    """Adds the deploy tier of passed sources: deploy_immediately, deploy_with_monitoring or
+    do_not_deploy; NULL for failed ones."""
 
     def within(limits) -> Column:
         tests, seconds, extracted = limits
@@ -145,7 +146,12 @@ def deploy_tier(df: DataFrame, kind: str) -> DataFrame:
         .when(within(MONITORED[kind]), "deploy_with_monitoring")
         .otherwise("do_not_deploy")
     )
-    return df.where(F.col("status") == "PASSED").withColumn("tier", tier)
+    return df.withColumn("tier", F.when(F.col("status") == "PASSED", tier))
+
+
+def deploy_tier(df: DataFrame, kind: str) -> DataFrame:
+    """Passed sources with their tier."""
+    return with_tier(df, kind).where(F.col("tier").isNotNull())
 
 
 def ready_sources(tiered: DataFrame) -> DataFrame:
@@ -173,9 +179,8 @@ def master_report(rss: DataFrame, site: DataFrame, geo: DataFrame | None = None)
     columns = ["kind", "status", "ready"]
 
     def flat(df: DataFrame, kind: str) -> DataFrame:
-        tier = deploy_tier(df, kind).select("source", "tier")
         ready = F.col("tier").isin("deploy_immediately", "deploy_with_monitoring")
-        return df.join(tier, "source", "left").select(
+        return with_tier(df, kind).select(
             F.lit(kind).alias("kind"), "status", F.coalesce(ready, F.lit(False)).alias("ready")
         )
 

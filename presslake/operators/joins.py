@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions import lexicons as lex
 from presslake.functions.match import NOT_WORD, TermScanner
+from presslake.operators.shape import compute_once
 
 
 def drop_seen(items: DataFrame, seen: DataFrame, fresh: bool = False, keys: Sequence[str] = ("url",)) -> DataFrame:
@@ -65,8 +66,9 @@ def explode_terms(df: DataFrame, scanner: TermScanner, text: str) -> DataFrame:
     entries = [(term, [term]) for term in scanner.modes]
     hits = F.array_distinct(scanner.hits(F.lower(F.col(text))))
     keep = [c for c in df.columns if c != text]
-    found = df.select(*keep, hits.alias("hits")).where(F.size("hits") > 0)
-    return found.select(*keep, F.explode(scanner.values(F.col("hits"), entries)).alias("term"))
+    found = compute_once(df, hits=hits).where(F.size("hits") > 0)
+    terms = found.select(*keep, F.explode_outer(scanner.values(F.col("hits"), entries)).alias("term"))
+    return terms.where(F.col("term").isNotNull())
 
 
 def explode_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
@@ -80,7 +82,7 @@ def explode_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> D
     lexed = lexed.withColumn(
         "first_word", F.element_at(F.filter(F.split("term_low", split), lambda w: w != ""), 1)
     )
-    words = df.select(key, F.explode(F.array_distinct(F.split(F.lower(text), split))).alias("first_word"))
+    words = df.select(key, F.explode_outer(F.array_distinct(F.split(F.lower(text), split))).alias("first_word"))
     candidates = words.join(lexed, "first_word").drop("first_word")
     escaped = F.regexp_replace("term_low", r"([\\.\[\]{}()*+?^$|&~#\-])", r"\\$1")
     pattern = F.concat(F.lit(f"(?:^|{NOT_WORD})"), escaped, F.lit(f"(?:{NOT_WORD}|$)"))
@@ -100,7 +102,7 @@ def keyword_topics(
     rows = [(t.lower(), topic) for topic, terms in topics.items() for t in terms]
     table = spark.createDataFrame(rows, "keyword_low string, topic string")
     keep = [c for c in df.columns if c != keywords]
-    exploded = df.select(*keep, F.explode(F.array_distinct(keywords)).alias("keyword"))
+    exploded = df.select(*keep, F.explode_outer(F.array_distinct(keywords)).alias("keyword"))
     # The topic table holds as many rows as the lexicon argument has terms.
     return (
         exploded.withColumn("keyword_low", F.lower("keyword"))

@@ -63,7 +63,7 @@ def archive_totals(df: DataFrame) -> DataFrame:
 
 def facets(df: DataFrame) -> DataFrame:
     """Sorted distinct values per facet: sources and matched keywords with their labels."""
-    pairs = F.explode(
+    pairs = F.explode_outer(
         F.concat(
             F.array(F.struct(F.lit("source").alias("facet"), _source(df).alias("value"))),
             F.transform(
@@ -121,7 +121,8 @@ def backfill_report(marked: DataFrame) -> DataFrame:
 
 def geo_distribution(df: DataFrame, continents: str = "continents") -> DataFrame:
     """Articles per continent and their share of all continent tags."""
-    counted = df.select(F.explode(continents).alias("continent")).groupBy("continent").agg(
+    # A text always has a continent tag, so no row comes out empty.
+    counted = df.select(F.explode_outer(continents).alias("continent")).groupBy("continent").agg(
         F.count("*").alias("articles")
     )
     # The window runs over one row per continent of the lexicon.

@@ -52,8 +52,7 @@ def legislation_articles(
     items = first_items(items)
     if seen is not None and not fresh:
         items = joins.drop_seen(items, seen)
-    content = html.extract_content(F.col("url"), F.col("html"), F.col("bill_xml"), F.col("bill_html"), rule)
-    read = _attach_pages(items, pages).withColumn("content", content).drop("html", "bill_xml", "bill_html")
+    read = html.extract_content(_attach_pages(items, pages), rule).drop("html", "bill_xml", "bill_html")
     read = read.where(text.has_text(F.col("content")))
     all_text = text.tag_text(F.col("title"), F.col("description"), F.col("content"))
     tags = tag_struct(tagging.continents(all_text), special_tags=F.array(F.lit("legislation")))

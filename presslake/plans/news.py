@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from presslake.functions import dates, html, predicates, tagging, text
 from presslake.functions import lexicons as lex
 from presslake.operators import dedup, joins
+from presslake.operators.shape import compute_once
 from presslake.plans.records import tag_struct, to_articles
 from presslake.sources import feeds
 
@@ -39,14 +40,12 @@ def _with_stored(items: DataFrame, stored: DataFrame | None) -> DataFrame:
 
 
 def tag_news(df: DataFrame, all_text, special, keywords: Sequence[str]) -> DataFrame:
+    tags = {
+        "found_continents": tagging.continents(all_text),
+        "found_keywords": tagging.matched_keywords(all_text, keywords),
+    }
     return (
-        df.withColumn("all_text", all_text)
-        .withColumns(
-            {
-                "found_continents": tagging.continents(F.col("all_text")),
-                "found_keywords": tagging.matched_keywords(F.col("all_text"), keywords),
-            }
-        )
+        compute_once(df, **tags)
         .withColumn(
             "tags",
             tag_struct(
@@ -56,7 +55,7 @@ def tag_news(df: DataFrame, all_text, special, keywords: Sequence[str]) -> DataF
                 special_tags=special,
             ),
         )
-        .drop("all_text", "found_continents", "found_keywords")
+        .drop("found_continents", "found_keywords")
     )
 
 
@@ -83,10 +82,8 @@ def rss_articles(
     items = first_items(items)
     if not fresh:
         items = _with_stored(items if seen is None else joins.drop_seen(items, seen), stored)
-    read = joins.attach_content(items, pages.select("url", "html")).withColumn(
-        "content", html.extract_news(F.col("html"))
-    )
-    read = read.drop("html").where(predicates.has_content(F.col("content")))
+    read = html.extract_news(joins.attach_content(items, pages.select("url", "html"))).drop("html")
+    read = read.where(predicates.has_content(F.col("content")))
     all_text = text.tag_text(F.col("title"), F.col("description"), F.col("content"))
     return to_articles(tag_news(read, all_text, tagging.special_tags(F.col("feed_url")), keywords), "rss", as_of)
 
@@ -104,16 +101,16 @@ def direct_articles(
 ) -> DataFrame:
     """Relevant pages linked from section pages. `sections` (base_url, html), `pages` (url, html)."""
     found = html.discover_links(F.col("base_url"), F.col("html"), max_links)
-    links = sections.select("base_url", F.explode(found).alias("url"))
+    links = sections.select("base_url", F.explode_outer(found).alias("url")).where(F.col("url").isNotNull())
     links = dedup.dedupe_urls(links, "base_url")
     if not fresh:
         links = _with_stored(links if seen is None else joins.drop_seen(links, seen), stored)
-    page = joins.attach_content(links, pages.select("url", "html")).withColumn("title", html.page_title(F.col("html")))
-    page = page.where(predicates.matches_keywords(F.col("title"), keywords)).withColumn(
-        "date", html.page_date(F.col("html"))
-    )
+    page = joins.attach_content(links, pages.select("url", "html"))
+    page = compute_once(page, title=html.page_title(F.col("html")))
+    page = page.where(predicates.matches_keywords(F.col("title"), keywords))
+    page = compute_once(page, date=html.page_date(F.col("html")))
     page = page.where(dates.year_filter(F.col("date"), strict=strict_year))
-    read = page.withColumn("content", html.extract_news(F.col("html"))).drop("html")
+    read = html.extract_news(page).drop("html")
     read = read.where(predicates.matches_keywords(F.col("content"), keywords))
     all_text = text.tag_text(F.col("title"), F.col("content"))
     return to_articles(tag_news(read, all_text, F.array().cast("array<string>"), keywords), "direct", as_of)

@@ -77,8 +77,6 @@ def backfill_senate(table: DataFrame, content: DataFrame, pages: DataFrame) -> t
     """Senate articles with their content read again by the page rules."""
     part = "senado.leg.br"
     urls = table.where(F.col("url").contains(part)).select("url").distinct()
-    none = F.lit(None).cast("string")
-    read = joins.attach_content(urls, pages.select("url", "html")).select(
-        "url", html.extract_content(F.col("url"), F.col("html"), none, none).alias("new_content")
-    )
+    read = html.extract_content(joins.attach_content(urls, pages.select("url", "html")), into="new_content")
+    read = read.select("url", "new_content")
     return store.backfill_content(table, content, read, part)

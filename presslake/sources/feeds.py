@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presslake.operators.shape import compute_once
+
 _LINK = "array<struct<_VALUE: string, _href: string>>"
 _ITEM = (
     f"struct<title: array<string>, link: {_LINK}, pubDate: array<string>,"
@@ -37,13 +39,14 @@ def explode_feed(documents: DataFrame, xml_col: str = "xml") -> DataFrame:
     empty = F.array().cast(f"array<{_ITEM}>")
     items = F.concat(F.coalesce(nested, empty), F.coalesce(F.col("feed.item"), empty))
     return (
-        documents.select(*keep, parsed.alias("feed"))
+        compute_once(documents, feed=parsed)
         .select(*keep, items.alias("items"), F.col("feed.entry").alias("entries"))
         .select(
             *keep,
-            F.posexplode(F.when(F.size("items") > 0, F.col("items")).otherwise(F.col("entries")))
+            F.posexplode_outer(F.when(F.size("items") > 0, F.col("items")).otherwise(F.col("entries")))
             .alias("item_pos", "item"),
         )
+        .where(F.col("item_pos").isNotNull())
     )
 
 
