@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_CLOCK = r"(\d{1,2}:\d{2}(?::\d{2})?)(?:\.\d+)?"
+_CLOCK = r"(\d{1,2}:\d{2}(?::\d{2})?)(?:\.\d+)?(?:\s*([AaPp])\.?[Mm]\b\.?)?"
 _ZONE = r"\s*([A-Za-z]{1,5}|(?:GMT|UTC)?[+-]\d{2}:?\d{2})?"
 
 # shape, rewritten wall clock, formats to read it with
@@ -25,7 +25,7 @@ SHAPES = [
     (DAY_FIRST, r"$3-$2-$1 $4", "yyyy-MMM-d"),
     (MONTH_FIRST, r"$3-$1-$2 $4", "yyyy-MMM-d"),
 ]
-ZONE_GROUP = 5
+HALF_DAY_GROUP, ZONE_GROUP = 5, 6
 
 
 def _wall_clock(column: Column) -> Column:
@@ -33,12 +33,21 @@ def _wall_clock(column: Column) -> Column:
     parsed = None
     for shape, rewrite, date_format in SHAPES:
         wall = F.trim(F.regexp_replace(column, shape, rewrite))
-        ts = F.try_to_timestamp(wall, F.lit(f"{date_format}[ H:mm[:ss]]"))
+        ts = _half_day(
+            F.try_to_timestamp(wall, F.lit(f"{date_format}[ H:mm[:ss]]")),
+            F.lower(F.regexp_extract(column, shape, HALF_DAY_GROUP)),
+        )
         hit = column.rlike(shape)
         parsed = F.when(hit, ts) if parsed is None else parsed.when(hit, ts)
     return parsed
 
 
+def _half_day(ts: Column, letter: Column) -> Column:
+    """A twelve-hour clock's time, by the first letter of its AM or PM, if it has one."""
+    hours = F.when((letter == "p") & (F.hour(ts) < 12), 12).when((letter == "a") & (F.hour(ts) == 12), -12)
+    return ts + F.make_dt_interval(hours=hours.otherwise(0))
+
+
 def _offset_minutes(column: Column) -> Column:
     """Minutes east of UTC; a missing or unknown zone counts as UTC."""
     zone = None

@@ -30,7 +30,6 @@ BLANK = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 TAG = r"<[A-Za-z/!?][^>]*>"
-CUT = "<!>"  # stands where an element or comment was cut out
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'")]
 RARE_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|nbsp|#39);)[A-Za-z#]"
 
@@ -93,9 +92,9 @@ def decode_entities(column: Column) -> Column:
 
 
 def cut_elements(html: Column, tags: tuple[str, ...]) -> Column:
-    """Comments and whole elements of these tags replaced by a marker."""
+    """Comments replaced by ``<!>`` and whole elements of these tags by ``<!tag>``."""
     names = "|".join(tags)
-    return F.regexp_replace(html, rf"(?is)<!--.*?-->|<({names})\b[^>]*>.*?</\1\s*>", CUT)
+    return F.regexp_replace(html, rf"(?is)<!--.*?-->|<({names})\b[^>]*>.*?</\1\s*>", "<!$1>")
 
 
 def flat_text(markup: Column, separator: str = "", strip: bool = True) -> Column:
@@ -137,7 +136,9 @@ def _plain_article(html: Column, rule: TextRule) -> Column:
             & ~body.rlike(r"(?i)</?(?:main|body|html|table|template)\b")
         )
         if rule.as_html:
-            return F.when(exact, F.replace(body, F.lit(CUT), F.lit("")))
+            # Comments belong to the markup and would be lost here.
+            kept_whole = exact & ~body.contains("<!>")
+            return F.when(kept_whole, F.regexp_replace(body, rf"(?i)<!(?:{names})>", ""))
         text = flat_text(body, rule.separator, rule.strip)
         return F.when(exact & ~body.rlike(RARE_ENTITY), text)
 

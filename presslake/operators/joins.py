@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslake.functions import lexicons as lex
-from presslake.functions.match import NOT_WORD, TermScanner
+from presslake.functions.match import NOT_WORD, WHOLE_WORD, TermScanner
 from presslake.operators.shape import compute_once
 
 
@@ -61,22 +61,35 @@ def with_region(df: DataFrame, sources: DataFrame, on: str = "source") -> DataFr
     return df.join(region, on, "left").withColumn("region", F.coalesce("region", F.lit("Global")))
 
 
-def explode_terms(df: DataFrame, scanner: TermScanner, text: str) -> DataFrame:
-    """One row per text and lexicon term found in it, for lexicons that fit one pattern."""
-    entries = [(term, [term]) for term in scanner.modes]
-    hits = F.array_distinct(scanner.hits(F.lower(F.col(text))))
-    keep = [c for c in df.columns if c != text]
-    found = compute_once(df, hits=hits).where(F.size("hits") > 0)
-    terms = found.select(*keep, F.explode_outer(scanner.values(F.col("hits"), entries)).alias("term"))
-    return terms.where(F.col("term").isNotNull())
-
-
-def explode_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per text and whole-word term of a lexicon table of any size.
+def explode_matches(
+    df: DataFrame, lexicon: DataFrame, key: str, text: str, max_compiled: int = 2_000
+) -> DataFrame:
+    """One row per text and whole-word lexicon term in it, with the lexicon's columns.
 
-    Distinct words of the text meet the terms' first words in an equi-join that
-    carries only the key; the few candidates are then checked against the text.
+    `lexicon` has a column `term`, each term once in lower case. One of at most
+    `max_compiled` rows is compiled into a single scan of each text; a larger
+    one is joined to the texts' words.
     """
+    rows = lexicon.limit(max_compiled + 1).collect() if max_compiled else []
+    if rows and len(rows) <= max_compiled:
+        return _scan_matches(df, rows, lexicon, key, text)
+    return _join_matches(df, lexicon, key, text)
+
+
+def _scan_matches(df: DataFrame, rows: list, lexicon: DataFrame, key: str, text: str) -> DataFrame:
+    terms = [row["term"] for row in rows]
+    scanner = TermScanner({t.lower(): WHOLE_WORD for t in terms})
+    hits = scanner.hits(F.lower(F.coalesce(text, F.lit(""))))
+    found = compute_once(df.select(key, text), hits=hits).where(F.size("hits") > 0)
+    values = scanner.values(F.col("hits"), [(t, [t.lower()]) for t in terms])
+    each = found.select(key, F.explode_outer(values).alias("term")).where(F.col("term").isNotNull())
+    # At most `max_compiled` rows, as just counted.
+    return each.join(F.broadcast(lexicon), "term").select(key, *lexicon.columns)
+
+
+def _join_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
+    """Distinct words of the texts meet the terms' first words in an equi-join that carries only
+    the key; the candidates it leaves are checked against the text."""
     split = f"{NOT_WORD}+"
     lexed = lexicon.withColumn("term_low", F.lower("term"))
     lexed = lexed.withColumn(
@@ -90,7 +103,7 @@ def explode_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> D
     return (
         candidates.join(low, key)
         .where(F.contains("text_low", "term_low") & F.regexp_like("text_low", pattern))
-        .drop("text_low", "term_low")
+        .select(key, *lexicon.columns)
     )
 
 
