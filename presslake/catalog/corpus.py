@@ -179,7 +179,7 @@ def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     price = ((key % 101) / 100).cast("decimal(5,2)")
     number = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    return load(spark, sf_dir, "orders").select(
+    return spread(load(spark, sf_dir, "orders"), "o_orderkey").select(
         key.cast("string").alias("id"),
         pick(QUESTIONS, key % len(QUESTIONS)).alias("question"),
         F.when(key % 5 != 0, F.concat(F.lit("market-"), key.cast("string"))).alias("slug"),

@@ -7,11 +7,12 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from presslake.catalog import sql as S
-from presslake.catalog.corpus import ARTICLES, AS_OF, MARKETS, PAGES, PHRASES, articles, markets, pages, pick, sql_pick
+from presslake.catalog.corpus import ARTICLES, AS_OF, MARKETS, PAGES, PHRASES, articles, markets, pages, pick, spread_articles, sql_pick
 from presslake.catalog.page_queries import NEWS_TEXT, POLITICAL, SITE, TITLE, _xml, feed_documents
 from presslake.catalog.registry import query
 from presslake.functions import lexicons as lex
 from presslake.functions.html import BLANK
+from presslake.operators.shape import spread
 from presslake.plans import legislation, news, records
 from presslake.plans import markets as market_plan
 from presslake.session import scratch_dir
@@ -73,7 +74,7 @@ FROM kept JOIN geo g USING (url) JOIN words k USING (url) LEFT JOIN topics t USI
 )
 def rss_run(spark, sf_dir):
     """News run over feeds; URLs of French articles count as seen."""
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     seen = df.where("lang = 'fr'").select("url")
     out = news.rss_articles(_documents(df), _pages(df), NOW, seen=seen)
     return out.select(
@@ -110,7 +111,7 @@ FROM kept JOIN geo g USING (url)""",
 )
 def legislation_run(spark, sf_dir):
     """Legislation run over the same feeds: items of the last day and undated ones."""
-    df = articles(spark, sf_dir)
+    df = spread_articles(spark, sf_dir)
     out = legislation.legislation_articles(_documents(df), _pages(df), NOW)
     return out.select(
         "url", "title", "feed_url", "content_length",
@@ -148,7 +149,7 @@ FROM kept JOIN geo g USING (url) JOIN words k USING (url)""",
 )
 def direct_run(spark, sf_dir):
     """Direct run: links of section pages, their pages, both keyword gates."""
-    df = pages(spark, sf_dir)
+    df = spread(pages(spark, sf_dir), "page_id")
     sections = df.select(F.col("url").alias("base_url"), "html")
     out = news.direct_articles(sections, _linked_pages(df), NOW)
     return out.select(

@@ -24,7 +24,10 @@ from presslake.operators.shape import compute_once
 # Workers get the reader with the task, whether or not the package is installed there.
 cloudpickle.register_pickle_by_value(page_reader)
 
-# Blanks as stripped from text ends, in both engines' spelling.
+# Blanks as stripped from text ends: as a list, and as a pattern both engines read.
+BLANK_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680])) + "".join(
+    map(chr, [*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 BLANK = (
     r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -81,14 +84,14 @@ DATE_CLASSES = ["publish-date", "article-date", "post-date"]
 # Building blocks
 # ---------------------------------------------------------------------------
 def strip_blanks(column: Column) -> Column:
-    return F.regexp_replace(column, f"^{BLANK}+|{BLANK}+$", "")
+    return F.trim(column, F.lit(BLANK_CHARS))
 
 
 def decode_entities(column: Column) -> Column:
     out = F.replace(column, F.lit("&nbsp;"), F.lit("\u00a0"))
     for entity, char in ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    return F.when(column.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(column)
 
 
 def cut_elements(html: Column, tags: tuple[str, ...]) -> Column:
@@ -99,22 +102,17 @@ def cut_elements(html: Column, tags: tuple[str, ...]) -> Column:
 
 def flat_text(markup: Column, separator: str = "", strip: bool = True) -> Column:
     """Text pieces between tags, each stripped, empty ones dropped, joined by `separator`."""
-    spaced = F.replace(markup, F.lit("&nbsp;"), F.lit("\u00a0"))
+    spaced = F.when(
+        markup.contains("&nbsp;"), F.replace(markup, F.lit("&nbsp;"), F.lit("\u00a0"))
+    ).otherwise(markup)
     if not strip:
-        joined = F.regexp_replace(spaced, TAG, "")
-    elif separator:
-        marked = F.regexp_replace(spaced, f"{BLANK}*{TAG}{BLANK}*", "\u0001")
-        ends = F.regexp_replace(marked, f"^(?:{BLANK}|\\x01)+|(?:{BLANK}|\\x01)+$", "")
-        joined = F.regexp_replace(ends, "\\x01+", separator)
-    else:
-        joined = strip_blanks(F.regexp_replace(spaced, f"{BLANK}*{TAG}{BLANK}*", ""))
-    return decode_entities(joined)
-
-
-def _balanced(markup: Column, tag: str) -> Column:
-    return F.regexp_count(markup, F.lit(rf"(?i)</{tag}\s*>")) <= F.regexp_count(
-        markup, F.lit(rf"(?i)<{tag}\b")
-    )
+        return decode_entities(F.regexp_replace(spaced, TAG, ""))
+    pieces = F.transform(F.split(spaced, TAG), strip_blanks)
+    return bind(F.array_join(F.filter(pieces, lambda piece: piece != ""), separator), decode_entities)
+
+
+def _counts_of(tags: Column, name: str) -> Column:
+    return F.size(F.filter(tags, lambda tag: tag == name))
 
 
 def _plain_article(html: Column, rule: TextRule) -> Column:
@@ -122,25 +120,31 @@ def _plain_article(html: Column, rule: TextRule) -> Column:
     names = "|".join(rule.drop)
 
     def from_kept(kept: Column) -> Column:
-        one = (F.regexp_count(kept, F.lit(r"(?i)<article\b")) == 1) & (
-            F.regexp_count(kept, F.lit(r"(?i)</article\s*>")) == 1
-        )
+        one = F.regexp_count(kept, F.lit(r"(?i)</?article\b")) == 2
         clear = ~kept.rlike(rf"(?i)</?(?:{names})\b") & ~kept.rlike(r"""=\s*(?:"[^"<>]*>|'[^'<>]*>)""")
         group = 0 if rule.as_html else 1
         body = F.regexp_extract(kept, r"(?is)<article\b[^>]*>(.*?)</article\s*>", group)
         return F.when(one & clear, bind(body, from_body))
 
     def from_body(body: Column) -> Column:
-        exact = (
-            _balanced(body, "p") & _balanced(body, "div") & _balanced(body, "section")
-            & ~body.rlike(r"(?i)</?(?:main|body|html|table|template)\b")
+        # An end tag of an element opened outside would end the article early.
+        found = F.regexp_extract_all(
+            body, F.lit(r"(?i)<(/?(?:p|div|section|main|body|html|table|template))\b"), F.lit(1)
         )
+        tags = F.transform(found, F.lower)
+
+        def inside(tags: Column) -> Column:
+            even = [_counts_of(tags, f"/{t}") <= _counts_of(tags, t) for t in ("p", "div", "section")]
+            others = F.exists(tags, lambda t: ~t.isin("p", "/p", "div", "/div", "section", "/section"))
+            return even[0] & even[1] & even[2] & ~others
+
+        exact = bind(tags, inside)
         if rule.as_html:
             # Comments belong to the markup and would be lost here.
-            kept_whole = exact & ~body.contains("<!>")
+            kept_whole = (body != "") & exact & ~body.contains("<!>")
             return F.when(kept_whole, F.regexp_replace(body, rf"(?i)<!(?:{names})>", ""))
-        text = flat_text(body, rule.separator, rule.strip)
-        return F.when(exact & ~body.rlike(RARE_ENTITY), text)
+        plain_entities = ~body.contains("&") | ~body.rlike(RARE_ENTITY)
+        return F.when((body != "") & exact & plain_entities, flat_text(body, rule.separator, rule.strip))
 
     return bind(cut_elements(html, rule.drop), from_kept)
 

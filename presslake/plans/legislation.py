@@ -27,8 +27,10 @@ def _attach_pages(items: DataFrame, pages: DataFrame) -> DataFrame:
         }
     ).drop("bill")
     page = pages.select("url", "html")
-    xml = page.select(F.col("url").alias("xml_key"), F.col("html").alias("bill_xml"))
-    version = page.select(F.col("url").alias("html_key"), F.col("html").alias("bill_html"))
+    # Only bill packages can be a bill's XML or HTML version.
+    package = page.where(F.col("url").startswith(text.BILL_PACKAGES))
+    xml = package.select(F.col("url").alias("xml_key"), F.col("html").alias("bill_xml"))
+    version = package.select(F.col("url").alias("html_key"), F.col("html").alias("bill_html"))
     return (
         keyed.join(page, "url", "left").join(xml, "xml_key", "left").join(version, "html_key", "left")
         .drop("xml_key", "html_key")
