@@ -481,7 +481,7 @@ def archive_totals(spark, sf_dir):
 @query(
     "facets",
     """SELECT facet, value, CASE WHEN facet = 'source' THEN value
-    ELSE array_to_string(list_transform(string_split(value, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') END AS label
+    ELSE array_to_string(list_transform(regexp_extract_all(value, '\\p{L}+|[^\\p{L}]+'), lambda w: upper(w[1]) || lower(w[2:])), '') END AS label
 FROM (SELECT DISTINCT 'source' AS facet, coalesce(source, 'Unknown') AS value FROM tagged
   UNION ALL SELECT DISTINCT 'keyword', unnest(keywords) FROM tagged)""",
     [ARTICLES, S.TAGGED],

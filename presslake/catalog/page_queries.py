@@ -54,9 +54,16 @@ def sql_decode(expr: str) -> str:
     return expr
 
 
+def sql_closed(expr: str) -> str:
+    """Common entities written without their semicolon get it; twice, as matches may touch."""
+    for _ in range(2):
+        expr = _sub(expr, "&(amp|lt|gt|quot|nbsp)([^A-Za-z0-9;.-]|$)", r"'&\1;\2'")
+    return expr
+
+
 def sql_article(html: str, tags: tuple[str, ...], separator: str = "''") -> str:
     body = f"regexp_extract({sql_kept(html, tags)}, {S.quoted(r'(?is)<article\b[^>]*>(.*?)</article\s*>')}, 1)"
-    body = f"replace({body}, '&nbsp;', chr(160))"
+    body = f"replace({sql_closed(body)}, '&nbsp;', chr(160))"
     marked = _sub(body, f"{BLANK}*{TAG}{BLANK}*", "chr(1)")
     ends = _sub(marked, rf"^(?:{BLANK}|\x01)+|(?:{BLANK}|\x01)+$")
     return sql_decode(_sub(ends, r"\x01+", separator))
@@ -64,7 +71,8 @@ def sql_article(html: str, tags: tuple[str, ...], separator: str = "''") -> str:
 
 NEWS_TEXT = sql_article("html", H.NEWS_RULE.drop)
 LAW_TEXT = sql_article("html", H.LEGISLATION_RULE.drop, "chr(10)")
-TITLE = sql_decode(_sub(_sub(r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)", TAG), f"^{BLANK}+|{BLANK}+$"))
+RAW_TITLE = sql_closed(r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)")
+TITLE = _sub(sql_decode(_sub(RAW_TITLE, TAG)), f"^{BLANK}+|{BLANK}+$")
 
 
 def _spread_pages(spark, sf_dir):
@@ -314,8 +322,10 @@ def feed_health(spark, sf_dir):
     return _with_tier(_feed_health(spark, sf_dir), "rss").select(*FEED_COLUMNS)
 
 
-SITE_TEXT = f"""lower({sql_decode(_sub(_sub(r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)", TAG), f"^{BLANK}+|{BLANK}+$"))}
-  || ' ' || {sql_decode(_sub(r"regexp_extract(" + sql_kept("html", ("script", "style")) + r", '(?is)<article\b[^>]*>(.*?)</article\s*>', 1)", TAG))})"""
+RAW_ARTICLE = sql_closed(
+    "regexp_extract(" + sql_kept("html", ("script", "style")) + r", '(?is)<article\b[^>]*>(.*?)</article\s*>', 1)"
+)
+SITE_TEXT = f"lower({TITLE} || ' ' || {sql_decode(_sub(RAW_ARTICLE, TAG))})"
 
 SITE_HEALTH = f"""site_pages AS (
   SELECT 'src' || (page_id % 20) AS source, url AS link, {S.any_part('lower(html)', lex.BLOCKED_PAGE_TERMS)} AS blocked,

@@ -94,6 +94,17 @@ def decode_entities(column: Column) -> Column:
     return F.when(column.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(column)
 
 
+@F.pandas_udf(T.StringType())
+def _unescape(text: pd.Series) -> pd.Series:
+    return text.map(page_reader.unescape, na_action="ignore").astype(object)
+
+
+def decode_text(column: Column) -> Column:
+    """All entities; texts with none but the common ones never leave the JVM."""
+    rare = column.rlike(RARE_ENTITY)
+    return F.coalesce(F.when(~rare, decode_entities(column)), _unescape(F.when(rare, column)))
+
+
 def cut_elements(html: Column, tags: tuple[str, ...]) -> Column:
     """Comments replaced by ``<!>`` and whole elements of these tags by ``<!tag>``."""
     names = "|".join(tags)
@@ -101,52 +112,49 @@ def cut_elements(html: Column, tags: tuple[str, ...]) -> Column:
 
 
 def flat_text(markup: Column, separator: str = "", strip: bool = True) -> Column:
-    """Text pieces between tags, each stripped, empty ones dropped, joined by `separator`."""
+    """Text pieces between tags, each stripped, empty ones dropped, joined by `separator`;
+    entities other than blanks are left as they are."""
     spaced = F.when(
         markup.contains("&nbsp;"), F.replace(markup, F.lit("&nbsp;"), F.lit("\u00a0"))
     ).otherwise(markup)
     if not strip:
-        return decode_entities(F.regexp_replace(spaced, TAG, ""))
+        return F.regexp_replace(spaced, TAG, "")
     pieces = F.transform(F.split(spaced, TAG), strip_blanks)
-    return bind(F.array_join(F.filter(pieces, lambda piece: piece != ""), separator), decode_entities)
-
+    return F.array_join(F.filter(pieces, lambda piece: piece != ""), separator)
 
-def _counts_of(tags: Column, name: str) -> Column:
-    return F.size(F.filter(tags, lambda tag: tag == name))
 
-
-def _plain_article(html: Column, rule: TextRule) -> Column:
-    """Text (or markup) of the page's only article, NULL unless built-ins read it exactly."""
+def _plain_article(df: DataFrame, html: str, rule: TextRule, into: str) -> DataFrame:
+    """Adds text (or markup) of each page's only article, NULL unless built-ins read it exactly."""
     names = "|".join(rule.drop)
+    kept = compute_once(df, kept_html=cut_elements(F.col(html), rule.drop))
+    one = F.regexp_count("kept_html", F.lit(r"(?i)</?article\b")) == 2
+    clear = ~F.col("kept_html").rlike(rf"(?i)</?(?:{names})\b") & ~F.col("kept_html").rlike(
+        r"""=\s*(?:"[^"<>]*>|'[^'<>]*>)"""
+    )
+    group = 0 if rule.as_html else 1
+    article = F.regexp_extract("kept_html", r"(?is)<article\b[^>]*>(.*?)</article\s*>", group)
+    found = compute_once(kept, body_html=F.when(one & clear, F.nullif(article, F.lit("")))).drop("kept_html")
+    # An end tag of an element opened outside would end the article early.
+    tags = F.regexp_extract_all(
+        F.lower("body_html"), F.lit(r"<(/?(?:p|div|section|main|body|html|table|template))\b"), F.lit(1)
+    )
+    found = compute_once(found, body_tags=tags)
 
-    def from_kept(kept: Column) -> Column:
-        one = F.regexp_count(kept, F.lit(r"(?i)</?article\b")) == 2
-        clear = ~kept.rlike(rf"(?i)</?(?:{names})\b") & ~kept.rlike(r"""=\s*(?:"[^"<>]*>|'[^'<>]*>)""")
-        group = 0 if rule.as_html else 1
-        body = F.regexp_extract(kept, r"(?is)<article\b[^>]*>(.*?)</article\s*>", group)
-        return F.when(one & clear, bind(body, from_body))
-
-    def from_body(body: Column) -> Column:
-        # An end tag of an element opened outside would end the article early.
-        found = F.regexp_extract_all(
-            body, F.lit(r"(?i)<(/?(?:p|div|section|main|body|html|table|template))\b"), F.lit(1)
-        )
-        tags = F.transform(found, F.lower)
-
-        def inside(tags: Column) -> Column:
-            even = [_counts_of(tags, f"/{t}") <= _counts_of(tags, t) for t in ("p", "div", "section")]
-            others = F.exists(tags, lambda t: ~t.isin("p", "/p", "div", "/div", "section", "/section"))
-            return even[0] & even[1] & even[2] & ~others
-
-        exact = bind(tags, inside)
-        if rule.as_html:
-            # Comments belong to the markup and would be lost here.
-            kept_whole = (body != "") & exact & ~body.contains("<!>")
-            return F.when(kept_whole, F.regexp_replace(body, rf"(?i)<!(?:{names})>", ""))
-        plain_entities = ~body.contains("&") | ~body.rlike(RARE_ENTITY)
-        return F.when((body != "") & exact & plain_entities, flat_text(body, rule.separator, rule.strip))
+    def count(name: str) -> Column:
+        return F.size(F.filter("body_tags", lambda tag: tag == name))
 
-    return bind(cut_elements(html, rule.drop), from_kept)
+    others = F.exists("body_tags", lambda t: ~t.isin("p", "/p", "div", "/div", "section", "/section"))
+    exact = (count("/p") <= count("p")) & (count("/div") <= count("div"))
+    exact = exact & (count("/section") <= count("section")) & ~others
+    body = F.col("body_html")
+    if rule.as_html:
+        # Comments belong to the markup and would be lost here.
+        text = F.when(exact & ~body.contains("<!>"), F.regexp_replace(body, rf"(?i)<!(?:{names})>", ""))
+    else:
+        plain = ~body.contains("&") | ~body.rlike(RARE_ENTITY)
+        text = F.when(exact & plain, flat_text(body, rule.separator, rule.strip))
+    read = compute_once(found, **{into: text}).drop("body_html", "body_tags")
+    return read if rule.as_html else read.withColumn(into, decode_entities(F.col(into)))
 
 
 def _reader(rule: TextRule):
@@ -159,10 +167,10 @@ def _reader(rule: TextRule):
 
 def extract_text(df: DataFrame, rule: TextRule, into: str = "content", html: str = "html") -> DataFrame:
     """Adds the main text of each page by a rule; NULL if there is none long enough."""
-    fast = _plain_article(F.col(html), rule)
+    plain = _plain_article(df, html, rule, "plain_text")
     if rule.enough:
-        fast = bind(fast, lambda text: F.when(F.char_length(text) > rule.enough, text))
-    plain = compute_once(df, plain_text=fast)
+        long = F.char_length("plain_text") > rule.enough
+        plain = plain.withColumn("plain_text", F.when(long, F.col("plain_text")))
     read = _reader(rule)(F.when(F.col("plain_text").isNull(), F.col(html)))
     text = compute_once(plain, **{into: F.coalesce("plain_text", read)}).drop("plain_text")
     return text.withColumn(into, F.when(F.char_length(into) > rule.min_chars, F.col(into)))
@@ -232,7 +240,7 @@ def extract_content(df: DataFrame, rule: TextRule = LEGISLATION_RULE, into: str
 def element_text(html: Column, tag: str) -> Column:
     """All text of the first such element, stripped; NULL if there is none."""
     found = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
-    text = strip_blanks(decode_entities(F.regexp_replace(found, TAG, "")))
+    text = strip_blanks(decode_text(F.regexp_replace(found, TAG, "")))
     return F.when(html.rlike(rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>"), text)
 
 

@@ -6,9 +6,11 @@ ends; an end tag closes back to its latest start tag or is ignored.
 
 from __future__ import annotations
 
+import html
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from html.entities import html5
 from html.parser import HTMLParser
 
 VOID_TAGS = frozenset(
@@ -31,6 +33,18 @@ class TextRule:
     strip: bool = True  # strip each piece of text and drop empty ones
 
 
+_ENTITY = re.compile(r"&(?:([a-zA-Z][-.a-zA-Z0-9]*)|(#[0-9]+|#[xX][0-9a-fA-F]+));?")
+
+
+def _entity(name: str) -> str:
+    """A named entity's text, with or without its semicolon; an unknown name stays as it is."""
+    return html5.get(f"{name};") or html5.get(name) or f"&{name}"
+
+
+def unescape(text: str) -> str:
+    return _ENTITY.sub(lambda m: _entity(m[1]) if m[1] else html.unescape(f"&{m[2]};"), text)
+
+
 def _selector_test(selector: str) -> Callable[[str, dict], bool]:
     if selector.startswith("."):
         return lambda tag, attrs: selector[1:] in (attrs.get("class") or "").split()
@@ -52,8 +66,8 @@ class _Taken:
 class PageReader(HTMLParser):
     """Collects, for each selector, the first matching element (or all of them)."""
 
-    def __init__(self, html: str, selectors, drop=(), every=()):
-        super().__init__(convert_charrefs=True)
+    def __init__(self, page: str, selectors, drop=(), every=()):
+        super().__init__(convert_charrefs=False)
         self.tests = {s: _selector_test(s) for s in selectors}
         self.every = frozenset(every)
         self.drop = frozenset(drop)
@@ -65,10 +79,10 @@ class PageReader(HTMLParser):
         self.drop_start = 0
         self.buffer: list[str] = []
         self.lines = [0]
-        for line in html.split("\n")[:-1]:
+        for line in page.split("\n")[:-1]:
             self.lines.append(self.lines[-1] + len(line) + 1)
-        self.html, self.size = html, len(html)
-        self.feed(html)
+        self.page, self.size = page, len(page)
+        self.feed(page)
         self.close()
         self._flush()
         while self.stack:
@@ -132,12 +146,18 @@ class PageReader(HTMLParser):
             start = self._at()
             while self.stack[-1][0] != tag:
                 self._pop(start)
-            close = self.html.find(">", start)
+            close = self.page.find(">", start)
             self._pop(self.size if close < 0 else close + 1)
 
     def handle_data(self, data):
         self.buffer.append(data)
 
+    def handle_entityref(self, name):
+        self.buffer.append(_entity(name))
+
+    def handle_charref(self, name):
+        self.buffer.append(unescape(f"&#{name};"))
+
     def handle_comment(self, data):
         self._flush()
 
@@ -155,24 +175,24 @@ def _joined(taken: _Taken, separator: str, strip: bool = True) -> str:
     return separator.join(piece for piece in pieces if piece)
 
 
-def _markup(html: str, taken: _Taken, dropped) -> str:
+def _markup(page: str, taken: _Taken, dropped) -> str:
     out, at = [], taken.start
     for start, end in dropped:
         if start >= taken.start and end <= taken.end:
-            out.append(html[at:start])
+            out.append(page[at:start])
             at = end
-    out.append(html[at : taken.end])
+    out.append(page[at : taken.end])
     return "".join(out)
 
 
-def main_text(html: str, rule) -> str | None:
+def main_text(page: str, rule) -> str | None:
     """The page's main text by an extraction rule."""
     extra = ("p",) if rule.fallback == "p" else ("body",)
-    reader = PageReader(html, rule.selectors + extra, drop=rule.drop, every=("p",) if rule.fallback == "p" else ())
+    reader = PageReader(page, rule.selectors + extra, drop=rule.drop, every=("p",) if rule.fallback == "p" else ())
     text = None
     for selector in rule.selectors:
         for taken in reader.found[selector]:
-            text = _markup(html, taken, reader.dropped) if rule.as_html else _joined(taken, rule.separator, rule.strip)
+            text = _markup(page, taken, reader.dropped) if rule.as_html else _joined(taken, rule.separator, rule.strip)
         if reader.found[selector] and (rule.enough == 0 or len(text) > rule.enough):
             return text
     if rule.fallback == "p":
@@ -182,15 +202,15 @@ def main_text(html: str, rule) -> str | None:
     elif text is None:
         body = reader.found["body"]
         if body:
-            text = _markup(html, body[0], reader.dropped) if rule.as_html else _joined(body[0], rule.separator, rule.strip)
+            text = _markup(page, body[0], reader.dropped) if rule.as_html else _joined(body[0], rule.separator, rule.strip)
         elif not rule.as_html:
-            whole = PageReader(f"<body>{html}", ("body",), drop=rule.drop)
+            whole = PageReader(f"<body>{page}", ("body",), drop=rule.drop)
             text = _joined(whole.found["body"][0], rule.separator, rule.strip)
     return text
 
 
-def senate_text(html: str) -> str | None:
-    reader = PageReader(html, ("#textoMateria", "#materia", "h1"), drop=("script", "style"), every=("h1",))
+def senate_text(page: str) -> str | None:
+    reader = PageReader(page, ("#textoMateria", "#materia", "h1"), drop=("script", "style"), every=("h1",))
     if not reader.found["#textoMateria"]:
         return None
     title = ""
@@ -230,9 +250,9 @@ class _LinkReader(HTMLParser):
                 pass
 
 
-def links_within(html: str, classes) -> list[str]:
+def links_within(page: str, classes) -> list[str]:
     """hrefs of links inside headings or inside elements of these classes."""
     reader = _LinkReader(classes)
-    reader.feed(html)
+    reader.feed(page)
     reader.close()
     return reader.hrefs

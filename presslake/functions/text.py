@@ -93,6 +93,15 @@ def dollars(column: Column) -> Column:
     return F.concat(F.lit("$"), F.format_number(column, 0))
 
 
+def title_case(column: Column) -> Column:
+    """Every run of letters capitalised, also behind a hyphen or an apostrophe."""
+    runs = F.split(column, r"(?<=[^\p{L}])(?=\p{L})")
+    capital = F.transform(
+        runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.lower(F.substr(run, F.lit(2))))
+    )
+    return F.array_join(capital, "")
+
+
 def first_keywords(keywords: Column, n: int = 3) -> Column:
     return F.array_join(F.slice(keywords, 1, n), " ")
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from presslake.functions.text import title_case
+
 UNKNOWN = "Unknown"
 
 
@@ -76,7 +78,7 @@ def facets(df: DataFrame) -> DataFrame:
         df.select(pairs.alias("pair"))
         .select("pair.*")
         .distinct()
-        .withColumn("label", F.when(F.col("facet") == "keyword", F.initcap("value")).otherwise(F.col("value")))
+        .withColumn("label", F.when(F.col("facet") == "keyword", title_case(F.col("value"))).otherwise(F.col("value")))
         .orderBy("facet", "value")
     )
 

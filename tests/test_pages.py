@@ -18,7 +18,7 @@ def one(spark, html, make, url="https://site.example/a/b?x=1#f"):
 @pytest.mark.parametrize("rule", [H.NEWS_RULE, H.LEGISLATION_RULE, H.HISTORICAL_RULE, H.SITE_CHECK_RULE, H.SITE_TEXT_RULE])
 def test_built_ins_agree_with_reader_on_all_pages(spark, sf, rule):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
-    rows = pages.select("html", H._plain_article(F.col("html"), rule).alias("fast")).collect()
+    rows = H._plain_article(pages, "html", rule, "fast").collect()
     assert sum(r.fast is not None for r in rows) == len(rows)
     assert all(r.fast == R.main_text(r.html, rule) for r in rows)
 
@@ -28,6 +28,7 @@ PAGES = {
     "nested": f"<article>a<article>{LONG}</article>b</article>",
     "unbalanced": f"<div><article>{LONG}</div>after</article>",
     "rare entity": f"<article>{LONG}&eacute;</article>",
+    "bare entity": f"<article>{LONG}a&amp<b>c &ampx &am d&copyright; &#233;</b></article>",
     "attribute": f'<article><a title="x > y">{LONG}</a></article>',
     "comment": f"<article>a<!-- <article> -->{LONG}</article>",
     "nav inside": f"<article><nav>menu</nav>{LONG}</article>",
@@ -61,6 +62,7 @@ def test_news_rule(spark):
     assert text["unbalanced"] == flat
     assert text["rare entity"] == LONG + "é"
     assert text["nav inside"] == flat
+    assert text["bare entity"] == LONG + "a&c &ampx &am d&copyright é"
     assert text["open nav"] is None
     assert text["by class"] == flat + "in"
     assert text["short article, long main"] == flat
@@ -100,6 +102,7 @@ def test_title_and_date(spark):
         ("<title> A &amp; <b>B</b> </title><h1>h</h1>", "A & B", "Unknown"),
         ("<h1>h <i>1</i></h1><time>May 1</time>", "h 1", "May 1"),
         ("<p>none</p><span class='x'></span>", "No Title", "Unknown"),
+        ("<title>it&#8217;s caf&eacute; A&ampB R&amp</title>", "it’s café A&ampB R&", "Unknown"),
         ('<title></title><div class="post-date late">5 May</div>', "", "5 May"),
         ('<b class="publish-date">p</b><time datetime="2025-01-02">t</time>', "No Title", "2025-01-02"),
         ("<time datetime=''>shown</time>", "No Title", "shown"),

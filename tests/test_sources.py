@@ -118,7 +118,9 @@ def test_display(spark):
         X.govinfo_links(F.lit("https://www.govinfo.gov/app/details/BILLS-119hr1ih/summary")).alias("bill"),
         X.govinfo_links(F.lit("https://www.govinfo.gov/app/details/")).alias("none"),
         X.content_path(F.lit("market"), F.lit("i")).alias("path"),
+        X.title_case(F.lit("Standard & Poor's feed-in ESG x")).alias("label"),
     ).first()
     assert row.long == "x" * 300 + "..." and row.fits == "y" * 300 and row.joined == "a  c"
     assert row.bill.xml_url == "https://www.govinfo.gov/content/pkg/BILLS-119hr1ih/xml/BILLS-119hr1ih.xml"
+    assert row.label == "Standard & Poor'S Feed-In Esg X"
     assert row.none.bill_id is None and row.path == "content/i.html"
