@@ -365,8 +365,9 @@ def _site_health(spark, sf_dir):
     linked = pages(spark, sf_dir).select(
         F.concat(F.lit("src"), (F.col("page_id") % 20).cast("string")).alias("source"), F.col("url").alias("link"), "html"
     )
-    # Only the links a site is graded by are read.
-    head = dedup.cap_links(linked, health.LINK_HEAD, site="source", url="link")
+    # Only the links a site is graded by are read, and only they meet their pages.
+    chosen = dedup.cap_links(linked.select("source", "link"), health.LINK_HEAD, site="source", url="link")
+    head = joins.attach_content(chosen, linked.select("link", "html"), "link")
     read = H.extract_site_text(H.extract_text(head, H.SITE_CHECK_RULE, into="main_text"), into="text")
     links = read.select(
         "source", "link", F.lit(True).alias("ok"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+SALTS = 32
 CARD_DATE = r"Daily News Collection - (\d{4}-\d{2}-\d{2})"
 
 
@@ -40,11 +41,19 @@ def dedupe_cards(cards: DataFrame) -> DataFrame:
     return first.orderBy(F.col("date").desc())
 
 
-def head_per_source(df: DataFrame, n: int, source: str, order: Sequence[Column | str]) -> DataFrame:
-    """The first `n` rows of each source. Spark cuts every task's rows to `n` per source before
-    the shuffle, so a hot source sends no more than `n` rows from each task."""
+def head_per_source(df: DataFrame, n: int, source: str, order: Sequence[str]) -> DataFrame:
+    """The first `n` rows of each source, with their place in `head_rank`.
+
+    Spark cuts each task's rows to `n` per group before a shuffle. A hot source
+    would still send `n` rows from every task to one place, so a first round
+    cuts by source and a hash of the row, which leaves at most `n` rows per hash
+    for the second."""
+    salt = F.pmod(F.xxhash64(*order), F.lit(SALTS))
+    salted = df.withColumn("head_salt", salt)
+    first = F.row_number().over(W.partitionBy(source, "head_salt").orderBy(*order))
+    few = salted.withColumn("head_rank", first).where(F.col("head_rank") <= n).drop("head_rank", "head_salt")
     rank = F.row_number().over(W.partitionBy(source).orderBy(*order))
-    return df.withColumn("head_rank", rank).where(F.col("head_rank") <= n)
+    return few.withColumn("head_rank", rank).where(F.col("head_rank") <= n)
 
 
 def cap_links(links: DataFrame, n: int, site: str = "base_url", url: str = "url") -> DataFrame:

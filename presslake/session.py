@@ -21,6 +21,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .appName("presslake")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # As many shuffle partitions as cores: merging small ones would put the
+        # reading of few but long texts into one task.
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")

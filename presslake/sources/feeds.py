@@ -39,8 +39,7 @@ def explode_feed(documents: DataFrame, xml_col: str = "xml") -> DataFrame:
     empty = F.array().cast(f"array<{_ITEM}>")
     items = F.concat(F.coalesce(nested, empty), F.coalesce(F.col("feed.item"), empty))
     return (
-        compute_once(documents, feed=parsed)
-        .select(*keep, items.alias("items"), F.col("feed.entry").alias("entries"))
+        compute_once(compute_once(documents, feed=parsed), items=items, entries=F.col("feed.entry"))
         .select(
             *keep,
             F.posexplode_outer(F.when(F.size("items") > 0, F.col("items")).otherwise(F.col("entries")))
@@ -65,10 +64,10 @@ def normalize_items(items: DataFrame) -> DataFrame:
     def first_of(names: list[str], default: str) -> Column:
         return F.coalesce(*[_first_text(item[n]) for n in names], F.lit(default))
 
-    return items.select(
-        *keep,
-        first_of(["title"], "No Title").alias("title"),
-        F.when(item["link"].isNotNull(), F.coalesce(href, link["_VALUE"], F.lit(""))).alias("link"),
-        first_of(["pubDate", "published", "updated"], "").alias("pub_date"),
-        first_of(["description", "summary", "content"], "").alias("description"),
-    )
+    columns = {
+        "title": first_of(["title"], "No Title"),
+        "link": F.when(item["link"].isNotNull(), F.coalesce(href, link["_VALUE"], F.lit(""))),
+        "pub_date": first_of(["pubDate", "published", "updated"], ""),
+        "description": first_of(["description", "summary", "content"], ""),
+    }
+    return compute_once(items, **columns).select(*keep, *columns)

@@ -59,8 +59,9 @@ def _write(table: DataFrame, path: str, replace: bool = False) -> None:
     writer.parquet(path)
 
 
-def save_articles(batch: DataFrame, base: str, dates: list, fresh: bool = False) -> None:
-    """Store a batch of articles (ARTICLES columns plus `content`) of the given dates.
+def save_articles(batch: DataFrame, base: str, dates: list | None = None, fresh: bool = False) -> None:
+    """Store a batch of articles (ARTICLES columns plus `content`) of the given dates (if not
+    given, those that occur in it).
 
     Normally what is already stored stays and only new articles are added; in
     `fresh` mode the batch replaces stored articles of the same URL. `batch` must
@@ -73,6 +74,9 @@ def save_articles(batch: DataFrame, base: str, dates: list, fresh: bool = False)
     batch = batch.select(*dict.fromkeys(meta_columns + content_columns))
     batch.write.parquet(staged)
     batch = spark.read.schema(batch.schema).parquet(staged)
+    if dates is None:
+        # One row per collection date of the batch.
+        dates = [row[0] for row in batch.select("collection_date").distinct().collect()]
     old_articles, old_contents = (
         _in_dates(articles(spark, base), dates), _in_dates(contents(spark, base), dates),
     )

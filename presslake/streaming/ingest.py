@@ -89,11 +89,7 @@ def sink_batches(df: DataFrame, base: str, order: str, fresh: bool = False) -> D
     columns = [*ARTICLES.fieldNames(), "content", order]
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        once = store.first_per_id(batch.select(*columns), order)
-        # One row per collection date of the batch.
-        dates = [r[0] for r in batch.select("collection_date").distinct().collect()]
-        if dates:
-            store.save_articles(once, base, dates, fresh=fresh)
+        store.save_articles(store.first_per_id(batch.select(*columns), order), base, fresh=fresh)
 
     return df.writeStream.outputMode("append").foreachBatch(save)
 
