@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from presslake.catalog.check import compare, connect
+from presslake.catalog.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,7 +12,7 @@ def con(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf, con, name):
     result = compare(spark, sf, name, con)
     assert result["checked"], name
