@@ -16,8 +16,8 @@ hashes of (shingle, range), hence equal in all texts and on all machines.
 Texts that share a band of registers are candidates; a link needs an exact overlap of
 multisets at the threshold. In a bucket every member is compared with the bucket's
 leader first. Only buckets whose members are then still in several components
-compare members of different components, less those that the triangle inequality
-of the Jaccard distance rules out. So a bucket of copies costs one comparison a member.
+compare members of different components, less those that exact bounds rule out. So a
+bucket of copies costs one comparison a member.
 """
 
 from __future__ import annotations
@@ -220,11 +220,14 @@ def near_links(
     """
     sketch = staged(sketches(texts, bands, rows, size).dropDuplicates(["key"]), "sketches")
     members = sketch.select("key", "n", F.posexplode("bands").alias("band", "bucket"))
-    crowded = (
+    # Aggregates are staged before they meet their own rows again: a join of two plain
+    # tables is one whose large partitions Spark can split.
+    crowded = staged(
         members.groupBy("band", "bucket")
         .agg(F.min(F.struct("key", "n")).alias("lead"), F.max("key").alias("last"))
         .filter(F.col("lead.key") < F.col("last"))
-        .select("band", "bucket", "lead")
+        .select("band", "bucket", "lead"),
+        "buckets",
     )
     crowd = staged(
         members.join(crowded, ["band", "bucket"]).select("band", "bucket", "key", "n", "lead"), "crowded-buckets"
@@ -240,46 +243,114 @@ def near_links(
     lists = staged(shingle_lists(texts.join(wanted, "key", "left_semi").dropDuplicates(["key"]), size), "shingle-lists")
     led = staged(_verified(to_lead, lists), "led")
     links = led.filter(F.col("sim") >= threshold)
-    roots = components(links)
 
-    # Buckets that still hold several components: their members with root and similarity to the leader.
-    placed = crowd.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        "band", "bucket", "key", "n", F.col("lead.key").alias("lead"), F.coalesce("root", "key").alias("root")
+    # A second leader for buckets still in several components: the member with the fewest shingles
+    # of its own, as a rule the text the others are copies of.
+    members = _hopeful(_still_open(crowd, components(links)), lists, threshold)
+    centre = staged(
+        members.groupBy("band", "bucket").agg(F.min(F.struct((F.col("n") - F.col("shared")).alias("own"), "key")).alias("c"))
+        .select("band", "bucket", F.col("c.key").alias("centre")),
+        "centres",
     )
-    open_buckets = (
-        placed.groupBy("band", "bucket")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
-        .filter("low < high and size > 2")
-        .select("band", "bucket")
-    )
-    sims = led.select(F.col("a").alias("lead"), F.col("b").alias("key"), "sim")
-    contested = staged(
-        placed.join(open_buckets, ["band", "bucket"])
-        .join(sims, ["lead", "key"], "left")
-        .select("band", "bucket", "key", "n", "root", "lead", F.when(F.col("key") == F.col("lead"), 1.0).otherwise(F.col("sim")).alias("sim")),
-        "contested",
-    )
-    other = contested.select("band", "bucket", *[F.col(c).alias(f"o_{c}") for c in ("key", "n", "root", "sim")])
-    # Members compared with the leader differ from each other by at least the difference of their distances.
-    apart = F.coalesce(F.abs(F.col("sim") - F.col("o_sim")) > 1 - threshold + 1e-9, F.lit(False))
-    cross = (
-        contested.join(other, ["band", "bucket"])
-        .filter(
-            (F.col("key") < F.col("o_key"))
-            & (F.col("root") != F.col("o_root"))
-            & (F.col("key") != F.col("lead"))
-            & (F.least("n", "o_n") >= threshold * F.greatest("n", "o_n"))
-            & ~apart
-        )
-        .select(F.col("key").alias("a"), F.col("o_key").alias("b"))
+    members = staged(members.join(centre, ["band", "bucket"]), "centred")
+    to_centre = (
+        members.filter(F.col("key") != F.col("centre"))
+        .select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b"))
         .distinct()
         .join(to_lead, ["a", "b"], "left_anti")
     )
+    led = staged(led.unionByName(_verified(to_centre, lists)), "centre-led")
+    links = led.filter(F.col("sim") >= threshold)
+
+    # What is still in several components is compared across them.
+    rest = _still_open(members.drop("root", "low"), components(links))
+    cross = _cross_pairs(rest, led, threshold)
     crossed = staged(_verified(staged(cross, "cross-pairs"), lists).filter(F.col("sim") >= threshold), "crossed")
     all_links = links.unionByName(crossed)
     return all_links, components(all_links)
 
 
+def _still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (band, bucket, key, n) of buckets with several components: with root, and the bucket's lowest root,
+    smallest text and size."""
+    placed = members.drop("least_n", "size").join(roots.withColumnRenamed("node", "key"), "key", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "key"))
+    buckets = staged(
+        placed.groupBy("band", "bucket")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least_n"), F.count(F.lit(1)).alias("size"))
+        .filter("low < high")
+        .drop("high"),
+        "open-buckets",
+    )
+    return staged(placed.join(buckets, ["band", "bucket"]), "open")
+
+
+def _own_shingles(lists: DataFrame) -> DataFrame:
+    """For each key of `lists` that has any: how many of its shingles no other key of `lists` has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, parts, counts = batch.column("key"), [], []
+            for value in batch.column("shingles"):
+                part, count = np.unique(np.frombuffer(value.as_buffer(), "u8"), return_counts=True)
+                parts.append(part)
+                counts.append(count)
+            at = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+            if len(at):
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(at)), pa.array(np.concatenate(parts).view("i8")), pa.array(np.concatenate(counts))],
+                    names=["key", "shingle", "n"],
+                )
+
+    shingles = lists.mapInArrow(run, "key binary, shingle long, n long")
+    held = shingles.groupBy("shingle").agg(F.min("key").alias("key"), F.max("key").alias("other"), F.first("n").alias("n"))
+    return held.filter(F.col("key") == F.col("other")).groupBy("key").agg(F.sum("n").alias("own"))
+
+
+def _most_alike(shared, sizes):
+    """The similarity two texts of `sizes` shingles together have at most, with `shared` in common at most."""
+    return shared / (sizes - shared) + 1e-9
+
+
+def _hopeful(members: DataFrame, lists: DataFrame, threshold: float, crowd: int = 16) -> DataFrame:
+    """Members with `shared`, the shingles they may have in common with others, less those that can have no link.
+
+    Shingles that no other text of a crowded bucket has cannot be common to two texts there.
+    In buckets up to `crowd` members all shingles count as shared, which rules out less.
+    """
+    crowded = members.filter(F.col("size") > crowd).select("key").distinct()
+    own = staged(_own_shingles(lists.join(crowded, "key", "left_semi")), "own-shingles")
+    counted = members.join(own, "key", "left").withColumn(
+        "shared", F.when(F.col("size") > crowd, F.col("n") - F.coalesce("own", F.lit(0))).otherwise(F.col("n"))
+    )
+    # The best partner is the smallest text that can hold all of `shared`; none in the bucket is smaller than least_n.
+    best = _most_alike(F.col("shared"), F.col("n") + F.greatest("least_n", "shared"))
+    return staged(counted.drop("own").filter(best >= threshold), "hopeful")
+
+
+def _cross_pairs(members: DataFrame, led: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of members of different components of a bucket that may reach the threshold and are not verified yet.
+
+    Ruled out, without losing a link: pairs whose distances to the centre differ too
+    much (the Jaccard distance is a metric), whose sizes differ too much, or who share too
+    little. A bucket's component with the lowest root is compared with the others, not with itself.
+    """
+    to_centre = members.withColumn("a", F.least("key", "centre")).withColumn("b", F.greatest("key", "centre"))
+    known = to_centre.join(led, ["a", "b"], "left").drop("a", "b", "centre", "size", "least_n")
+    known = staged(known, "cross-members")
+    other = known.select("band", "bucket", *[F.col(c).alias(f"o_{c}") for c in ("key", "n", "root", "sim", "shared")])
+    apart = F.coalesce(F.abs(F.col("sim") - F.col("o_sim")) > 1 - threshold + 1e-9, F.lit(False))
+    pairs = known.filter("root <> low").join(other, ["band", "bucket"]).filter(
+        (F.col("root") != F.col("o_root"))
+        & ((F.col("o_root") == F.col("low")) | (F.col("key") < F.col("o_key")))
+        & (F.least("n", "o_n") >= threshold * F.greatest("n", "o_n"))
+        & (_most_alike(F.least("shared", "o_shared"), F.col("n") + F.col("o_n")) >= threshold)
+        & ~apart
+    )
+    pairs = pairs.select(F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b")).distinct()
+    return pairs.join(led.select("a", "b"), ["a", "b"], "left_anti")
+
+
 def near_classes(
     df: DataFrame,
     text_col: str = "text",
@@ -291,7 +362,7 @@ def near_classes(
 ) -> DataFrame:
     """Every row of `df` with its class of near duplicates, in three added columns.
 
-    Added: class_id (smallest id in the class), class_size (rows in the class), stays.
+    Added: class_id (smallest id in the class), class_size (rows in the class), kept.
     When `df` already has such a column, an underscore is put before the added one.
 
     A class is a connected component of texts whose multisets of `size`-word shingles
@@ -302,7 +373,7 @@ def near_classes(
     class_id. Of repeated rows with the smallest id one stays. Copies follow
     their text. An empty table gives an empty table.
     """
-    class_id, class_size, stays = fresh(df, "class_id", "class_size", "stays")
+    class_id, class_size, stays = fresh(df, "class_id", "class_size", "kept")
     key, root, pick = fresh(df, "text_key", "text_root", "pick")
     keyed = df.withColumn(key, text_key(whole_text(text_col)))
     texts = df.select(text_key(whole_text(text_col)).alias("key"), whole_text(text_col).alias("body"))
@@ -313,9 +384,12 @@ def near_classes(
         keyed.groupBy(key).agg(F.min(F.col(f"`{id_col}`")).alias("low"), F.count(F.lit(1)).alias("n")), "per-text"
     )
     placed = per_text.join(roots, key, "left").withColumn(root, F.coalesce(root, key))
-    per_class = placed.groupBy(root).agg(
-        F.sum("n").alias("total"),
-        F.min(F.struct(F.col("low").isNull().alias("none"), "low", F.col(key).alias("text"))).alias("first"),
+    per_class = staged(
+        placed.groupBy(root).agg(
+            F.sum("n").alias("total"),
+            F.min(F.struct(F.col("low").isNull().alias("none"), "low", F.col(key).alias("text"))).alias("first"),
+        ),
+        "per-class",
     )
     decided = staged(
         placed.join(per_class, root).select(

@@ -21,7 +21,7 @@ def components(links: DataFrame) -> DataFrame:
         "roots",
     )
     while True:
-        near = both.join(roots, both.b == roots.node).groupBy("a").agg(F.min("root").alias("near"))
+        near = staged(both.join(roots, both.b == roots.node).groupBy("a").agg(F.min("root").alias("near")), "near")
         lower = roots.join(near, roots.node == near.a, "left").select(
             "node", "root", F.least("root", "near").alias("low")
         )

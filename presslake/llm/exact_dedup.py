@@ -106,9 +106,13 @@ def exact_classes(
         .select("row_rid", "row_id", "n_blocks", "name"),
         "named-rows",
     )
-    # max_by keeps one row per class in each task before the shuffle; nulls sort first.
-    groups = ids.groupBy("n_blocks", "name").agg(
-        F.max(F.struct("row_id", F.negative("row_rid").alias("tie"))).alias("top"), F.count(F.lit(1)).alias("size")
+    # One row per class and task reaches the shuffle; nulls sort first. Staged on its own, the
+    # join below is between two plain tables, whose large partitions Spark can split.
+    groups = staged(
+        ids.groupBy("n_blocks", "name").agg(
+            F.max(F.struct("row_id", F.negative("row_rid").alias("tie"))).alias("top"), F.count(F.lit(1)).alias("size")
+        ),
+        "text-groups",
     )
     decided = ids.join(groups, ["n_blocks", "name"]).select(
         "row_rid",

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import bagminhash, bpe, exact_dedup
+from presslake.llm import bagminhash, bpe, decontam, exact_dedup, toxicity
 from presslake.llm.common import read_table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,4 +56,29 @@ def exact_dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near duplicates."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return bagminhash.near_classes(docs).select("doc_id", "class_id", "class_size", "stays")
+    return bagminhash.near_classes(docs).select("doc_id", "class_id", "class_size", "kept")
+
+
+#: Order of the chain; the second category rejects.
+TOXICITY_CHAIN = ("low_quality", "toxic")
+
+
+def toxicity_chain(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Chain:
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+    labels = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    return toxicity.fit_chain(docs, labels, TOXICITY_CHAIN)
+
+
+@query("op4_toxicity")
+def toxicity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the chain's probabilities and whether it is kept."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    judged = toxicity.judge(docs, toxicity_chain(spark, sf_dir, docs), lambda c: c == "toxic")
+    return judged.select("doc_id", "p_low_quality", "p_toxic", "low_quality", "toxic", "kept")
+
+
+@query("op2_decontamination")
+def leak_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return decontam.find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
