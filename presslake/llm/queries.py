@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import bagminhash, bpe, decontam, exact_dedup, toxicity
+from presslake.llm import bagminhash, bpe, decontam, exact_dedup, licenses, toxicity, urls
 from presslake.llm.common import read_table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,52 @@ def leak_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return decontam.find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+# Host and path rules of the URL query.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def _url_sql() -> str:
+    def fits(host: str, path: str) -> str:
+        return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+
+    order = sorted(URL_RULES, key=lambda r: (-len(r[1] + r[2]), -len(r[2])))
+    rule = " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in order)
+    verdict = " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for v, h, p in order)
+    has = lambda t: f"regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)')"
+    strict = " OR ".join(has(t) for t in urls.STRICT_TERMS)
+    hits = " + ".join(f"{has(t)}::int" for t in urls.SOFT_TERMS)
+    weight = " + ".join(f"{has(t)}::int * {w}" for t, w in urls.SOFT_TERMS.items())
+    up, low = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+    WITH parts AS (
+        SELECT page_id, translate(coalesce(url, ''), '{up}', '{low}') AS low,
+               translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), '{up}', '{low}') AS host,
+               coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+        FROM pages)
+    SELECT page_id, host, path, CASE {rule} END AS rule,
+           CASE {verdict} WHEN {strict} OR (({hits}) >= {urls.SOFT_HITS} AND ({weight}) >= {urls.SOFT_WEIGHT})
+                THEN 'block' ELSE 'allow' END AS verdict
+    FROM parts
+    """
+
+
+@query("op3_url_filter", _url_sql())
+def url_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict."""
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url"])
+    return urls.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_license_scan")
+def license_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license phrases and the labels of the templates it meets."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return licenses.scan_licenses(docs).drop("text")

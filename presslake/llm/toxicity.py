@@ -33,11 +33,14 @@ PRECISION = 0.995
 
 def token_ids(text: Column) -> Column:
     """Ids of a text's distinct words, of the first three to five letters of longer words, and of its shape."""
-    words = F.array_distinct(words_of(text))
-    long_words = F.filter(words, lambda w: F.length(w) > 5)
-    starts = F.array_distinct(
-        F.concat(*[F.transform(long_words, lambda w, k=k: F.concat(F.substring(w, 1, k), F.lit("*"))) for k in (3, 4, 5)])
+    # One expression over the words: Spark would work out a repeated one again.
+    with_starts = F.transform(
+        F.array_distinct(words_of(text)),
+        lambda w: F.when(
+            F.length(w) > 5, F.array(w, *[F.concat(F.substring(w, 1, k), F.lit("*")) for k in (3, 4, 5)])
+        ).otherwise(F.array(w)),
     )
+    tokens = F.array_distinct(F.flatten(with_starts))
     size = F.greatest(F.length(text), F.lit(1))
     share = lambda kept: F.floor(F.lit(20) * F.length(F.regexp_replace(text, kept, "")) / size).cast("string")
     shape = F.array(
@@ -45,7 +48,7 @@ def token_ids(text: Column) -> Column:
         F.concat(F.lit("=marks "), share(r"[\p{L}\p{N}\s]+")),
         F.concat(F.lit("=size "), F.floor(F.log2(size)).cast("string")),
     )
-    return F.transform(F.concat(words, starts, shape), lambda t: F.pmod(F.xxhash64(t), F.lit(1 << TOKEN_BITS)).cast("int"))
+    return F.transform(F.concat(tokens, shape), lambda t: F.pmod(F.xxhash64(t), F.lit(1 << TOKEN_BITS)).cast("int"))
 
 
 @dataclass
