@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import bagminhash, bpe, decontam, exact_dedup, licenses, toxicity, urls
+from presslake.llm import bagminhash, bpe, decontam, exact_dedup, licenses, secrets, toxicity, urls
 from presslake.llm.common import read_table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +131,20 @@ def license_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's license phrases and the labels of the templates it meets."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return licenses.scan_licenses(docs).drop("text")
+
+
+@query("op5_secret_scan")
+def secret_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: counts, a digest of the base spans, and all spans."""
+    found = secrets.scan_secrets(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s.kind == kind)).cast("long")
+    shown = lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))
+    base = F.filter("secrets", lambda s: s.kind != "guess")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(F.array_join(F.transform(base, shown), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("secrets", shown), ",").alias("spans"),
+    )
