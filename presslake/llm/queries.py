@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import bagminhash, bpe, decontam, exact_dedup, licenses, secrets, toxicity, urls
+from presslake.llm import bagminhash, bpe, decontam, exact_dedup, extract, licenses, secrets, toxicity, urls
 from presslake.llm.common import read_table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +148,12 @@ def secret_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform(base, shown), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("secrets", shown), ",").alias("spans"),
     )
+
+
+@query("op9_main_text")
+def main_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    return extract.extract_pages(pages, extract.fit_weights(pages)).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
