@@ -246,7 +246,8 @@ def near_links(
 
     # A second leader for buckets still in several components: the member with the fewest shingles
     # of its own, as a rule the text the others are copies of.
-    members = _hopeful(_still_open(crowd, components(links)), lists, threshold)
+    roots = components(links)
+    members = _hopeful(_still_open(crowd, roots), lists, threshold)
     centre = staged(
         members.groupBy("band", "bucket").agg(F.min(F.struct((F.col("n") - F.col("shared")).alias("own"), "key")).alias("c"))
         .select("band", "bucket", F.col("c.key").alias("centre")),
@@ -259,15 +260,16 @@ def near_links(
         .distinct()
         .join(to_lead, ["a", "b"], "left_anti")
     )
-    led = staged(led.unionByName(_verified(to_centre, lists)), "centre-led")
-    links = led.filter(F.col("sim") >= threshold)
+    centred = staged(_verified(to_centre, lists), "centre-led")
+    led = led.unionByName(centred)
+    roots = components(centred.filter(F.col("sim") >= threshold), roots)
 
     # What is still in several components is compared across them.
-    rest = _still_open(members.drop("root", "low"), components(links))
+    rest = _still_open(members.drop("root", "low"), roots)
     cross = _cross_pairs(rest, led, threshold)
     crossed = staged(_verified(staged(cross, "cross-pairs"), lists).filter(F.col("sim") >= threshold), "crossed")
-    all_links = links.unionByName(crossed)
-    return all_links, components(all_links)
+    all_links = led.filter(F.col("sim") >= threshold).unionByName(crossed)
+    return all_links, components(crossed, roots)
 
 
 def _still_open(members: DataFrame, roots: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Connected components of a table of links, by rounds of joins."""
+"""Connected components of a table of links, by contraction."""
 
 from __future__ import annotations
 
@@ -8,28 +8,47 @@ from pyspark.sql import functions as F
 from presslake.llm.common import staged
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """For links (a, b): every node once, with `root`, the smallest node of its component.
 
-    Each round every node takes the smallest root among itself and its neighbours,
-    then the root of that root, so long chains shrink by doubling. All rounds work
-    on tables; only whether anything changed comes back.
+    `known` may hold the roots of earlier links, which are then not needed again. Each
+    round hangs every node below its smallest neighbour and contracts the links to what
+    is left between the trees, so they shrink from round to round; at least the
+    largest node of each component goes. All rounds work on tables, only whether links
+    are left comes back.
     """
-    both = staged(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct(), "links")
-    roots = staged(
-        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("root")),
-        "roots",
-    )
-    while True:
-        near = staged(both.join(roots, both.b == roots.node).groupBy("a").agg(F.min("root").alias("near")), "near")
-        lower = roots.join(near, roots.node == near.a, "left").select(
-            "node", "root", F.least("root", "near").alias("low")
+    edges = links.select("a", "b").filter("a <> b")
+    roots = known
+    if known is not None:
+        edges = _renamed(edges, known)
+    edges = staged(edges.distinct(), "links")
+    while edges.limit(1).count():
+        ends = edges.select(F.col("a").alias("node"), F.least("a", "b").alias("up")).union(
+            edges.select(F.col("b").alias("node"), F.least("a", "b").alias("up"))
         )
-        of_low = roots.select(F.col("node").alias("low"), F.col("root").alias("jump"))
-        step = staged(
-            lower.join(of_low, "low", "left").select("node", "root", F.least("low", "jump").alias("next")), "roots"
-        )
-        changed = step.filter("next < root").limit(1).count()
-        roots = step.select("node", F.col("next").alias("root"))
-        if not changed:
-            return roots
+        parents = staged(ends.groupBy("node").agg(F.min("up").alias("root")), "parents")
+        for _ in range(2):  # of a parent its parent
+            above = parents.select(F.col("node").alias("root"), F.col("root").alias("top"))
+            parents = staged(parents.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "parents")
+        edges = staged(_renamed(edges, parents).distinct(), "links")
+        roots = parents if roots is None else staged(_composed(roots, parents), "roots")
+    if roots is None:
+        return links.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
+    return roots
+
+
+def _renamed(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """The links between the roots of their ends, each in one direction, without loops."""
+    left = roots.select(F.col("node").alias("a"), F.col("root").alias("a_root"))
+    right = roots.select(F.col("node").alias("b"), F.col("root").alias("b_root"))
+    named = edges.join(left, "a", "left").join(right, "b", "left")
+    named = named.select(F.coalesce("a_root", "a").alias("x"), F.coalesce("b_root", "b").alias("y")).filter("x <> y")
+    return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def _composed(roots: DataFrame, parents: DataFrame) -> DataFrame:
+    """Roots after `parents` were hung together; nodes that are new come along."""
+    above = parents.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    new = parents.join(roots.select("node"), "node", "left_anti").select("node", "root")
+    return moved.unionByName(new)
