@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import bagminhash, bpe, decontam, exact_dedup, extract, licenses, secrets, toxicity, urls
+from presslake.llm import bagminhash, bpe, decontam, exact_dedup, extract, kneser_ney, licenses, secrets, toxicity, urls
 from presslake.llm.common import read_table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,3 +157,11 @@ def main_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_pages(pages, extract.fit_weights(pages)).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
     )
+
+
+@query("op7_kneser_ney")
+def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's perplexity under the model of the documents labelled as good."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    trusted = read_table(spark, sf_dir, "labels", ["doc_id", "quality"]).filter("quality = 1")
+    return kneser_ney.judge_quality(docs, trusted)
