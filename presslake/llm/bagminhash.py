@@ -339,8 +339,11 @@ def _cross_pairs(members: DataFrame, led: DataFrame, threshold: float) -> DataFr
     """
     to_centre = members.withColumn("a", F.least("key", "centre")).withColumn("b", F.greatest("key", "centre"))
     known = to_centre.join(led, ["a", "b"], "left").drop("a", "b", "centre", "size", "least_n")
-    known = staged(known, "cross-members")
-    other = known.select("band", "bucket", *[F.col(c).alias(f"o_{c}") for c in ("key", "n", "root", "sim", "shared")])
+    # A pair is made in the first bucket its members share: each knows its buckets, one a band at most.
+    all_buckets = members.groupBy("key").agg(F.array_sort(F.collect_set("bucket")).alias("buckets"))
+    known = staged(known.join(all_buckets, "key"), "cross-members")
+    columns = ("key", "n", "root", "sim", "shared", "buckets")
+    other = known.select("band", "bucket", *[F.col(c).alias(f"o_{c}") for c in columns])
     apart = F.coalesce(F.abs(F.col("sim") - F.col("o_sim")) > 1 - threshold + 1e-9, F.lit(False))
     pairs = known.filter("root <> low").join(other, ["band", "bucket"]).filter(
         (F.col("root") != F.col("o_root"))
@@ -348,7 +351,9 @@ def _cross_pairs(members: DataFrame, led: DataFrame, threshold: float) -> DataFr
         & (F.least("n", "o_n") >= threshold * F.greatest("n", "o_n"))
         & (_most_alike(F.least("shared", "o_shared"), F.col("n") + F.col("o_n")) >= threshold)
         & ~apart
+        & (F.element_at(F.array_intersect("buckets", "o_buckets"), 1) == F.col("bucket"))
     )
+    # Two members that are both outside the lowest component meet once; distinct is for hash ties between bands.
     pairs = pairs.select(F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b")).distinct()
     return pairs.join(led.select("a", "b"), ["a", "b"], "left_anti")
 
