@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from presslake.llm import bagminhash, bpe, decontam, exact_dedup, toxicity
 from presslake.llm.common import fresh, read_table, staged
 from presslake.llm.queries import VOCABULARY, toxicity_chain
+from presslake.session import configure
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the toxicity chain does not reject; it is fitted on labelled rows of `docs`."""
     (kept,) = fresh(docs, "kept")
+    configure(spark)
     judged = toxicity.judge(docs, toxicity_chain(spark, sf_dir, docs), lambda c: c == "toxic")
     return judged.filter(F.col(kept)).select(docs.columns)
 
@@ -25,18 +27,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, the one with the largest id."""
     (kept,) = fresh(docs, "kept")
+    configure(spark)
     return exact_dedup.exact_classes(docs).filter(F.col(kept)).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the smallest id."""
     (kept,) = fresh(docs, "kept")
+    configure(spark)
     return bagminhash.near_classes(docs).filter(F.col(kept)).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item. Documents without an id are matched by text."""
     (key,) = fresh(docs, "leak_key")
+    configure(spark)
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     leaks = decontam.find_leaks(keyed, read_table(spark, sf_dir, "benchmark"), id_col=key)
     leaks = staged(leaks.select(key).distinct(), "leaks")
@@ -45,6 +50,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with counts and digests."""
+    configure(spark)
     return bpe.encode_table(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,7 +65,8 @@ class Linear:
         """Probability of each row; `cuts` are the rows' offsets into `tokens`."""
         if table is None:
             table = self.table()
-        sums = np.concatenate([[0.0], np.cumsum(table[tokens], dtype="f8")])
+        sums = np.zeros(len(tokens) + 1)
+        np.cumsum(table[tokens], dtype="f8", out=sums[1:])
         margin = sums[cuts[1:]] - sums[cuts[:-1]] + before @ self.earlier + self.bias
         return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
@@ -81,43 +83,54 @@ class Chain:
     thresholds: list[float]
 
 
-def _take(tokens: np.ndarray, cuts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.diff(cuts)[rows]
-    ends = np.cumsum(lengths)
-    at = np.arange(lengths.sum()) - np.repeat(ends - lengths, lengths) + np.repeat(cuts[:-1][rows], lengths)
-    return tokens[at], np.concatenate([[0], ends])
+def _class_counts(tokens: np.ndarray, row: np.ndarray, weight: np.ndarray, step: int = 1 << 20) -> np.ndarray:
+    """Summed row weights of each token, a part of the tokens at a time."""
+    out = np.zeros(1 << TOKEN_BITS)
+    for low in range(0, len(tokens), step):
+        out += np.bincount(tokens[low : low + step], weights=weight[row[low : low + step]], minlength=len(out))
+    return out
 
 
-def fit_linear(tokens: np.ndarray, cuts: np.ndarray, before: np.ndarray, y: np.ndarray, max_tokens: int = MAX_TOKENS, ridge: float = 1.0, steps: int = 200) -> Linear:
-    """Logistic regression over the tokens that tell the classes apart best.
+def fit_linear(
+    tokens: np.ndarray,
+    cuts: np.ndarray,
+    before: np.ndarray,
+    y: np.ndarray,
+    train: np.ndarray | None = None,
+    max_tokens: int = MAX_TOKENS,
+    ridge: float = 1.0,
+    steps: int = 200,
+) -> Linear:
+    """Logistic regression over the tokens that tell the classes apart best, on the rows of `train` (all if not given).
 
     With rows of one class only, the result is a constant.
     """
-    n, hit = len(y), float(y.sum())
+    train = np.ones(len(y), bool) if train is None else train
+    n, hit = float(train.sum()), float(y[train].sum())
     prior = float(np.log((hit + 0.5) / (n - hit + 0.5)))
     none = Linear(np.zeros(0, "i8"), np.zeros(0), np.zeros(before.shape[1]), prior)
-    if hit in (0.0, float(n)):
+    if hit in (0.0, n):
         return none
-    row = np.repeat(np.arange(n), np.diff(cuts))
-    total = np.bincount(tokens, minlength=1 << TOKEN_BITS)
-    with_hit = np.bincount(tokens, weights=y[row], minlength=1 << TOKEN_BITS)
-    a, b = with_hit + 0.5, total - with_hit + 0.5
+    row = np.repeat(np.arange(len(y), dtype="i4"), np.diff(cuts))
+    with_hit = _class_counts(tokens, row, (y * train).astype("f4"))
+    a, b = with_hit + 0.5, _class_counts(tokens, row, train.astype("f4")) - with_hit + 0.5
     z = np.abs(np.log(a / (hit + 1)) - np.log(b / (n - hit + 1))) / np.sqrt(1 / a + 1 / b)
     chosen = np.sort(np.argsort(-z, kind="stable")[:max_tokens])
     chosen = chosen[z[chosen] > 3]
     place = np.full(1 << TOKEN_BITS, -1, "i4")
     place[chosen] = np.arange(len(chosen))
     col = place[tokens]
-    row, col = row[col >= 0], col[col >= 0]
+    use = (col >= 0) & train[row]
+    row, col = row[use], col[use]
     # Accelerated gradient with a step for each weight from its count.
-    scale = np.concatenate([ridge + 0.25 * np.bincount(col, minlength=len(chosen)), np.full(before.shape[1] + 1, ridge + 0.25 * n)])
-    wide = np.concatenate([before, np.ones((n, 1))], axis=1)
-    w = v = np.concatenate([np.zeros(len(chosen) + before.shape[1]), [prior]])
-    degree = max(1.0, float(np.bincount(row, minlength=n).mean()) + wide.shape[1])
     m = len(chosen)
+    scale = np.concatenate([ridge + 0.25 * np.bincount(col, minlength=m), np.full(before.shape[1] + 1, ridge + 0.25 * n)])
+    wide = np.concatenate([before, np.ones((len(y), 1))], axis=1)
+    w = v = np.concatenate([np.zeros(m + before.shape[1]), [prior]])
+    degree = max(1.0, len(row) / n + wide.shape[1])
     for t in range(1, steps + 1):
-        margin = np.bincount(row, weights=v[col], minlength=n) + wide @ v[m:]
-        off = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y
+        margin = np.bincount(row, weights=v[col], minlength=len(y)) + wide @ v[m:]
+        off = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) * train
         grad = np.concatenate([np.bincount(col, weights=off[row], minlength=m), wide.T @ off]) + ridge * v
         new = v - grad / scale / degree**0.5
         v = new + (t - 1) / (t + 2) * (new - w)
@@ -173,10 +186,11 @@ def fit_chain(
         .sort_by("label_id")
     )
     n = table.num_rows
-    lists = table.column("tokens").combine_chunks() if n else pa.array([], pa.list_(pa.int32()))
-    tokens = np.asarray(lists.flatten()).astype("i4") if n else np.zeros(0, "i4")
-    cuts = np.asarray(lists.offsets).astype("i8") - (lists.offsets[0].as_py() if n else 0) if n else np.zeros(1, "i8")
-    ys = np.asarray(table.column("y").combine_chunks().flatten()).reshape(n, len(categories)) if n else np.zeros((0, len(categories)))
+    cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(table.column("tokens")).to_numpy())]).astype("i8")
+    tokens = np.concatenate([np.asarray(c.flatten()) for c in table.column("tokens").chunks] or [np.zeros(0, "i4")]).astype("i4")
+    ys = np.array(table.column("y").to_pylist(), "f8").reshape(n, len(categories))
+    del table
+    pa.default_memory_pool().release_unused()
     fold = np.arange(n) % folds
     before = np.zeros((n, 0))
     models, thresholds = [], []
@@ -184,11 +198,11 @@ def fit_chain(
         y = ys[:, i]
         held_out = np.zeros(n)
         for k in range(folds):
-            train, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-            if not len(train) or not len(test):
+            test = fold == k
+            if test.all() or not test.any():
                 continue
-            part = fit_linear(*_take(tokens, cuts, train), before[train], y[train])
-            held_out[test] = part.score(*_take(tokens, cuts, test), before[test])
+            part = fit_linear(tokens, cuts, before, y, ~test)
+            held_out[test] = part.score(tokens, cuts, before)[test]
         models.append(fit_linear(tokens, cuts, before, y))
         thresholds.append(threshold_of(held_out, y, precision))
         before = np.concatenate([before, held_out[:, None]], axis=1)
