@@ -256,6 +256,32 @@ def pub_date_parse(spark, sf_dir):
     )
 
 
+# Further shapes a date is written in, each on every eighth document, with the hour that is meant.
+DATE_SHAPES = [
+    ("date_format(collection_date, 'MM/dd/yyyy') || ' 10:00'", 10),
+    ("date_format(collection_date, 'yyyy/MM/dd')", 0),
+    ("date_format(collection_date, 'dd MMM yy') || ' 10:00:00 GMT'", 10),
+    ("date_format(collection_date, 'EEE MMM ') || lpad(day(collection_date), 2, ' ') || ' 10:00:00 2025'", 10),
+    ("date_format(collection_date, 'yyyyMMdd') || 'T100000Z'", 10),
+    ("date_format(collection_date, 'yyyy-MM-dd') || 'T10:00:00+02'", 8),
+    ("day(collection_date) || CASE day(collection_date) WHEN 1 THEN 'st' WHEN 2 THEN 'nd' WHEN 3 THEN 'rd' ELSE 'th' END || ' November 2025'", 0),
+    ("date_format(collection_date, 'EEEE, d MMMM yyyy') || ', 10:00'", 10),
+]
+
+
+@query(
+    "date_shapes",
+    f"""SELECT doc_id, strftime(CAST(collection_date AS TIMESTAMP) + to_hours(([{', '.join(str(h) for _, h in DATE_SHAPES)}])[doc_id % 8 + 1]),
+  '%Y-%m-%d %H:%M:%S') AS instant FROM articles""",
+    [ARTICLES],
+)
+def date_shapes(spark, sf_dir):
+    """The instant of dates in the less usual shapes."""
+    written = F.expr("element_at(array(" + ", ".join(shape for shape, _ in DATE_SHAPES) + "), cast(doc_id % 8 + 1 as int))")
+    dated = articles(spark, sf_dir).select("doc_id", written.alias("written"))
+    return dated.select("doc_id", F.date_format(D.parse_pub_date(F.col("written")), "yyyy-MM-dd HH:mm:ss").alias("instant"))
+
+
 @query(
     "bill_links",
     """SELECT doc_id, bill AS bill_id, 'https://www.govinfo.gov/content/pkg/' || bill || '/xml/' || bill || '.xml' AS xml_url,

@@ -1,4 +1,4 @@
-"""Articles, pages, markets and sources derived from the given tables.
+"""Articles, pages, markets and sources derived from the given tables, their texts whole.
 
 The tables hold invented prose, so lexicon phrases, dates and links are added
 to every row by rule. Each view is defined twice, in Spark and as a SQL common
@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.operators.shape import spread
-
 PHRASES = [
     "Lagos solar power project grows",
     "Berlin nuclear AI summit",
@@ -46,6 +44,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores by a unique key, where the session asks for it (`spark.presslake.spread`).
+
+    Only for the supplied tables on one machine: a table of one file with one row group
+    is read by one task. On a cluster tables have many splits and stay as they are.
+    """
+    cores = df.sparkSession.conf.get("spark.presslake.spread", "")
+    return df.repartition(int(cores), key) if cores else df
+
+
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -94,10 +102,10 @@ def as_articles(documents: DataFrame) -> DataFrame:
             .alias("feed_url"),
             F.when(doc % 11 != 0, F.col("source")).alias("source"),
             pick(ORIGINS, doc % 4).alias("origin"),
-            F.when(doc % 3 == 0, F.concat("phrase", F.lit(": "), F.substring(text, 1, 80)))
-            .otherwise(F.substring(text, 1, 80))
+            F.when(doc % 3 == 0, F.concat("phrase", F.lit(": "), F.substring_index(text, "\n", 1)))
+            .otherwise(F.substring_index(text, "\n", 1))
             .alias("title"),
-            F.concat(F.lit("<p>"), "phrase", F.lit("</p> "), F.substring(text, 1, 400)).alias("description"),
+            F.concat(F.lit("<p>"), "phrase", F.lit("</p> "), text).alias("description"),
             F.concat(text, F.lit(" "), "phrase").alias("content"),
             F.when(kind == 0, F.date_format("collection_date", "EEE, dd MMM yyyy '10:00:00 GMT'"))
             .when(kind == 1, F.concat(F.col("collection_date").cast("string"), F.lit("T08:30:00+02:00")))
@@ -125,8 +133,8 @@ articles AS (
       ELSE 'https://' || source || '.example.org/feed' END AS feed_url,
     CASE WHEN doc_id % 11 <> 0 THEN source END AS source,
     {sql_pick(ORIGINS, 'doc_id % 4')} AS origin,
-    CASE WHEN doc_id % 3 = 0 THEN phrase || ': ' || substr(text, 1, 80) ELSE substr(text, 1, 80) END AS title,
-    '<p>' || phrase || '</p> ' || substr(text, 1, 400) AS description,
+    CASE WHEN doc_id % 3 = 0 THEN phrase || ': ' || split_part(text, chr(10), 1) ELSE split_part(text, chr(10), 1) END AS title,
+    '<p>' || phrase || '</p> ' || text AS description,
     text || ' ' || phrase AS content,
     CASE doc_id % 7 WHEN 0 THEN strftime(collection_date, '%a, %d %b %Y 10:00:00 GMT')
       WHEN 1 THEN CAST(collection_date AS VARCHAR) || 'T08:30:00+02:00'

@@ -19,6 +19,7 @@ from presslake.catalog.corpus import (
     markets,
     pages,
     sources,
+    spread,
     spread_articles,
 )
 from presslake.catalog.registry import query
@@ -27,7 +28,6 @@ from presslake.functions import lexicons as lex
 from presslake.functions import predicates as P
 from presslake.operators import dedup, health, joins, rollups
 from presslake.operators import markets as M
-from presslake.operators.shape import spread
 from presslake.sources import feeds
 from presslake.sources.tables import open_markets
 
@@ -180,6 +180,46 @@ def feed_items(spark, sf_dir):
     return feeds.normalize_items(feeds.explode_feed(documents))
 
 
+# What happens to a document on its way: nothing, a bare ampersand in each title, a cut tail, an undeclared prefix,
+# a cut before the first item ends.
+DAMAGES = 5
+
+
+def damaged_documents(df):
+    """Feeds of two items, damaged by rule over all documents."""
+    n = (F.col("doc_id") % 100).cast("string")
+    amp = F.when(F.col("doc_id") % DAMAGES == 1, F.lit("A & B ")).otherwise(F.lit("A and B "))
+    prefix = F.when(F.col("doc_id") % DAMAGES == 3, F.lit("<media:thumb u:r='x'/>")).otherwise(F.lit(""))
+    link = F.col("url")
+    head = F.concat(F.lit("<rss><channel><title>t</title><item><title>"), amp, n)
+    first = F.concat(head, F.lit("</title>"), prefix, F.lit("<link>"), link, F.lit("</link></item>"))
+    second = F.concat(F.lit("<item><title>"), amp, F.lit("two</title><link>"), link, F.lit("?two</link>"))
+    whole = F.concat(first, second, F.lit("</item></channel></rss>"))
+    xml = F.when(F.col("doc_id") % DAMAGES == 2, F.concat(first, second)).when(F.col("doc_id") % DAMAGES == 4, head).otherwise(whole)
+    return df.select("doc_id", xml.alias("xml"))
+
+
+@query(
+    "feed_items_damaged",
+    f"""SELECT doc_id, pos AS item_pos,
+  CASE WHEN doc_id % {DAMAGES} = 1 THEN 'A & B ' ELSE 'A and B ' END || CASE pos WHEN 0 THEN CAST(doc_id % 100 AS VARCHAR) ELSE 'two' END AS title,
+  url || CASE pos WHEN 0 THEN '' ELSE '?two' END AS link
+FROM articles, (VALUES (CAST(0 AS INTEGER)), (CAST(1 AS INTEGER))) AS places(pos)
+WHERE doc_id % {DAMAGES} <> 4 AND NOT (doc_id % {DAMAGES} = 2 AND pos = 1)""",
+    [ARTICLES],
+)
+def feed_items_damaged(spark, sf_dir):
+    """The complete items of feeds that are not well-formed."""
+    items = feeds.normalize_items(feeds.explode_feed(damaged_documents(articles(spark, sf_dir))))
+    return items.select("doc_id", "item_pos", "title", "link")
+
+
+@query("feeds_unreadable", f"SELECT doc_id FROM articles WHERE doc_id % {DAMAGES} = 4", [ARTICLES])
+def feeds_unreadable(spark, sf_dir):
+    """Documents that give no item at all."""
+    return feeds.unreadable(damaged_documents(articles(spark, sf_dir))).select("doc_id")
+
+
 # ---------------------------------------------------------------------------
 # Markets
 # ---------------------------------------------------------------------------

@@ -7,12 +7,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from presslake.catalog import sql as S
-from presslake.catalog.corpus import ARTICLES, AS_OF, MARKETS, PAGES, PHRASES, articles, markets, pages, pick, spread_articles, sql_pick
+from presslake.catalog.corpus import ARTICLES, AS_OF, MARKETS, PAGES, PHRASES, articles, markets, pages, pick, spread, spread_articles, sql_pick
 from presslake.catalog.page_queries import NEWS_TEXT, POLITICAL, SITE, TITLE, _xml, feed_documents
 from presslake.catalog.registry import query
 from presslake.functions import lexicons as lex
 from presslake.functions.html import BLANK
-from presslake.operators.shape import spread
 from presslake.plans import legislation, news, records
 from presslake.plans import markets as market_plan
 from presslake.session import scratch_dir

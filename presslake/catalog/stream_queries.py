@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
-from presslake.catalog.corpus import ARTICLES, as_articles, load
+from presslake.catalog.corpus import ARTICLES, AS_OF, as_articles, load
 from presslake.catalog.registry import query
+from presslake.catalog.sql import PARSED
 from presslake.session import scratch_dir
 from presslake.streaming import ingest
 
 
-def _stream(spark, sf_dir, name):
-    schema = load(spark, sf_dir, name).schema
-    # As a pattern, the path may be one file as well as a folder of files.
-    return ingest.ingest_stream(spark, f"{sf_dir}/{name}[.]parquet", schema)
+BATCHES = 4
+
+
+def _stream(df, work):
+    """A table as a stream of several batches whose times are mixed: files by hash, one file a batch."""
+    shuffled = df.withColumn("file", F.pmod(F.xxhash64(*df.columns), F.lit(BATCHES)))
+    shuffled.repartition(BATCHES, "file").drop("file").write.parquet(f"{work}/in")
+    return ingest.ingest_stream(df.sparkSession, f"{work}/in", df.schema, max_files=1)
 
 
 @query(
@@ -22,10 +29,11 @@ def _stream(spark, sf_dir, name):
     [ARTICLES],
 )
 def stream_dedupe(spark, sf_dir):
-    df = as_articles(_stream(spark, sf_dir, "documents"))
-    slim = df.select("url", "collection_date", F.col("collection_date").cast("timestamp").alias("ts"))
+    """URLs of several batches in mixed time order, each kept once."""
     work = scratch_dir(spark, "stream-dedupe")
-    ingest.run_to_end(ingest.append_to(ingest.dedupe_stream(slim), f"{work}/out"), f"{work}/checkpoint")
+    slim = as_articles(load(spark, sf_dir, "documents")).select("url", "collection_date")
+    writer = ingest.append_new(_stream(slim, work), f"{work}/out", ["url"], "collection_date")
+    ingest.run_to_end(writer, f"{work}/checkpoint")
     out = spark.read.schema("url string, collection_date date").parquet(f"{work}/out")
     return out.withColumn("collection_date", F.col("collection_date").cast("string"))
 
@@ -36,14 +44,31 @@ def stream_dedupe(spark, sf_dir):
   CAST(count(*) AS BIGINT) AS articles FROM events GROUP BY ALL""",
 )
 def stream_daily_counts(spark, sf_dir):
-    events = _stream(spark, sf_dir, "events").select(
+    """Events of several batches in mixed time order, counted by day."""
+    events = load(spark, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("ts"),
         F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("source"),
         "event_type",
     )
     by = ["source", "event_type"]
     work = scratch_dir(spark, "stream-counts")
-    counts = ingest.daily_counts_stream(events, by)
-    ingest.run_to_end(ingest.write_updates(counts, f"{work}/out"), f"{work}/checkpoint")
-    latest = ingest.latest_updates(spark, f"{work}/out", ["day", *by])
+    ingest.run_to_end(ingest.add_counts(_stream(events, work), f"{work}/out", by), f"{work}/checkpoint")
+    latest = ingest.total_counts(spark, f"{work}/out", by)
     return latest.withColumn("day", F.col("day").cast("string"))
+
+
+@query(
+    "stream_recent",
+    f"""SELECT doc_id, url FROM (SELECT *, {PARSED} AS parsed FROM articles)
+WHERE CASE WHEN pub_date = '' THEN true WHEN parsed IS NOT NULL THEN parsed >= TIMESTAMP '{AS_OF}' - INTERVAL 1 DAY
+  WHEN regexp_extract(pub_date, '(\\d{{4}})', 1) <> '' THEN CAST(regexp_extract(pub_date, '(\\d{{4}})', 1) AS INTEGER) >= 2025
+  ELSE true END""",
+    [ARTICLES],
+)
+def stream_recent(spark, sf_dir):
+    """Recent and undated articles of a stream of several batches."""
+    work = scratch_dir(spark, "stream-recent")
+    slim = as_articles(load(spark, sf_dir, "documents")).select("doc_id", "url", "pub_date")
+    fresh = ingest.recent_stream(_stream(slim, work), datetime.fromisoformat(AS_OF)).select("doc_id", "url")
+    ingest.run_to_end(ingest.append_to(fresh, f"{work}/out"), f"{work}/checkpoint")
+    return spark.read.schema("doc_id long, url string").parquet(f"{work}/out")

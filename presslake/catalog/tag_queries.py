@@ -150,6 +150,29 @@ def lexicon_join(spark, sf_dir):
     return joins.explode_matches(texts, lexicon, "doc_id", "text")
 
 
+ODD_TERMS = ["eu ", "u.s.", "c++", "&", "moody's", "supply chain"]
+
+
+@query(
+    "lexicon_join_large",
+    f"""WITH texts AS (SELECT doc_id, lower(text || ' the eu_x, U.S.A & Moody''s supply chain') AS low FROM documents),
+words AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(low, '[\\p{{L}}\\p{{N}}_]+'))) AS term FROM texts),
+lexicon AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS term FROM benchmark)
+SELECT doc_id, term, CAST(length(term) AS INTEGER) AS letters FROM words JOIN lexicon USING (term)
+UNION ALL SELECT doc_id, term, CAST(length(term) AS INTEGER) FROM (SELECT doc_id,
+  unnest({S.found_values('low', [(t, t, S.term_pattern(t)) for t in ODD_TERMS])}) AS term FROM texts)""",
+)
+def lexicon_join_large(spark, sf_dir):
+    """All words of the benchmark, and terms with odd edges, taken as a lexicon in several blocks."""
+    text = F.concat("text", F.lit(" the eu_x, U.S.A & Moody's supply chain"))
+    texts = load(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    words = F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+")).alias("term")
+    terms = load(spark, sf_dir, "benchmark").select(words).where("term <> ''").distinct()
+    odd = spark.createDataFrame([(t,) for t in ODD_TERMS], "term string")
+    lexicon = terms.unionByName(odd).withColumn("letters", F.char_length("term"))
+    return joins.explode_matches(texts, lexicon, "doc_id", "text", block=256)
+
+
 @query(
     "keyword_topics",
     f"""SELECT keyword, topic, CAST(count(*) AS BIGINT) AS articles

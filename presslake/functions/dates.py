@@ -12,34 +12,56 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_CLOCK = r"(\d{1,2}:\d{2}(?::\d{2})?)(?:\.\d+)?(?:\s*([AaPp])\.?[Mm]\b\.?)?"
-_ZONE = r"\s*([A-Za-z]{1,5}|(?:GMT|UTC)?[+-]\d{2}:?\d{2})?"
-
-# shape, rewritten wall clock, formats to read it with
-ISO = rf"^\s*(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})(?:[Tt ]{_CLOCK}{_ZONE})?\s*$"
-DAY_FIRST = rf"^\s*(?:[A-Za-z]{{3,9}},?\s+)?(\d{{1,2}})[ -]([A-Za-z]{{3}})[a-z]*[ -](\d{{4}})(?:\s+{_CLOCK}{_ZONE})?\s*$"
-MONTH_FIRST = rf"^\s*(?:[A-Za-z]{{3,9}},?\s+)?([A-Za-z]{{3}})[a-z]*\.?\s+(\d{{1,2}}),?\s+(\d{{4}})(?:,?\s+(?:at\s+)?{_CLOCK}{_ZONE})?\s*$"
+from presslake.functions.match import bind
 
+_CLOCK = r"(\d{1,2}:\d{2}(?::\d{2})?)(?:\.\d+)?(?:\s*([AaPp])\.?[Mm]\b\.?)?"
+_ZONE = r"\s*([A-Za-z]{1,5}|(?:GMT|UTC)?[+-]\d{2}(?::?\d{2})?)?"
+_DAY_NAME = r"(?:[A-Za-z]{3,9},?\s+)?"
+_DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
+_LATER = rf"(?:,?\s+(?:at\s+)?{_CLOCK}{_ZONE})?"
+
+ISO = rf"^\s*(\d{{4}})([-/])(\d{{1,2}})\2(\d{{1,2}})(?:[Tt ]{_CLOCK}{_ZONE})?\s*$"
+COMPACT = rf"^\s*((?:19|20)\d{{2}})(\d{{2}})(\d{{2}})(?:[Tt ](\d{{2}})(\d{{2}})(\d{{2}})?{_ZONE})?\s*$"
+DAY_FIRST = rf"^\s*{_DAY_NAME}{_DAY}[ -]([A-Za-z]{{3}})[a-z]*,?[ -](\d{{4}}){_LATER}\s*$"
+DAY_FIRST_SHORT = rf"^\s*{_DAY_NAME}{_DAY}[ -]([A-Za-z]{{3}})[a-z]*,?[ -](\d{{2}}){_LATER}\s*$"
+MONTH_FIRST = rf"^\s*{_DAY_NAME}([A-Za-z]{{3}})[a-z]*\.?\s+{_DAY},?\s+(\d{{4}}){_LATER}\s*$"
+YEAR_LAST = rf"^\s*{_DAY_NAME}([A-Za-z]{{3}})[a-z]*\.?\s+{_DAY}\s+{_CLOCK}{_ZONE}\s+(\d{{4}})\s*$"
+# Numbers with slashes: the month first, unless it can only be the day.
+MONTH_NUMBER_FIRST = rf"^\s*(0?[1-9]|1[0-2])/(\d{{1,2}})/(\d{{4}}){_LATER}\s*$"
+DAY_NUMBER_FIRST = rf"^\s*(1[3-9]|2\d|3[01])/(\d{{1,2}})/(\d{{4}}){_LATER}\s*$"
+
+# Each shape and how it is rewritten: wall clock, half of the day and zone, split by bars.
 SHAPES = [
-    (ISO, r"$1-$2-$3 $4", "yyyy-M-d"),
-    (DAY_FIRST, r"$3-$2-$1 $4", "yyyy-MMM-d"),
-    (MONTH_FIRST, r"$3-$1-$2 $4", "yyyy-MMM-d"),
+    (ISO, "$1-$3-$4 $5|$6|$7"),
+    (COMPACT, "$1-$2-$3 $4:$5:$6||$7"),
+    (DAY_FIRST, "$3-$2-$1 $4|$5|$6"),
+    (DAY_FIRST_SHORT, "20$3-$2-$1 $4|$5|$6"),
+    (MONTH_FIRST, "$3-$1-$2 $4|$5|$6"),
+    (YEAR_LAST, "$6-$1-$2 $3|$4|$5"),
+    (MONTH_NUMBER_FIRST, "$3-$1-$2 $4|$5|$6"),
+    (DAY_NUMBER_FIRST, "$3-$2-$1 $4|$5|$6"),
 ]
-HALF_DAY_GROUP, ZONE_GROUP = 5, 6
 
 
-def _wall_clock(column: Column) -> Column:
+def _rewritten(column: Column) -> Column:
+    """The text as `wall|half|zone`; a rewritten text has no other shape, one of no known shape stays as it is."""
+    for shape, rewrite in SHAPES:
+        column = F.regexp_replace(column, shape, rewrite)
+    return column
+
+
+def _part(rewritten: Column, n: int) -> Column:
+    return F.coalesce(F.get(F.split(rewritten, r"\|"), n), F.lit(""))
+
+
+def _wall_of(rewritten: Column) -> Column:
     """Timestamp as written, ignoring any zone; NULL if of no known shape."""
-    parsed = None
-    for shape, rewrite, date_format in SHAPES:
-        wall = F.trim(F.regexp_replace(column, shape, rewrite))
-        ts = _half_day(
-            F.try_to_timestamp(wall, F.lit(f"{date_format}[ H:mm[:ss]]")),
-            F.lower(F.regexp_extract(column, shape, HALF_DAY_GROUP)),
-        )
-        hit = column.rlike(shape)
-        parsed = F.when(hit, ts) if parsed is None else parsed.when(hit, ts)
-    return parsed
+    # A clock that is not there leaves its colons.
+    text = F.regexp_replace(_part(rewritten, 0), r"[ :]+$", "")
+    clock = "[ H:mm[:ss]]"
+    numbers = F.try_to_timestamp(text, F.lit(f"yyyy-M-d{clock}"))
+    ts = F.coalesce(numbers, F.try_to_timestamp(text, F.lit(f"yyyy-MMM-d{clock}")))
+    return F.when(F.contains(rewritten, F.lit("|")), _half_day(ts, F.lower(_part(rewritten, 1))))
 
 
 def _half_day(ts: Column, letter: Column) -> Column:
@@ -48,25 +70,24 @@ def _half_day(ts: Column, letter: Column) -> Column:
     return ts + F.make_dt_interval(hours=hours.otherwise(0))
 
 
-def _offset_minutes(column: Column) -> Column:
+def _offset_minutes(rewritten: Column) -> Column:
     """Minutes east of UTC; a missing or unknown zone counts as UTC."""
-    zone = None
-    for shape, _, _ in SHAPES:
-        hit = column.rlike(shape)
-        found = F.regexp_extract(column, shape, ZONE_GROUP)
-        zone = F.when(hit, found) if zone is None else zone.when(hit, found)
+    zone = _part(rewritten, 2)
     sign = F.when(zone.contains("-"), -1).otherwise(1)
-    hours = F.regexp_extract(zone, r"[+-](\d{2}):?(\d{2})$", 1)
-    minutes = F.regexp_extract(zone, r"[+-](\d{2}):?(\d{2})$", 2)
-    return F.when(hours != "", sign * (hours.cast("int") * 60 + minutes.cast("int"))).otherwise(0)
+    hours = F.regexp_extract(zone, r"[+-](\d{2})(?::?(\d{2}))?$", 1).try_cast("int")
+    minutes = F.regexp_extract(zone, r"[+-](\d{2})(?::?(\d{2}))?$", 2).try_cast("int")
+    return F.coalesce(sign * (hours * 60 + F.coalesce(minutes, F.lit(0))), F.lit(0))
+
+
+def _wall_clock(column: Column) -> Column:
+    return bind(_rewritten(column), _wall_of)
 
 
 def parse_pub_date(column: Column, keep_wall_clock: bool = False) -> Column:
     """The instant a date text names (UTC if it names no zone), or its wall clock."""
-    wall = _wall_clock(column)
     if keep_wall_clock:
-        return wall
-    return wall - F.make_dt_interval(mins=_offset_minutes(column))
+        return _wall_clock(column)
+    return bind(_rewritten(column), lambda text: _wall_of(text) - F.make_dt_interval(mins=_offset_minutes(text)))
 
 
 def display_date(column: Column) -> Column:

@@ -8,6 +8,7 @@ before anything reaches the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
 # Place names by continent. Terms of three letters or fewer match
@@ -260,9 +261,16 @@ def rows_of(lexicon: DataFrame, max_rows: int = MAX_LEXICON_ROWS) -> list[tuple]
 
 
 def region_lexicon(entries: list[tuple[str, str]] | DataFrame) -> dict[str, list[str]]:
-    """Ordered (term, region) entries as region -> terms; a later entry overrides an earlier one."""
+    """Ordered (term, region) entries as region -> terms; a later entry overrides an earlier one.
+
+    A table says its order in a column `position`; which entry of a term is the last is decided before any row
+    reaches the driver.
+    """
     if isinstance(entries, DataFrame):
-        entries = rows_of(entries)
+        last_entries = entries.groupBy(F.lower("term").alias("term")).agg(
+            F.max_by("region", "position").alias("region"), F.max("position").alias("position")
+        )
+        entries = [row[:2] for row in sorted(rows_of(last_entries), key=lambda row: row[2])]
     last: dict[str, str] = {}
     for term, region in entries:
         last[term.lower()] = region

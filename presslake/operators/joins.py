@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslake.functions import lexicons as lex
-from presslake.functions.match import NOT_WORD, WHOLE_WORD, TermScanner
+from presslake.functions.match import WHOLE_WORD, TermScanner
 from presslake.operators.shape import compute_once
 
 
@@ -40,8 +40,16 @@ def pending_sources(sources: DataFrame, log: DataFrame, fresh: bool = False) ->
 
 
 def attach_content(items: DataFrame, pages: DataFrame, on: str = "url") -> DataFrame:
-    """Items with their page; items without one are dropped. Each page URL occurs once."""
-    return items.join(pages, on, "inner")
+    """Items with their page's html; items without one are dropped.
+
+    Each page URL occurs once, or once per `fetched_at`, if `pages` has that column: then the latest
+    fetch is taken, for which only keys and times are aggregated.
+    """
+    if "fetched_at" in pages.columns:
+        latest = pages.groupBy(on).agg(F.max("fetched_at").alias("fetched_at"))
+        pages = pages.join(latest, [on, "fetched_at"])
+    columns = [c for c in pages.columns if c in (on, "html")]
+    return items.join(pages.select(*columns), on, "inner")
 
 
 def with_content(meta: DataFrame, content: DataFrame, keys: Sequence[str] = ("article_id",)) -> DataFrame:
@@ -62,49 +70,40 @@ def with_region(df: DataFrame, sources: DataFrame, on: str = "source") -> DataFr
 
 
 def explode_matches(
-    df: DataFrame, lexicon: DataFrame, key: str, text: str, max_compiled: int = 2_000
+    df: DataFrame, lexicon: DataFrame, key: str, text: str, block: int = 2_000
 ) -> DataFrame:
     """One row per text and whole-word lexicon term in it, with the lexicon's columns.
 
-    `lexicon` has a column `term`, each term once in lower case. One of at most
-    `max_compiled` rows is compiled into a single scan of each text; a larger
-    one is joined to the texts' words.
+    `lexicon` has a column `term`, each term once in lower case. It is taken in
+    blocks of `block` rows, each compiled into one scan of the texts, so a lexicon
+    of any size gives the same rows; a block is all the driver ever holds.
     """
-    rows = lexicon.limit(max_compiled + 1).collect() if max_compiled else []
-    if rows and len(rows) <= max_compiled:
-        return _scan_matches(df, rows, lexicon, key, text)
-    return _join_matches(df, lexicon, key, text)
+    found, rows = None, []
+    for row in lexicon.toLocalIterator():
+        rows.append(row)
+        if len(rows) == block:
+            found, rows = _add(found, _scan_matches(df, rows, lexicon, key, text)), []
+    if rows or found is None:
+        found = _add(found, _scan_matches(df, rows, lexicon, key, text))
+    return found
+
+
+def _add(found: DataFrame | None, more: DataFrame) -> DataFrame:
+    return more if found is None else found.unionByName(more)
 
 
 def _scan_matches(df: DataFrame, rows: list, lexicon: DataFrame, key: str, text: str) -> DataFrame:
-    terms = [row["term"] for row in rows]
+    terms = [row["term"] for row in rows if row["term"]]
+    # The block's rows, bounded by its size, may be broadcast.
+    listed = df.sparkSession.createDataFrame(rows, lexicon.schema)
+    if not terms:
+        return df.select(key).join(F.broadcast(listed), F.lit(False)).select(key, *lexicon.columns)
     scanner = TermScanner({t.lower(): WHOLE_WORD for t in terms})
     hits = scanner.hits(F.lower(F.coalesce(text, F.lit(""))))
     found = compute_once(df.select(key, text), hits=hits).where(F.size("hits") > 0)
     values = scanner.values(F.col("hits"), [(t, [t.lower()]) for t in terms])
     each = found.select(key, F.explode_outer(values).alias("term")).where(F.col("term").isNotNull())
-    # At most `max_compiled` rows, as just counted.
-    return each.join(F.broadcast(lexicon), "term").select(key, *lexicon.columns)
-
-
-def _join_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
-    """Distinct words of the texts meet the terms' first words in an equi-join that carries only
-    the key; the candidates it leaves are checked against the text."""
-    split = f"{NOT_WORD}+"
-    lexed = lexicon.withColumn("term_low", F.lower("term"))
-    lexed = lexed.withColumn(
-        "first_word", F.element_at(F.filter(F.split("term_low", split), lambda w: w != ""), 1)
-    )
-    words = df.select(key, F.explode_outer(F.array_distinct(F.split(F.lower(text), split))).alias("first_word"))
-    candidates = words.join(lexed, "first_word").drop("first_word")
-    escaped = F.regexp_replace("term_low", r"([\\.\[\]{}()*+?^$|&~#\-])", r"\\$1")
-    pattern = F.concat(F.lit(f"(?:^|{NOT_WORD})"), escaped, F.lit(f"(?:{NOT_WORD}|$)"))
-    low = df.select(key, F.lower(text).alias("text_low"))
-    return (
-        candidates.join(low, key)
-        .where(F.contains("text_low", "term_low") & F.regexp_like("text_low", pattern))
-        .select(key, *lexicon.columns)
-    )
+    return each.join(F.broadcast(listed), "term").select(key, *lexicon.columns)
 
 
 def keyword_topics(

@@ -1,4 +1,4 @@
-"""How work is laid out: expressions evaluated once, rows spread over the cores."""
+"""How work is laid out: expressions evaluated once."""
 
 from __future__ import annotations
 
@@ -15,14 +15,3 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     row = F.struct(*[column.alias(name) for name, column in columns.items()])
     return df.select("*", F.inline_outer(F.array(row)))
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores by a unique key, if the input has fewer splits than there are cores.
-
-    Scanning text is bound by the processor, so one small file read by one task
-    would leave the others idle. Inputs of many splits stay where they are. For
-    tables as read: past a shuffle, counting partitions would run the query.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -31,4 +31,6 @@ def market_articles(markets: DataFrame, as_of: datetime, max_markets: int = 500)
     chosen = chosen.withColumns(
         {"tags": record, "description": text.market_description(F.col("description")), "feed_url": F.lit(FEED)}
     )
-    return to_articles(dedup.dedupe_urls(chosen, "id"), "market", as_of)
+    # Markets are saved in the order of their volume, and of a shared URL the first save wins.
+    placed = chosen.withColumn("place", F.struct(F.negative("volume_usd").alias("volume"), "id"))
+    return to_articles(dedup.dedupe_urls(placed, "place").drop("place"), "market", as_of)

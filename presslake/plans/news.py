@@ -21,20 +21,24 @@ from presslake.sources import feeds
 
 
 def feed_items(documents: DataFrame) -> DataFrame:
-    """Items with a link, as (feed_url, item_pos, title, url, pub_date, description)."""
-    items = feeds.normalize_items(feeds.explode_feed(documents.select("feed_url", "xml")))
+    """Items with a link, as (feed_url, feed_pos if given, item_pos, title, url, pub_date, description)."""
+    given = [c for c in ("feed_url", "feed_pos", "xml") if c in documents.columns]
+    items = feeds.normalize_items(feeds.explode_feed(documents.select(*given)))
     return items.where(predicates.has_link(F.col("link"))).withColumnRenamed("link", "url")
 
 
 def first_items(items: DataFrame) -> DataFrame:
-    """Each URL once: its first item by feed and position."""
-    placed = items.withColumn("place", F.struct("feed_url", "item_pos"))
-    return dedup.dedupe_urls(placed, "place").drop("place", "item_pos")
+    """Each URL once: its first item by the feeds' order (`feed_pos`, else the feeds' URLs) and position."""
+    order = [c for c in ("feed_pos", "feed_url", "item_pos") if c in items.columns]
+    return dedup.dedupe_urls(items.withColumn("place", F.struct(*order)), "place").drop("place", "item_pos", "feed_pos")
 
 
-def _with_stored(items: DataFrame, stored: DataFrame | None) -> DataFrame:
+def _with_stored(items: DataFrame, stored: DataFrame | None, as_of: datetime) -> DataFrame:
+    """Items not stored on the day of the run. Without a column collection_date, `stored` is that day's."""
     if stored is None:
         return items
+    if "collection_date" in stored.columns:
+        stored = stored.where(F.col("collection_date") == F.lit(as_of.date()))
     keyed = items.withColumn("article_id", text.article_id(F.col("url")))
     return keyed.join(stored.select("article_id"), "article_id", "left_anti").drop("article_id")
 
@@ -71,8 +75,9 @@ def rss_articles(
 ) -> DataFrame:
     """Relevant feed items with the text of their pages.
 
-    `documents` (feed_url, xml), `pages` (url, html) each URL once, `seen` (url)
-    collected that day, `stored` (article_id) stored in full.
+    `documents` (feed_url, xml and, for the feeds' order, feed_pos), `pages` (url, html) each URL once, or
+    with fetched_at the latest counts, `seen` (url) collected that day, `stored`
+    (article_id, collection_date) stored in full.
     """
     items = feed_items(documents)
     items = items.where(
@@ -81,8 +86,8 @@ def rss_articles(
     )
     items = first_items(items)
     if not fresh:
-        items = _with_stored(items if seen is None else joins.drop_seen(items, seen), stored)
-    read = html.extract_news(joins.attach_content(items, pages.select("url", "html"))).drop("html")
+        items = _with_stored(items if seen is None else joins.drop_seen(items, seen), stored, as_of)
+    read = html.extract_news(joins.attach_content(items, pages)).drop("html")
     read = read.where(predicates.has_content(F.col("content")))
     all_text = text.tag_text(F.col("title"), F.col("description"), F.col("content"))
     return to_articles(tag_news(read, all_text, tagging.special_tags(F.col("feed_url")), keywords), "rss", as_of)
@@ -104,8 +109,8 @@ def direct_articles(
     links = sections.select("base_url", F.explode_outer(found).alias("url")).where(F.col("url").isNotNull())
     links = dedup.dedupe_urls(links, "base_url")
     if not fresh:
-        links = _with_stored(links if seen is None else joins.drop_seen(links, seen), stored)
-    page = joins.attach_content(links, pages.select("url", "html"))
+        links = _with_stored(links if seen is None else joins.drop_seen(links, seen), stored, as_of)
+    page = joins.attach_content(links, pages)
     page = compute_once(page, title=html.page_title(F.col("html")))
     page = page.where(predicates.matches_keywords(F.col("title"), keywords))
     page = compute_once(page, date=html.page_date(F.col("html")))

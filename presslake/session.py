@@ -28,6 +28,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         # reading of few but long texts into one task.
         .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.presslake.spread", str(cores))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -18,6 +18,8 @@ FEED_SCHEMA = (
 )
 # Blanks inside elements are data here.
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
+ELEMENT = r"(?is)<(item|entry)(?=[\s>])[^>]*>.*?</\1\s*>"
+CDATA = r"(?s)<!\[CDATA\[(.*?)\]\]>"
 
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
@@ -29,7 +31,8 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
 def explode_feed(documents: DataFrame, xml_col: str = "xml") -> DataFrame:
     """One row per item in document order; a document without items gives its Atom entries.
 
-    Unreadable documents give no rows. The document itself is dropped from the output.
+    A document that is not well-formed gives the items that are complete in it, each
+    repaired on its own (`salvaged`). The document itself is dropped from the output.
     """
     parsed = F.from_xml(F.col(xml_col), FEED_SCHEMA, XML_OPTIONS)
     keep = [c for c in documents.columns if c != xml_col]
@@ -38,6 +41,7 @@ def explode_feed(documents: DataFrame, xml_col: str = "xml") -> DataFrame:
     )
     empty = F.array().cast(f"array<{_ITEM}>")
     items = F.concat(F.coalesce(nested, empty), F.coalesce(F.col("feed.item"), empty))
+    items = F.when(_is_feed(F.col("feed")), items).otherwise(salvaged(F.col(xml_col)))
     return (
         compute_once(compute_once(documents, feed=parsed), items=items, entries=F.col("feed.entry"))
         .select(
@@ -49,6 +53,35 @@ def explode_feed(documents: DataFrame, xml_col: str = "xml") -> DataFrame:
     )
 
 
+def _is_feed(feed: Column) -> Column:
+    """Did a document parse? One that did not has none of the outer elements."""
+    return F.coalesce(feed["channel"].isNotNull() | feed["item"].isNotNull() | feed["entry"].isNotNull(), F.lit(False))
+
+
+def repaired(markup: Column) -> Column:
+    """Bare ampersands and unknown entities escaped, CDATA as plain text, prefixes that may lack a declaration made
+    part of the name."""
+    plain = F.regexp_replace(markup, CDATA, "$1")
+    known = F.regexp_replace(plain, "&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)", "&amp;")
+    names = F.regexp_replace(known, r"(</?[A-Za-z][\w.-]*):(?=[A-Za-z])", "$1_")
+    return F.regexp_replace(names, r"(\s[A-Za-z][\w.-]*):([A-Za-z][\w.-]*\s*=)", "$1_$2")
+
+
+def salvaged(xml: Column) -> Column:
+    """The complete item and entry elements of a document that is not well-formed, each parsed by itself."""
+    elements = F.regexp_extract_all(F.coalesce(xml, F.lit("")), F.lit(ELEMENT), F.lit(0))
+    each = F.transform(elements, lambda e: F.from_xml(repaired(e), _ITEM, XML_OPTIONS))
+    return F.filter(each, lambda x: x["title"].isNotNull() | x["link"].isNotNull())
+
+
+def unreadable(documents: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """Documents that neither parse nor hold a complete item."""
+    feed = F.from_xml(F.col(xml_col), FEED_SCHEMA, XML_OPTIONS)
+    checked = compute_once(documents, feed=feed)
+    bad = checked.where(~_is_feed(F.col("feed")) & (F.size(salvaged(F.col(xml_col))) == 0))
+    return bad.drop("feed")
+
+
 def _first_text(element: Column) -> Column:
     """Text of the first such element: empty for an empty one, NULL for a missing one."""
     return F.when(element.isNotNull(), F.coalesce(F.get(element, 0), F.lit("")))

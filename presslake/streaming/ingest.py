@@ -31,8 +31,45 @@ def ingest_stream(
     return reader.parquet(path)
 
 
+def append_new(df: DataFrame, path: str, keys: Sequence[str], day: str) -> DataStreamWriter:
+    """Each key once per day into a table partitioned by `day`, however late its rows come.
+
+    No state and no watermark, so nothing is discarded: a batch's rows are held against what
+    the table has for the batch's days, and only those partitions are read. A
+    replayed batch adds nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        once = batch.dropDuplicates([day, *keys])
+        if batch_id:
+            stored = spark.read.schema(batch.schema).parquet(path).select(day, *keys)
+            days = batch.select(day).distinct()
+            once = once.join(stored.join(days, day, "left_semi"), [day, *keys], "left_anti")
+        once.write.mode("append" if batch_id else "overwrite").partitionBy(day).parquet(path)
+
+    return df.writeStream.outputMode("append").foreachBatch(write)
+
+
+def add_counts(df: DataFrame, path: str, by: Sequence[str], ts: str = "ts") -> DataStreamWriter:
+    """Rows of each batch per day of `ts` and `by`, under the batch's number; a replayed batch overwrites itself.
+
+    Days stay open for good: `total_counts` sums what all batches have counted.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.groupBy(F.col(ts).cast("date").alias("day"), *by).agg(F.count(F.lit(1)).alias("articles"))
+        counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return df.writeStream.outputMode("append").foreachBatch(write)
+
+
+def total_counts(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
+    return spark.read.parquet(path).groupBy("day", *by).agg(F.sum("articles").alias("articles"))
+
+
 def dedupe_stream(df: DataFrame, keys: Sequence[str] = ("url",), ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """First row of each key within `delay` of event time.
+    """First row of each key within `delay` of event time; later rows are discarded, see `append_new` for all of them.
 
     A first round per key and task number keeps a hot key's copies apart; the
     second round then gets at most a few rows of any key.
@@ -48,7 +85,7 @@ def recent_stream(df: DataFrame, as_of, days: int = 1, pub_date: str = "pub_date
 
 
 def daily_counts_stream(df: DataFrame, by: Sequence[str], ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """Rows per day of event time and `by`, in update mode."""
+    """Rows per day of event time and `by`, in update mode, of rows at most `delay` late; see `add_counts` for all."""
     counted = (
         df.withWatermark(ts, delay).groupBy(F.window(ts, "1 day"), *by).agg(F.count("*").alias("articles"))
     )

@@ -110,7 +110,10 @@ def test_detection_cases(spark):
 def test_region_lexicon_last_entry_wins(spark):
     entries = [("egypt", "Africa"), ("Kenya", "Africa"), ("egypt", "MENA")]
     assert lex.region_lexicon(entries) == {"MENA": ["egypt"], "Africa": ["kenya"]}
-    assert lex.region_lexicon(spark.createDataFrame(entries, "t string, r string").coalesce(1)) == lex.region_lexicon(entries)
+    rows = [(t, r, i) for i, (t, r) in enumerate(entries)]
+    for shuffled in (rows, rows[::-1], rows[1:] + rows[:1]):
+        table = spark.createDataFrame(shuffled, "term string, region string, position int").repartition(3)
+        assert lex.region_lexicon(table) == lex.region_lexicon(entries)
     with pytest.raises(ValueError):
         lex.rows_of(spark.range(5), max_rows=4)
 
@@ -127,14 +130,15 @@ def test_first_n_and_caps(spark):
     assert [r.id for r in dedup.newest_first(order, wall, "id").collect()] == ["c", "a", "b", "d"]
 
 
-def test_both_ways_of_joining_a_lexicon_agree(spark, sf):
+def test_a_lexicon_in_blocks_gives_the_same(spark, sf):
     texts = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").union(
         spark.createDataFrame([(-1, "Moody's and the U.S. (supply chain) AÍ"), (-2, "supply chains; moodys"), (-3, None)], "doc_id long, text string")
     )
     rows = [("the", 1), ("Moody's", 2), ("U.S", 3), ("supply chain", 4), ("que", 5), ("zzz", 6), ("aí", 7)]
     lexicon = spark.createDataFrame(rows, "term string, label int")
     scan = sorted(tuple(r) for r in joins.explode_matches(texts, lexicon, "doc_id", "text").collect())
-    joined = sorted(tuple(r) for r in joins.explode_matches(texts, lexicon, "doc_id", "text", max_compiled=0).collect())
+    joined = sorted(tuple(r) for r in joins.explode_matches(texts, lexicon, "doc_id", "text", block=2).collect())
+    assert joins.explode_matches(texts, lexicon.limit(0), "doc_id", "text").count() == 0
     assert scan == joined and {t for i, t, _ in scan if i == -1} == {"the", "Moody's", "U.S", "supply chain", "aí"}
     assert not [r for r in scan if r[0] in (-2, -3)]
 

@@ -124,3 +124,22 @@ def test_display(spark):
     assert row.bill.xml_url == "https://www.govinfo.gov/content/pkg/BILLS-119hr1ih/xml/BILLS-119hr1ih.xml"
     assert row.label == "Standard & Poor'S Feed-In Esg X"
     assert row.none.bill_id is None and row.path == "content/i.html"
+
+
+def test_items_of_damaged_feeds(spark):
+    good = "<item><title>First</title><link>https://a/1</link></item>"
+    cases = {
+        "bare": f"<rss><channel>{good}<item><title>B & C &nbsp; &lt;</title><link>https://a/2</link></item></channel></rss>",
+        "tail": f"<rss><channel>{good}<item><title>Second</title><link>https://a/2</li",
+        "prefix": f"<rss><channel>{good}<item><dc:x y:z='1'/><title><![CDATA[D & E]]></title><link>https://a/2</link></item></channel></rss>",
+        "junk": "no feed at all & more",
+        "null": None,
+        "fine": f"<rss><channel>{good}<item><title><![CDATA[F & G]]></title><link>https://a/2</link></item></channel></rss>",
+    }
+    df = spark.createDataFrame(list(cases.items()), "name string, xml string")
+    items = feeds.normalize_items(feeds.explode_feed(df)).collect()
+    found = {n: [r.title for r in sorted(items, key=lambda r: r.item_pos) if r.name == n] for n in cases}
+    assert found == {
+        "bare": ["First", "B & C &nbsp; <"], "tail": ["First"], "prefix": ["First", "D & E"], "junk": [], "null": [], "fine": ["First", "F & G"],
+    }
+    assert {r.name for r in feeds.unreadable(df).collect()} == {"junk", "null"}

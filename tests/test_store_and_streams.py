@@ -209,3 +209,47 @@ def test_recent_stream_keeps_undated(spark, tmp_path):
     df = ingest.recent_stream(ingest.ingest_stream(spark, path, spark.read.parquet(path).schema), NOW)
     ingest.run_to_end(ingest.append_to(df, out), str(tmp_path / "check"))
     assert sorted(r.pub_date for r in spark.read.parquet(out).collect()) == ["", "2025-11-04"]
+
+
+def test_streams_lose_no_late_rows(spark, tmp_path):
+    """Batches in falling time order, far behind any watermark: every URL once, every row counted; a replay adds nothing."""
+    path = str(tmp_path / "in")
+    for day in (14, 13, 1):
+        rows = [(f"u{day}", f"2025-11-{day:02d} 10:00:00"), ("shared", "2025-11-13 10:00:00"), (f"u{day}", f"2025-11-{day:02d} 11:00:00")]
+        df = spark.createDataFrame(rows, "url string, ts string").select("url", F.col("ts").cast("timestamp").alias("ts"))
+        df.withColumn("day", F.col("ts").cast("date")).coalesce(1).write.mode("append").parquet(path)
+    schema = spark.read.parquet(path).schema
+    for _ in range(2):
+        stream = ingest.ingest_stream(spark, path, schema, max_files=1)
+        ingest.run_to_end(ingest.append_new(stream.select("url", "day"), str(tmp_path / "urls"), ["url"], "day"), str(tmp_path / "c1"))
+        ingest.run_to_end(ingest.add_counts(stream, str(tmp_path / "counts"), ["url"]), str(tmp_path / "c2"))
+    urls = sorted((r.url, str(r.day)) for r in spark.read.parquet(str(tmp_path / "urls")).collect())
+    assert urls == [("shared", "2025-11-13"), ("u1", "2025-11-01"), ("u13", "2025-11-13"), ("u14", "2025-11-14")]
+    counts = {(r.url, str(r.day)): r.articles for r in ingest.total_counts(spark, str(tmp_path / "counts"), ["url"]).collect()}
+    assert counts == {("shared", "2025-11-13"): 3, ("u1", "2025-11-01"): 2, ("u13", "2025-11-13"): 2, ("u14", "2025-11-14"): 2}
+
+
+def test_markets_sharing_a_url_keep_the_larger(spark):
+    from presslake.plans.markets import market_articles
+
+    text = "string"
+    fields = ["id", "question", "slug", "description", "category", "volume", "liquidity"]
+    schema = ", ".join(f"{f} {text}" for f in fields) + ", outcomes array<string>, outcomePrices array<string>, closed boolean, startDate string, createdAt string"
+    rows = [(i, "Will the Senate vote?", "same", "d", "Politics", v, "1", ["Yes"], ["0.5"], False, "", "") for i, v in (("10", "5"), ("9", "500"), ("8", "7"))]
+    out = market_articles(spark.createDataFrame(rows, schema), NOW).collect()
+    assert len(out) == 1 and "500" in str(out[0])
+
+
+def test_latest_page_and_feed_order(spark):
+    from presslake.operators import joins
+    from presslake.plans import news
+
+    pages = spark.createDataFrame([("u", "old", 1), ("u", "new", 2), ("v", "v", 1)], "url string, html string, fetched_at int")
+    items = spark.createDataFrame([("u",), ("w",)], "url string")
+    assert [tuple(r) for r in joins.attach_content(items, pages).collect()] == [("u", "new")]
+    placed = spark.createDataFrame([("z", 0, 3, "u", "first"), ("a", 1, 0, "u", "second")], "feed_url string, feed_pos int, item_pos int, url string, title string")
+    assert [r.title for r in news.first_items(placed).collect()] == ["first"]
+    assert [r.title for r in news.first_items(placed.drop("feed_pos")).collect()] == ["second"]
+    stored = spark.createDataFrame([("2025-11-01",)], "d string").select(F.md5(F.lit("u")).alias("article_id"), F.col("d").cast("date").alias("collection_date"))
+    assert news._with_stored(placed, stored, NOW).count() == 2
+    assert news._with_stored(placed, stored.withColumn("collection_date", F.lit(NOW.date())), NOW).count() == 0
