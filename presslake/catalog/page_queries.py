@@ -326,8 +326,10 @@ feed_gates AS (
     s2 AND recent_articles > 0 AND article_count >= 5 AND relevant_articles > 0 AS s5,
     s2 AND recent_articles > 0 AND article_count >= 5 AND relevant_articles > 0 AND geographic_articles > 0 AS s6 FROM feed_stages),
 feed_health AS (
-  SELECT source, region, CAST(article_count AS BIGINT) AS article_count, CAST(recent_articles AS BIGINT) AS recent_articles,
-    CAST(relevant_articles AS BIGINT) AS relevant_articles, CAST(geographic_articles AS BIGINT) AS geographic_articles, response_time,
+  SELECT source, region, CAST(CASE WHEN s3 THEN article_count ELSE 0 END AS BIGINT) AS article_count,
+    CAST(CASE WHEN s2 THEN recent_articles ELSE 0 END AS BIGINT) AS recent_articles,
+    CAST(CASE WHEN s4 THEN relevant_articles ELSE 0 END AS BIGINT) AS relevant_articles,
+    CAST(CASE WHEN s5 THEN geographic_articles ELSE 0 END AS BIGINT) AS geographic_articles, response_time,
     CAST(2 * CAST(s2 AS INTEGER) + CAST(s3 AS INTEGER) + CAST(s4 AS INTEGER) + CAST(s5 AS INTEGER) + CAST(s6 AS INTEGER) AS INTEGER) AS tests_passed,
     CASE WHEN s6 THEN 'PASSED' ELSE 'FAILED' END AS status,
     CASE WHEN NOT s1 THEN 'HTTP ' || http_status WHEN NOT s2 THEN 'No entries found in feed' WHEN NOT s3 THEN 'No recent articles found'
@@ -386,8 +388,10 @@ site_gates AS (
     s1 AND NOT blocked AND found >= 5 AND extracted >= 3 AND relevant > 0 AS s6,
     s1 AND NOT blocked AND found >= 5 AND extracted >= 3 AND relevant > 0 AND regional > 0 AS s7 FROM site_stages),
 site_health AS (
-  SELECT source, region, response_time, CAST(found AS BIGINT) AS article_links_found, CAST(extracted AS BIGINT) AS content_extraction_success,
-    CAST(relevant AS BIGINT) AS relevant_articles, CAST(regional AS BIGINT) AS geographic_articles,
+  SELECT source, region, response_time, CAST(CASE WHEN s2 THEN found ELSE 0 END AS BIGINT) AS article_links_found,
+    CAST(CASE WHEN s4 THEN extracted ELSE 0 END AS BIGINT) AS content_extraction_success,
+    CAST(CASE WHEN s5 THEN relevant ELSE 0 END AS BIGINT) AS relevant_articles,
+    CAST(CASE WHEN s6 THEN regional ELSE 0 END AS BIGINT) AS geographic_articles,
     CAST(3 * CAST(s2 AS INTEGER) + CAST(s4 AS INTEGER) + CAST(s5 AS INTEGER) + CAST(s6 AS INTEGER) + CAST(s7 AS INTEGER) AS INTEGER) AS tests_passed,
     CASE WHEN s7 THEN 'PASSED' ELSE 'FAILED' END AS status,
     CASE WHEN NOT s1 THEN 'HTTP ' || http_status WHEN NOT s2 THEN 'Anti-bot measures detected'

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from presslake.functions.html import BILL_PATH, TAG, decode_text
+
 MARKET_BASE = "https://polymarket.com/event"
-BILL_PATH = "govinfo.gov/app/details/"
 BILL_PACKAGES = "https://www.govinfo.gov/content/pkg"
 
 # The source label of each origin.
@@ -38,8 +39,10 @@ def has_text(column: Column) -> Column:
 
 
 def clean_description(column: Column, limit: int = 300) -> Column:
-    """Markup dropped, cut at `limit` characters with ``...`` if anything was cut."""
-    plain = F.regexp_replace(F.coalesce(column, F.lit("")), "<[^>]*>", "")
+    """The text without markup, scripts and styles, its entities decoded, cut at `limit` characters with ``...``
+    if anything was cut. A ``<`` that opens no tag is text."""
+    kept = F.regexp_replace(F.coalesce(column, F.lit("")), r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>", "")
+    plain = decode_text(F.regexp_replace(kept, TAG, ""))
     return F.when(F.char_length(plain) > limit, F.concat(F.substring(plain, 1, limit), F.lit("..."))).otherwise(plain)
 
 

@@ -19,11 +19,11 @@ CARD_DATE = r"Daily News Collection - (\d{4}-\d{2}-\d{2})"
 def dedupe_by(df: DataFrame, keys: Sequence[str], order: str, keep: str = "first") -> DataFrame:
     """Exactly one row per key: that with the smallest (`first`) or largest (`last`) `order`.
 
-    Each task first keeps one row per key, so a hot key sends one row per task."""
-    rest = [c for c in df.columns if c not in keys]
-    pick = F.min_by if keep == "first" else F.max_by
-    best = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(order)).alias("best"))
-    return best.select(*[F.col(c) if c in keys else F.col("best")[c].alias(c) for c in df.columns])
+    Spark cuts each task's rows to one per key before the shuffle, so a hot key sends one row per task, and a
+    wide row is neither an aggregation buffer nor shuffled in vain."""
+    by = F.col(order).asc_nulls_last() if keep == "first" else F.col(order).desc_nulls_last()
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(by))
+    return df.withColumn("_place", rank).where(F.col("_place") == 1).drop("_place")
 
 
 def dedupe_urls(df: DataFrame, order: str, keep: str = "first", url: str = "url") -> DataFrame:

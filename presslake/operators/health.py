@@ -88,39 +88,47 @@ def site_health(sites: DataFrame, links: DataFrame) -> DataFrame:
     return gate(joined, "site")
 
 
-def _stages(kind: str) -> list[tuple[int, Column, Column]]:
-    """(tests gained, condition, error when it fails), in order; the first failure ends the grading."""
+def _stages(kind: str) -> list[tuple[int, Column, Column, str]]:
+    """(tests gained, condition, error when it fails, counter the stage reports), in order; the first failure
+    ends the grading."""
     status = F.col("http_status")
     no_regional = F.concat(F.lit("No "), "region", F.lit(" relevant articles found"))
     tail = [
-        (1, F.col("relevant_articles") > 0, F.lit("No relevant articles found")),
-        (1, F.col("geographic_articles") > 0, no_regional),
+        (1, F.col("relevant_articles") > 0, F.lit("No relevant articles found"), "relevant_articles"),
+        (1, F.col("geographic_articles") > 0, no_regional, "geographic_articles"),
     ]
     if kind == "rss":
         return [
-            (0, status == 200, F.concat(F.lit("HTTP "), status.cast("string"))),
-            (2, F.col("article_count") > 0, F.lit("No entries found in feed")),
-            (1, F.col("recent_articles") > 0, F.lit("No recent articles found")),
-            (1, F.col("article_count") >= 5, F.concat(F.lit("Too few articles: "), F.col("article_count").cast("string"))),
+            (0, status == 200, F.concat(F.lit("HTTP "), status.cast("string")), ""),
+            (2, F.col("article_count") > 0, F.lit("No entries found in feed"), ""),
+            (1, F.col("recent_articles") > 0, F.lit("No recent articles found"), "recent_articles"),
+            (1, F.col("article_count") >= 5, F.concat(F.lit("Too few articles: "), F.col("article_count").cast("string")), "article_count"),
             *tail,
         ]
     found, extracted = F.col("article_links_found"), F.col("content_extraction_success")
     return [
-        (0, status == 200, F.concat(F.lit("HTTP "), status.cast("string"))),
-        (2, ~F.col("blocked"), F.lit("Anti-bot measures detected")),
-        (1, F.col("parsed"), F.lit("HTML parsing failed")),
-        (1, found >= 5, F.concat(F.lit("Too few article links found: "), found.cast("string"))),
-        (1, extracted >= 3, F.concat(F.lit("Content extraction failed for most articles: "), extracted.cast("string"), F.lit("/10"))),
+        (0, status == 200, F.concat(F.lit("HTTP "), status.cast("string")), ""),
+        (2, ~F.col("blocked"), F.lit("Anti-bot measures detected"), ""),
+        (1, F.col("parsed"), F.lit("HTML parsing failed"), ""),
+        (1, found >= 5, F.concat(F.lit("Too few article links found: "), found.cast("string")), "article_links_found"),
+        (
+            1,
+            extracted >= 3,
+            F.concat(F.lit("Content extraction failed for most articles: "), extracted.cast("string"), F.lit("/10")),
+            "content_extraction_success",
+        ),
         *tail,
     ]
 
 
 def gate(df: DataFrame, kind: str) -> DataFrame:
     """Adds tests_passed, total_tests, status and the first error; later stages count only if all
-    earlier ones passed, and counters of stages never reached stay out of the grade."""
+    earlier ones passed, and counters of stages never reached are 0."""
     passed, error, reached = F.lit(0), F.lit(None).cast("string"), F.lit(True)
-    total = 0
-    for gain, condition, message in _stages(kind):
+    total, counters = 0, {}
+    for gain, condition, message, counter in _stages(kind):
+        if counter:
+            counters[counter] = F.when(reached, F.col(counter)).otherwise(F.lit(0)).cast("long")
         condition = F.coalesce(condition, F.lit(False))
         error = F.when(reached & ~condition, message).otherwise(error)
         reached = reached & condition
@@ -128,7 +136,13 @@ def gate(df: DataFrame, kind: str) -> DataFrame:
         total += gain
     status = F.when(passed == total, "PASSED").otherwise("FAILED")
     return df.withColumns(
-        {"tests_passed": passed, "total_tests": F.lit(total), "status": status, "error": F.coalesce(error, F.lit(""))}
+        {
+            **counters,
+            "tests_passed": passed,
+            "total_tests": F.lit(total),
+            "status": status,
+            "error": F.coalesce(error, F.lit("")),
+        }
     )
 
 

@@ -101,9 +101,13 @@ def stored_pairs(spark: SparkSession, base: str) -> DataFrame:
 
 
 def new_only(batch: DataFrame, base: str) -> DataFrame:
-    """Rows of `batch` not yet stored as a pair."""
+    """Rows of `batch` not yet stored as a pair; of the store only the batch's dates are read."""
     spark = batch.sparkSession
-    return drop_stored(batch, articles(spark, base), contents(spark, base), KEY)
+    dates = batch.select("collection_date").distinct()
+    old_articles, old_contents = (
+        t.select(*KEY).join(dates, "collection_date", "left_semi") for t in (articles(spark, base), contents(spark, base))
+    )
+    return drop_stored(batch, old_articles, old_contents, KEY)
 
 
 def first_per_id(batch: DataFrame, order: str) -> DataFrame:
