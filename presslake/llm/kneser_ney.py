@@ -34,7 +34,7 @@ TOKEN_BITS = 20
 #: The grid has 2**GRID_BITS rows and columns of shards. More for more data.
 GRID_BITS = 4
 #: Bits of all shards' sets together.
-SEEN_BITS = 27
+SEEN_BITS = 28
 #: Tokens of the texts that are dealt out in one go.
 CHUNK_TOKENS = 2_000_000
 #: Share of the trusted texts that is not counted but sets the limits.
@@ -59,7 +59,7 @@ def pairs_of(texts: list[str], ids: TokenIds) -> tuple[np.ndarray, np.ndarray, n
     """Ids of all tokens, of the token before each (a start mark at the beginning), and tokens per text."""
     lists = [list(map(ids.__getitem__, _find(t))) for t in texts]
     lengths = np.array([len(x) for x in lists], "i8")
-    word = np.array([i for x in lists for i in x], "i8")
+    word = np.array([i for x in lists for i in x], "i4")
     before = np.empty_like(word)
     before[1:] = word[:-1]
     starts = np.cumsum(lengths) - lengths
@@ -70,8 +70,19 @@ def pairs_of(texts: list[str], ids: TokenIds) -> tuple[np.ndarray, np.ndarray, n
 def _cells(before: np.ndarray, word: np.ndarray, grid: int) -> tuple[np.ndarray, np.ndarray]:
     """Shard and code of each pair."""
     low = TOKEN_BITS - grid
-    mask = (1 << low) - 1
-    return ((before >> low) << grid) | (word >> low), (((before & mask) << low) | (word & mask)).astype("u4")
+    before, word, mask = before.astype("u4"), word.astype("u4"), np.uint32((1 << low) - 1)
+    return (((before >> low) << grid) | (word >> low)).astype("i4"), ((before & mask) << low) | (word & mask)
+
+
+def pack_sorted(codes: np.ndarray) -> bytes:
+    """Rising codes as compressed differences, the bytes of equal weight together."""
+    steps = np.diff(codes, prepend=np.uint32(0)).astype("<u4")
+    return zlib.compress(np.ascontiguousarray(steps.view("u1").reshape(-1, 4).T).tobytes(), 1)
+
+
+def unpack_sorted(packed) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), "u1").reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").reshape(-1), dtype="u4")
 
 
 def _tokens(shard: int, codes: np.ndarray, grid: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +93,7 @@ def _tokens(shard: int, codes: np.ndarray, grid: int) -> tuple[np.ndarray, np.nd
 
 
 def _seen_places(codes: np.ndarray, bits: int) -> np.ndarray:
-    return ((codes * np.uint32(2654435761)) >> np.uint32(32 - bits)).astype("i8")
+    return ((codes * np.uint32(2654435761)) >> np.uint32(32 - bits)).astype("i4")
 
 
 def _split(shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -120,17 +131,18 @@ def count_pairs(texts: DataFrame, grid: int = GRID_BITS) -> DataFrame:
         ids = TokenIds()
         for chunk in _chunks(batches, "body"):
             word, before, _ = pairs_of([t for part in chunk for t in part.column("body").to_pylist()], ids)
-            keys, counts = np.unique((before << TOKEN_BITS) | word, return_counts=True)
+            keys, counts = np.unique((before.astype("i8") << TOKEN_BITS) | word, return_counts=True)
             shards, codes = _cells(keys >> TOKEN_BITS, keys & ((1 << TOKEN_BITS) - 1), grid)
+            # The keys rise, and so do the codes of each shard.
             rows = [
-                {"shard": s, "codes": codes[at].tobytes(), "counts": zlib.compress(counts[at].astype("u4").tobytes(), 1)}
+                {"shard": s, "codes": pack_sorted(codes[at]), "counts": zlib.compress(counts[at].astype("u4").tobytes(), 1)}
                 for s, at in _split(shards)
             ]
             schema = pa.schema([("shard", pa.int32()), ("codes", pa.binary()), ("counts", pa.binary())])
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     def merge(table: pa.Table) -> pa.Table:
-        codes = np.concatenate([np.frombuffer(x.as_buffer(), "u4") for x in table.column("codes")])
+        codes = np.concatenate([unpack_sorted(x.as_buffer()) for x in table.column("codes")])
         counts = np.concatenate([np.frombuffer(zlib.decompress(x.as_buffer()), "u4") for x in table.column("counts")])
         own, where = np.unique(codes, return_inverse=True)
         sums = np.bincount(where, weights=counts).astype("u4")
@@ -139,8 +151,8 @@ def count_pairs(texts: DataFrame, grid: int = GRID_BITS) -> DataFrame:
         return pa.table(
             {
                 "shard": table.column("shard").slice(0, 1),
-                "codes": pa.array([own.tobytes()], pa.binary()),
-                "counts": pa.array([sums.tobytes()], pa.binary()),
+                "codes": pa.array([pack_sorted(own)], pa.binary()),
+                "counts": pa.array([zlib.compress(sums.tobytes(), 1)], pa.binary()),
                 "seen": pa.array([np.packbits(seen).tobytes()], pa.binary()),
             }
         )
@@ -174,8 +186,8 @@ def model_of(counts: DataFrame, grid: int = GRID_BITS) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, codes, n in zip(*(batch.column(c) for c in ("shard", "codes", "counts")), strict=True):
-                n = np.frombuffer(n.as_buffer(), "u4").astype("i8")
-                before, word = _tokens(shard.as_py(), np.frombuffer(codes.as_buffer(), "u4"), grid)
+                n = np.frombuffer(zlib.decompress(n.as_buffer()), "u4").astype("i8")
+                before, word = _tokens(shard.as_py(), unpack_sorted(codes.as_buffer()), grid)
                 first, at = np.unique(before, return_inverse=True)
                 last, follows = np.unique(word, return_counts=True)
                 zeros = np.zeros(len(last) + 1, "i8")
@@ -223,7 +235,7 @@ def score(texts: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
         for n_chunk, chunk in enumerate(_chunks(batches, "body")):
             rows = np.concatenate([part.column("row").to_numpy() for part in chunk])
             word, before, lengths = pairs_of([t for part in chunk for t in part.column("body").to_pylist()], ids)
-            owner = np.repeat(np.arange(len(rows)), lengths)
+            owner = np.repeat(np.arange(len(rows), dtype="i4"), lengths)
             chance = np.log(m.left[before] * m.lower[word])
             sums = np.bincount(owner, weights=chance, minlength=len(rows))
             # The sums of a chunk go to a group of their own, named by a negative number.
@@ -255,8 +267,8 @@ def score(texts: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
                 logs.append(both[1])
         elif table.num_rows:
             m = held.value
-            own = np.frombuffer(table.column("codes")[0].as_buffer(), "u4")
-            n = np.frombuffer(table.column("counts")[0].as_buffer(), "u4")
+            own = unpack_sorted(table.column("codes")[0].as_buffer())
+            n = np.frombuffer(zlib.decompress(table.column("counts")[0].as_buffer()), "u4")
             for codes, owners, sums in zip(*(packs.column(c) for c in ("codes", "owners", "sums")), strict=True):
                 codes = np.frombuffer(codes.as_buffer(), "u4")
                 raw = zlib.decompress(sums.as_buffer())
