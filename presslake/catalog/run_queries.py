@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from presslake.catalog import sql as S
@@ -12,10 +13,13 @@ from presslake.catalog.page_queries import NEWS_TEXT, POLITICAL, SITE, TITLE, _x
 from presslake.catalog.registry import query
 from presslake.functions import lexicons as lex
 from presslake.functions.html import BLANK
+from presslake.operators import dedup
 from presslake.plans import legislation, news, records
 from presslake.plans import markets as market_plan
 from presslake.session import scratch_dir
 from presslake.sources import store
+from presslake.sources.tables import read_markets
+from presslake.streaming import ingest
 
 NOW = datetime.fromisoformat(AS_OF)
 CONTROL = r"[\x00-\x1f]"
@@ -202,3 +206,129 @@ def store_run(spark, sf_dir):
     return stored.groupBy(F.col("collection_date").cast("string").alias("collection_date")).agg(
         F.count("*").alias("articles"), F.sum(F.char_length("content")).cast("long").alias("chars")
     )
+
+
+# ---------------------------------------------------------------------------
+# The store read and repaired
+# ---------------------------------------------------------------------------
+DATES = [f"2025-11-{day:02d}" for day in range(1, 15)]
+ONE_DATE = "2025-11-04"
+
+
+def _batch(spark, sf_dir, end: str = ""):
+    """Articles, of each URL its first document, with `end` behind their content."""
+    df = articles(spark, sf_dir).withColumn("tags", records.tag_struct(F.array(F.lit("Global"))))
+    df = df.withColumn("content", F.concat("content", F.lit(end)))
+    batch = df.select("doc_id", "url", "title", "pub_date", "description", "feed_url", "tags", "content", "collection_date")
+    batch = records.to_articles(batch, "rss", NOW, keep_date=True, extra=["doc_id"])
+    return store.first_per_id(batch, "doc_id").drop("doc_id")
+
+
+def _stored(spark, sf_dir, name: str) -> str:
+    base = scratch_dir(spark, name)
+    store.save_articles(_batch(spark, sf_dir), base, DATES)
+    return base
+
+
+def _by_date(spark, base: str):
+    pairs = store.articles(spark, base).join(store.contents(spark, base), store.KEY)
+    return pairs.groupBy(F.col("collection_date").cast("string").alias("collection_date")).agg(
+        F.count("*").alias("articles"),
+        F.sum(F.char_length("content")).cast("long").alias("chars"),
+        F.sum("content_length").cast("long").alias("stored_chars"),
+    )
+
+
+@query(
+    "articles_for_date",
+    f"""SELECT url, CAST(content_length AS BIGINT) AS chars FROM articles
+WHERE doc_id = u AND collection_date = DATE '{ONE_DATE}'""",
+    [ARTICLES],
+)
+def articles_for_date(spark, sf_dir):
+    """One date of the store."""
+    day = store.articles_for_date(store.articles(spark, _stored(spark, sf_dir, "store-date")), ONE_DATE)
+    return day.select("url", F.col("content_length").cast("long").alias("chars"))
+
+
+@query("seen_urls", f"SELECT DISTINCT url FROM articles WHERE collection_date = DATE '{ONE_DATE}'", [ARTICLES])
+def seen_urls(spark, sf_dir):
+    """URLs collected on one date."""
+    return store.seen_urls(store.articles(spark, _stored(spark, sf_dir, "store-seen")), ONE_DATE)
+
+
+@query(
+    "dates_newest_first",
+    """SELECT CAST(collection_date AS VARCHAR) AS collection_date, CAST(row_number() OVER (ORDER BY collection_date DESC) AS BIGINT) AS place
+FROM (SELECT DISTINCT collection_date FROM articles)""",
+    [ARTICLES],
+)
+def dates_newest_first(spark, sf_dir):
+    """The dates in the order they come out in; as many as there are dates."""
+    days = dedup.dates_desc(articles(spark, sf_dir).select("collection_date").distinct())
+    numbered = days.withColumn("n", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy("n")).cast("long")
+    return numbered.select(F.col("collection_date").cast("string").alias("collection_date"), place.alias("place"))
+
+
+STORED_SQL = """SELECT CAST(collection_date AS VARCHAR) AS collection_date, CAST(count(*) AS BIGINT) AS articles,
+  CAST(sum(content_length + {more}) AS BIGINT) AS chars, CAST(sum(content_length + {more}) AS BIGINT) AS stored_chars
+FROM articles WHERE doc_id = u GROUP BY 1"""
+
+
+@query("store_fresh", STORED_SQL.format(more=6), [ARTICLES])
+def store_fresh(spark, sf_dir):
+    """A fresh run replaces what is stored."""
+    base = _stored(spark, sf_dir, "store-fresh")
+    store.save_articles(_batch(spark, sf_dir, " again"), base, DATES, fresh=True)
+    return _by_date(spark, base)
+
+
+@query("store_repair", STORED_SQL.format(more=0), [ARTICLES])
+def store_repair(spark, sf_dir):
+    """A run that was cut after the contents of every other article is completed by running it again."""
+    base = scratch_dir(spark, "store-repair")
+    batch = _batch(spark, sf_dir)
+    half = batch.where(F.pmod(F.xxhash64("url"), F.lit(2)) == 0).select("article_id", "content", "collection_date")
+    half.write.partitionBy("collection_date").parquet(f"{base}/content")
+    store.save_articles(store.new_only(batch, base), base, DATES)
+    return _by_date(spark, base)
+
+
+@query(
+    "stream_sink",
+    """SELECT CAST(collection_date AS VARCHAR) AS collection_date, CAST(count(DISTINCT url) AS BIGINT) AS articles
+FROM articles GROUP BY 1""",
+    [ARTICLES],
+)
+def stream_sink(spark, sf_dir):
+    """Articles of several batches into the store; the same files again, as a new run, add nothing."""
+    work = scratch_dir(spark, "stream-sink")
+    df = articles(spark, sf_dir).withColumn("tags", records.tag_struct(F.array(F.lit("Global"))))
+    batch = df.select("doc_id", "url", "title", "pub_date", "description", "feed_url", "tags", "content", "collection_date")
+    batch = records.to_articles(batch, "rss", NOW, keep_date=True, extra=["doc_id"])
+    batch.repartition(3, "doc_id").write.parquet(f"{work}/in")
+    for run in ("first", "again"):
+        stream = ingest.ingest_stream(spark, f"{work}/in", batch.schema, max_files=1)
+        ingest.run_to_end(ingest.sink_batches(stream, f"{work}/store", "doc_id"), f"{work}/{run}")
+    pairs = store.articles(spark, f"{work}/store").join(store.contents(spark, f"{work}/store"), store.KEY)
+    return pairs.groupBy(F.col("collection_date").cast("string").alias("collection_date")).agg(F.count("*").alias("articles"))
+
+
+@query(
+    "market_files",
+    """SELECT id, question, volume, CAST(len(outcomes) AS INTEGER) AS outcomes, prices[1] AS first_price
+FROM markets WHERE NOT closed""",
+    [MARKETS],
+)
+def market_files(spark, sf_dir):
+    """Open markets read from the JSON pages of an interface, a thousand to a page."""
+    work = scratch_dir(spark, "market-files")
+    table = markets(spark, sf_dir).withColumns({c: F.to_json(c) for c in ("outcomes", "outcomePrices")})
+    page = (F.col("id").cast("long") / 1000).cast("long")
+    pages_of = table.groupBy(page.alias("page")).agg(F.to_json(F.collect_list(F.struct(*table.columns))).alias("value"))
+    pages_of.write.partitionBy("page").text(f"{work}/pages")
+    read = read_markets(spark, f"{work}/pages")
+    return read.select(
+        "id", "question", "volume", F.size("outcomes").alias("outcomes"), F.get("outcomePrices", 0).alias("first_price")
+    )
