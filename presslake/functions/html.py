@@ -254,14 +254,20 @@ def _attribute(tag: Column, name: str) -> Column:
 
 
 def page_date(html: Column) -> Column:
-    """First of: any datetime attribute, the known date classes, ``<time>``; else ``Unknown``."""
+    """First of: any datetime attribute, the known date classes, ``<time>``; else ``Unknown``. Scripts, styles and
+    comments hold no dates."""
+    return bind(cut_elements(html, ("script", "style")), _date_in)
+
+
+def _date_in(html: Column) -> Column:
     element = r"(?is)<(\w+)\b[^>]*\s{attr}[^>]*>(.*?)</\1\s*>"
     dated = element.format(attr="datetime\\s*=")
     opening = F.regexp_extract(html, r"(?is)<\w+\b[^>]*\sdatetime\s*=[^>]*>", 0)
     shown = F.nullif(_attribute(opening, "datetime"), F.lit(""))
     date = F.when(opening != "", F.coalesce(shown, _inner(html, dated, 2)))
     for name in DATE_CLASSES:
-        pattern = element.format(attr=rf'class\s*=\s*"(?:[^"]*\s)?{name}(?:\s[^"]*)?"')
+        quoted = [rf"{q}(?:[^{q}]*\s)?{name}(?:\s[^{q}]*)?{q}" for q in ('"', "'")]
+        pattern = element.format(attr=rf"class\s*=\s*(?:{'|'.join(quoted)}|{name}(?=[\s/>]))")
         date = date.when(html.rlike(pattern), _inner(html, pattern, 2))
     time = r"(?is)<time\b[^>]*>(.*?)</time\s*>"
     date = date.when(html.rlike(time), _inner(html, time, 1))
@@ -280,7 +286,7 @@ def resolve_url(base: Column, href: Column) -> Column:
     folder = F.when(page == host, F.concat(host, F.lit("/"))).otherwise(
         F.regexp_extract(page, r"^.*/", 0)
     )
-    return (
+    resolved = (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
         .when(href.startswith("/"), F.concat(host, href))
@@ -289,6 +295,25 @@ def resolve_url(base: Column, href: Column) -> Column:
         .when(href == "", base)
         .otherwise(F.concat(folder, href))
     )
+    return bind(resolved, without_dots)
+
+
+def without_dots(url: Column) -> Column:
+    """A URL without the path segments ``.`` and ``..``, so that a page has one URL however it is linked."""
+    parts = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)(/[^?#]*)(.*)$"
+    part = lambda n: F.regexp_extract(url, parts, n)
+    segments = F.split(F.substr(part(2), F.lit(2)), "/")
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(
+        segments,
+        none,
+        lambda path, s: F.when(s == "..", F.slice(path, 1, F.greatest(F.size(path) - 1, F.lit(0))))
+        .when(s == ".", path)
+        .otherwise(F.concat(path, F.array(s))),
+    )
+    folder = F.when(F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    shorter = F.concat(part(1), F.lit("/"), F.array_join(kept, "/"), folder, part(3))
+    return F.when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/(?:[^?#]*/)?\.{1,2}(?:[/?#]|$)"), shorter).otherwise(url)
 
 
 ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
@@ -316,7 +341,8 @@ def link_hrefs(html: Column, href_parts: list[str], classes: list[str]) -> Colum
     def collect(kept: Column) -> Column:
         by_href = F.filter(_hrefs(kept), lambda h: any_contains(h, href_parts))
         in_headings = _hrefs(F.array_join(F.regexp_extract_all(kept, F.lit(headings), F.lit(0)), " "))
-        return F.concat(by_href, in_headings)
+        # Where headings do not close, only the reader knows what stands in them.
+        return F.when(plain, F.concat(by_href, in_headings)).otherwise(by_href)
 
     within = read(F.when(~plain, html))
     nested = F.coalesce(within, F.array().cast("array<string>"))

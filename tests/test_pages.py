@@ -147,3 +147,29 @@ def test_page_filters(spark):
     urls = {"https://a/news/1": True, "https://a/TAG/x/news/": False, "https://a/about": False, "https://a/May/": True}
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     assert {r.u: r.ok for r in df.select("u", P.is_article_url(F.col("u")).alias("ok")).collect()} == urls
+
+
+def test_links_of_unclosed_headings_and_dot_segments(spark):
+    page = '<div><h2>Title</div><p><a href="/about">a</a></p><h2><a href="/real">b</a></h2><a href="../news/1">c</a>'
+    df = spark.createDataFrame([("https://h.org/a/b", page)], "url string, html string")
+    links = df.select(H.discover_links(F.col("url"), F.col("html"))).first()[0]
+    assert "https://h.org/about" not in links and "https://h.org/real" in links
+    cases = {
+        "../news/1": "https://h.org/news/1", "./x/./y": "https://h.org/a/x/y", "/p/../../q?r=/../s": "https://h.org/q?r=/../s",
+        "..": "https://h.org/", "d/..": "https://h.org/a/", "https://o.org/./a/b/../c/": "https://o.org/a/c/", "plain": "https://h.org/a/plain",
+        "file.tar..gz": "https://h.org/a/file.tar..gz",
+    }
+    rows = spark.createDataFrame(list(cases.items()), "href string, want string")
+    for r in rows.select("want", H.resolve_url(F.lit("https://h.org/a/b"), F.col("href")).alias("got")).collect():
+        assert r.got == r.want
+
+
+def test_dates_in_all_quotings_but_not_in_scripts(spark):
+    cases = {
+        "<span class='publish-date'>3 May</span>": "3 May", "<p class=post-date>4 May</p>": "4 May",
+        "<script>'<time datetime=\"1999\">'</script><b class=\"x article-date\">5 May</b>": "5 May",
+        "<!-- <time>1998</time> --><time>6 May</time>": "6 May", "<span class='not-publish-date'>7</span>": "Unknown",
+    }
+    df = spark.createDataFrame(list(cases.items()), "html string, want string")
+    for r in df.select("want", H.page_date(F.col("html")).alias("got")).collect():
+        assert r.got == r.want
