@@ -117,6 +117,30 @@ def page_text_profiles(spark, sf_dir):
     return read.select("page_id", F.coalesce("law", F.lit("")).alias("law"), F.md5("markup").alias("law_html"))
 
 
+# Elements the text may stand in instead of an article: by class, by name, and nested ones that never close.
+SHAPES = [
+    ('<div class="post entry-content"><div>', "</div></div>"),
+    ("<main>", "</main>"),
+    ('<section class=\'article-body x\'><span><span>', "</section>"),
+]
+
+
+@query(
+    "page_shapes",
+    f"""SELECT page_id, CASE WHEN length(body) > 100 THEN body ELSE '' END AS body, law
+FROM (SELECT page_id, {NEWS_TEXT} AS body, {LAW_TEXT} AS law FROM pages_x)""",
+    [PAGES],
+)
+def page_shapes(spark, sf_dir):
+    """The same texts from pages that hold them in other elements, by the news and the legislation rules."""
+    shape = (F.col("page_id") % len(SHAPES) + 1).cast("int")
+    start, end = (F.element_at(F.array(*[F.lit(s[i]) for s in SHAPES]), shape) for i in (0, 1))
+    html = F.replace(F.replace("html", F.lit("<article>"), start), F.lit("</article>"), end)
+    df = _spread_pages(spark, sf_dir).withColumn("html", html)
+    read = H.extract_news(H.extract_content(df, into="law"), into="body")
+    return read.select("page_id", F.coalesce("body", F.lit("")).alias("body"), F.coalesce("law", F.lit("")).alias("law"))
+
+
 SITE = r"regexp_extract(url, '^[a-zA-Z]+://[^/?#]*', 0)"
 
 
