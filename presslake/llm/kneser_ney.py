@@ -43,6 +43,8 @@ QUANTILE = 0.999
 
 _find = re.compile(r"[^\W\d_]+|\d+|(?:[^\w\s]|_)+").findall
 _START = 0
+#: Log chances are summed as integers of this many parts of a nat: exact in any order, and short.
+PARTS = 1 << 20
 
 
 class TokenIds(dict):
@@ -226,6 +228,7 @@ def model_of(counts: DataFrame, grid: int = GRID_BITS) -> Model:
 
 def score(texts: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """For texts (row, body) with rows numbered on within each partition: row, tokens and log_p (natural log of its chance)."""
+    in_parts = lambda logs: np.rint(logs * PARTS).astype("i8")
     held = texts.sparkSession.sparkContext.broadcast(model)
     grid, seen_bits = model.grid, SEEN_BITS - 2 * model.grid
     fields = "shard long, codes binary, owners binary, sums binary"
@@ -254,7 +257,7 @@ def score(texts: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_pylist(out, schema)
 
     def meet(table: pa.Table, packs: pa.Table) -> pa.Table:
-        none = pa.table({"row": pa.array([], pa.int64()), "tokens": pa.array([], pa.int64()), "log_p": pa.array([], pa.float64())})
+        none = pa.table({name: pa.array([], pa.int64()) for name in ("row", "tokens", "log_p")})
         if not packs.num_rows:
             return none
         shard = packs.column("shard")[0].as_py()
@@ -264,7 +267,7 @@ def score(texts: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
                 both = np.frombuffer(sums.as_buffer(), "f8").reshape(2, -1)
                 rows.append(np.frombuffer(owners.as_buffer(), "i8"))
                 tokens.append(both[0].astype("i8"))
-                logs.append(both[1])
+                logs.append(in_parts(both[1]))
         elif table.num_rows:
             m = held.value
             own = unpack_sorted(table.column("codes")[0].as_buffer())
@@ -287,15 +290,15 @@ def score(texts: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
                 some = np.flatnonzero(sums)
                 rows.append(first + some)
                 tokens.append(np.zeros(len(some), "i8"))
-                logs.append(sums[some])
+                logs.append(in_parts(sums[some]))
         if not rows:
             return none
         return pa.table({"row": pa.array(np.concatenate(rows)), "tokens": pa.array(np.concatenate(tokens)), "log_p": pa.array(np.concatenate(logs))})
 
     packs = texts.select("row", "body").mapInArrow(deal, fields)
     table = counts.select(F.col("shard").cast("long").alias("shard"), "codes", "counts")
-    met = table.groupBy("shard").cogroup(packs.groupBy("shard")).applyInArrow(meet, "row long, tokens long, log_p double")
-    return met.groupBy("row").agg(F.sum("tokens").alias("tokens"), F.sum("log_p").alias("log_p"))
+    met = table.groupBy("shard").cogroup(packs.groupBy("shard")).applyInArrow(meet, "row long, tokens long, log_p long")
+    return met.groupBy("row").agg(F.sum("tokens").alias("tokens"), (F.sum("log_p") / PARTS).alias("log_p"))
 
 
 def judge_quality(
