@@ -12,12 +12,14 @@ from presslake.catalog.corpus import (
     AS_OF,
     MARKETS,
     PAGES,
+    PHRASES,
     SOURCES,
     articles,
     fetch_log,
     load,
     markets,
     pages,
+    pick,
     sources,
     spread,
     spread_articles,
@@ -141,6 +143,37 @@ def page_shapes(spark, sf_dir):
     return read.select("page_id", F.coalesce("body", F.lit("")).alias("body"), F.coalesce("law", F.lit("")).alias("law"))
 
 
+@query(
+    "bill_pages",
+    r"""SELECT * FROM (SELECT page_id, CASE WHEN page_id % 3 <> 0 THEN '<body><div class=''govinfo-content''>' || html || '</div></body>'
+  ELSE regexp_extract(html, '(?is)<body\b.*</body\s*>', 0) END AS body
+FROM pages WHERE strlen(html) > 1000) WHERE body <> ''""",
+)
+def bill_pages(spark, sf_dir):
+    """Bills from their XML version, or from the body of the HTML version where the XML is too short."""
+    df = load(spark, sf_dir, "pages")
+    xml = F.when(F.col("page_id") % 3 == 0, F.lit("<bill/>")).otherwise(F.col("html"))
+    return df.select("page_id", H.extract_bill(xml, F.col("html")).alias("body")).where("body IS NOT NULL")
+
+
+@query(
+    "senate_pages",
+    """SELECT doc_id, '<body><div class=''senado-content''><h1>Materia ' || doc_id || '</h1><div id=''textoMateria''>' || phrase || chr(10) ||
+  'n. ' || doc_id || '</div></div></body>' AS body FROM documents_u WHERE doc_id % 4 <> 0""",
+    [ARTICLES],
+)
+def senate_pages(spark, sf_dir):
+    """Title and text of senate pages; pages without the text element give none."""
+    doc = F.col("doc_id").cast("string")
+    df = load(spark, sf_dir, "documents").withColumn("phrase", pick(PHRASES, F.col("doc_id") % len(PHRASES)))
+    name = F.when(F.col("doc_id") % 4 == 0, "other").otherwise("textoMateria")
+    html = F.concat(
+        F.lit("<html><h1>Senado</h1><div id='materia'><h1> Materia "), doc, F.lit("</h1></div><script>x</script><div id='"), name,
+        F.lit("'><p>"), "phrase", F.lit("</p><div><p>n. "), doc, F.lit("</p></div></div></html>"),
+    )
+    return df.select("doc_id", H.extract_senate(html).alias("body")).where("body IS NOT NULL")
+
+
 SITE = r"regexp_extract(url, '^[a-zA-Z]+://[^/?#]*', 0)"
 
 

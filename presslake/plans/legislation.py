@@ -17,24 +17,19 @@ def _attach_pages(items: DataFrame, pages: DataFrame) -> DataFrame:
     """Adds the page of each item and, for bills, their XML and HTML versions."""
     links = text.govinfo_links(F.col("url"))
     keyed = items.withColumn("bill", links)
-    # Items that are no bills get a key of their own, so that they spread over
-    # all tasks instead of meeting in the one for NULL.
-    no_bill = F.concat(F.lit("no bill: "), "url")
-    keyed = keyed.withColumns(
-        {
-            "xml_key": F.coalesce("bill.xml_url", no_bill),
-            "html_key": F.coalesce("bill.html_url", no_bill),
-        }
-    ).drop("bill")
+    # Only items that are bills meet the packages; all others join their page and nothing else.
+    is_bill = F.col("bill.bill_id").isNotNull()
+    none = F.lit(None).cast("string")
+    plain = keyed.where(~is_bill).drop("bill")
+    bills = keyed.where(is_bill).withColumns({"xml_key": F.col("bill.xml_url"), "html_key": F.col("bill.html_url")}).drop("bill")
     page = pages.select("url", "html")
     # Only bill packages can be a bill's XML or HTML version.
     package = page.where(F.col("url").startswith(text.BILL_PACKAGES))
     xml = package.select(F.col("url").alias("xml_key"), F.col("html").alias("bill_xml"))
     version = package.select(F.col("url").alias("html_key"), F.col("html").alias("bill_html"))
-    return (
-        keyed.join(page, "url", "left").join(xml, "xml_key", "left").join(version, "html_key", "left")
-        .drop("xml_key", "html_key")
-    )
+    read_bills = bills.join(xml, "xml_key", "left").join(version, "html_key", "left").drop("xml_key", "html_key")
+    read_plain = plain.withColumns({"bill_xml": none, "bill_html": none})
+    return read_plain.join(page, "url", "left").unionByName(read_bills.join(page, "url", "left"))
 
 
 def legislation_articles(
