@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +31,7 @@ from presslake.llm.common import whole_text
 
 LEAF_BYTES = 16
 #: Distinct pieces a worker remembers, and their longest; beyond that many it starts anew.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 300_000
 CACHED_CHARS = 64
 
 
@@ -40,6 +41,23 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+class Pieces(dict):
+    """Match of the pattern -> its ids as little-endian unsigned 32-bit integers; encodes what it lacks."""
+
+    def __init__(self, encode: Callable[[str], list[int]]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.encode(piece)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= CACHED_CHARS:
+            if len(self) >= CACHE_PIECES:
+                self.clear()
+            self[piece] = packed
+        return packed
+
+
 class TreeBpe:
     """Encoder and decoder for one vocabulary and one splitting pattern."""
 
@@ -47,21 +65,26 @@ class TreeBpe:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.pieces = Pieces(self.piece)
 
     def merge(self, data: bytes) -> list[int]:
         """Merge the adjacent pair of lowest rank, the leftmost first, until none is left."""
-        ranks, parts = self.ranks, [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
+        rank, none = self.ranks.get, 1 << 62
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [rank(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while pairs:
+            best = min(pairs)
+            if best == none:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[part] for part in parts]
+            i = pairs.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            # Only the pairs beside the merged one have changed.
+            if i < len(pairs):
+                pairs[i] = rank(parts[i] + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
+        return [self.ranks[part] for part in parts]
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two neighbouring parts from the encodings of each."""
@@ -84,24 +107,18 @@ class TreeBpe:
         half = len(data) // 2
         return self.join(self.reduce(data[:half]), self.reduce(data[half:]))
 
-    def piece(self, piece: str) -> tuple[int, ...]:
+    def piece(self, piece: str) -> list[int]:
         """One match of the pattern; a match that is a token as a whole is that token."""
         data = piece.encode("utf-8")
         whole = self.ranks.get(data)
-        ids = (whole,) if whole is not None else tuple(self.reduce(data))
-        if len(piece) <= CACHED_CHARS:
-            if len(self.cache) >= CACHE_PIECES:
-                self.cache.clear()
-            self.cache[piece] = ids
-        return ids
+        return [whole] if whole is not None else self.reduce(data)
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a whole text as bytes. Tokens never cross matches, so matches just follow each other."""
+        return b"".join(map(self.pieces.__getitem__, self.find(text)))
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a whole text. Tokens never cross matches, so matches just follow each other."""
-        ids: list[int] = []
-        known, extend = self.cache.get, ids.extend
-        for match in self.find(text):
-            extend(known(match) or self.piece(match))
-        return ids
+        return np.frombuffer(self.packed(text), "<u4").tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of a token sequence, halves joined up the tree."""
@@ -134,13 +151,13 @@ def encode_table(
         for batch in batches:
             counts, ids_sha, bytes_sha, all_ids = [], [], [], []
             for value in batch.column("text"):
-                ids = bpe.encode(value.as_py())
-                packed = np.array(ids, dtype="<u4")
+                packed = bpe.packed(value.as_py())
+                ids = np.frombuffer(packed, "<u4")
                 counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(packed.tobytes()).hexdigest())
-                bytes_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+                ids_sha.append(hashlib.sha256(packed).hexdigest())
+                bytes_sha.append(hashlib.sha256(bpe.decode(ids.tolist())).hexdigest())
                 if keep_ids:
-                    all_ids.append(packed.astype("int32"))
+                    all_ids.append(ids.astype("int32"))
             columns = [batch.column("row_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(bytes_sha, pa.string())]
             names = ["row_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
