@@ -227,12 +227,12 @@ def probabilities(text: Column, chain: Chain) -> Column:
     return scored(token_ids(text))
 
 
-_TABLES: dict[bytes, list[np.ndarray]] = {}
+_TABLES: dict[tuple, list[np.ndarray]] = {}
 
 
 def _tables(chain: Chain) -> list[np.ndarray]:
     """Lookup tables of a chain, built once in a worker."""
-    key = b"".join(m.weights.tobytes() + m.ids.tobytes() for m in chain.models)
+    key = tuple((m.ids.tobytes(), m.weights.tobytes()) for m in chain.models)
     if key not in _TABLES:
         _TABLES.clear()
         _TABLES[key] = [m.table() for m in chain.models]

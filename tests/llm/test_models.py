@@ -48,6 +48,12 @@ def test_later_categories_see_earlier_ones():
     assert ((second.score(blank, cuts, p[:, None]) > 0.5) == (first == 1)).all()
 
 
+def test_lookup_tables_belong_to_their_chain():
+    empty = toxicity.Linear(np.zeros(0, "i8"), np.zeros(0), np.zeros(0), 0.0)
+    for n in (1, 2, 1):
+        assert len(toxicity._tables(toxicity.Chain(["c"] * n, [empty] * n, [2.0] * n))) == n
+
+
 def test_threshold_keeps_its_precision():
     scores = np.array([0.9, 0.8, 0.8, 0.7, 0.2])
     assert toxicity.threshold_of(scores, np.array([1, 1, 1, 0, 1]), 1.0) == pytest.approx(0.75)
