@@ -32,9 +32,11 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "credential", "auth", "bearer", "key", "pin")
 
+#: A credential word is a whole part of a name (DB_PWD, x-api-key2); the longer words also end one (dbPassword).
 CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secrets?|tokens?|credentials?|auth(?:orization)?"""
-    r"""|(?:api|access|private|secret|client)[_ -]?(?:keys?|secret))["']?[ \t]{0,4}(?::=|=>|[:=]|\bis\b)[ \t]{0,4}["'`<]?"""
+    r"""(?:(?:(?<![A-Za-z0-9])pass(?:phrase|code)?|(?<![A-Za-z0-9])(?:pwd|pin|auth(?:orization)?)|password|passwd|passphrase|secrets?|tokens?|credentials?"""
+    r"""|(?<![A-Za-z0-9])(?:api|access|private|secret|client|encryption|signing|master|account)[_ -]?(?:keys?|secret))"""
+    r"""\d*(?:(?-i:[A-Z][A-Za-z0-9]{0,64}))?(?:[_.-][A-Za-z0-9_.-]{0,128})?)["']?[ \t]{0,4}(?::=|=>|[:=]|\bis\b)[ \t]{0,4}["'`<]?"""
     r"""(?!(?:bearer|basic)[ \t])([^\s"'`<>]{6,})|\b(?:bearer|basic)[ \t]+([A-Za-z0-9+/_.=~-]{6,})""",
     re.IGNORECASE | re.ASCII,
 )
@@ -49,8 +51,15 @@ COMMON_WORDS = [
     "token", "none", "null", "true", "false", "required", "value", "string", "here", "your", "my", "the", "and",
 ]
 KEY_ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
-#: Guesses for a word that is not in the list but has letters only.
-OTHER_WORD = 1e6
+#: Guesses for a word that is not in the list, up to a length of WORD_LETTERS; longer ones cost as much per WORD_LETTERS.
+OTHER_WORD, WORD_LETTERS = 1e6, 13
+#: Consonants that follow each consonant in words of English, French, Spanish and German; all others count as odd.
+NEXT_CONSONANTS = {
+    "b": "bdfghjlmnrstvw", "c": "chklnqrstz", "d": "bdfghjklmnrstvwz", "f": "fghlrst", "g": "bdfghlmnprstwz", "h": "bdfhklmnrstwz", "j": "",
+    "k": "bfhklmnprstvw", "l": "bcdfghklmnpqrstvwxz", "m": "bcdflmnprstvw", "n": "bcdfghjklmnpqrstvwxz", "p": "bcdfhklmnprstwz", "q": "",
+    "r": "bcdfghjklmnpqrstvwxz", "s": "bcdfghklmnpqrstvwz", "t": "bcdfghklmnprstvwz", "v": "lr", "w": "bdfhklnrst", "x": "cfhpt", "z": "bhklntuvwz",
+}
+_PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]")
 #: Each further segment multiplies the guesses.
 JOINT = 2.0
 
@@ -72,6 +81,15 @@ class GuessCost:
     def _brute(c: str) -> float:
         return math.log10(10 if c.isdigit() else 26 if c.isalpha() and c.isascii() else 33 if c.isascii() else 1000)
 
+    @staticmethod
+    def _other_word(run: str) -> float | None:
+        """Log10 of the guesses for a run of letters read as words; None when it does not look like words."""
+        low, pieces = run.lower(), len(_PIECE.findall(run))
+        odd = sum(a in NEXT_CONSONANTS and b in NEXT_CONSONANTS and b not in NEXT_CONSONANTS[a] for a, b in zip(low, low[1:], strict=False))
+        if 4 * pieces > len(run) or 10 * odd > len(run) or not re.search("[aeiouy]", low):
+            return None
+        return math.log10(OTHER_WORD) * max(1.0, len(run) / WORD_LETTERS) + math.log10(JOINT) * (pieces - 1)
+
     def spans(self, value: str) -> Iterator[tuple[int, int, float]]:
         """(start, end, log10 of guesses) of everything cheaper than brute force."""
         low, n = value.lower(), len(value)
@@ -81,8 +99,9 @@ class GuessCost:
             for j in range(i + 2, min(n, i + self.longest) + 1):
                 if rank := self.rank.get(low[i:j]):
                     yield i, j, math.log10(rank * (1 if value[i:j] == low[i:j] else 2 if value[i:j].istitle() or value[i:j].isupper() else 2 ** (j - i)))
-        for m in re.finditer(r"[a-z]{4,}", low):
-            yield m.start(), m.end(), math.log10(OTHER_WORD)
+        for m in re.finditer(r"[A-Za-z]{4,}", value):
+            if (guesses := self._other_word(m[0])) is not None:
+                yield m.start(), m.end(), guesses
         for i in range(n):
             if (m := _DATE.match(value, i)) and m.end() - i >= 4:
                 yield i, m.end(), math.log10(365 * 60 * (4 if m[1] or m[2] else 1) if m.end() - i > 4 else 120)

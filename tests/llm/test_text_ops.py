@@ -212,3 +212,18 @@ def test_odd_pages(spark):
     assert rows[1] == rows[2] == "" and rows[3] == "just words"
     assert extract.extract_pages(df.limit(0), {}).count() == 0
     assert extract.fit_weights(df.limit(0)) == {}
+
+
+def test_secrets_of_prefixed_names_and_letters_only():
+    lines = {
+        "passphrase: KxvQwrTzLmNpBdYhGcSf": "KxvQwrTzLmNpBdYhGcSf",
+        "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY": "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY",
+        "DB_PWD=Xk9$vQ2!mPz8": "Xk9$vQ2!mPz8",
+        'db_password="p@$$!9xQz#1Lk"': "p@$$!9xQz#1Lk",
+        "pin: qzxkvbtrwpmfghdlncjsqzxkvbtrwpmfghdlncjs": "qzxkvbtrwpmfghdlncjsqzxkvbtrwpmfghdlncjs",
+        "dbPassword := Xk9$vQ2!mPz8": "Xk9$vQ2!mPz8",
+    }
+    for line, value in lines.items():
+        assert [line[a:b] for a, b, kind in secrets.secret_spans(line) if kind == "guess"] == [value], line
+    for line in ("the secret is understanding", "password: Zusammenarbeit", "author: Xk9$vQ2!mPz8", "auth is required here", "pin: someVariableName"):
+        assert not [x for x in secrets.secret_spans(line) if x[2] == "guess"], line
