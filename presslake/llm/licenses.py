@@ -1,6 +1,7 @@
 """License scan by an exact set-similarity join, with DataFrame functions only.
 
-Text blocks (lines) are compared with license templates as sets of words. A block
+Text blocks are compared with license templates as sets of words: single lines, and the
+words around each line break of a paragraph, as license texts are wrapped as a rule. A block
 meets a template when it holds at least `threshold` of the template's words. The join
 is exact and never compares all blocks with all templates:
 
@@ -24,6 +25,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from presslake.functions.match import bind
 from presslake.llm.common import fresh, staged, text_key, whole_text
 from presslake.llm.urls import ascii_lower
 
@@ -75,6 +77,40 @@ def phrase_places(words: Column, phrase: Sequence[str]) -> Column:
     return F.when(held, F.filter(starts, stands)).otherwise(F.array().cast("array<int>"))
 
 
+def text_blocks(text: Column, reach: int) -> Column:
+    """The word lists of a text's lines, and of what goes on over line breaks.
+
+    For each line that is followed by another of its paragraph: its last `reach` words and the first `reach` words of the
+    lines after it, up to a line without words. Whatever stands in `reach` words or fewer, over however
+    many lines, is in one of these blocks.
+    """
+    lines = F.transform(F.split(text, r"\n"), scan_words)
+
+    def over_breaks(lines: Column, heads: Column) -> Column:
+        def following(i: Column) -> Column:
+            after = F.slice(heads, i + 2, reach)
+            stop = F.array_position(after, F.array().cast("array<string>")).cast("int")
+            return F.slice(F.flatten(F.when(stop > 0, F.slice(after, 1, stop - 1)).otherwise(after)), 1, reach)
+
+        def block(words: Column, i: Column) -> Column:
+            size, ahead = F.size(words), F.size(F.get(heads, i + 1))
+            # A full line is all there is to reach; only short ones need those after them.
+            after = F.when(ahead >= reach, F.get(heads, i + 1)).otherwise(following(i))
+            return F.when(
+                (size > 0) & (ahead > 0), F.concat(F.slice(words, F.greatest(size - (reach - 1), F.lit(1)), F.lit(reach)), after)
+            )
+
+        return F.concat(lines, F.array_compact(F.transform(lines, block)))
+
+    # Each step is bound: inside the lambda it would be worked out again for every line.
+    return bind(lines, lambda words: bind(F.transform(words, lambda line: F.slice(line, 1, reach)), lambda heads: over_breaks(words, heads)))
+
+
+def reach_of(templates: Sequence[tuple[str, str]], threshold: float) -> int:
+    """Words the longest template may stand in, with others between its own."""
+    return math.ceil(max((len(_python_words(text)) for _, text in templates), default=1) / threshold)
+
+
 def template_matches(blocks: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """For blocks (rid, words): every block and template that meet, as rid, label and containment."""
     sets = [(label, sorted(set(_python_words(text)))) for label, text in templates]
@@ -130,8 +166,8 @@ def scan_licenses(
     key, found, met, places, all_words, said = fresh(df, "text_key", "found", "met", "places", "words", "mentions")
     text = whole_text(text_col)
     # What a text meets depends on nothing else, so texts are named by their digest.
-    lines = df.select(text_key(text).alias("rid"), F.explode(F.split(text, r"\n")).alias("line"))
-    matches = template_matches(lines.select("rid", scan_words(F.col("line")).alias("words")), templates, threshold)
+    blocks = df.select(text_key(text).alias("rid"), F.explode(text_blocks(text, reach_of(templates, threshold))).alias("words"))
+    matches = template_matches(blocks, templates, threshold)
     by_text = staged(
         matches.groupBy(F.col("rid").alias(key)).agg(F.struct(F.collect_set("label").alias("labels"), F.max("containment").alias("score")).alias(met)),
         "license-texts",

@@ -227,3 +227,14 @@ def test_secrets_of_prefixed_names_and_letters_only():
         assert [line[a:b] for a, b, kind in secrets.secret_spans(line) if kind == "guess"] == [value], line
     for line in ("the secret is understanding", "password: Zusammenarbeit", "author: Xk9$vQ2!mPz8", "auth is required here", "pin: someVariableName"):
         assert not [x for x in secrets.secret_spans(line) if x[2] == "guess"], line
+
+
+def test_wrapped_licenses(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"
+    gpl = " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General\n * Public License as published"
+    bsd = "Redistribution and use in source and binary forms,\nwith or without\nmodification, are permitted provided that\nthe following\nconditions are met:"
+    texts = [mit, gpl, bsd, mit.replace("\n", "\n\n"), "x " * 500 + mit + " y" * 500, "all\n" + "word " * 40 + "\nrights reserved"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan_licenses(df).collect()}
+    assert rows[0] == ("mit", 1.0) and rows[1] == ("gpl", 1.0) and rows[2] == ("bsd", 1.0) and rows[4] == ("mit", 1.0)
+    assert rows[3] == rows[5] == ("", 0.0)
