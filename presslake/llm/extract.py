@@ -27,10 +27,10 @@ WORD_RANGE, TAG_RANGE = (-4.0, 2.0), (-4.0, -0.1)
 PLAIN_WORD, PLAIN_TAG = 1.0, -3.25
 
 # Element names by what they do.
-RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math")
+RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg")
 DROPPED = {
-    *RAW, "head", "nav", "footer", "aside", "form", "button", "select", "option", "input", "label", "menu", "dialog", "object",
-    "canvas", "audio", "video",
+    *RAW, "head", "nav", "footer", "aside", "form", "button", "select", "option", "input", "menu", "dialog", "canvas", "audio",
+    "video",
 }
 BLOCKS = {
     "address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure",
@@ -38,7 +38,10 @@ BLOCKS = {
     "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "aside",
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "b", "cite", "code", "del", "em", "font", "i", "ins", "mark", "q", "s", "small", "span", "strong", "sub", "sup", "time", "u"}
+INLINE = {
+    "a", "abbr", "b", "cite", "code", "del", "em", "font", "i", "ins", "label", "mark", "math", "q", "s", "small", "span", "strong", "sub",
+    "sup", "time", "u",
+}
 KNOWN = DROPPED | BLOCKS | VOID | INLINE
 #: Names in class, id or role that mark what is not part of an article.
 DROPPED_NAMES = {
@@ -47,6 +50,13 @@ DROPPED_NAMES = {
     "navbar", "navigation", "newsletter", "notice", "popup", "promo", "promoted", "related", "replies", "respond", "share", "sharing",
     "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+#: Last parts of a class that say nothing by themselves: the part before them names it (ad-box, comment-list).
+HOLDER_NAMES = {
+    "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "form", "icons", "inner", "item", "items", "left", "link", "links",
+    "list", "outer", "panel", "posts", "right", "section", "signup", "slot", "stories", "thread", "top", "unit", "wrap", "wrapper",
+}
+#: Parts that make the name after them a state of the element, not what it is.
+STATE_NAMES = {"no", "not", "has", "have", "with", "without", "hide", "show", "is"}
 #: Elements a start tag ends when they are still open.
 ENDED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
@@ -63,39 +73,79 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|dis
 _WORD_BREAK = re.compile(r"[\s_-]+|(?<=[a-z])(?=[A-Z])")
 
 
-def _is_dropped(name: str, attrs: str) -> bool:
-    if name in DROPPED:
+def _names_part(token: str) -> bool:
+    """Does a class, id or role name something that is not part of an article?"""
+    parts = [x.lower() for x in _WORD_BREAK.split(token) if x]
+    if "-".join(parts) in DROPPED_NAMES:
         return True
-    if name in ("html", "body", "article", "main") or not attrs:
+    if any(x in STATE_NAMES for x in parts[:-1]):
         return False
+    while len(parts) > 1 and (parts[-1] in HOLDER_NAMES or parts[-1].isdigit()):
+        parts.pop()
+    return bool(parts) and parts[-1] in DROPPED_NAMES
+
+
+def _drop_of(name: str, attrs: str) -> str:
+    """Why an element is left out: "always" by its kind, "name" by a name it bears, else ""."""
+    if name in DROPPED:
+        return "always"
+    if name in ("html", "body", "article", "main") or not attrs:
+        return ""
     if _HIDDEN.search(attrs):
-        return True
-    names = (x for m in _NAMES.findall(attrs) for x in _WORD_BREAK.split(m[0] or m[1] or m[2]))
-    return any(x.lower() in DROPPED_NAMES for x in names)
+        return "always"
+    names = (x for m in _NAMES.findall(attrs) for x in (m[0] or m[1] or m[2]).split())
+    return "name" if any(map(_names_part, names)) else ""
+
+
+Token = tuple[str, str, str, bool, bool]
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
+def tokens(page: str) -> list[Token]:
     """(kind, class, text, dropped, in article) of every tag and text run.
 
     The kind is "tag" or "word"; the class is the tag with its direction, or the element
     the words stand in. Start tags end what they cannot stand in; an end tag without
-    a start ends nothing.
+    a start ends nothing. An element is not dropped for its name when it holds the <main>, all articles, or more than half of
+    the words in them (of the page where it has neither): such a name is that of a layout.
     """
-    stack: list[tuple[str, bool]] = []
+    items, named, total = _scan(page, frozenset())
+    spared = {
+        at
+        for at, (words, inside, articles, mains) in named.items()
+        if (mains and mains == total[3]) or (articles and articles == total[2]) or 2 * (inside if total[1] else words) > (total[1] or total[0]) > 0
+    }
+    return _scan(page, frozenset(spared))[0] if spared else items
+
+
+def _scan(page: str, spared: frozenset[int]) -> tuple[list[Token], dict[int, list[int]], list[int]]:
+    """Tokens, and what each element dropped by its name, and the page, hold: words, words in articles or main, articles, mains."""
+    items: list[Token] = []
+    stack: list[tuple[str, str, int]] = []
     open_names: dict[str, int] = {}
-    dropped = article = 0
+    named: dict[int, list[int]] = {}
+    total = [0, 0, 0, 0]
+    dropped = article = always = 0
+    #: Totals where the open elements that are dropped by name began.
+    begun: dict[int, list[int]] = {}
 
     def leave() -> None:
-        nonlocal dropped, article
-        name, drops = stack.pop()
+        nonlocal dropped, article, always
+        name, why, at = stack.pop()
         open_names[name] -= 1
-        dropped -= drops
+        dropped -= why != ""
+        always -= why == "always"
         article -= name == "article"
+        if at in begun:
+            named[at] = [now - then for now, then in zip(total, begun.pop(at), strict=True)]
 
     for m in _TOKEN.finditer(page):
         if (text := m["text"]) is not None:
-            place = "dropped" if dropped else next((n for n, _ in reversed(stack) if n in KNOWN), "none")
-            yield "word", place, text, dropped > 0, article > 0
+            place = "dropped" if dropped else next((n for n, _, _ in reversed(stack) if n in KNOWN), "none")
+            items.append(("word", place, text, dropped > 0, article > 0))
+            if not always:
+                n = len(text.split())
+                total[0] += n
+                total[1] += n * (article > 0 or open_names.get("main", 0) > 0)
             continue
         if m["name"] is None:
             continue
@@ -103,24 +153,35 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
         shown = name if name in KNOWN else "other"
         if m["close"]:
             if open_names.get(name):
-                yield "tag", f"/{shown}", name, dropped > 0, article > 0
+                items.append(("tag", f"/{shown}", name, dropped > 0, article > 0))
                 while stack[-1][0] != name:
                     leave()
                 leave()
             elif name == "p":
-                yield "tag", "/p", name, dropped > 0, article > 0
+                items.append(("tag", "/p", name, dropped > 0, article > 0))
             continue
-        while stack and (ended := next((n for n, _ in reversed(stack) if n not in INLINE), "")) and name in ENDED_BY.get(ended, ()):
+        while stack and (ended := next((n for n, _, _ in reversed(stack) if n not in INLINE), "")) and name in ENDED_BY.get(ended, ()):
             while stack[-1][0] != ended:
                 leave()
             leave()
-        drops = _is_dropped(name, m["attrs"])
-        yield "tag", shown, name, dropped > 0 or drops, article > 0
+        why = _drop_of(name, m["attrs"])
+        if why == "name" and m.start() in spared:
+            why = ""
+        items.append(("tag", shown, name, dropped > 0 or why != "", article > 0))
         if name not in VOID and not m["attrs"].endswith("/"):
-            stack.append((name, drops))
+            if why == "name":
+                begun[m.start()] = list(total)
+            if not always:
+                total[2] += name == "article"
+                total[3] += name == "main"
+            stack.append((name, why, m.start()))
             open_names[name] = open_names.get(name, 0) + 1
-            dropped += drops
+            dropped += why != ""
+            always += why == "always"
             article += name == "article"
+    while stack:
+        leave()
+    return items, named, total
 
 
 def token_counts(page: str) -> dict[tuple[str, str, bool], int] | None:
@@ -168,7 +229,7 @@ def _article_around(items: list, first: int, last: int) -> tuple[int, int]:
 
 def main_text(page: str, weights: dict[tuple[str, str], float]) -> str:
     """Blocks of the best stretch of a page, one to a line."""
-    items = list(tokens(page))
+    items = tokens(page)
     best = total = 0.0
     first = last = start = 0
     for i, (kind, shown, text, dropped, _) in enumerate(items):

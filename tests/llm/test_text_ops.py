@@ -238,3 +238,16 @@ def test_wrapped_licenses(spark):
     rows = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan_licenses(df).collect()}
     assert rows[0] == ("mit", 1.0) and rows[1] == ("gpl", 1.0) and rows[2] == ("bsd", 1.0) and rows[4] == ("mit", 1.0)
     assert rows[3] == rows[5] == ("", 0.0)
+
+
+@pytest.mark.parametrize("wrapper", ["content no-sidebar", "has-sidebar", "with-comments", "nav-open", "widget-content", "related-work", "notice-board", "sidebar", "widget"])
+def test_layout_classes_keep_the_article(spark, sf, wrapper):
+    weights = extract.fit_weights(spark.read.parquet(f"{sf}/pages.parquet"))
+    words = "One two three four five six seven eight nine ten."
+    blocks = "".join(f"<p>{words}</p>" for _ in range(8))
+    inner = f"<div class='{wrapper}'>{blocks}</div><div class='sidebar-left'>aside</div><div class='comment-list'>first</div>"
+    want = "\n".join([words] * 8)
+    for page in (f"<html><body><article>{inner}</article></body></html>", f"<html><body><div class='{wrapper}'><article>{blocks}</article></div></body></html>"):
+        assert extract.main_text(page, weights) == want
+    part = f"<article>{blocks}<p>a <math><mi>x</mi></math> <object>o</object> <label>l</label></p><div class='related-posts'>r</div></article>"
+    assert extract.main_text(part, weights) == want + "\na x o l"
