@@ -222,38 +222,103 @@ ARTICLE_URL_PARTS: list[str] = [
     "/august/", "/september/", "/october/", "/november/", "/december/",
 ]
 
-# A starting set for region detection (whole words, last entry
-# wins). Larger gazetteers are passed in as a table; see `region_lexicon`.
+# Terms of region detection (whole words, last entry wins). Other
+# gazetteers are passed in as a table; see `region_lexicon`.
 REGION_TERMS: list[tuple[str, str]] = [
-    ("africa", "Africa"), ("african", "Africa"), ("nigeria", "Africa"), ("lagos", "Africa"),
-    ("south africa", "Africa"), ("johannesburg", "Africa"), ("kenya", "Africa"),
-    ("nairobi", "Africa"), ("egypt", "Africa"), ("cairo", "Africa"), ("morocco", "Africa"),
-    ("casablanca", "Africa"), ("ghana", "Africa"), ("accra", "Africa"),
-    ("ethiopia", "Africa"),
-    ("latin america", "Latin America"), ("south america", "Latin America"),
-    ("brazil", "Latin America"), ("sao paulo", "Latin America"),
-    ("mexico", "Latin America"), ("mexico city", "Latin America"),
-    ("argentina", "Latin America"), ("buenos aires", "Latin America"),
-    ("chile", "Latin America"), ("santiago", "Latin America"),
-    ("colombia", "Latin America"), ("bogota", "Latin America"), ("peru", "Latin America"),
-    ("lima", "Latin America"), ("venezuela", "Latin America"),
-    ("mena", "MENA"), ("middle east", "MENA"), ("gulf", "MENA"), ("saudi arabia", "MENA"),
-    ("saudi", "MENA"), ("riyadh", "MENA"), ("uae", "MENA"), ("dubai", "MENA"),
-    ("qatar", "MENA"), ("doha", "MENA"), ("kuwait", "MENA"), ("kuwait city", "MENA"),
-    ("bahrain", "MENA"), ("manama", "MENA"), ("oman", "MENA"), ("muscat", "MENA"),
-    ("jordan", "MENA"), ("amman", "MENA"), ("lebanon", "MENA"), ("beirut", "MENA"),
-    ("israel", "MENA"), ("tel aviv", "MENA"), ("turkey", "MENA"), ("istanbul", "MENA"),
-    ("egypt", "MENA"), ("cairo", "MENA"), ("morocco", "MENA"), ("casablanca", "MENA"),
-    ("ethiopia", "MENA"),
+    ("africa", "Africa"), ("african", "Africa"), ("nigeria", "Africa"), ("lagos", "Africa"), ("abuja", "Africa"),
+    ("kano", "Africa"), ("south africa", "Africa"), ("johannesburg", "Africa"), ("cape town", "Africa"),
+    ("durban", "Africa"), ("kenya", "Africa"), ("nairobi", "Africa"), ("mombasa", "Africa"), ("egypt", "Africa"),
+    ("cairo", "Africa"), ("alexandria", "Africa"), ("morocco", "Africa"), ("casablanca", "Africa"), ("rabat", "Africa"),
+    ("ghana", "Africa"), ("accra", "Africa"), ("kumasi", "Africa"), ("ethiopia", "Africa"), ("addis ababa", "Africa"),
+    ("tanzania", "Africa"), ("dar es salaam", "Africa"), ("uganda", "Africa"), ("kampala", "Africa"),
+    ("zimbabwe", "Africa"), ("harare", "Africa"), ("zambia", "Africa"), ("lusaka", "Africa"), ("botswana", "Africa"),
+    ("gaborone", "Africa"), ("namibia", "Africa"), ("windhoek", "Africa"), ("senegal", "Africa"), ("dakar", "Africa"),
+    ("ivory coast", "Africa"), ("abidjan", "Africa"), ("mali", "Africa"), ("bamako", "Africa"),
+    ("burkina faso", "Africa"), ("ouagadougou", "Africa"), ("niger", "Africa"), ("niamey", "Africa"),
+    ("chad", "Africa"), ("ndjamena", "Africa"), ("cameroon", "Africa"), ("yaounde", "Africa"),
+    ("central african republic", "Africa"), ("bangui", "Africa"), ("democratic republic of congo", "Africa"),
+    ("kinshasa", "Africa"), ("republic of congo", "Africa"), ("brazzaville", "Africa"), ("gabon", "Africa"),
+    ("libreville", "Africa"), ("equatorial guinea", "Africa"), ("malabo", "Africa"),
+    ("sao tome and principe", "Africa"), ("sao tome", "Africa"), ("angola", "Africa"), ("luanda", "Africa"),
+    ("mozambique", "Africa"), ("maputo", "Africa"), ("madagascar", "Africa"), ("antananarivo", "Africa"),
+    ("mauritius", "Africa"), ("port louis", "Africa"), ("seychelles", "Africa"), ("victoria", "Africa"),
+    ("comoros", "Africa"), ("moroni", "Africa"), ("djibouti", "Africa"), ("djibouti city", "Africa"),
+    ("somalia", "Africa"), ("mogadishu", "Africa"), ("eritrea", "Africa"), ("asmara", "Africa"), ("sudan", "Africa"),
+    ("khartoum", "Africa"), ("south sudan", "Africa"), ("juba", "Africa"), ("libya", "Africa"), ("tripoli", "Africa"),
+    ("tunisia", "Africa"), ("tunis", "Africa"), ("algeria", "Africa"), ("algiers", "Africa"), ("mauritania", "Africa"),
+    ("nouakchott", "Africa"), ("western sahara", "Africa"), ("laayoune", "Africa"), ("lesotho", "Africa"),
+    ("maseru", "Africa"), ("eswatini", "Africa"), ("mbabane", "Africa"), ("malawi", "Africa"), ("lilongwe", "Africa"),
+    ("rwanda", "Africa"), ("kigali", "Africa"), ("burundi", "Africa"), ("bujumbura", "Africa"),
+    ("sierra leone", "Africa"), ("freetown", "Africa"), ("liberia", "Africa"), ("monrovia", "Africa"),
+    ("guinea", "Africa"), ("conakry", "Africa"), ("guinea-bissau", "Africa"), ("bissau", "Africa"),
+    ("gambia", "Africa"), ("banjul", "Africa"), ("cape verde", "Africa"), ("praia", "Africa"), ("sao tome", "Africa"),
+    ("sao tome and principe", "Africa"), ("latin america", "Latin America"), ("south america", "Latin America"),
+    ("central america", "Latin America"), ("brazil", "Latin America"), ("brasil", "Latin America"),
+    ("sao paulo", "Latin America"), ("rio de janeiro", "Latin America"), ("brasilia", "Latin America"),
+    ("belo horizonte", "Latin America"), ("salvador", "Latin America"), ("fortaleza", "Latin America"),
+    ("recife", "Latin America"), ("porto alegre", "Latin America"), ("curitiba", "Latin America"),
+    ("manaus", "Latin America"), ("mexico", "Latin America"), ("mexico city", "Latin America"),
+    ("guadalajara", "Latin America"), ("monterrey", "Latin America"), ("puebla", "Latin America"),
+    ("tijuana", "Latin America"), ("argentina", "Latin America"), ("buenos aires", "Latin America"),
+    ("cordoba", "Latin America"), ("rosario", "Latin America"), ("mendoza", "Latin America"),
+    ("la plata", "Latin America"), ("chile", "Latin America"), ("santiago", "Latin America"),
+    ("valparaiso", "Latin America"), ("concepcion", "Latin America"), ("colombia", "Latin America"),
+    ("bogota", "Latin America"), ("medellin", "Latin America"), ("cali", "Latin America"),
+    ("barranquilla", "Latin America"), ("cartagena", "Latin America"), ("peru", "Latin America"),
+    ("lima", "Latin America"), ("arequipa", "Latin America"), ("trujillo", "Latin America"),
+    ("venezuela", "Latin America"), ("caracas", "Latin America"), ("maracaibo", "Latin America"),
+    ("valencia", "Latin America"), ("ecuador", "Latin America"), ("quito", "Latin America"),
+    ("guayaquil", "Latin America"), ("cuenca", "Latin America"), ("bolivia", "Latin America"),
+    ("la paz", "Latin America"), ("santa cruz", "Latin America"), ("cochabamba", "Latin America"),
+    ("paraguay", "Latin America"), ("asuncion", "Latin America"), ("uruguay", "Latin America"),
+    ("montevideo", "Latin America"), ("guyana", "Latin America"), ("georgetown", "Latin America"),
+    ("suriname", "Latin America"), ("paramaribo", "Latin America"), ("french guiana", "Latin America"),
+    ("cayenne", "Latin America"), ("guatemala", "Latin America"), ("guatemala city", "Latin America"),
+    ("honduras", "Latin America"), ("tegucigalpa", "Latin America"), ("el salvador", "Latin America"),
+    ("san salvador", "Latin America"), ("nicaragua", "Latin America"), ("managua", "Latin America"),
+    ("costa rica", "Latin America"), ("san jose", "Latin America"), ("panama", "Latin America"),
+    ("panama city", "Latin America"), ("belize", "Latin America"), ("belmopan", "Latin America"),
+    ("cuba", "Latin America"), ("havana", "Latin America"), ("jamaica", "Latin America"), ("kingston", "Latin America"),
+    ("haiti", "Latin America"), ("port-au-prince", "Latin America"), ("dominican republic", "Latin America"),
+    ("santo domingo", "Latin America"), ("puerto rico", "Latin America"), ("san juan", "Latin America"),
+    ("trinidad and tobago", "Latin America"), ("port of spain", "Latin America"), ("barbados", "Latin America"),
+    ("bridgetown", "Latin America"), ("bahamas", "Latin America"), ("nassau", "Latin America"),
+    ("dominica", "Latin America"), ("roseau", "Latin America"), ("grenada", "Latin America"),
+    ("saint georges", "Latin America"), ("saint lucia", "Latin America"), ("castries", "Latin America"),
+    ("saint vincent and the grenadines", "Latin America"), ("kingstown", "Latin America"),
+    ("antigua and barbuda", "Latin America"), ("saint johns", "Latin America"),
+    ("saint kitts and nevis", "Latin America"), ("basseterre", "Latin America"), ("mena", "MENA"),
+    ("middle east", "MENA"), ("gulf", "MENA"), ("saudi arabia", "MENA"), ("saudi", "MENA"), ("riyadh", "MENA"),
+    ("jeddah", "MENA"), ("mecca", "MENA"), ("medina", "MENA"), ("dammam", "MENA"), ("taif", "MENA"), ("tabuk", "MENA"),
+    ("united arab emirates", "MENA"), ("uae", "MENA"), ("dubai", "MENA"), ("abu dhabi", "MENA"), ("sharjah", "MENA"),
+    ("ajman", "MENA"), ("ras al khaimah", "MENA"), ("fujairah", "MENA"), ("qatar", "MENA"), ("doha", "MENA"),
+    ("al rayyan", "MENA"), ("kuwait", "MENA"), ("kuwait city", "MENA"), ("al ahmadi", "MENA"), ("bahrain", "MENA"),
+    ("manama", "MENA"), ("muharraq", "MENA"), ("oman", "MENA"), ("muscat", "MENA"), ("salalah", "MENA"),
+    ("yemen", "MENA"), ("sanaa", "MENA"), ("aden", "MENA"), ("iraq", "MENA"), ("baghdad", "MENA"), ("basra", "MENA"),
+    ("mosul", "MENA"), ("iran", "MENA"), ("tehran", "MENA"), ("mashhad", "MENA"), ("isfahan", "MENA"),
+    ("syria", "MENA"), ("damascus", "MENA"), ("aleppo", "MENA"), ("lebanon", "MENA"), ("beirut", "MENA"),
+    ("tripoli", "MENA"), ("jordan", "MENA"), ("amman", "MENA"), ("zarqa", "MENA"), ("israel", "MENA"),
+    ("jerusalem", "MENA"), ("tel aviv", "MENA"), ("haifa", "MENA"), ("beersheba", "MENA"), ("netanya", "MENA"),
+    ("palestine", "MENA"), ("gaza", "MENA"), ("ramallah", "MENA"), ("west bank", "MENA"), ("east jerusalem", "MENA"),
+    ("turkey", "MENA"), ("ankara", "MENA"), ("istanbul", "MENA"), ("izmir", "MENA"), ("bursa", "MENA"),
+    ("antalya", "MENA"), ("cyprus", "MENA"), ("nicosia", "MENA"), ("limassol", "MENA"), ("egypt", "MENA"),
+    ("cairo", "MENA"), ("alexandria", "MENA"), ("giza", "MENA"), ("luxor", "MENA"), ("aswan", "MENA"),
+    ("libya", "MENA"), ("tripoli", "MENA"), ("benghazi", "MENA"), ("tunisia", "MENA"), ("tunis", "MENA"),
+    ("sfax", "MENA"), ("algeria", "MENA"), ("algiers", "MENA"), ("oran", "MENA"), ("morocco", "MENA"),
+    ("casablanca", "MENA"), ("rabat", "MENA"), ("fes", "MENA"), ("marrakech", "MENA"), ("agadir", "MENA"),
+    ("mauritania", "MENA"), ("nouakchott", "MENA"), ("nouadhibou", "MENA"), ("western sahara", "MENA"),
+    ("laayoune", "MENA"), ("dakhla", "MENA"), ("sudan", "MENA"), ("khartoum", "MENA"), ("port sudan", "MENA"),
+    ("south sudan", "MENA"), ("juba", "MENA"), ("wau", "MENA"), ("ethiopia", "MENA"), ("addis ababa", "MENA"),
+    ("dire dawa", "MENA"), ("eritrea", "MENA"), ("asmara", "MENA"), ("massawa", "MENA"), ("djibouti", "MENA"),
+    ("djibouti city", "MENA"), ("ali sabieh", "MENA"), ("somalia", "MENA"), ("mogadishu", "MENA"), ("hargeisa", "MENA"),
+    ("somaliland", "MENA"), ("berbera", "MENA"),
 ]
 
-MAX_LEXICON_ROWS = 20_000
 
-
-def rows_of(lexicon: DataFrame, max_rows: int = MAX_LEXICON_ROWS) -> list[tuple]:
-    """A lexicon table as rows on the driver; refuses one too large to be compiled into a pattern."""
-    rows = lexicon.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+def rows_of(lexicon: DataFrame, max_rows: int | None = None) -> list[tuple]:
+    """A lexicon table as rows on the driver; with `max_rows`, refuses a larger one."""
+    rows = (lexicon if max_rows is None else lexicon.limit(max_rows + 1)).collect()
+    if max_rows is not None and len(rows) > max_rows:
         raise ValueError(
             f"lexicon has more than {max_rows} rows; use operators.joins.explode_matches instead"
         )

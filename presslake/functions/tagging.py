@@ -101,16 +101,30 @@ def ignore_case(column: Column) -> Column:
     return F.lower(F.translate(column, "İıſ", "iis"))
 
 
-def regions(column: Column, lexicon: Mapping[str, Sequence[str]] | None = None) -> Column:
-    """Sorted regions by whole-word place names; empty without a hit."""
+def regions(column: Column, lexicon: Mapping[str, Sequence[str]] | None = None, block: int = 2_000) -> Column:
+    """Sorted regions by whole-word place names; empty without a hit.
+
+    The terms are taken in blocks of `block`, each compiled into one scan, so a lexicon of any size gives the same regions.
+    """
     by_region = lex.region_lexicon(lex.REGION_TERMS) if lexicon is None else lexicon
-    scanner = TermScanner({t: WHOLE_WORD for terms in by_region.values() for t in terms})
-    entries = [(region, by_region[region]) for region in sorted(by_region)]
+    listed = [(region, term) for region in sorted(by_region) for term in by_region[region]]
 
-    def tag(hits: Column) -> Column:
-        return F.when(F.size(hits) == 0, no_strings()).otherwise(scanner.values(hits, entries))
+    def found(low: Column, part: list[tuple[str, str]]) -> Column:
+        scanner = TermScanner({t: WHOLE_WORD for _, t in part})
+        entries = [(region, [t for r, t in part if r == region]) for region in sorted({r for r, _ in part})]
 
-    return bind(scanner.hits(F.lower(_text(column))), tag)
+        def tag(hits: Column) -> Column:
+            return F.when(F.size(hits) == 0, no_strings()).otherwise(scanner.values(hits, entries))
+
+        return bind(scanner.hits(low), tag)
+
+    low = F.lower(_text(column))
+    parts = [listed[at : at + block] for at in range(0, len(listed), block)]
+    if not parts:
+        return no_strings()
+    if len(parts) == 1:
+        return found(low, parts[0])
+    return bind(low, lambda text: F.array_sort(F.array_distinct(F.concat(*[found(text, part) for part in parts]))))
 
 
 def tag_article(

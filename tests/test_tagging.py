@@ -137,3 +137,21 @@ def test_lexicon_lengths():
     assert (len(lex.NEWS_KEYWORDS), len(set(lex.NEWS_KEYWORDS))) == (63, 62)
     assert (len(lex.COUNTRY_TERMS), len(lex.POLITICAL_TERMS)) == (36, 46)
     assert re.fullmatch("[a-z -]+", "".join(lex.POLITICAL_TERMS))
+
+
+def test_whole_region_lexicon(spark):
+    assert len(lex.REGION_TERMS) == 342 and len({t for t, _ in lex.REGION_TERMS}) == 311
+    places = {"Abuja": ["Africa"], "Cape Town": ["Africa"], "Dakar, Senegal": ["Africa"], "Cuenca": ["Latin America"], "Tripoli": ["MENA"], "Oslo": []}
+    rows = spark.createDataFrame([(p,) for p in places], "text string").select("text", T.regions(F.col("text")).alias("found")).collect()
+    assert {r.text: r.found for r in rows} == places
+
+
+def test_region_lexicon_table_of_many_rows(spark):
+    table = spark.range(21_000).selectExpr("concat('place', id) AS term", "concat('r', id % 3) AS region", "id AS position")
+    regions = lex.region_lexicon(table)
+    assert sum(map(len, regions.values())) == 21_000
+    small = {r: terms[:7] for r, terms in regions.items()}
+    df = spark.createDataFrame([("place20 and place1 or place0",), ("none",), (None,)], "text string")
+    for block in (4, 2_000):
+        found = [r[0] for r in df.select(T.regions(F.col("text"), small, block)).collect()]
+        assert found == [["r0", "r1", "r2"], [], []]
