@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import bagminhash, bpe, decontam, exact_dedup, extract, kneser_ney, licenses, secrets, toxicity, urls
+from presslake.llm import bagminhash, bpe, decontam, exact_dedup, extract, kneser_ney, licenses, merkle, secrets, toxicity, urls
 from presslake.llm.common import read_table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,3 +165,78 @@ def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
     trusted = read_table(spark, sf_dir, "labels", ["doc_id", "quality"]).filter("quality = 1")
     return kneser_ney.judge_quality(docs, trusted)
+
+
+def _merkle_sql(depth: int = 6, source_depth: int = 4) -> str:
+    """The manifest in SQL: `depth` levels, for up to 16 ** depth rows of a source."""
+    fields = " || ".join(
+        f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in merkle.LEAF_COLUMNS
+    )
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # CRC-32 of the decimal number, a byte and a bit at a time.
+    bits = "list_reduce([xor(c, b)] || [0::BIGINT for z in range(8)], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    crc = (
+        "xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), "
+        f"lambda d: ascii(d)::BIGINT), lambda c, b: {bits}), 4294967295)"
+    )
+    ctes = [
+        f"rows AS (SELECT doc_id, source, sha256({fields}) AS leaf, CASE WHEN {crc} % 5 = 0 THEN "
+        f"sha256({fields.replace('text::VARCHAR', lower)}) END AS probed FROM documents)",
+        """l0 AS (SELECT source AS g, doc_id, probed, leaf AS digest, count(*) OVER (PARTITION BY source) AS n,
+          row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM rows)""",
+    ]
+
+    def levels(name: str, count: int) -> None:
+        for i in range(count):
+            ctes.append(
+                f"{name}r{i} AS (SELECT g, place // 16 AS node, any_value(n) AS n, list(digest ORDER BY place) AS kids "
+                f"FROM {name}{i} GROUP BY ALL)"
+            )
+            ctes.append(
+                f"{name}{i + 1} AS (SELECT g, node AS place, (n + 15) // 16 AS n, CASE WHEN n = 1 THEN kids[1] "
+                f"ELSE sha256(array_to_string(kids, '')) END AS digest FROM {name}r{i})"
+            )
+
+    def steps(name: str, count: int, start: str, place: str, group: str) -> str:
+        """Adds a level's siblings to `proof` and folds `folded`, level by level."""
+        last = start
+        for i in range(count):
+            node = f"({place} // {16 ** i})"
+            before = f"array_to_string(kids[1:({node} % 16)], '')"
+            after = f"array_to_string(kids[({node} % 16 + 2):], '')"
+            ctes.append(
+                f"{name}s{i} AS (SELECT s.* EXCLUDE (proof, folded), CASE WHEN r.n = 1 THEN proof ELSE proof || {before} || {after} END "
+                f"AS proof, CASE WHEN r.n = 1 THEN folded ELSE sha256({before} || folded || {after}) END AS folded "
+                f"FROM {last} s JOIN {name}r{i} r ON r.g IS NOT DISTINCT FROM s.{group} AND r.node = {node} // 16)"
+            )
+            last = f"{name}s{i}"
+        return last
+
+    levels("l", depth)
+    ctes.append(
+        f"t0 AS (SELECT 0 AS g, g AS name, digest, count(*) OVER () AS n, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS place FROM l{depth})"
+    )
+    levels("t", source_depth)
+    ctes.append("start AS (SELECT *, '' AS proof, coalesce(probed, digest) AS folded FROM l0)")
+    low = steps("l", depth, "start", "s.place", "g")
+    ctes.append(
+        f"mid AS (SELECT s.* EXCLUDE (place, n, g), 0 AS g, t.place, t.digest AS subroot FROM {low} s JOIN t0 t ON t.name IS NOT DISTINCT FROM s.g)"
+    )
+    high = steps("t", source_depth, "mid", "s.place", "g")
+    return f"""WITH {', '.join(ctes)}
+    SELECT doc_id, s.digest AS leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+           folded = t.digest AS verified FROM {high} s JOIN t{source_depth} t ON true"""
+
+
+@query("op12_merkle_manifest", _merkle_sql())
+def merkle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and what a changed text folds to."""
+    docs = read_table(spark, sf_dir, "documents", list(merkle.LEAF_COLUMNS))
+
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = merkle.manifest(docs, changed={"text": lowered}, changed_where=picked)
+    folded = merkle.fold(F.coalesce("probed", "leaf"), F.col("proof"))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
