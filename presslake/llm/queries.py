@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm import bagminhash, bpe, decontam, exact_dedup, extract, kneser_ney, licenses, merkle, secrets, toxicity, urls
+from presslake.llm import bagminhash, bpe, decontam, exact_dedup, extract, kneser_ney, licenses, merkle, secrets, toxicity, urls, whitening
 from presslake.llm.common import read_table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,3 +240,21 @@ def merkle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root")
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_whitening")
+def whitening_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the first eight components."""
+    vectors = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    rows, found = whitening.whiten(vectors, components=8)
+    shares = F.array(*(F.lit(float(e)) for e in found.explained)) if found else F.array().cast("array<double>")
+    each = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(found.n if found else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("place")).alias("explained"),
+        F.lit(found.identity_error if found else 0.0).alias("identity_error"),
+    )
