@@ -25,8 +25,9 @@ from presslake.llm.common import fresh, staged
 BLOCK = 4096
 #: Spectra that one task combines.
 ARITY = 8
-#: Bisections of a root's interval.
-HALVINGS = 60
+#: Bisections of a root's interval, and the least distance of a root from its pole as a share of it.
+HALVINGS = 72
+SMALLEST = 2.0**-200
 EPS = np.finfo(float).eps
 #: Largest absolute value of an entry.
 LARGEST = 2.0**52
@@ -137,14 +138,15 @@ def secular_roots(poles: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, n
     upper = f(own, half) < 0
     upper[-1] = False
     nearest = np.where(upper, own + 1, own)
-    low = np.where(upper, -half, 0.0)
-    high = np.where(upper, 0.0, np.append(half[:-1], gaps[-1]))
-    for _ in range(HALVINGS):
-        mid = (low + high) / 2
-        right = f(nearest, mid) < 0
-        low, high = np.where(right, mid, low), np.where(right, high, mid)
-    # The end that is not a pole.
-    return nearest, np.where(upper, low, high)
+    sign = np.where(upper, -1.0, 1.0)
+    high = np.append(half[:-1], gaps[-1])
+    low = high * SMALLEST
+    # A root may lie very close to its pole: its magnitude is halved first, then its interval.
+    for step in range(HALVINGS):
+        mid = np.sqrt(low) * np.sqrt(high) if step < HALVINGS // 2 else (low + high) / 2
+        outside = (f(nearest, sign * mid) < 0) == (sign > 0)
+        low, high = np.where(outside, mid, low), np.where(outside, high, mid)
+    return nearest, sign * (low + high) / 2
 
 
 def _matching_weights(poles: np.ndarray, away: np.ndarray, weights: np.ndarray) -> np.ndarray:
