@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from presslake.catalog import sql as S
-from presslake.catalog.corpus import ARTICLES, AS_OF, articles, load, spread_articles
+from presslake.catalog.corpus import ARTICLES, AS_OF, articles, load, quoted, spread_articles
 from presslake.catalog.registry import query
 from presslake.catalog.tag_queries import tagged
 from presslake.functions import dates as D
@@ -15,7 +15,8 @@ from presslake.functions import lexicons as lex
 from presslake.functions import predicates as P
 from presslake.functions import tagging as T
 from presslake.functions import text as X
-from presslake.operators import dedup, index, joins, rollups, search
+from presslake.operators import dedup, index, joins, rollups, search, search_index
+from presslake.session import scratch_dir
 from presslake.sources import store
 
 NOW = datetime.fromisoformat(AS_OF)
@@ -147,6 +148,28 @@ def faceted_search(spark, sf_dir):
     return news.select("doc_id", "url").unionByName(bills.select("doc_id", "url"))
 
 
+SEARCH_TERMS = ["lithium and", "RESULTS", "ai", "ü", "e", "s: ", "not in any text", "project grows</p>", "in the "]
+
+
+@query(
+    "indexed_search",
+    f"""SELECT terms.term, doc_id, title, CAST(collection_date AS VARCHAR) AS day FROM articles, (VALUES {', '.join(f"({quoted(t)})" for t in SEARCH_TERMS)}) AS terms(term)
+WHERE contains(lower(title), lower(terms.term)) OR contains(lower(description), lower(terms.term))
+UNION ALL SELECT 'on a day', doc_id, title, CAST(collection_date AS VARCHAR) FROM articles
+WHERE collection_date = DATE '2025-11-04' AND (contains(lower(title), 'gas') OR contains(lower(description), 'gas'))""",
+    [ARTICLES],
+)
+def indexed_search(spark, sf_dir):
+    """All articles indexed in three batches, one of them sent twice, and searched for terms of all lengths."""
+    path = scratch_dir(spark, "search-index")
+    df = articles(spark, sf_dir).select("doc_id", "title", "description", "collection_date")
+    for part in (0, 1, 1, 2):
+        search_index.append(df.where(F.pmod("doc_id", F.lit(3)) == part), path, f"batch {part}")
+    day = search_index.search(spark, path, "gas", date="2025-11-04").withColumn("term", F.lit("on a day"))
+    rows = search_index.search_terms(spark, path, SEARCH_TERMS).unionByName(day)
+    return rows.select("term", "doc_id", "title", F.col("collection_date").cast("string").alias("day"))
+
+
 @query(
     "archive_search",
     """SELECT doc_id, url FROM articles WHERE collection_date = DATE '2025-11-04'

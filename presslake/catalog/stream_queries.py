@@ -10,17 +10,26 @@ from presslake.catalog.corpus import ARTICLES, AS_OF, as_articles, load
 from presslake.catalog.registry import query
 from presslake.catalog.sql import PARSED
 from presslake.session import scratch_dir
-from presslake.streaming import ingest
+from presslake.streaming import dedupe, ingest
 
 
 BATCHES = 4
 
 
-def _stream(df, work):
+def _stream(df, work, name="in", batches=BATCHES):
     """A table as a stream of several batches whose times are mixed: files by hash, one file a batch."""
-    shuffled = df.withColumn("file", F.pmod(F.xxhash64(*df.columns), F.lit(BATCHES)))
-    shuffled.repartition(BATCHES, "file").drop("file").write.parquet(f"{work}/in")
-    return ingest.ingest_stream(df.sparkSession, f"{work}/in", df.schema, max_files=1)
+    shuffled = df.withColumn("file", F.pmod(F.xxhash64(*df.columns), F.lit(batches)))
+    shuffled.repartition(batches, "file").drop("file").write.mode("append").parquet(f"{work}/{name}")
+    return ingest.ingest_stream(df.sparkSession, f"{work}/{name}", df.schema, max_files=1)
+
+
+def _half(df, n):
+    return df.where(F.pmod(F.xxhash64(F.lit(1), *df.columns), F.lit(2)) == n)
+
+
+def _urls(spark, path):
+    out = spark.read.schema("url string, collection_date date").parquet(path)
+    return out.withColumn("collection_date", F.col("collection_date").cast("string"))
 
 
 @query(
@@ -29,13 +38,13 @@ def _stream(df, work):
     [ARTICLES],
 )
 def stream_dedupe(spark, sf_dir):
-    """URLs of several batches in mixed time order, each kept once."""
+    """URLs of several batches in mixed time order, each kept once, by two runs that know nothing of each other."""
     work = scratch_dir(spark, "stream-dedupe")
     slim = as_articles(load(spark, sf_dir, "documents")).select("url", "collection_date")
-    writer = ingest.append_new(_stream(slim, work), f"{work}/out", ["url"], "collection_date")
-    ingest.run_to_end(writer, f"{work}/checkpoint")
-    out = spark.read.schema("url string, collection_date date").parquet(f"{work}/out")
-    return out.withColumn("collection_date", F.col("collection_date").cast("string"))
+    for run in (0, 1):
+        stream = _stream(_half(slim, run), work, f"in{run}", 2)
+        ingest.run_to_end(ingest.append_new(stream, f"{work}/out", ["url"], "collection_date"), f"{work}/checkpoint{run}")
+    return _urls(spark, f"{work}/out")
 
 
 @query(
@@ -44,7 +53,7 @@ def stream_dedupe(spark, sf_dir):
   CAST(count(*) AS BIGINT) AS articles FROM events GROUP BY ALL""",
 )
 def stream_daily_counts(spark, sf_dir):
-    """Events of several batches in mixed time order, counted by day."""
+    """Events of several batches in mixed time order, counted by day by two runs of different files."""
     events = load(spark, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("ts"),
         F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("source"),
@@ -52,11 +61,56 @@ def stream_daily_counts(spark, sf_dir):
     )
     by = ["source", "event_type"]
     work = scratch_dir(spark, "stream-counts")
-    ingest.run_to_end(ingest.add_counts(_stream(events, work), f"{work}/out", by), f"{work}/checkpoint")
+    for run in (0, 1):
+        stream = _stream(_half(events, run), work, f"in{run}", 2)
+        ingest.run_to_end(ingest.add_counts(stream, f"{work}/out", by), f"{work}/checkpoint{run}")
     latest = ingest.total_counts(spark, f"{work}/out", by)
     return latest.withColumn("day", F.col("day").cast("string"))
 
 
+@query(
+    "stream_fresh",
+    """SELECT CAST(collection_date AS VARCHAR) AS day, lang, CAST(count(DISTINCT url) AS BIGINT) AS urls, CAST(count(*) AS BIGINT) AS articles
+FROM (SELECT *, collection_date IN (SELECT collection_date FROM articles WHERE lang = 'en' AND collection_date < DATE '2025-11-08') AS again FROM articles)
+WHERE CASE WHEN again THEN lang = 'en' ELSE lang <> 'de' END GROUP BY ALL""",
+    [ARTICLES],
+)
+def stream_fresh(spark, sf_dir):
+    """A run without German articles, then a fresh one over a week of English ones: only its days are replaced."""
+    work = scratch_dir(spark, "stream-fresh")
+    slim = as_articles(load(spark, sf_dir, "documents")).select("url", "lang", "collection_date", F.col("collection_date").cast("timestamp").alias("ts"))
+    parts = {False: slim.where("lang <> 'de'"), True: slim.where("lang = 'en' AND collection_date < DATE '2025-11-08'")}
+    for fresh, rows in parts.items():
+        stream = _stream(rows, work, f"in-{fresh}", 2)
+        urls = ingest.append_new(stream.drop("ts"), f"{work}/urls", ["url", "lang"], "collection_date", fresh=fresh)
+        ingest.run_to_end(urls, f"{work}/urls-{fresh}")
+        ingest.run_to_end(ingest.add_counts(stream, f"{work}/counts", ["lang"], fresh=fresh), f"{work}/counts-{fresh}")
+    urls = spark.read.schema("url string, lang string, collection_date date").parquet(f"{work}/urls")
+    urls = urls.groupBy(F.col("collection_date").alias("day"), "lang").agg(F.count_distinct("url").alias("urls"))
+    both = urls.join(ingest.total_counts(spark, f"{work}/counts", ["lang"]), ["day", "lang"], "full")
+    return both.withColumn("day", F.col("day").cast("string"))
+
+
+@query(
+    "stream_state",
+    """SELECT DISTINCT url, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM (
+  SELECT 'https://src' || (user_id % 20) || '.example.org/' || event_type || '/' || (event_id % 50) AS url, ts FROM events)""",
+)
+def stream_state(spark, sf_dir):
+    """Fetched URLs, each once per day by keyed state: mixed batches, a restart with more files, then a run from the beginning."""
+    source = F.concat(F.lit("https://src"), (F.col("user_id") % 20).cast("string"), F.lit(".example.org/"), "event_type", F.lit("/"))
+    url = F.concat(source, (F.col("event_id") % 50).cast("string"))
+    fetched = load(spark, sf_dir, "events").select(url.alias("url"), F.col("ts").cast("timestamp").alias("ts"))
+    work = scratch_dir(spark, "stream-state")
+    for half, checkpoint in ((0, "a"), (1, "a"), (None, "b")):
+        if half is not None:
+            stream = _stream(_half(fetched, half), work, batches=2)
+        kinds = dedupe.write_kinds(dedupe.first_per_day(stream, ["url"]), f"{work}/out")
+        ingest.run_to_end(kinds, f"{work}/checkpoint-{checkpoint}")
+    out = dedupe.settled(spark, f"{work}/out", ["url"])
+    return out.select("url", F.col("ts").cast("date").cast("string").alias("day"))
+
+
 @query(
     "stream_recent",
     f"""SELECT doc_id, url FROM (SELECT *, {PARSED} AS parsed FROM articles)

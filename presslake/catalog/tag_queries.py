@@ -11,6 +11,7 @@ from presslake.catalog.registry import query
 from presslake.functions import lexicons as lex
 from presslake.functions import tagging as T
 from presslake.functions import text as X
+from presslake.functions.match import WORD
 from presslake.operators import evaluation, joins, rollups
 from presslake.operators.shape import compute_once
 
@@ -173,6 +174,40 @@ def lexicon_join_large(spark, sf_dir):
     return joins.explode_matches(texts, lexicon, "doc_id", "text", block=256)
 
 
+TOKENS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]"
+
+
+@query(
+    "lexicon_join_huge",
+    f"""WITH texts AS (SELECT doc_id AS id, lower(text || ' the eu_x, U.S.A & Moody''s supply chain. ') AS low FROM documents
+  UNION ALL SELECT -1 - conv_id * 1000 - turn, lower(text) FROM conversations),
+cut AS (SELECT id, low, regexp_extract_all(low, '{TOKENS}') AS tokens FROM texts),
+words AS (SELECT id, unnest(list_distinct(list_filter(tokens, lambda t: regexp_matches(t, '^[\\p{{L}}\\p{{N}}_]')))) AS term FROM cut),
+runs AS (SELECT id, unnest(list_distinct(list_transform(list_filter(range(1, len(tokens) - 1),
+    lambda i: regexp_matches(tokens[i], '^[\\p{{L}}\\p{{N}}_]') AND tokens[i + 1] = ' ' AND regexp_matches(tokens[i + 2], '^[\\p{{L}}\\p{{N}}_]')),
+    lambda i: tokens[i] || ' ' || tokens[i + 2]))) AS term FROM cut),
+pairs AS (SELECT DISTINCT term FROM runs WHERE id < 0)
+SELECT term, CAST(count(*) AS BIGINT) AS texts, min(id) AS first_id, max(id) AS last_id FROM (
+  SELECT id, term FROM words UNION ALL SELECT id, term FROM runs JOIN pairs USING (term)
+  UNION ALL SELECT id, unnest({S.found_values('low', [(t, t, S.term_pattern(t)) for t in ODD_TERMS if t != "supply chain" ])}) FROM texts
+  UNION ALL SELECT id, 'supply chain' FROM runs WHERE term = 'supply chain' AND 'supply chain' NOT IN (SELECT term FROM pairs))
+GROUP BY term""".replace("\\\\", "\\"),
+)
+def lexicon_join_huge(spark, sf_dir):
+    """A lexicon of all words of all texts, all pairs of words of the conversations and terms with odd edges, as a table."""
+    odd_text = F.concat(F.lower("text"), F.lit(" the eu_x, U.S.A & Moody's supply chain. "))
+    docs = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), odd_text.alias("text"))
+    talks = load(spark, sf_dir, "conversations").select((-1 - F.col("conv_id") * 1000 - F.col("turn")).alias("id"), F.lower("text").alias("text"))
+    texts = docs.unionByName(talks)
+    parts = lambda df, pattern: df.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(pattern), F.lit(1))).alias("term"))
+    words = parts(texts, f"({WORD}++)")
+    pairs = parts(talks, f"(?<!{WORD})(?=({WORD}++ {WORD}++))")
+    odd = spark.createDataFrame([(t,) for t in ODD_TERMS], "term string")
+    lexicon = words.union(pairs).union(odd).distinct()
+    found = joins.explode_matches(texts, lexicon, "id", "text")
+    return found.groupBy("term").agg(F.count("*").alias("texts"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
 @query(
     "keyword_topics",
     f"""SELECT keyword, topic, CAST(count(*) AS BIGINT) AS articles

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslake.functions import lexicons as lex
-from presslake.functions.match import WHOLE_WORD, TermScanner
+from presslake.functions.match import NOT_WORD, WHOLE_WORD, WORD, TermScanner, bind
 from presslake.operators.shape import compute_once
 
 
@@ -42,12 +42,13 @@ def pending_sources(sources: DataFrame, log: DataFrame, fresh: bool = False) ->
 def attach_content(items: DataFrame, pages: DataFrame, on: str = "url") -> DataFrame:
     """Items with their page's html; items without one are dropped.
 
-    Each page URL occurs once, or once per `fetched_at`, if `pages` has that column: then the latest
-    fetch is taken, for which only keys and times are aggregated.
+    Each page URL occurs once, unless `pages` has a column `fetched_at`: then the latest fetch is taken (a fetch
+    without a time counts as the oldest), of several at the same time the one with the smallest digest.
     """
     if "fetched_at" in pages.columns:
-        latest = pages.groupBy(on).agg(F.max("fetched_at").alias("fetched_at"))
-        pages = pages.join(latest, [on, "fetched_at"])
+        latest = F.row_number().over(Window.partitionBy(on).orderBy(F.col("fetched_at").desc_nulls_last(), F.md5("html")))
+        # Each task keeps one fetch of a URL before the shuffle.
+        pages = pages.withColumn("_fetch", latest).where("_fetch = 1")
     columns = [c for c in pages.columns if c in (on, "html")]
     return items.join(pages.select(*columns), on, "inner")
 
@@ -74,22 +75,64 @@ def explode_matches(
 ) -> DataFrame:
     """One row per text and whole-word lexicon term in it, with the lexicon's columns.
 
-    `lexicon` has a column `term`, each term once in lower case. It is taken in
-    blocks of `block` rows, each compiled into one scan of the texts, so a lexicon
-    of any size gives the same rows; a block is all the driver ever holds.
+    `lexicon` has a column `term`, each term once in lower case. Up to `block` terms are compiled
+    into one scan of the texts; a larger lexicon stays a table, see `join_matches`. Both give the same rows.
     """
-    found, rows = None, []
-    for row in lexicon.toLocalIterator():
-        rows.append(row)
-        if len(rows) == block:
-            found, rows = _add(found, _scan_matches(df, rows, lexicon, key, text)), []
-    if rows or found is None:
-        found = _add(found, _scan_matches(df, rows, lexicon, key, text))
-    return found
+    rows = lexicon.limit(block + 1).collect()
+    if len(rows) <= block:
+        return _scan_matches(df, rows, lexicon, key, text)
+    return join_matches(df, lexicon, key, text)
 
 
-def _add(found: DataFrame | None, more: DataFrame) -> DataFrame:
-    return more if found is None else found.unionByName(more)
+#: Up to so many bytes of terms are broadcast; beyond, both sides are shuffled.
+BROADCAST_BYTES = 32 << 20
+#: Parts a term's texts are spread over in a shuffled join.
+TERM_SALTS = 8
+
+
+def join_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """`explode_matches` for lexicons of any size: texts and terms meet in a hash join.
+
+    A text is a sequence of tokens: words, and single characters of other kinds. A whole-word
+    term is a run of tokens, so each text is cut, in one pass per length that the lexicon has, into all
+    runs of that length that may be a term; each run comes once per text and joins the terms as a table. The driver
+    learns only the lengths. A word that is in most texts would bring all of them to one task: in a shuffled
+    join its texts are spread over `TERM_SALTS` parts, each with its own copy of the terms.
+    """
+    low_term = F.lower("term")
+    tokens = F.size(F.regexp_extract_all(low_term, F.lit(f"{WORD}+|{NOT_WORD}"), F.lit(0)))
+    terms = lexicon.where("term <> ''").withColumn("run", low_term)
+    shapes = terms.select(
+        tokens.alias("tokens"), F.col("run").rlike(f"^{WORD}").alias("first"), F.col("run").rlike(f"{WORD}$").alias("last"),
+        F.octet_length("run").alias("bytes"),
+    )
+    # At most four rows per length.
+    shapes = shapes.groupBy("tokens", "first", "last").agg(F.sum(F.col("bytes") + 64).alias("bytes")).collect()
+    patterns = [_run_pattern(s["tokens"], s["first"], s["last"]) for s in shapes]
+    if not patterns:
+        return _no_matches(df, lexicon, key)
+    low = F.lower(F.coalesce(text, F.lit("")))
+    runs = bind(low, lambda t: F.array_distinct(F.concat(*(F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in patterns))))
+    each = df.select(key, F.explode(runs).alias("run"))
+    if sum(s["bytes"] for s in shapes) <= broadcast_bytes:
+        return each.join(F.broadcast(terms), "run").select(key, *lexicon.columns)
+    each = each.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(TERM_SALTS)).cast("int"))
+    terms = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1))))
+    return each.join(terms.hint("merge"), ["run", "salt"]).select(key, *lexicon.columns)
+
+
+def _run_pattern(tokens: int, first: bool, last: bool) -> str:
+    """All runs of `tokens` tokens, overlapping, that begin and end with a word or with another character.
+
+    Next to a character that is no word, whole-word matching asks for a word outside the run.
+    """
+    word, other = f"{WORD}++", NOT_WORD
+    if tokens == 1:
+        body = word if first else other
+    else:
+        body = (word if first else other) + f"(?:{word}|{other}){{{tokens - 2}}}" + (word if last else other)
+    start = f"(?<!{WORD})" if first else f"(?<={WORD})"
+    return f"{start}(?=({body}){'' if last else f'(?={WORD})'})"
 
 
 def _scan_matches(df: DataFrame, rows: list, lexicon: DataFrame, key: str, text: str) -> DataFrame:
@@ -97,7 +140,7 @@ def _scan_matches(df: DataFrame, rows: list, lexicon: DataFrame, key: str, text:
     # The block's rows, bounded by its size, may be broadcast.
     listed = df.sparkSession.createDataFrame(rows, lexicon.schema)
     if not terms:
-        return df.select(key).join(F.broadcast(listed), F.lit(False)).select(key, *lexicon.columns)
+        return _no_matches(df, lexicon, key)
     scanner = TermScanner({t.lower(): WHOLE_WORD for t in terms})
     hits = scanner.hits(F.lower(F.coalesce(text, F.lit(""))))
     found = compute_once(df.select(key, text), hits=hits).where(F.size("hits") > 0)
@@ -106,6 +149,10 @@ def _scan_matches(df: DataFrame, rows: list, lexicon: DataFrame, key: str, text:
     return each.join(F.broadcast(listed), "term").select(key, *lexicon.columns)
 
 
+def _no_matches(df: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
+    return df.select(key, *(F.lit(None).cast(f.dataType).alias(f.name) for f in lexicon.schema)).limit(0)
+
+
 def keyword_topics(
     df: DataFrame, keywords: str, topics: Mapping[str, Sequence[str]] = lex.TOPIC_TERMS
 ) -> DataFrame:

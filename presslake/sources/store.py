@@ -6,7 +6,6 @@ so a run cut short is repaired by running it again.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,25 +13,17 @@ from presslake.operators.dedup import dedupe_by
 from presslake.operators.joins import drop_stored
 from presslake.schemas import ARTICLE_CONTENT, ARTICLES
 from presslake.session import scratch_dir
+from presslake.sources.tables import read_or_empty
 
 KEY = ["collection_date", "article_id"]
 
 
-def _table(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def articles(spark: SparkSession, base: str) -> DataFrame:
-    return _table(spark, f"{base}/articles", ARTICLES)
+    return read_or_empty(spark, f"{base}/articles", ARTICLES)
 
 
 def contents(spark: SparkSession, base: str) -> DataFrame:
-    return _table(spark, f"{base}/content", ARTICLE_CONTENT)
+    return read_or_empty(spark, f"{base}/content", ARTICLE_CONTENT)
 
 
 def articles_for_date(table: DataFrame, date: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,16 @@ LEGACY_ARTICLE = (
 )
 
 
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table of the given schema, empty if its folder does not exist yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -1,14 +1,15 @@
 """Incremental runs as Structured Streaming queries.
 
-Progress lives in the checkpoint, so a rerun resumes where the last one
-stopped; a fresh run simply uses a new checkpoint.
+Progress lives in the checkpoint, so a rerun resumes where the last one stopped. A new
+checkpoint reads everything again and adds what is missing; `fresh=True` replaces its days.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -17,6 +18,7 @@ from presslake.functions.dates import recent
 from presslake.operators.dedup import dedupe_by
 from presslake.schemas import ARTICLES, FEED_DOCUMENTS
 from presslake.sources import store
+from presslake.sources.tables import read_or_empty
 
 SALTS = 64
 
@@ -31,41 +33,66 @@ def ingest_stream(
     return reader.parquet(path)
 
 
-def append_new(df: DataFrame, path: str, keys: Sequence[str], day: str) -> DataStreamWriter:
+def run_name(batch: DataFrame) -> str:
+    """The name of the streaming query that hands over a batch: kept in its checkpoint, so the same after a restart."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def append_new(df: DataFrame, path: str, keys: Sequence[str], day: str, fresh: bool = False) -> DataStreamWriter:
     """Each key once per day into a table partitioned by `day`, however late its rows come.
 
     No state and no watermark, so nothing is discarded: a batch's rows are held against what
     the table has for the batch's days, and only those partitions are read. A
-    replayed batch adds nothing.
+    replayed batch adds nothing, and so does a new checkpoint over files already read.
+
+    A `fresh` run replaces what earlier runs have stored for its days, and no other day: the first of its batches with a
+    day overwrites that day's partition and notes it in `_claims` beside the table; later ones add to it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        claims = f"{path}/_claims/run={run_name(batch)}"
+        days = batch.select(F.col(day).alias("_day")).distinct()
+        of_day = F.col(day).eqNullSafe(F.col("_day"))
         once = batch.dropDuplicates([day, *keys])
-        if batch_id:
-            stored = spark.read.schema(batch.schema).parquet(path).select(day, *keys)
-            days = batch.select(day).distinct()
-            once = once.join(stored.join(days, day, "left_semi"), [day, *keys], "left_anti")
-        once.write.mode("append" if batch_id else "overwrite").partitionBy(day).parquet(path)
+        if fresh:
+            claimed = read_or_empty(spark, claims, days.schema).withColumnRenamed("_day", "_claimed").distinct()
+            new_days = days.join(claimed, F.col("_day").eqNullSafe(F.col("_claimed")), "left_anti")
+            writer = once.join(new_days, of_day, "left_semi").write.mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+            # After the overwrite, so that a batch cut short is written again.
+            new_days.write.mode("append").parquet(claims)
+        stored = read_or_empty(spark, path, batch.schema).join(days, of_day, "left_semi").select(day, *keys)
+        stored = stored.toDF(*(f"_stored_{i}" for i in range(len(keys) + 1)))
+        same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_stored_{i}")) for i, c in enumerate((day, *keys))))
+        once.join(stored, same, "left_anti").write.mode("append").partitionBy(day).parquet(path)
 
     return df.writeStream.outputMode("append").foreachBatch(write)
 
 
-def add_counts(df: DataFrame, path: str, by: Sequence[str], ts: str = "ts") -> DataStreamWriter:
-    """Rows of each batch per day of `ts` and `by`, under the batch's number; a replayed batch overwrites itself.
+def add_counts(df: DataFrame, path: str, by: Sequence[str], ts: str = "ts", fresh: bool = False) -> DataStreamWriter:
+    """Rows of each batch per day of `ts` and `by`, under its run and number; a replayed batch overwrites itself.
 
-    Days stay open for good: `total_counts` sums what all batches have counted.
+    Days stay open for good: `total_counts` sums what all batches of all runs have counted. What a `fresh` run
+    counts for a day replaces what had been counted for it before.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counted = batch.groupBy(F.col(ts).cast("date").alias("day"), *by).agg(F.count(F.lit(1)).alias("articles"))
-        counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        counted = counted.withColumns({"written": F.current_timestamp(), "fresh": F.lit(fresh)})
+        counted.write.mode("overwrite").parquet(f"{path}/run={run_name(batch)}/batch_id={batch_id}")
 
     return df.writeStream.outputMode("append").foreachBatch(write)
 
 
 def total_counts(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
-    return spark.read.parquet(path).groupBy("day", *by).agg(F.sum("articles").alias("articles"))
+    """Counts per day and `by`, from the first batch on of the last fresh run that had the day, if there was one."""
+    counts = spark.read.parquet(path)
+    begun = counts.where("fresh").groupBy("day", "run").agg(F.min("written").alias("begun"))
+    since = begun.groupBy(F.col("day").alias("fresh_day")).agg(F.max("begun").alias("since"))
+    kept = counts.join(since, F.col("day").eqNullSafe(F.col("fresh_day")), "left")
+    kept = kept.where(F.col("since").isNull() | (F.col("written") >= F.col("since")))
+    return kept.groupBy("day", *by).agg(F.sum("articles").alias("articles"))
 
 
 def dedupe_stream(df: DataFrame, keys: Sequence[str] = ("url",), ts: str = "ts", delay: str = "1 day") -> DataFrame:
