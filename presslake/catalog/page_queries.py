@@ -28,7 +28,7 @@ from presslake.catalog.registry import query
 from presslake.functions import html as H
 from presslake.functions import lexicons as lex
 from presslake.functions import predicates as P
-from presslake.operators import dedup, health, joins, rollups
+from presslake.operators import dedup, health, joins, rollups, streaks
 from presslake.operators import markets as M
 from presslake.sources import feeds
 from presslake.sources.tables import open_markets
@@ -520,3 +520,67 @@ def source_region(spark, sf_dir):
     df = articles(spark, sf_dir).select(F.col("host").alias("source"), "url")
     placed = joins.with_region(df, sources(spark, sf_dir))
     return placed.groupBy("region").agg(F.count("*").alias("articles"), F.count_distinct("url").alias("urls"))
+
+
+# ---------------------------------------------------------------------------
+# Streaks of the fetch log
+# ---------------------------------------------------------------------------
+FETCHES = """fetches AS (
+  SELECT 'src' || (user_id % 20) AS source, ts, event_id AS fetch_id, event_type <> 'error' AND value < 40 AS ok FROM events),
+marked AS (
+  SELECT *, lag(ok) OVER one AS last_ok, lag(ts) OVER one AS last_ts FROM fetches
+  WINDOW one AS (PARTITION BY source ORDER BY ts, fetch_id)),
+islands AS (
+  SELECT *, sum(CASE WHEN last_ok = ok THEN 0 ELSE 1 END) OVER (PARTITION BY source ORDER BY ts, fetch_id ROWS UNBOUNDED PRECEDING) AS island FROM marked),
+streaks AS (
+  SELECT source, ok, min(ts) AS started, max(ts) AS ended, CAST(count(*) AS BIGINT) AS fetches, CASE WHEN island > 1 THEN min(last_ts) END AS before
+  FROM islands GROUP BY source, island, ok)"""
+RATED_AT = "2024-01-31 12:00:00"
+
+
+def fetches(spark, sf_dir):
+    """Every event as a fetch of its user's source: errors and slow answers count as failed."""
+    return load(spark, sf_dir, "events").select(
+        F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("source"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("event_id").alias("fetch_id"),
+        ((F.col("event_type") != "error") & (F.col("value") < 40)).alias("ok"),
+    )
+
+
+def _shown(*names):
+    return ", ".join(f"strftime({n}, '%Y-%m-%d %H:%M:%S') AS {n}" for n in names)
+
+
+def _time(name):
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+
+
+@query(
+    "feed_streaks",
+    f"SELECT source, ok, fetches, {_shown('started', 'ended', 'before')} FROM streaks",
+    [FETCHES],
+)
+def feed_streaks(spark, sf_dir):
+    """All runs of equal outcomes of every source, over slices of time put together."""
+    found = streaks.feed_streaks(fetches(spark, sf_dir))
+    return found.select("source", "ok", "fetches", _time("started"), _time("ended"), _time("before"))
+
+
+@query(
+    "broken_feeds",
+    f"""SELECT *, reason IS NOT NULL AS broken FROM (SELECT *, CASE WHEN current_failure >= 5 THEN 'streak'
+    WHEN hours_since_success IS NULL OR hours_since_success >= 72 THEN 'silent' WHEN success_rate < 0.5 THEN 'rate' END AS reason
+FROM (SELECT source, CAST(sum(fetches) AS BIGINT) AS fetches, CAST(sum(CASE WHEN ok THEN 0 ELSE fetches END) AS BIGINT) AS failures,
+  round(1 - sum(CASE WHEN ok THEN 0 ELSE fetches END) / sum(fetches), 6) AS success_rate,
+  CAST(max(CASE WHEN ok THEN 0 ELSE fetches END) AS BIGINT) AS longest_failure,
+  CAST(arg_max(CASE WHEN ok THEN 0 ELSE fetches END, (ended, started)) AS BIGINT) AS current_failure,
+  strftime(max(CASE WHEN ok THEN ended END), '%Y-%m-%d %H:%M:%S') AS last_success,
+  CAST(floor((epoch(TIMESTAMP '{RATED_AT}') - floor(epoch(max(CASE WHEN ok THEN ended END)))) / 3600) AS BIGINT) AS hours_since_success
+FROM streaks GROUP BY source))""",
+    [FETCHES],
+)
+def broken_feeds(spark, sf_dir):
+    """Success rates of all sources and which are broken, and why."""
+    rates = streaks.feed_rates(streaks.feed_streaks(fetches(spark, sf_dir)), datetime.fromisoformat(RATED_AT))
+    return rates.withColumn("last_success", F.date_format("last_success", "yyyy-MM-dd HH:mm:ss"))
