@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslake.catalog import sql as S
@@ -15,7 +17,7 @@ from presslake.functions import lexicons as lex
 from presslake.functions import predicates as P
 from presslake.functions import tagging as T
 from presslake.functions import text as X
-from presslake.operators import dedup, index, joins, rollups, search, search_index
+from presslake.operators import dedup, index, joins, rollup_store, rollups, search, search_index
 from presslake.session import scratch_dir
 from presslake.sources import store
 
@@ -550,6 +552,40 @@ def keyword_count(spark, sf_dir):
     return _dated(rollups.keyword_count(tagged(spark, sf_dir, "matched_keywords")))
 
 
+ROLLED = """known AS (SELECT *, coalesce(source, 'Unknown') AS named FROM articles),
+days AS (SELECT collection_date AS d, count(*) AS n, count(DISTINCT named) AS s, count(DISTINCT source) AS c, floor(sum(content_length) / 1000) AS k FROM known GROUP BY 1),
+words AS (SELECT collection_date AS d, count(DISTINCT keyword) AS w FROM (SELECT collection_date, unnest(keywords) AS keyword FROM tagged) GROUP BY 1)"""
+
+
+@query(
+    "rollup_incremental",
+    """SELECT 'day' AS what, CAST(d AS VARCHAR) AS key, CAST(n AS BIGINT) AS a, CAST(s AS BIGINT) AS b, CAST(k AS BIGINT) AS c, CAST(coalesce(w, 0) AS BIGINT) AS d FROM days LEFT JOIN words USING (d)
+UNION ALL SELECT 'card', CAST(d AS VARCHAR), n, c, NULL, NULL FROM days
+UNION ALL SELECT 'all', '', count(DISTINCT collection_date), count(*), CAST(floor(sum(content_length) / 1000) AS BIGINT), count(DISTINCT named) FROM known
+UNION ALL SELECT 'source', named, NULL, NULL, NULL, NULL FROM known GROUP BY named
+UNION ALL SELECT 'keyword', keyword, NULL, NULL, NULL, NULL FROM (SELECT DISTINCT unnest(keywords) AS keyword FROM tagged)
+UNION ALL SELECT 'keyword on a day', keyword, NULL, NULL, NULL, NULL FROM (SELECT DISTINCT unnest(keywords) AS keyword FROM tagged WHERE collection_date = DATE '2025-11-04')""",
+    [ARTICLES, S.TAGGED, ROLLED],
+)
+def rollup_incremental(spark, sf_dir):
+    """All rollups after three batches of articles, the second sent twice, from what each batch has counted."""
+    path = scratch_dir(spark, "rollups")
+    df = tagged(spark, sf_dir, "matched_keywords")
+    for part in (0, 1, 1, 2):
+        rollup_store.add_batch(df.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == part), path, f"part-{part}")
+    none, text = F.lit(None).cast("long"), F.col("collection_date").cast("string")
+    totals = rollup_store.archive_totals(spark, path)
+    names = rollup_store.facets(spark, path).select("facet", "value")
+    names = names.union(rollup_store.facets(spark, path, ["2025-11-04"]).where("facet = 'keyword'").select(F.lit("keyword on a day"), "value"))
+    parts = [
+        rollup_store.daily_stats(spark, path).select(F.lit("day").alias("what"), text.alias("key"), "articles", "sources", "length_k", "keywords"),
+        rollup_store.card_stats(spark, path).select(F.lit("card"), text, "articles", "sources", none, none),
+        totals.select(F.lit("all"), F.lit(""), "total_days", "total_articles", "length_k", "unique_sources"),
+        names.select("facet", "value", none, none, none, none),
+    ]
+    return reduce(DataFrame.union, parts).toDF("what", "key", "a", "b", "c", "d")
+
+
 @query(
     "ingest_counts",
     """SELECT coalesce(feed_url, 'all') AS feed_url, CAST(count(*) AS BIGINT) AS saved FROM (SELECT DISTINCT url, min(feed_url) AS feed_url FROM articles GROUP BY url)
