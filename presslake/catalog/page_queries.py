@@ -267,14 +267,66 @@ WHERE doc_id % {DAMAGES} <> 4 AND NOT (doc_id % {DAMAGES} = 2 AND pos = 1)""",
 )
 def feed_items_damaged(spark, sf_dir):
     """The complete items of feeds that are not well-formed."""
-    items = feeds.normalize_items(feeds.explode_feed(damaged_documents(articles(spark, sf_dir))))
+    items = feeds.normalize_items(feeds.explode_feed(damaged_documents(articles(spark, sf_dir)), keep_cut=False))
     return items.select("doc_id", "item_pos", "title", "link")
 
 
+# Where a document ends: in a text, an end tag, a CDATA section (before and within markup), an entity, a start tag, an Atom entry, a title.
+CUTS = 8
+
+
+def cut_documents(df):
+    """Feeds of two items that end in the second one (of one entry for Atom), at a place given by the id."""
+    part = F.regexp_replace(F.substr("text", F.lit(1), (F.col("doc_id") % 50 + 5).cast("int")), "[^A-Za-z ]", "x")
+    first = F.concat(F.lit("<rss><channel><title>c</title><item><title>one</title><link>"), F.col("url"), F.lit("</link></item>"))
+    title = F.concat(F.lit("<item><title>two "), (F.col("doc_id") % 100).cast("string"))
+    linked = F.concat(title, F.lit("</title><link>"), F.col("url"), F.lit("?two"))
+    described = F.concat(linked, F.lit("</link><description>"))
+    ends = [
+        F.concat(described, part),
+        F.concat(linked, F.lit("</li")),
+        F.concat(described, F.lit("<![CDATA["), part, F.lit("]")),
+        F.concat(described, F.lit("<![CDATA["), part, F.lit(" <b")),
+        F.concat(described, part, F.lit("&am")),
+        F.concat(linked, F.lit("</link><media:thumbnail u:r='x'/><pubDate")),
+        None,
+        title,
+    ]
+    atom = F.concat(
+        F.lit("<feed><entry><title>two "), (F.col("doc_id") % 100).cast("string"), F.lit('</title><link href="'), F.col("url"),
+        F.lit('?two"/><summary>'), part,
+    )
+    kind = F.col("doc_id") % CUTS
+    xml = F.when(kind == 6, atom)
+    for i, end in enumerate(ends):
+        if end is not None:
+            xml = xml.when(kind == i, F.concat(first, end))
+    return df.select("doc_id", xml.alias("xml"))
+
+
+@query(
+    "feed_items_cut",
+    f"""WITH cut AS (SELECT a.doc_id, a.doc_id % {CUTS} AS kind, url, 'two ' || (a.doc_id % 100) AS title,
+  regexp_replace(substr(text, 1, CAST(a.doc_id % 50 + 5 AS INTEGER)), '[^A-Za-z ]', 'x', 'g') AS part FROM articles_text a)
+SELECT doc_id, CAST(0 AS INTEGER) AS item_pos, 'one' AS title, url AS link, '' AS description FROM cut WHERE kind <> 6
+UNION ALL SELECT doc_id, CAST(CASE WHEN kind = 6 THEN 0 ELSE 1 END AS INTEGER), title, CASE WHEN kind <> 7 THEN url || '?two' END,
+  CASE kind WHEN 0 THEN part WHEN 2 THEN part WHEN 3 THEN part || ' ' WHEN 4 THEN part WHEN 6 THEN part ELSE '' END FROM cut""".replace(
+        "WITH cut AS", "SELECT * FROM (WITH cut AS"
+    ).replace("ELSE '' END FROM cut", "ELSE '' END FROM cut)"),
+    [ARTICLES, "articles_text AS (SELECT a.*, d.text FROM articles a JOIN documents d USING (doc_id))"],
+)
+def feed_items_cut(spark, sf_dir):
+    """Items of feeds that end in the middle of one: it keeps the fields it has."""
+    text = load(spark, sf_dir, "documents").select("doc_id", "text")
+    df = articles(spark, sf_dir).select("doc_id", "url").join(text, "doc_id")
+    items = feeds.normalize_items(feeds.explode_feed(cut_documents(df)))
+    return items.select("doc_id", "item_pos", "title", "link", "description")
+
+
 @query("feeds_unreadable", f"SELECT doc_id FROM articles WHERE doc_id % {DAMAGES} = 4", [ARTICLES])
 def feeds_unreadable(spark, sf_dir):
     """Documents that give no item at all."""
-    return feeds.unreadable(damaged_documents(articles(spark, sf_dir))).select("doc_id")
+    return feeds.unreadable(damaged_documents(articles(spark, sf_dir)), keep_cut=False).select("doc_id")
 
 
 # ---------------------------------------------------------------------------

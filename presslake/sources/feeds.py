@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presslake.functions.match import bind
 from presslake.operators.shape import compute_once
 
 _LINK = "array<struct<_VALUE: string, _href: string>>"
@@ -28,11 +29,12 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("feed_url"), F.col("value").alias("xml"))
 
 
-def explode_feed(documents: DataFrame, xml_col: str = "xml") -> DataFrame:
+def explode_feed(documents: DataFrame, xml_col: str = "xml", keep_cut: bool = True) -> DataFrame:
     """One row per item in document order; a document without items gives its Atom entries.
 
     A document that is not well-formed gives the items that are complete in it, each
-    repaired on its own (`salvaged`). The document itself is dropped from the output.
+    repaired on its own (`salvaged`), and with `keep_cut` the one in which it ends, with the fields
+    and the part of a field that are there. The document itself is dropped from the output.
     """
     parsed = F.from_xml(F.col(xml_col), FEED_SCHEMA, XML_OPTIONS)
     keep = [c for c in documents.columns if c != xml_col]
@@ -41,7 +43,7 @@ def explode_feed(documents: DataFrame, xml_col: str = "xml") -> DataFrame:
     )
     empty = F.array().cast(f"array<{_ITEM}>")
     items = F.concat(F.coalesce(nested, empty), F.coalesce(F.col("feed.item"), empty))
-    items = F.when(_is_feed(F.col("feed")), items).otherwise(salvaged(F.col(xml_col)))
+    items = F.when(_is_feed(F.col("feed")), items).otherwise(salvaged(F.col(xml_col), keep_cut))
     return (
         compute_once(compute_once(documents, feed=parsed), items=items, entries=F.col("feed.entry"))
         .select(
@@ -67,18 +69,49 @@ def repaired(markup: Column) -> Column:
     return F.regexp_replace(names, r"(\s[A-Za-z][\w.-]*):([A-Za-z][\w.-]*\s*=)", "$1_$2")
 
 
-def salvaged(xml: Column) -> Column:
-    """The complete item and entry elements of a document that is not well-formed, each parsed by itself."""
-    elements = F.regexp_extract_all(F.coalesce(xml, F.lit("")), F.lit(ELEMENT), F.lit(0))
+def salvaged(xml: Column, keep_cut: bool = False) -> Column:
+    """The complete item and entry elements of a document that is not well-formed, each parsed by itself, and the cut one."""
+    markup = F.coalesce(xml, F.lit(""))
+    elements = F.regexp_extract_all(markup, F.lit(ELEMENT), F.lit(0))
+    if keep_cut:
+        elements = bind(closed(markup), lambda last: F.when(last != "", F.concat(elements, F.array(last))).otherwise(elements))
     each = F.transform(elements, lambda e: F.from_xml(repaired(e), _ITEM, XML_OPTIONS))
     return F.filter(each, lambda x: x["title"].isNotNull() | x["link"].isNotNull())
 
 
-def unreadable(documents: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """Documents that neither parse nor hold a complete item."""
+def closed(markup: Column) -> Column:
+    """The item in which a document ends, with all that is open in it closed; empty if there is none.
+
+    What stands of a tag, an entity or a CDATA mark at the cut is dropped; text of a field that was cut is kept.
+    """
+    behind = F.regexp_replace(markup, r"(?is)^.*</(?:item|entry)\s*>", "")
+    item = F.regexp_extract(behind, r"(?is)<(?:item|entry)(?=[\s>])[^>]*>.*$", 0)
+    in_cdata = item.contains("<![CDATA[") & ~F.substring_index(item, "<![CDATA[", -1).contains("]]>")
+    ended = F.when(in_cdata, F.concat(F.regexp_replace(item, r"\]{1,2}$", ""), F.lit("]]>"))).otherwise(item)
+    # As `repaired` reads it: what CDATA holds is markup.
+    plain = F.regexp_replace(F.regexp_replace(ended, CDATA, "$1"), "(?s)<!--.*?-->", "")
+    whole = F.regexp_replace(F.regexp_replace(plain, "<[^<>]*$", ""), "&#?[A-Za-z0-9]*$", "")
+
+    def close(text: Column) -> Column:
+        tags = F.regexp_extract_all(text, F.lit(r"<(/?[A-Za-z_][\w.:-]*)(?:\s[^<>]*)?(?<!/)>"), F.lit(1))
+        # Open elements, the innermost first.
+        still = F.aggregate(
+            tags,
+            F.array().cast("array<string>"),
+            lambda up, tag: F.when(~tag.startswith("/"), F.concat(F.array(tag), up))
+            .when(F.get(up, 0) == F.substr(tag, F.lit(2)), F.slice(up, 2, F.greatest(F.size(up) - 1, F.lit(0))))
+            .otherwise(up),
+        )
+        return F.concat(text, F.array_join(F.transform(still, lambda tag: F.concat(F.lit("</"), tag, F.lit(">"))), ""))
+
+    return bind(whole, close)
+
+
+def unreadable(documents: DataFrame, xml_col: str = "xml", keep_cut: bool = True) -> DataFrame:
+    """Documents that neither parse nor hold an item (a complete one, without `keep_cut`)."""
     feed = F.from_xml(F.col(xml_col), FEED_SCHEMA, XML_OPTIONS)
     checked = compute_once(documents, feed=feed)
-    bad = checked.where(~_is_feed(F.col("feed")) & (F.size(salvaged(F.col(xml_col))) == 0))
+    bad = checked.where(~_is_feed(F.col("feed")) & (F.size(salvaged(F.col(xml_col), keep_cut)) == 0))
     return bad.drop("feed")
 
 
