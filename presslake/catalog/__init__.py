@@ -6,6 +6,7 @@ def load_all() -> None:
     from presslake.catalog import (  # noqa: F401
         article_queries,
         page_queries,
+        report_queries,
         run_queries,
         stream_queries,
         tag_queries,
