@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 from html.entities import html5
 from html.parser import HTMLParser
+from itertools import accumulate
 
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -57,10 +59,10 @@ def _selector_test(selector: str) -> Callable[[str, dict], bool]:
 
 
 class _Taken:
-    """One selected element: its text pieces and where it lies in the source."""
+    """One selected element: where it lies in the source, and which of the page's text pieces are its own."""
 
-    def __init__(self, start: int):
-        self.start, self.end, self.pieces = start, None, []
+    def __init__(self, start: int, first: int):
+        self.start, self.end, self.first, self.last = start, None, first, first
 
 
 class PageReader(HTMLParser):
@@ -74,7 +76,9 @@ class PageReader(HTMLParser):
         self.found: dict[str, list[_Taken]] = {s: [] for s in selectors}
         self.dropped: list[tuple[int, int]] = []
         self.stack: list[tuple[str, list[_Taken]]] = []
-        self.open: list[_Taken] = []
+        self.depth: Counter[str] = Counter()
+        # Elements lie within each other, so what one of them holds is a range of these.
+        self.pieces: list[str] = []
         self.drop_depth = self.unseen = 0
         self.drop_start = 0
         self.buffer: list[str] = []
@@ -87,6 +91,15 @@ class PageReader(HTMLParser):
         self._flush()
         while self.stack:
             self._pop(self.size)
+        stripped = [piece.strip() for piece in self.pieces]
+        self.shown = [piece for piece in stripped if piece]
+        self.before = [0, *accumulate(map(bool, stripped))]
+
+    def text(self, taken: _Taken, separator: str, strip: bool = True) -> str:
+        """An element's pieces, joined; with `strip` each without blanks around it, and no empty ones."""
+        if not strip:
+            return separator.join(self.pieces[taken.first : taken.last])
+        return separator.join(self.shown[self.before[taken.first] : self.before[taken.last]])
 
     def _at(self) -> int:
         line, column = self.getpos()
@@ -97,14 +110,13 @@ class PageReader(HTMLParser):
             text = "".join(self.buffer)
             self.buffer.clear()
             if not self.drop_depth and not self.unseen:
-                for taken in self.open:
-                    taken.pieces.append(text)
+                self.pieces.append(text)
 
     def _pop(self, end: int) -> None:
         tag, started = self.stack.pop()
+        self.depth[tag] -= 1
         for taken in started:
-            taken.end = end
-            self.open.remove(taken)
+            taken.end, taken.last = end, len(self.pieces)
         if tag in UNSEEN_TEXT:
             self.unseen -= 1
         if tag in self.drop:
@@ -125,13 +137,13 @@ class PageReader(HTMLParser):
             for selector, test in self.tests.items():
                 seen = self.found[selector]
                 if (not seen or selector in self.every) and test(tag, values):
-                    taken = _Taken(start)
+                    taken = _Taken(start, len(self.pieces))
                     seen.append(taken)
                     started.append(taken)
-                    self.open.append(taken)
         if tag in UNSEEN_TEXT:
             self.unseen += 1
         self.stack.append((tag, started))
+        self.depth[tag] += 1
         if tag in VOID_TAGS:
             self._pop(start + len(self.get_starttag_text()))
 
@@ -142,7 +154,7 @@ class PageReader(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        if any(tag == name for name, _ in self.stack):
+        if self.depth[tag]:
             start = self._at()
             while self.stack[-1][0] != tag:
                 self._pop(start)
@@ -168,13 +180,6 @@ class PageReader(HTMLParser):
         self._flush()
 
 
-def _joined(taken: _Taken, separator: str, strip: bool = True) -> str:
-    if not strip:
-        return separator.join(taken.pieces)
-    pieces = (piece.strip() for piece in taken.pieces)
-    return separator.join(piece for piece in pieces if piece)
-
-
 def _markup(page: str, taken: _Taken, dropped) -> str:
     out, at = [], taken.start
     for start, end in dropped:
@@ -192,20 +197,20 @@ def main_text(page: str, rule) -> str | None:
     text = None
     for selector in rule.selectors:
         for taken in reader.found[selector]:
-            text = _markup(page, taken, reader.dropped) if rule.as_html else _joined(taken, rule.separator, rule.strip)
+            text = _markup(page, taken, reader.dropped) if rule.as_html else reader.text(taken, rule.separator, rule.strip)
         if reader.found[selector] and (rule.enough == 0 or len(text) > rule.enough):
             return text
     if rule.fallback == "p":
         if not text:
-            paragraphs = (_joined(p, "") for p in reader.found["p"])
+            paragraphs = (reader.text(p, "") for p in reader.found["p"])
             text = "\n".join(p for p in paragraphs if p)
     elif text is None:
         body = reader.found["body"]
         if body:
-            text = _markup(page, body[0], reader.dropped) if rule.as_html else _joined(body[0], rule.separator, rule.strip)
+            text = _markup(page, body[0], reader.dropped) if rule.as_html else reader.text(body[0], rule.separator, rule.strip)
         elif not rule.as_html:
             whole = PageReader(f"<body>{page}", ("body",), drop=rule.drop)
-            text = _joined(whole.found["body"][0], rule.separator, rule.strip)
+            text = whole.text(whole.found["body"][0], rule.separator, rule.strip)
     return text
 
 
@@ -216,8 +221,8 @@ def senate_text(page: str) -> str | None:
     title = ""
     for outer in reader.found["#materia"]:
         inside = [h for h in reader.found["h1"] if outer.start < h.start < outer.end]
-        title = _joined(inside[0], "") if inside else ""
-    text = _joined(reader.found["#textoMateria"][0], "\n")
+        title = reader.text(inside[0], "") if inside else ""
+    text = reader.text(reader.found["#textoMateria"][0], "\n")
     return (
         f"<body><div class='senado-content'><h1>{title}</h1>"
         f"<div id='textoMateria'>{text}</div></div></body>"
@@ -229,24 +234,34 @@ class _LinkReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.classes = frozenset(classes)
         self.stack: list[tuple[str, bool]] = []
+        self.depth: Counter[str] = Counter()
+        self.wanted = 0
         self.hrefs: list[str] = []
 
     def handle_starttag(self, tag, attrs):
         values = dict(reversed(attrs))
-        if tag == "a" and values.get("href") and any(inside for _, inside in self.stack):
+        if tag == "a" and values.get("href") and self.wanted:
             self.hrefs.append(values["href"])
         if tag not in VOID_TAGS:
             wanted = tag in ("h1", "h2", "h3") or bool(self.classes & set((values.get("class") or "").split()))
             self.stack.append((tag, wanted))
+            self.depth[tag] += 1
+            self.wanted += wanted
+
+    def _pop(self) -> str:
+        tag, wanted = self.stack.pop()
+        self.depth[tag] -= 1
+        self.wanted -= wanted
+        return tag
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID_TAGS:
-            self.stack.pop()
+            self._pop()
 
     def handle_endtag(self, tag):
-        if any(tag == name for name, _ in self.stack):
-            while self.stack.pop()[0] != tag:
+        if self.depth[tag]:
+            while self._pop() != tag:
                 pass
 
 
