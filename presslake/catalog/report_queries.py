@@ -16,6 +16,7 @@ from presslake.catalog.registry import query
 from presslake.catalog.run_queries import ONE_DATE, RUN_ITEMS, _clean, _documents, _first, _pages
 from presslake.catalog.tag_queries import CASES, LOW_TEXTS, REGION_LIST, detection_cases, tagged
 from presslake.functions import html as H
+from presslake.functions import site_rules as R
 from presslake.functions import text as X
 from presslake.operators import health, rollups
 from presslake.plans import legislation, records, reports
@@ -208,6 +209,43 @@ def page_kinds(spark, sf_dir):
     return read.select("url", "content")
 
 
+# Domain, selectors, dropped elements, separator and least length of the rules of three sites; the third one's rule finds nothing.
+SITE_RULES = [
+    ("src1.example.org", [".story", "#body"], ["nav", "b"], "|", 0),
+    ("example.org", ['[data-x="y"]', "section"], [], "", 3),
+    ("src2.example.org", [".nowhere"], [], "", 0),
+]
+
+
+@query(
+    "site_rules",
+    """SELECT own AS url, extractor, content FROM (
+  SELECT own, 'generic' AS extractor, body AS content FROM bills WHERE body IS NOT NULL
+  UNION ALL SELECT own, 'generic', body FROM senate WHERE body IS NOT NULL
+  UNION ALL SELECT own, 'generic', 'Plain ' || u || chr(10) || 'n. ' || u FROM (SELECT own, u FROM bills WHERE body IS NULL UNION ALL SELECT own, u FROM senate WHERE body IS NULL)
+  UNION ALL SELECT own, CASE WHEN host = 'src2' THEN 'generic' ELSE 'site' END,
+    CASE WHEN host = 'src1' THEN 'Story|' || u WHEN host = 'src2' THEN 'Plain ' || u || chr(10) || 'n. ' || u ELSE 'Long enough ' || u END FROM kinds WHERE u % 3 = 2)""",
+    [ARTICLES, KINDS],
+)
+def site_rules(spark, sf_dir):
+    """Pages by the rules of their sites: subdomains, a more special rule, one that finds nothing, bills, the senate, no rule."""
+    df = _by_kind(spark, sf_dir)
+    extra = F.concat(
+        F.lit("<html><body><nav class='story'>x</nav><div class='big story'><b>no</b>Story<p>"), "number",
+        F.lit("</p></div><p data-x='y'>ab</p><section>Long enough "), "number", F.lit("</section><article><p>Plain "), "number",
+        F.lit("</p><p>n. "), "number", F.lit("</p></article></body></html>"),
+    )
+    pages = _kind_pages(df)
+    items = df.select("url", "number", extra.alias("own_page")).join(pages.withColumnRenamed("html", "kind_page"), "url", "left")
+    bill = X.govinfo_links(F.col("url"))
+    items = items.select("url", F.coalesce("kind_page", "own_page").alias("html"), bill["xml_url"].alias("xml_key"), bill["html_url"].alias("html_key"))
+    xml = pages.select(F.col("url").alias("xml_key"), F.col("html").alias("bill_xml"))
+    version = pages.select(F.col("url").alias("html_key"), F.col("html").alias("bill_html"))
+    items = items.join(xml, "xml_key", "left").join(version, "html_key", "left")
+    rules = spark.createDataFrame(SITE_RULES, R.RULES)
+    return R.extract_by_site(items, rules).select("url", "extractor", "content")
+
+
 # ---------------------------------------------------------------------------
 # Master report
 # ---------------------------------------------------------------------------

@@ -30,7 +30,7 @@ class TextRule:
     separator: str = ""
     enough: int = 0  # a selected text longer than this ends the search
     min_chars: int = 0  # the result must be longer than this
-    fallback: str = "body"  # "p": all paragraphs; "body": the body, then the page
+    fallback: str = "body"  # "p": all paragraphs; "body": the body, then the page; `selected_text` has none
     as_html: bool = False
     strip: bool = True  # strip each piece of text and drop empty ones
 
@@ -214,6 +214,17 @@ def main_text(page: str, rule) -> str | None:
     return text
 
 
+def selected_text(page: str, rule) -> str | None:
+    """Text of the first element of the first selector that gives enough; no fallback."""
+    reader = PageReader(page, rule.selectors, drop=rule.drop)
+    for selector in rule.selectors:
+        for taken in reader.found[selector]:
+            text = reader.text(taken, rule.separator, rule.strip)
+            if len(text) > rule.min_chars:
+                return text
+    return None
+
+
 def senate_text(page: str) -> str | None:
     reader = PageReader(page, ("#textoMateria", "#materia", "h1"), drop=("script", "style"), every=("h1",))
     if not reader.found["#textoMateria"]:
