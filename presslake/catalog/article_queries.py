@@ -17,7 +17,7 @@ from presslake.functions import lexicons as lex
 from presslake.functions import predicates as P
 from presslake.functions import tagging as T
 from presslake.functions import text as X
-from presslake.operators import dedup, index, joins, rollup_store, rollups, search, search_index
+from presslake.operators import copies, dedup, index, joins, quality, rollup_store, rollups, search, search_index
 from presslake.session import scratch_dir
 from presslake.sources import store
 
@@ -338,6 +338,53 @@ def dedupe_urls(spark, sf_dir):
     return first.join(last, "url")
 
 
+@query(
+    "content_copies",
+    """SELECT doc_id, min(doc_id) OVER same AS copy_of, CAST(count(*) OVER same AS BIGINT) AS copies
+FROM (SELECT doc_id, trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS plain FROM documents)
+WINDOW same AS (PARTITION BY plain)""",
+)
+def content_copies(spark, sf_dir):
+    """Every text with the first one that has the same words."""
+    return copies.exact_copies(load(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("near_copies")
+def near_copies(spark, sf_dir):
+    """Every text with its SimHash and the first text nearly like it; SQL has no SimHash, the tests compare with all pairs."""
+    return copies.near_copies(load(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query(
+    "quality_score_auc",
+    f"""WITH texts AS (SELECT doc_id, text, lower(text) AS low, greatest(length(text), 1) AS chars FROM documents),
+words AS (SELECT *, regexp_extract_all(low, '[\\p{{L}}\\p{{N}}]+') AS words FROM texts),
+scored AS (SELECT doc_id, round(0.1 * round(ln(1 + length(text)), 9) + 0.3 * round(len(list_distinct(words)) / greatest(len(words), 1), 9)
+  - 2 * round(len(regexp_extract_all(text, '\\p{{N}}')) / chars, 9) - round(len(regexp_extract_all(text, '[^\\p{{L}}\\p{{N}}\\s.,;:!?''"()-]')) / chars, 9), 4) AS score FROM words),
+labelled AS (SELECT score, quality FROM scored JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+counted AS (SELECT score, count(*) FILTER (quality = 1) AS p, count(*) FILTER (quality <> 1) AS n FROM labelled GROUP BY score),
+ranked AS (SELECT *, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM counted)
+SELECT CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives, round(sum(p * (below + n / 2)) / (sum(p) * sum(n)), 6) AS auc FROM ranked""",
+)
+def quality_score_auc(spark, sf_dir):
+    """How well a formula of text features ranks the labelled texts."""
+    labels = load(spark, sf_dir, "labels").select("doc_id", "quality")
+    rows = quality.features(load(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    weights = {name: w for name, w in quality.WEIGHTS.items() if name != "keywords"}
+    scored = rows.withColumn("score", F.round(quality.formula_score(weights), 4)).join(labels, "doc_id")
+    return quality.auc(scored, label="quality")
+
+
+@query("quality_model_auc")
+def quality_model_auc(spark, sf_dir):
+    """The same for a model fitted on three quarters of the labelled texts, over the others; copies of a text are on one side."""
+    labels = load(spark, sf_dir, "labels").select("doc_id", "quality")
+    texts = load(spark, sf_dir, "documents").select("doc_id", "text").withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(4)))
+    rows = quality.features(texts, "text").join(labels, "doc_id")
+    model = quality.fit_quality(rows.where("fold > 0"))
+    return quality.auc(quality.model_score(rows.where("fold = 0"), model), label="quality")
+
+
 @query(
     "drop_seen",
     """SELECT doc_id, url FROM articles a WHERE NOT EXISTS (
