@@ -10,16 +10,26 @@ from pyspark.sql import functions as F
 
 from presslake.catalog import sql as S
 from presslake.catalog.article_queries import SHOWN_DATE
-from presslake.catalog.corpus import ARTICLES, AS_OF, PAGES, PHRASES, SOURCES, articles, pick, spread_articles, sql_pick
-from presslake.catalog.page_queries import FEED_HEALTH, SITE_HEALTH, _feed_health, _site_health
+from presslake.catalog.corpus import ARTICLES, AS_OF, PAGES, PHRASES, SOURCES, articles, fetch_log, pages, pick, sources, spread_articles, sql_pick
+from presslake.catalog.page_queries import (
+    FEED_HEALTH,
+    REGION_TEST,
+    RELEVANT,
+    SITE_HEALTH,
+    SITE_TEXT,
+    _feed_health,
+    _site_health,
+    sql_article,
+)
 from presslake.catalog.registry import query
-from presslake.catalog.run_queries import ONE_DATE, RUN_ITEMS, _clean, _documents, _first, _pages
+from presslake.catalog.run_queries import ONE_DATE, RUN_ITEMS, _clean, _documents, _first, _linked_pages, _pages
 from presslake.catalog.tag_queries import CASES, LOW_TEXTS, REGION_LIST, detection_cases, tagged
 from presslake.functions import html as H
+from presslake.functions import lexicons as lex
 from presslake.functions import site_rules as R
 from presslake.functions import text as X
 from presslake.operators import health, rollups
-from presslake.plans import legislation, records, reports
+from presslake.plans import legislation, records, reports, sites
 from presslake.session import scratch_dir
 from presslake.sources import store
 
@@ -246,6 +256,66 @@ def site_rules(spark, sf_dir):
     return R.extract_by_site(items, rules).select("url", "extractor", "content")
 
 
+# ---------------------------------------------------------------------------
+# Sites graded from their section pages
+# ---------------------------------------------------------------------------
+SITE_CHECKS = f"""linked AS (SELECT page_id, page_id % 20 AS k,
+  replace(replace(html, '<title>', '<title>' || phrase || ': '), '</article>', phrase || '</article>') AS html
+  FROM (SELECT *, {sql_pick(PHRASES, f'page_id % {len(PHRASES)}')} AS phrase FROM pages_x)),
+site_pages AS (
+  SELECT 'src' || k AS source, k, 'https://src' || k || '.example.org/news/2025/' || page_id AS link, page_id % 7 <> 3 AS ok,
+    {S.any_part('lower(html)', lex.BLOCKED_PAGE_TERMS)} AS blocked, length({sql_article('html', ('script', 'style'))}) > 200 AS long_enough, {SITE_TEXT} AS low
+  FROM linked WHERE k <> 11 AND (k % 10 <> 3 OR page_id < 60)),
+site_ranked AS (
+  SELECT p.*, region, row_number() OVER (PARTITION BY source ORDER BY link) AS rn FROM site_pages p JOIN sources USING (source)),
+site_counts AS (
+  SELECT source, count(*) FILTER (rn <= 20) AS found, count(*) FILTER (rn <= 10 AND ok AND long_enough AND NOT blocked) AS extracted,
+    count(*) FILTER (rn <= 15 AND ok AND {RELEVANT}) AS relevant, count(*) FILTER (rn <= 15 AND ok AND {REGION_TEST}) AS regional
+  FROM site_ranked GROUP BY source),
+site_stages AS (
+  SELECT source, region, http_status, http_status = 200 AS s1, source <> 'src7' AS free, source <> 'src11' AS parsed,
+    coalesce(found, 0) AS found, coalesce(extracted, 0) AS extracted, coalesce(relevant, 0) AS relevant, coalesce(regional, 0) AS regional
+  FROM sources JOIN fetch_log USING (source) LEFT JOIN site_counts USING (source)),
+site_gates AS (
+  SELECT *, s1 AND free AS s2, s1 AND free AND parsed AS s3, s1 AND free AND parsed AND found >= 5 AS s4,
+    s1 AND free AND parsed AND found >= 5 AND extracted >= 3 AS s5, s1 AND free AND parsed AND found >= 5 AND extracted >= 3 AND relevant > 0 AS s6,
+    s1 AND free AND parsed AND found >= 5 AND extracted >= 3 AND relevant > 0 AND regional > 0 AS s7 FROM site_stages)"""
+
+
+@query(
+    "site_checks",
+    """SELECT source, region, CAST(CASE WHEN s3 THEN found ELSE 0 END AS BIGINT) AS article_links_found,
+  CAST(CASE WHEN s4 THEN extracted ELSE 0 END AS BIGINT) AS content_extraction_success,
+  CAST(CASE WHEN s5 THEN relevant ELSE 0 END AS BIGINT) AS relevant_articles, CAST(CASE WHEN s6 THEN regional ELSE 0 END AS BIGINT) AS geographic_articles,
+  CAST(2 * CAST(s2 AS INTEGER) + CAST(s3 AS INTEGER) + CAST(s4 AS INTEGER) + CAST(s5 AS INTEGER) + CAST(s6 AS INTEGER) + CAST(s7 AS INTEGER) AS INTEGER) AS tests_passed,
+  CASE WHEN s7 THEN 'PASSED' ELSE 'FAILED' END AS status,
+  CASE WHEN NOT s1 THEN 'HTTP ' || http_status WHEN NOT s2 THEN 'Anti-bot measures detected' WHEN NOT s3 THEN 'HTML parsing failed'
+    WHEN NOT s4 THEN 'Too few article links found: ' || found WHEN NOT s5 THEN 'Content extraction failed for most articles: ' || extracted || '/10'
+    WHEN NOT s6 THEN 'No relevant articles found' WHEN NOT s7 THEN 'No ' || region || ' relevant articles found' ELSE '' END AS error
+FROM site_gates""",
+    [ARTICLES, PAGES, SOURCES, SITE_CHECKS],
+)
+def site_checks(spark, sf_dir):
+    """Sites by what their section pages link to: some block, one cannot be read, some have few links, some pages do not answer."""
+    linked = _linked_pages(pages(spark, sf_dir)).select(F.regexp_extract("url", r"(\d+)$", 1).cast("long").alias("page_id"), "html")
+    k = F.col("page_id") % 20
+    host = F.concat(F.lit("https://src"), k.cast("string"), F.lit(".example.org"))
+    path = F.concat(F.lit("/news/2025/"), F.col("page_id").cast("string"))
+    shown = linked.where((k % 10 != 3) | (F.col("page_id") < 60))
+    anchor = F.concat(F.lit("<h2><a href='"), path, F.lit("'>More</a></h2><a href='"), path, F.lit("'>again</a><a href='/about'>About</a>"))
+    # A section page has the links of its site; as many as the supplied pages have.
+    section = shown.groupBy(k.alias("k"), host.alias("host")).agg(F.array_join(F.sort_array(F.collect_list(anchor)), "\n").alias("links"))
+    note = F.when(F.col("k") == 7, "<p>Captcha</p>").otherwise("")
+    html = F.when(F.col("k") != 11, F.concat(F.lit("<html><body>"), note, "links", F.lit("<a href='mailto:x@y.z'>Mail</a></body></html>")))
+    sections = section.select(F.concat(F.lit("src"), F.col("k").cast("string")).alias("source"), F.concat("host", F.lit("/")).alias("url"), html.alias("html"))
+    answered = linked.where("page_id % 7 <> 3").select(F.concat(host, path).alias("url"), "html")
+    graded = sites.check_sites(sections, answered, fetch_log(spark, sf_dir), sources(spark, sf_dir))
+    return graded.select(
+        "source", "region", "article_links_found", "content_extraction_success", "relevant_articles", "geographic_articles",
+        "tests_passed", "status", "error",
+    )
+
+
 # ---------------------------------------------------------------------------
 # Master report
 # ---------------------------------------------------------------------------
