@@ -168,6 +168,20 @@ def chances(counted, scored):
     return out
 
 
+def test_words_are_cut_bytewise_as_by_the_pattern():
+    chars = map(chr, [*range(0xD800), *range(0xE000, 0x11000)])
+    for text in ["", "Don't_stop—now… Ärger ÉÀ\u00a0x\u3000漢字 a\u0301 ½ İI ①", *("a" + c + "b_1 " + c for c in chars)]:
+        assert [w.decode() for w in decontam.word_bytes(text)] == decontam.words_in(text.lower())
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(1)
+    rows, picked = rng.standard_normal((50, 7)).astype("f4"), rng.integers(0, 50, 200)
+    starts = np.array([0, 1, 5, 40, 41, 199])
+    want = np.add.reduceat(rows[picked], starts, axis=0)
+    assert np.allclose(decontam._run_sums(rows, picked, starts), want, atol=1e-5)
+
+
 def test_perplexity_equals_brute_force(spark, sf):
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
     rows = [tuple(r) for r in rows] + [(9001, None, "en"), (9002, "", None), (9003, " \n", "en"), (9004, "the the " * 40_000, "xx")]
