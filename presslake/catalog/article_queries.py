@@ -145,9 +145,11 @@ UNION ALL SELECT doc_id, url FROM tagged WHERE list_contains(special, 'legislati
 )
 def faceted_search(spark, sf_dir):
     df = tagged(spark, sf_dir)
-    news = search.faceted_search(df, source="src1", continent="Europe", topic="energy", keyword="nucl", term="Summit")
-    bills = search.faceted_search(df, special="legislation", topic="insurance")
-    return news.select("doc_id", "url").unionByName(bills.select("doc_id", "url"))
+    news = search.facet_test(source="src1", continent="Europe", topic="energy", keyword="nucl", term="Summit")
+    bills = search.facet_test(special="legislation", topic="insurance")
+    # Two searches in one pass: an article is listed once for each that it passes.
+    passed = F.array_compact(F.array(F.when(news, F.lit("news")), F.when(bills, F.lit("bills"))))
+    return df.select("doc_id", "url", F.explode(passed).alias("search")).drop("search")
 
 
 SEARCH_TERMS = ["lithium and", "RESULTS", "ai", "ü", "e", "s: ", "not in any text", "project grows</p>", "in the "]

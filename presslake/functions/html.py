@@ -260,22 +260,39 @@ def page_date(html: Column) -> Column:
 
 
 def _date_in(html: Column) -> Column:
-    element = r"(?is)<(\w+)\b[^>]*\s{attr}[^>]*>(.*?)</\1\s*>"
-    dated = element.format(attr="datetime\\s*=")
+    start = r"(?is)<(\w+)\b[^>]*\s{attr}[^>]*>"
     opening = F.regexp_extract(html, r"(?is)<\w+\b[^>]*\sdatetime\s*=[^>]*>", 0)
     shown = F.nullif(_attribute(opening, "datetime"), F.lit(""))
-    date = F.when(opening != "", F.coalesce(shown, _inner(html, dated, 2)))
+    date = F.when(opening != "", F.coalesce(shown, _inner(html, start.format(attr="datetime\\s*="))))
     for name in DATE_CLASSES:
         quoted = [rf"{q}(?:[^{q}]*\s)?{name}(?:\s[^{q}]*)?{q}" for q in ('"', "'")]
-        pattern = element.format(attr=rf"class\s*=\s*(?:{'|'.join(quoted)}|{name}(?=[\s/>]))")
-        date = date.when(html.rlike(pattern), _inner(html, pattern, 2))
-    time = r"(?is)<time\b[^>]*>(.*?)</time\s*>"
-    date = date.when(html.rlike(time), _inner(html, time, 1))
+        pattern = start.format(attr=rf"class\s*=\s*(?:{'|'.join(quoted)}|{name}(?=[\s/>]))")
+        date = date.when(html.rlike(pattern + r".*?</\1\s*>"), _inner(html, pattern))
+    time = r"(?is)<(time)\b[^>]*>"
+    date = date.when(html.rlike(time + r".*?</time\s*>"), _inner(html, time))
     return F.coalesce(F.nullif(date, F.lit("")), F.lit("Unknown"))
 
 
-def _inner(html: Column, pattern: str, group: int) -> Column:
-    return decode_entities(F.regexp_replace(F.regexp_extract(html, pattern, group), TAG, ""))
+def _inner(html: Column, start: str) -> Column:
+    """Text of the element whose start tag is the first to match (its name is group 1), up to its own end tag."""
+    opening, name = F.regexp_extract(html, start, 0), F.lower(F.regexp_extract(html, start, 1))
+
+    def inside(behind: Column) -> Column:
+        # Of the tags of this name that follow, the one that closes the element: as many end tags as start tags.
+        marks = F.regexp_extract_all(behind, F.concat(F.lit("(?is)<(/?)"), name, F.lit(r"\b[^>]*>")), F.lit(1))
+        seen = F.aggregate(
+            marks,
+            F.struct(F.lit(1).alias("open"), F.lit(0).alias("ends")),
+            lambda s, mark: F.when(s["open"] == 0, s)
+            .when(mark == "/", F.struct((s["open"] - 1).alias("open"), (s["ends"] + 1).alias("ends")))
+            .otherwise(F.struct((s["open"] + 1).alias("open"), s["ends"].alias("ends"))),
+        )
+        ends = F.regexp_replace(behind, F.concat(F.lit("(?i)</"), name, F.lit(r"\s*>")), F.lit("\u0000"))
+        parts = F.split(ends, "\u0000")
+        return F.array_join(F.slice(parts, 1, F.greatest(seen["ends"], F.lit(1))), "")
+
+    behind = F.substr(html, F.instr(html, opening) + F.char_length(opening))
+    return decode_entities(F.regexp_replace(bind(behind, inside), TAG, ""))
 
 
 def resolve_url(base: Column, href: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,29 +27,45 @@ def _text_has(term: str) -> Column:
     return _holds("title", term) | _holds(text.clean_description(F.col("description")), term)
 
 
-def faceted_search(
-    df: DataFrame,
+def facet_test(
     source: str = "",
     continent: str = "",
     topic: str = "",
     special: str = "",
     keyword: str = "",
     term: str = "",
-) -> DataFrame:
-    """Articles passing every facet that is set; an empty facet passes all."""
+) -> Column:
+    """Does an article pass every facet that is set? An empty facet passes all.
+
+    As a column, so that several searches can share one pass over tagged articles.
+    """
+    tests = []
     if source:
-        df = df.where(_source_is(source))
+        tests.append(_source_is(source))
     if continent:
-        df = df.where(F.array_contains("tags.continents", continent))
+        tests.append(F.array_contains("tags.continents", continent))
     if topic:
-        df = df.where(F.array_contains("tags.core_topics", topic))
+        tests.append(F.array_contains("tags.core_topics", topic))
     if special:
-        df = df.where(by_special(F.col("tags.special_tags"), special))
+        tests.append(by_special(F.col("tags.special_tags"), special))
     if keyword:
-        df = df.where(F.exists("tags.matched_keywords", lambda k: F.lower(k).contains(keyword.lower())))
+        tests.append(F.exists("tags.matched_keywords", lambda k: F.lower(k).contains(keyword.lower())))
     if term:
-        df = df.where(_text_has(term))
-    return df
+        tests.append(_text_has(term))
+    return reduce(Column.__and__, tests, F.lit(True))
+
+
+def faceted_search(
+    df: DataFrame,
+    source: str = "",
+    continent: str = "",
+    topic: str = "",
+    special: str = "",
+    keyword: str = "",
+    term: str = "",
+) -> DataFrame:
+    """Articles passing every facet that is set."""
+    return df.where(facet_test(source, continent, topic, special, keyword, term))
 
 
 def archive_search(df: DataFrame, date: str = "", source: str = "", term: str = "") -> DataFrame:

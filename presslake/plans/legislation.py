@@ -15,21 +15,18 @@ from presslake.plans.records import tag_struct, to_articles
 
 def _attach_pages(items: DataFrame, pages: DataFrame) -> DataFrame:
     """Adds the page of each item and, for bills, their XML and HTML versions."""
-    links = text.govinfo_links(F.col("url"))
-    keyed = items.withColumn("bill", links)
-    # Only items that are bills meet the packages; all others join their page and nothing else.
-    is_bill = F.col("bill.bill_id").isNotNull()
-    none = F.lit(None).cast("string")
-    plain = keyed.where(~is_bill).drop("bill")
-    bills = keyed.where(is_bill).withColumns({"xml_key": F.col("bill.xml_url"), "html_key": F.col("bill.html_url")}).drop("bill")
+    bill = text.govinfo_links(F.col("url"))
+    # Items that are no bills have keys of their own that no package has, so they do not meet at NULL. The feeds behind
+    # the items are parsed once; the joins with packages come first, while rows are narrow.
+    own = F.concat(F.lit("-"), F.col("url"))
+    keyed = items.withColumns({"xml_key": F.coalesce(bill["xml_url"], own), "html_key": F.coalesce(bill["html_url"], own)})
     page = pages.select("url", "html")
     # Only bill packages can be a bill's XML or HTML version.
     package = page.where(F.col("url").startswith(text.BILL_PACKAGES))
     xml = package.select(F.col("url").alias("xml_key"), F.col("html").alias("bill_xml"))
     version = package.select(F.col("url").alias("html_key"), F.col("html").alias("bill_html"))
-    read_bills = bills.join(xml, "xml_key", "left").join(version, "html_key", "left").drop("xml_key", "html_key")
-    read_plain = plain.withColumns({"bill_xml": none, "bill_html": none})
-    return read_plain.join(page, "url", "left").unionByName(read_bills.join(page, "url", "left"))
+    with_bills = keyed.join(xml, "xml_key", "left").join(version, "html_key", "left").drop("xml_key", "html_key")
+    return with_bills.join(page, "url", "left")
 
 
 def legislation_articles(

@@ -173,3 +173,17 @@ def test_dates_in_all_quotings_but_not_in_scripts(spark):
     df = spark.createDataFrame(list(cases.items()), "html string, want string")
     for r in df.select("want", H.page_date(F.col("html")).alias("got")).collect():
         assert r.got == r.want
+
+
+def test_dates_in_nested_elements(spark):
+    pages = [
+        ("5 May", '<div class="publish-date"><div>5</div> May</div><div>x</div>'),
+        ("5 May 2025", '<DIV class="article-date"><div><div>5</div> May</div> 2025</DIV> tail</div>'),
+        ("now", '<time>now<b>!</b></time>'.replace("<b>!</b>", "")),
+        ("a b", '<span datetime=""><span>a</span> b</span>'),
+        ("2025", '<p datetime="2025"><p>x</p></p>'),
+        ("open", '<div class=post-date>open</div>'),
+    ]
+    df = spark.createDataFrame(pages, "want string, html string")
+    for r in df.select("want", H.page_date(F.col("html")).alias("got")).collect():
+        assert r.got == r.want
