@@ -17,7 +17,11 @@ from presslake.session import configure
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the toxicity chain does not reject; it is fitted on labelled rows of `docs`."""
+    """Documents the toxicity chain does not reject; it is fitted on labelled rows of `docs`.
+
+    Null and empty texts are judged as empty ones, copies of a row alike. Without labelled rows, and from an
+    empty table, nothing is rejected. All columns are kept, whatever their names.
+    """
     (kept,) = fresh(docs, "kept")
     configure(spark)
     judged = toxicity.judge(docs, toxicity_chain(spark, sf_dir, docs), lambda c: c == "toxic")
@@ -25,31 +29,46 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text, the one with the largest id."""
+    """One document of each text, the one with the largest id (null ids are the smallest).
+
+    Null counts as the empty text; of rows with equal text and id one stays. Texts of any length are compared
+    whole; an empty table stays empty; all columns are kept.
+    """
     (kept,) = fresh(docs, "kept")
     configure(spark)
     return exact_dedup.exact_classes(docs).filter(F.col(kept)).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest id."""
+    """One document of each class of near duplicates, the one with the smallest id.
+
+    Texts with fewer words than a shingle, null and empty ones are near only to equal ones; of equal rows one
+    stays; an empty table stays empty; all columns are kept.
+    """
     (kept,) = fresh(docs, "kept")
     configure(spark)
     return bagminhash.near_classes(docs).filter(F.col(kept)).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item. Documents without an id are matched by text."""
+    """Documents that hold no benchmark item.
+
+    Rows are told apart by a number that is written with them, so ids may be null or repeat, and equal rows go or stay
+    together. Null and empty texts hold nothing; either table may be empty; all columns are kept.
+    """
     (key,) = fresh(docs, "leak_key")
     configure(spark)
-    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    keyed = staged(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
     leaks = decontam.find_leaks(keyed, read_table(spark, sf_dir, "benchmark"), id_col=key)
     leaks = staged(leaks.select(key).distinct(), "leaks")
     return keyed.join(leaks, key, "left_anti").select(docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with counts and digests."""
+    """Token ids of every document, with counts and digests.
+
+    Null counts as the empty text, which has no ids; equal rows give equal rows; an empty table gives an empty one.
+    """
     configure(spark)
     return bpe.encode_table(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
