@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,11 +42,17 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Only a session of one process without that setting falls back to a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="presslake-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by `scratch_dir` when nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

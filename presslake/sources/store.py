@@ -1,7 +1,7 @@
 """The article store: metadata and content tables, partitioned by collection date.
 
 Content is written first and metadata last, and only a pair counts as stored,
-so a run cut short is repaired by running it again.
+so a run cut short is repaired by running it again. What it left alone is replaced.
 """
 
 from __future__ import annotations
@@ -12,14 +12,20 @@ from pyspark.sql import functions as F
 from presslake.operators.dedup import dedupe_by
 from presslake.operators.joins import drop_stored
 from presslake.schemas import ARTICLE_CONTENT, ARTICLES
-from presslake.session import scratch_dir
+from presslake.session import drop_dir, scratch_dir
 from presslake.sources.tables import read_or_empty
 
 KEY = ["collection_date", "article_id"]
 
 
+#: Stands for the length of an article whose content is being replaced.
+REPLACING = -1
+
+
 def articles(spark: SparkSession, base: str) -> DataFrame:
-    return read_or_empty(spark, f"{base}/articles", ARTICLES)
+    """Stored metadata; none of articles whose replacement was cut short."""
+    table = read_or_empty(spark, f"{base}/articles", ARTICLES)
+    return table.where(F.coalesce("content_length", F.lit(0)) != REPLACING)
 
 
 def contents(spark: SparkSession, base: str) -> DataFrame:
@@ -57,7 +63,10 @@ def save_articles(batch: DataFrame, base: str, dates: list | None = None, fresh:
     Normally what is already stored stays and only new articles are added; in
     `fresh` mode the batch replaces stored articles of the same URL. `batch` must
     hold each article once per date. It is computed once, into a scratch table
-    both halves are then read from.
+    both halves are then read from, which is deleted in the end.
+
+    A fresh run first marks the metadata it is about to replace, then replaces the contents, then the metadata. Cut
+    anywhere, it leaves no new content beside old metadata: marked articles do not count as stored.
     """
     spark = batch.sparkSession
     meta_columns, content_columns = ARTICLES.fieldNames(), ARTICLE_CONTENT.fieldNames()
@@ -65,25 +74,44 @@ def save_articles(batch: DataFrame, base: str, dates: list | None = None, fresh:
     batch = batch.select(*dict.fromkeys(meta_columns + content_columns))
     batch.write.parquet(staged)
     batch = spark.read.schema(batch.schema).parquet(staged)
-    if dates is None:
-        # One row per collection date of the batch.
-        dates = [row[0] for row in batch.select("collection_date").distinct().collect()]
-    old_articles, old_contents = (
-        _in_dates(articles(spark, base), dates), _in_dates(contents(spark, base), dates),
-    )
+    days = batch.select("collection_date").distinct()
+
+    def of_days(table: DataFrame) -> DataFrame:
+        # Either way only the partitions of these days are read.
+        return table.join(days, "collection_date", "left_semi") if dates is None else _in_dates(table, dates)
+
+    old_articles, old_contents = of_days(articles(spark, base)), of_days(contents(spark, base))
     if fresh:
         ids = batch.select(*KEY)
-        kept_articles = old_articles.join(ids, KEY, "left_anti")
+        kept_articles = old_articles.join(ids, KEY, "left_anti").select(*meta_columns)
+        replaced = old_articles.join(ids, KEY, "left_semi").withColumn("content_length", F.lit(REPLACING)).select(*meta_columns)
         kept_contents = old_contents.join(ids, KEY, "left_anti")
-        new_contents = kept_contents.unionByName(batch.select(*content_columns))
-        new_articles = kept_articles.unionByName(batch.select(*meta_columns))
-        _write(new_contents.select(*content_columns), f"{base}/content", replace=True)
-        _write(new_articles.select(*meta_columns), f"{base}/articles", replace=True)
-        return
-    missing_content = batch.join(old_contents.select(*KEY), KEY, "left_anti")
-    _write(missing_content.select(*content_columns), f"{base}/content")
-    missing_meta = batch.join(old_articles.select(*KEY), KEY, "left_anti")
-    _write(missing_meta.select(*meta_columns), f"{base}/articles")
+        _replace(kept_articles.unionByName(replaced), f"{base}/articles")
+        _replace(kept_contents.select(*content_columns).unionByName(batch.select(*content_columns)), f"{base}/content")
+        kept_articles = of_days(articles(spark, base)).join(ids, KEY, "left_anti").select(*meta_columns)
+        _replace(kept_articles.unionByName(batch.select(*meta_columns)), f"{base}/articles")
+    else:
+        # Content without metadata is what a run cut short has left, of whatever state: it gives way to the batch's.
+        alone = old_contents.select(*KEY).join(old_articles.select(*KEY), KEY, "left_anti").join(batch.select(*KEY), KEY, "left_semi")
+        if alone.limit(1).count():
+            kept_contents = old_contents.join(alone, KEY, "left_anti")
+            added = batch.join(kept_contents.select(*KEY), KEY, "left_anti")
+            _replace(kept_contents.select(*content_columns).unionByName(added.select(*content_columns)), f"{base}/content")
+        else:
+            missing_content = batch.join(old_contents.select(*KEY), KEY, "left_anti")
+            _write(missing_content.select(*content_columns), f"{base}/content")
+        missing_meta = batch.join(old_articles.select(*KEY), KEY, "left_anti")
+        _write(missing_meta.select(*meta_columns), f"{base}/articles")
+    drop_dir(spark, staged)
+
+
+def _replace(table: DataFrame, path: str) -> None:
+    """Overwrites the partitions of a table's days, from which it may itself be read."""
+    spark = table.sparkSession
+    staged = scratch_dir(spark, "replaced")
+    table.write.parquet(staged)
+    _write(spark.read.schema(table.schema).parquet(staged), path, replace=True)
+    drop_dir(spark, staged)
 
 
 def stored_pairs(spark: SparkSession, base: str) -> DataFrame:

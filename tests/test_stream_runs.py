@@ -92,3 +92,49 @@ def test_keyed_state_keeps_late_rows_apart_and_forgets_closed_days(spark, tmp_pa
     assert max(held) >= 31 and held[-1] < 10
     run(str(tmp_path / "again"))
     assert sorted((str(r["url"]), r["ts"].day) for r in dedupe.settled(spark, out, ["url"]).collect()) == expected
+
+
+def test_a_fresh_run_cut_anywhere_leaves_no_mixed_articles(spark, tmp_path, monkeypatch):
+    """Old and new halves never count as one article, and the next normal run completes what is missing."""
+    from presslake.plans import records
+    from presslake.sources import store
+
+    def batch(ids, end):
+        df = spark.createDataFrame([(f"u{i}", f"text {i}{end}", "2025-11-0%d" % (i % 2 + 1)) for i in ids], "url string, content string, d string")
+        df = df.withColumns({"collection_date": F.col("d").cast("date"), "tags": records.tag_struct(F.array(F.lit("Global")))})
+        return records.to_articles(df, "rss", datetime(2025, 11, 4), keep_date=True)
+
+    def shown(base):
+        pairs = store.articles(spark, base).join(store.contents(spark, base), store.KEY)
+        return {r["url"]: (r["content"], r["content_length"]) for r in pairs.collect()}
+
+    steps = store._replace
+    for cut in range(4):
+        base = str(tmp_path / f"store{cut}")
+        store.save_articles(batch(range(6), ""), base)
+        done = []
+
+        def counted(table, path, cut=cut, done=done):
+            if len(done) == cut:
+                raise RuntimeError("cut")
+            done.append(path)
+            steps(table, path)
+
+        monkeypatch.setattr(store, "_replace", counted)
+        if cut < 3:
+            try:
+                store.save_articles(batch([0, 1, 2, 9], " again"), base, fresh=True)
+            except RuntimeError:
+                pass
+        else:
+            store.save_articles(batch([0, 1, 2, 9], " again"), base, fresh=True)
+        monkeypatch.setattr(store, "_replace", steps)
+        for content, length in shown(base).values():
+            assert len(content) == length
+        store.save_articles(store.new_only(batch([0, 1, 2, 9], " again"), base), base)
+        got = shown(base)
+        assert set(got) == {f"u{i}" for i in (0, 1, 2, 3, 4, 5, 9)}
+        assert all(len(content) == length for content, length in got.values())
+        assert got["u9"][0] == "text 9 again" and got["u5"][0] == "text 5"
+        if cut >= 2:
+            assert got["u0"][0] == "text 0 again"
