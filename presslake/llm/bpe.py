@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -30,6 +31,8 @@ from pyspark.sql import types as T
 from presslake.llm.common import whole_text
 
 LEAF_BYTES = 16
+#: Windows up to this length are merged by looking through all pairs.
+SHORT_BYTES = 128
 #: Distinct pieces a worker remembers, and their longest; beyond that many it starts anew.
 CACHE_PIECES = 300_000
 CACHED_CHARS = 64
@@ -69,6 +72,8 @@ class TreeBpe:
 
     def merge(self, data: bytes) -> list[int]:
         """Merge the adjacent pair of lowest rank, the leftmost first, until none is left."""
+        if len(data) > SHORT_BYTES:
+            return self.merge_long(data)
         rank, none = self.ranks.get, 1 << 62
         parts = [data[i : i + 1] for i in range(len(data))]
         pairs = [rank(data[i : i + 2], none) for i in range(len(data) - 1)]
@@ -86,6 +91,31 @@ class TreeBpe:
                 pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
         return [self.ranks[part] for part in parts]
 
+    def merge_long(self, data: bytes) -> list[int]:
+        """`merge` for long windows: pairs wait in a heap, parts are linked to their neighbours."""
+        rank, n = self.ranks.get, len(data)
+        end, before = list(range(1, n + 1)), list(range(-1, n))
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(data[i : i + 2])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, stop = heapq.heappop(heap)
+            j = end[i]
+            # A part that was taken in has no end; a pair counts if its two parts still reach as far.
+            if not j or j >= n or end[j] != stop:
+                continue
+            end[i], end[j] = stop, 0
+            if stop < n:
+                before[stop] = i
+                if (r := rank(data[i : end[stop]])) is not None:
+                    heapq.heappush(heap, (r, i, end[stop]))
+            if (p := before[i]) >= 0 and (r := rank(data[p:stop])) is not None:
+                heapq.heappush(heap, (r, p, stop))
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[data[i : end[i]]])
+            i = end[i]
+        return out
+
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two neighbouring parts from the encodings of each."""
         if not left or not right:
@@ -104,7 +134,9 @@ class TreeBpe:
         """Encode halves recursively and join them."""
         if len(data) <= LEAF_BYTES:
             return self.merge(data)
-        half = len(data) // 2
+        # The left half has a power of two of leaves: in runs of one character its tokens, whose lengths are
+        # powers of two as well, end where it ends, and no seam has to be moved.
+        half = LEAF_BYTES << (((len(data) - 1) // LEAF_BYTES).bit_length() - 1)
         return self.join(self.reduce(data[:half]), self.reduce(data[half:]))
 
     def piece(self, piece: str) -> list[int]:
