@@ -60,14 +60,37 @@ STATE_NAMES = {"no", "not", "has", "have", "with", "without", "hide", "show", "i
 #: Elements a start tag ends when they are still open.
 ENDED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW)})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
-    r"|<[!?/][^>]*(?:>|\Z)"
-    r"|(?P<text>[^<]+|<)",
-    re.DOTALL | re.IGNORECASE,
-)
+def _token_pattern(attrs: str) -> re.Pattern:
+    return re.compile(
+        r"<!--.*?(?:-->|\Z)"
+        rf"|<(?P<raw>{'|'.join(RAW)})\b{attrs}>.*?(?:</(?P=raw)\s*>|\Z)"
+        rf"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>{attrs})>"
+        r"|<[!?/][^>]*(?:>|\Z)"
+        r"|(?P<text>[^<]+|<)",
+        re.DOTALL | re.IGNORECASE,
+    )
+
+
+#: Quotation marks count behind "=" only; in a page whose tags do not end that way, not at all.
+_TOKEN = _token_pattern(r"(?:=\s*+(?:\"[^\"]*\"|'[^']*')|[^>])*+")
+_UNQUOTED_TOKEN = _token_pattern(r"[^>]*+")
+_TAIL_TOKEN = re.compile(r"<[!?/].*|(?P<text>[^<]+|<)|(?P<name>(?!))", re.DOTALL)
+
+
+def _matches(page: str) -> Iterator[re.Match]:
+    """Tags, comments and text runs, in time linear in the page: a tag that does not end is looked for once."""
+    at, pattern, last = 0, _TOKEN, page.rfind(">")
+    while at < len(page):
+        if at > last:
+            pattern = _TAIL_TOKEN
+        m = pattern.match(page, at)
+        if pattern is _TOKEN and m["text"] == "<" and page[at + 1 : at + 2].isalpha():
+            pattern = _UNQUOTED_TOKEN
+            m = pattern.match(page, at)
+        yield m
+        at = m.end()
+
+
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
 _WORD_BREAK = re.compile(r"[\s_-]+|(?<=[a-z])(?=[A-Z])")
@@ -120,7 +143,8 @@ def tokens(page: str) -> list[Token]:
 def _scan(page: str, spared: frozenset[int]) -> tuple[list[Token], dict[int, list[int]], list[int]]:
     """Tokens, and what each element dropped by its name, and the page, hold: words, words in articles or main, articles, mains."""
     items: list[Token] = []
-    stack: list[tuple[str, str, int]] = []
+    # Of each open element its name, why it is dropped, its place, and the nearest known and the nearest other than inline one.
+    stack: list[tuple[str, str, int, str, str]] = []
     open_names: dict[str, int] = {}
     named: dict[int, list[int]] = {}
     total = [0, 0, 0, 0]
@@ -130,7 +154,7 @@ def _scan(page: str, spared: frozenset[int]) -> tuple[list[Token], dict[int, lis
 
     def leave() -> None:
         nonlocal dropped, article, always
-        name, why, at = stack.pop()
+        name, why, at, _, _ = stack.pop()
         open_names[name] -= 1
         dropped -= why != ""
         always -= why == "always"
@@ -138,9 +162,9 @@ def _scan(page: str, spared: frozenset[int]) -> tuple[list[Token], dict[int, lis
         if at in begun:
             named[at] = [now - then for now, then in zip(total, begun.pop(at), strict=True)]
 
-    for m in _TOKEN.finditer(page):
+    for m in _matches(page):
         if (text := m["text"]) is not None:
-            place = "dropped" if dropped else next((n for n, _, _ in reversed(stack) if n in KNOWN), "none")
+            place = "dropped" if dropped else stack[-1][3] if stack else "none"
             items.append(("word", place, text, dropped > 0, article > 0))
             if not always:
                 n = len(text.split())
@@ -160,7 +184,7 @@ def _scan(page: str, spared: frozenset[int]) -> tuple[list[Token], dict[int, lis
             elif name == "p":
                 items.append(("tag", "/p", name, dropped > 0, article > 0))
             continue
-        while stack and (ended := next((n for n, _, _ in reversed(stack) if n not in INLINE), "")) and name in ENDED_BY.get(ended, ()):
+        while stack and (ended := stack[-1][4]) and name in ENDED_BY.get(ended, ()):
             while stack[-1][0] != ended:
                 leave()
             leave()
@@ -174,7 +198,8 @@ def _scan(page: str, spared: frozenset[int]) -> tuple[list[Token], dict[int, lis
             if not always:
                 total[2] += name == "article"
                 total[3] += name == "main"
-            stack.append((name, why, m.start()))
+            _, _, _, known, outer = stack[-1] if stack else ("", "", 0, "none", "")
+            stack.append((name, why, m.start(), name if name in KNOWN else known, outer if name in INLINE else name))
             open_names[name] = open_names.get(name, 0) + 1
             dropped += why != ""
             always += why == "always"
