@@ -22,6 +22,7 @@ from presslake.catalog.corpus import (
     pick,
     sources,
     spread,
+    sql_pick,
     spread_articles,
 )
 from presslake.catalog.registry import query
@@ -143,6 +144,31 @@ def page_shapes(spark, sf_dir):
     return read.select("page_id", F.coalesce("body", F.lit("")).alias("body"), F.coalesce("law", F.lit("")).alias("law"))
 
 
+# Elements the historical rule keeps as they stand: by class, by name, by id with an element that never closes, by a bare class.
+KEPT_SHAPES = [
+    ('<div class="post entry-content"><div>', "</div></div>"),
+    ("<main>", "</main>"),
+    ("<section id='content'><span>", "</section>"),
+    ("<div class=content>", "</div>"),
+]
+INNER = rf"replace(regexp_extract({sql_kept('html', ('script', 'style'))}, '(?is)<article\b[^>]*>(.*?)</article\s*>', 1), '<!>', '')"
+
+
+@query(
+    "historical_shapes",
+    f"""SELECT page_id, md5({sql_pick([s for s, _ in KEPT_SHAPES], 'page_id % 4')} || {INNER} || {sql_pick([e for _, e in KEPT_SHAPES], 'page_id % 4')}) AS markup
+FROM pages_x""",
+    [PAGES],
+)
+def historical_shapes(spark, sf_dir):
+    """The markup kept by the historical rule from pages that hold their text in other elements than an article."""
+    shape = (F.col("page_id") % len(KEPT_SHAPES) + 1).cast("int")
+    start, end = (F.element_at(F.array(*[F.lit(s[i]) for s in KEPT_SHAPES]), shape) for i in (0, 1))
+    html = F.replace(F.replace("html", F.lit("<article>"), start), F.lit("</article>"), end)
+    df = _spread_pages(spark, sf_dir).withColumn("html", html)
+    return H.extract_historical(df, into="markup").select("page_id", F.md5("markup").alias("markup"))
+
+
 @query(
     "bill_pages",
     r"""SELECT * FROM (SELECT page_id, CASE WHEN page_id % 3 <> 0 THEN '<body><div class=''govinfo-content''>' || html || '</div></body>'

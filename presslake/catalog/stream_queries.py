@@ -111,6 +111,36 @@ def stream_state(spark, sf_dir):
     return out.select("url", F.col("ts").cast("date").cast("string").alias("day"))
 
 
+def _fetched(spark, sf_dir):
+    events = load(spark, sf_dir, "events")
+    source = F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string"))
+    return events.select(source.alias("source"), "event_type", F.col("ts").cast("timestamp").alias("ts"))
+
+
+@query("stream_within_watermark", "SELECT DISTINCT 'src' || (user_id % 20) AS source, event_type FROM events")
+def stream_within_watermark(spark, sf_dir):
+    """The first row of each source and event type, by state that a watermark behind all rows would clear."""
+    work = scratch_dir(spark, "stream-watermark")
+    stream = _stream(_fetched(spark, sf_dir), work, batches=2)
+    once = ingest.dedupe_stream(stream, ["source", "event_type"], delay="60 days").select("source", "event_type")
+    ingest.run_to_end(ingest.append_to(once, f"{work}/out"), f"{work}/checkpoint")
+    return spark.read.schema("source string, event_type string").parquet(f"{work}/out")
+
+
+@query(
+    "stream_windowed_counts",
+    """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, 'src' || (user_id % 20) AS source, CAST(count(*) AS BIGINT) AS articles
+FROM events GROUP BY ALL""",
+)
+def stream_windowed_counts(spark, sf_dir):
+    """Events per day and source in update mode: the last version of each count, after batches in mixed time order."""
+    work = scratch_dir(spark, "stream-windows")
+    counted = ingest.daily_counts_stream(_stream(_fetched(spark, sf_dir), work, batches=2), ["source"], delay="60 days")
+    ingest.run_to_end(ingest.write_updates(counted, f"{work}/out"), f"{work}/checkpoint")
+    latest = ingest.latest_updates(spark, f"{work}/out", ["day", "source"])
+    return latest.withColumn("day", F.col("day").cast("string"))
+
+
 @query(
     "stream_recent",
     f"""SELECT doc_id, url FROM (SELECT *, {PARSED} AS parsed FROM articles)
