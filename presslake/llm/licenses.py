@@ -111,8 +111,26 @@ def reach_of(templates: Sequence[tuple[str, str]], threshold: float) -> int:
     return math.ceil(max((len(_python_words(text)) for _, text in templates), default=1) / threshold)
 
 
+def telling_words(sets: Sequence[tuple[int, str, list[str]]], threshold: float) -> dict[int, list[list[str]]]:
+    """Per template, lists of words of each of which a block must hold one.
+
+    Where the words of another label's template alone would meet a template, only the words that the other lacks tell
+    the two apart: a notice of one then does not pass for the other.
+    """
+    out: dict[int, list[list[str]]] = {}
+    for n, label, words in sets:
+        own = set(words)
+        rivals = (set(other) for _, name, other in sets if name != label)
+        lacked = {tuple(sorted(own - rival)) for rival in rivals if len(own & rival) >= threshold * len(own) - 1e-9}
+        out[n] = [list(words) for words in sorted(lacked) if words]
+    return out
+
+
 def template_matches(blocks: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """For blocks (rid, words): every block and template that meet, as rid, label and containment."""
+    """For blocks (rid, words): every block and template that meet, as rid, label and containment.
+
+    A block meets a template with enough of its words, among them telling ones where templates are alike.
+    """
     sets = [(label, sorted(set(_python_words(text)))) for label, text in templates]
     sets = [(n, label, words) for n, (label, words) in enumerate(sets) if words]
     vocabulary = sorted({w for _, _, words in sets for w in words})
@@ -127,14 +145,15 @@ def template_matches(blocks: DataFrame, templates: Sequence[tuple[str, str]] = T
     ranks = F.create_map(*[x for w, i in place.items() for x in (F.lit(w), F.lit(i))])
     ordered = held.select("rid", F.array_sort(F.transform("held", lambda w: ranks[w])).alias("held"))
     spark = blocks.sparkSession
-    rows = []
+    rows, telling = [], telling_words(sets, threshold)
     for n, label, words in sets:
         own, need = sorted(place[w] for w in words), need_of(words)
-        rows += [(n, label, own, need, own[i], i) for i in range(len(own) - need + 1)]
+        told = [[place[w] for w in some] for some in telling[n]]
+        rows += [(n, label, own, told, need, own[i], i) for i in range(len(own) - need + 1)]
     # One row per template and prefix word: bounded by the template list.
-    prefixes = spark.createDataFrame(rows, "template int, label string, own array<int>, need int, token int, i int")
+    prefixes = spark.createDataFrame(rows, "template int, label string, own array<int>, told array<array<int>>, need int, token int, i int")
     heads = ordered.select("rid", "held", F.size("held").alias("n"), F.posexplode(F.slice("held", 1, F.size("held") - least + 1)).alias("j", "token"))
-    heads = heads.filter(F.col("token").isin(sorted({r[4] for r in rows})))
+    heads = heads.filter(F.col("token").isin(sorted({r[5] for r in rows})))
     joined = heads.join(F.broadcast(prefixes), "token").filter(
         (F.col("n") >= F.col("need"))
         & (F.col("j") <= F.col("n") - F.col("need"))
@@ -143,6 +162,7 @@ def template_matches(blocks: DataFrame, templates: Sequence[tuple[str, str]] = T
     both = F.array_intersect("held", "own")
     # A pair that shares several prefix words is taken at its first common word only.
     met = joined.filter((F.element_at(both, 1) == F.col("token")) & (F.size(both) >= F.col("need")))
+    met = met.filter(F.forall("told", lambda some: F.arrays_overlap(some, F.col("held"))))
     return met.select("rid", "label", (F.size(both) / F.size("own")).alias("containment"))
 
 

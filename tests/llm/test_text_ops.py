@@ -107,7 +107,9 @@ def license_row(text):
         held = set(WORD.findall(ascii_low(line)))
         for label, template in licenses.TEMPLATES:
             own = set(WORD.findall(ascii_low(template)))
-            if len(held & own) / len(own) >= licenses.THRESHOLD:
+            rivals = [set(WORD.findall(ascii_low(t))) for name, t in licenses.TEMPLATES if name != label]
+            told = all(held & (own - r) for r in rivals if len(own & r) / len(own) >= licenses.THRESHOLD)
+            if told and len(held & own) / len(own) >= licenses.THRESHOLD:
                 met.add(label)
                 score = max(score, len(held & own) / len(own))
     return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | met)), score)
@@ -122,6 +124,13 @@ def test_licenses_equal_brute_force(spark, sf):
     assert {d: tuple(rows[d][c] for c in LICENSE_COLUMNS) for d, _ in docs} == {d: license_row(t or "") for d, t in docs}
 
 
+def test_a_notice_has_the_label_it_names(spark):
+    texts = ["Licensed under CC BY-NC 4.0.", "Licensed under CC BY-SA 4.0.", "licensed under cc by 4.0", "Licensed under CC BY-NC 4.0. x CC BY-SA 4.0 licensed under"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(df).collect()}
+    assert got == {0: "cc-by-nc", 1: "cc-by-sa", 2: "", 3: "cc-by-nc,cc-by-sa"}
+
+
 def test_licenses_of_odd_texts(spark):
     texts = [
         None, "", "MIT License MIT\nlicense", "the mit, LICENSE; Apache-License general public license", "all RIGHTS reserved",
