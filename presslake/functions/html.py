@@ -73,6 +73,7 @@ SITE_CHECK_RULE = TextRule(
     min_chars=200,
 )
 SITE_TEXT_RULE = TextRule(selectors=SITE_CHECK_RULE.selectors, drop=("script", "style"), strip=False)
+# What links to articles carry or stand in, for the collector and for the source checker, and date classes.
 LINK_HREF_PARTS = ["/article/", "/news/", "/story/", "/post/", "/blog/"]
 LINK_CLASSES = ["article-link", "story-link", "headline"]
 TESTER_HREF_PARTS = ["/article", "/news", "/story", "/post", "/entry"]

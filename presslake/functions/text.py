@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions.html import BILL_PATH, TAG, decode_text
 
+# Addresses of markets and bill packages.
 MARKET_BASE = "https://polymarket.com/event"
 BILL_PACKAGES = "https://www.govinfo.gov/content/pkg"
 

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SALTS = 32
+# Fixed value: the title of a dated index card.
 CARD_DATE = r"Daily News Collection - (\d{4}-\d{2}-\d{2})"
 
 

@@ -13,6 +13,7 @@ from presslake.operators import markets as M
 from presslake.plans.records import tag_struct, to_articles
 from presslake.sources.tables import open_markets
 
+# Fixed value: the address that stands for the market feed.
 FEED = "https://gamma-api.polymarket.com/markets"
 
 
