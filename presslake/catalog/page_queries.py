@@ -345,7 +345,7 @@ def feed_items_cut(spark, sf_dir):
     """Items of feeds that end in the middle of one: it keeps the fields it has."""
     text = load(spark, sf_dir, "documents").select("doc_id", "text")
     df = articles(spark, sf_dir).select("doc_id", "url").join(text, "doc_id")
-    items = feeds.normalize_items(feeds.explode_feed(cut_documents(df)))
+    items = feeds.normalize_items(feeds.explode_feed(cut_documents(df), keep_cut=True))
     return items.select("doc_id", "item_pos", "title", "link", "description")
 
 

@@ -209,6 +209,8 @@ def master_report(rss: DataFrame, site: DataFrame, geo: DataFrame | None = None)
     accuracy = health_summary(geo).select(
         F.lit("all").alias("kind"), F.col("success_rate").alias("detection_accuracy")
     )
-    return report.join(accuracy, "kind", "left").withColumn(
-        "detection_accuracy", F.coalesce("detection_accuracy", F.lit(0.0))
-    )
+    # One row per kind, to which the accuracy is added as a row of its own.
+    both = report.unionByName(accuracy, allowMissingColumns=True)
+    others = [c for c in report.columns if c != "kind"]
+    merged = both.groupBy("kind").agg(*(F.max(c).alias(c) for c in [*others, "detection_accuracy"])).where("total_tested IS NOT NULL")
+    return merged.withColumn("detection_accuracy", F.coalesce("detection_accuracy", F.lit(0.0)))

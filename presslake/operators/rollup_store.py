@@ -84,9 +84,10 @@ def archive_totals(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce(F.floor(F.sum("chars") / 1000), F.lit(0)).cast("long").alias("length_k"),
     )
     sources = _distinct(_marks(spark, path, SOURCE), [], "unique_sources")
-    # Two tables of one row.
-    joined = sums.withColumn("one", F.lit(1)).join(sources.withColumn("one", F.lit(1)), "one", "left")
-    return joined.select("total_days", "total_articles", "length_k", F.coalesce("unique_sources", F.lit(0)).alias("unique_sources"))
+    none = F.lit(None).cast("long")
+    # Two rows, put into one.
+    both = sums.withColumn("unique_sources", none).union(sources.select(none, none, none, "unique_sources"))
+    return both.agg(*(F.max(c).alias(c) for c in ("total_days", "total_articles", "length_k")), F.coalesce(F.max("unique_sources"), F.lit(0)).alias("unique_sources"))
 
 
 def daily_stats(spark: SparkSession, path: str) -> DataFrame:

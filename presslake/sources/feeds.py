@@ -29,7 +29,7 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("feed_url"), F.col("value").alias("xml"))
 
 
-def explode_feed(documents: DataFrame, xml_col: str = "xml", keep_cut: bool = True) -> DataFrame:
+def explode_feed(documents: DataFrame, xml_col: str = "xml", keep_cut: bool = False) -> DataFrame:
     """One row per item in document order; a document without items gives its Atom entries.
 
     A document that is not well-formed gives the items that are complete in it, each
@@ -107,7 +107,7 @@ def closed(markup: Column) -> Column:
     return bind(whole, close)
 
 
-def unreadable(documents: DataFrame, xml_col: str = "xml", keep_cut: bool = True) -> DataFrame:
+def unreadable(documents: DataFrame, xml_col: str = "xml", keep_cut: bool = False) -> DataFrame:
     """Documents that neither parse nor hold an item (a complete one, without `keep_cut`)."""
     feed = F.from_xml(F.col(xml_col), FEED_SCHEMA, XML_OPTIONS)
     checked = compute_once(documents, feed=feed)

@@ -160,7 +160,7 @@ WHOLE = (
 def test_a_feed_may_end_anywhere(spark):
     """Whatever is cut off, the first item stays and the second has a beginning of its fields, growing with the cut."""
     docs = spark.createDataFrame([(i, WHOLE[:i]) for i in range(WHOLE.index("one"), len(WHOLE) + 1)], "cut int, xml string")
-    items = feeds.normalize_items(feeds.explode_feed(docs)).select("cut", "item_pos", "title", "link", "description").collect()
+    items = feeds.normalize_items(feeds.explode_feed(docs, keep_cut=True)).select("cut", "item_pos", "title", "link", "description").collect()
     by_cut = {}
     for r in items:
         by_cut.setdefault(r["cut"], []).append(r)

@@ -12,10 +12,14 @@ def con(sf):
     return connect(sf)
 
 
+# SQL has neither SimHash nor fitted models; tests/test_copies_and_quality.py holds these against all pairs and held-out rows.
+WITHOUT_SQL = {"near_copies", "quality_model_auc"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf, con, name):
     result = compare(spark, sf, name, con)
-    assert result["checked"], name
+    assert result["checked"] or name in WITHOUT_SQL, name
     assert result["diff"] == []
     assert result["rows"] > 0
 
