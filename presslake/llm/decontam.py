@@ -3,7 +3,7 @@
 Documents are read as overlapping passages. Passages and benchmark items become TF-IDF
 vectors over the terms of the items (other terms cannot make a passage similar to an
 item), with document frequencies counted over all documents. A distributed randomised
-SVD, fitted on the items and a bounded sample of documents, gives a latent space.
+SVD, fitted on the items and all different documents, gives a latent space.
 Every passage of every document is projected into it; items within a cosine of it
 are candidates. A candidate counts when the longest common subsequence of words covers
 most of the item, or half of its less common words together with those of its answer (its
@@ -15,7 +15,6 @@ what goes to the tasks has a size bound: block * (longest item) terms times the
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,8 +33,8 @@ STRIDE = 32
 PASSAGES = 4096
 BLOCK_ITEMS = 256
 RANK = 192
-#: Documents the latent space is fitted on, at most about so many; and tasks of that fit.
-FIT_DOCS, FIT_TASKS, POWER_STEPS = 2_000, 8, 2
+#: Tasks that add up what the tasks of the fit return, and strides multiplied at once.
+FIT_TASKS, FIT_STRIDES, POWER_STEPS = 8, 64, 2
 #: Terms in a larger share of the documents are common. They carry no weight, but for
 #: those of items with fewer than so many other terms, which they alone can find.
 COMMON_SHARE, LEAST_TERMS = 0.25, 8
@@ -116,52 +115,56 @@ def _matrix(row: np.ndarray, term: np.ndarray, n_rows: int, idf: np.ndarray) ->
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
-WORDS = "doc_id long, key binary, n_words long, at binary, terms binary, distinct binary"
+WORDS = "doc_id long, key binary, n_words long, at binary, terms binary"
 
 
 def item_words(docs: DataFrame, items: Items) -> DataFrame:
     """What the items' words do in every document (id, body): the only pass over the texts.
 
     Per document: a key of its text, its number of words, the places and numbers of those that items
-    or answers use, and each of these numbers once. No other word can make a passage similar or be in a common subsequence.
+    or answers use. No other word can make a passage similar or be in a common subsequence.
     """
     terms = {word.encode(): number for word, number in items.terms.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = terms.get
         for batch in batches:
-            rows: list[list] = [[] for _ in range(4)]
+            rows: list[list] = [[] for _ in range(3)]
             for value in batch.column("body"):
                 words = word_bytes(value.as_py())
                 found = np.fromiter(map(get, words, repeat(-1)), "i4", len(words))
                 at = np.flatnonzero(found >= 0).astype("i4")
-                own = found[at]
-                for column, x in zip(rows, (len(words), at.tobytes(), own.tobytes(), np.unique(own).tobytes()), strict=True):
+                for column, x in zip(rows, (len(words), at.tobytes(), found[at].tobytes()), strict=True):
                     column.append(x)
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            kinds = [pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), *(pa.array(c, t) for c, t in zip(rows, kinds, strict=True))],
-                names=["doc_id", "key", "n_words", "at", "terms", "distinct"],
+                names=["doc_id", "key", "n_words", "at", "terms"],
             )
 
     return staged(docs.select("doc_id", text_key(F.col("body")).alias("key"), "body").mapInArrow(run, WORDS), "item-words")
 
 
-def document_counts(words: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
-    """Over all different texts: how many there are, and how many hold each term. Copies of a text count once."""
+def different_texts(words: DataFrame) -> DataFrame:
+    """`item_words` of each text once, however many copies it has."""
+    first = words.groupBy("key").agg(F.first(F.struct("n_words", "at", "terms")).alias("text"))
+    return staged(first.select("text.*"), "different-texts")
+
+
+def document_counts(texts: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
+    """Over all `different_texts`: how many there are, and how many hold each term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, seen = 0, np.zeros(n_terms, "i8")
         for batch in batches:
             n += batch.num_rows
-            for value in batch.column("distinct"):
-                own = np.frombuffer(value.as_py(), "i4")
+            for value in batch.column("terms"):
+                own = np.unique(np.frombuffer(value.as_py(), "i4"))
                 seen[own[own < n_terms]] += 1
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], n))], names=["term", "n"])
 
-    texts = words.groupBy("key").agg(F.first("distinct").alias("distinct"))
-    counts = texts.select("distinct").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    counts = texts.select("terms").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(n_terms)
     total = 0
     for term, n in counts:
@@ -172,11 +175,38 @@ def document_counts(words: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
     return total, df
 
 
-def fit_space(words: DataFrame, items: Items, n_docs: int, df: np.ndarray, rank: int = RANK, fit_docs: int = FIT_DOCS) -> Space:
-    """Latent space of TF-IDF passages by randomised subspace iteration.
+def _add_product(
+    total: np.ndarray, at: np.ndarray, terms: np.ndarray, text: np.ndarray, lengths: np.ndarray, idf: np.ndarray, held: np.ndarray
+) -> int:
+    """Adds rows.T @ (rows @ held) to `total`, a row per stride of the texts; gives the number of strides.
 
-    Each step multiplies the passages of the sample, spread over FIT_TASKS tasks, with the
-    current basis; what returns is a matrix of terms x rank from each task.
+    Only the terms that some strides use are multiplied, so the cost goes with the words, not with the number of terms.
+    """
+    spans = -(-lengths // STRIDE)
+    known = terms < len(idf)
+    known[known] = idf[terms[known]] > 0
+    at, terms, text = at[known], terms[known], text[known]
+    block = (np.cumsum(spans) - spans)[text] + at // STRIDE
+    starts = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, "i8")
+    ends = np.append(starts[1:], len(block))
+    logs = np.log1p(np.arange(STRIDE + 1)).astype("f4")
+    for low in range(0, len(starts), FIT_STRIDES):
+        own = slice(starts[low], ends[min(low + FIT_STRIDES, len(starts)) - 1])
+        sizes = (ends - starts)[low : low + FIT_STRIDES]
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        used, place = np.unique(terms[own], return_inverse=True)
+        counts = np.bincount(row * len(used) + place, minlength=len(sizes) * len(used))
+        rows = logs[counts].reshape(len(sizes), len(used)) * idf[used].astype("f4")
+        rows /= np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
+        total[used] += rows.T @ (rows @ held[used])
+    return int(spans.sum())
+
+
+def fit_space(texts: DataFrame, items: Items, n_docs: int, df: np.ndarray, rank: int = RANK) -> Space:
+    """Latent space of TF-IDF passages of all `different_texts`, by randomised subspace iteration.
+
+    Each step multiplies the passages with the current basis. What a task returns is a matrix of
+    terms x rank; FIT_TASKS tasks add these up, so that as many matrices reach the driver.
     """
     common = df > COMMON_SHARE * max(n_docs, 1)
     needed = np.zeros(len(df), bool)
@@ -186,38 +216,43 @@ def fit_space(words: DataFrame, items: Items, n_docs: int, df: np.ndarray, rank:
             needed[own] = True
     idf = np.where(common & ~needed, 0.0, np.log((1 + n_docs) / (1 + df)) + np.where(common, 0.1, 1.0))
     rank = min(rank, len(idf))
-    share = min(1.0, fit_docs / max(n_docs, 1))
-    part = words.filter(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(math.ceil(share * 1_000_000)))
-    # Each text once, however many copies it has.
-    part = part.groupBy("key").agg(F.first(F.struct("n_words", "at", "terms")).alias("text"))
-    sample = staged(part.select("text.*").repartition(FIT_TASKS), "fit-sample")
     row = np.repeat(np.arange(len(items.words)), [len(w) for w in items.words])
     term = np.concatenate([_term_rows(w, items.terms) for w in items.words]) if len(row) else np.zeros(0, "i8")
     own = _matrix(row, term, len(items.words), idf).astype("f8")
     basis = np.linalg.qr(np.random.default_rng(7).standard_normal((len(idf), rank)))[0]
+    schema = "product binary, n long"
+
+    def packed(total: np.ndarray, n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([total.astype("f4").tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["product", "n"])
+
     for _ in range(POWER_STEPS):
-        held = basis
+        shape, held = basis.shape, basis.astype("f4")
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+        def multiply(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             total, n = np.zeros(held.shape), 0
             for batch in batches:
-                for n_words, at, terms in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                    at, terms = np.frombuffer(at, "i4"), np.frombuffer(terms, "i4")
-                    at, terms = at[terms < len(idf)], terms[terms < len(idf)]
-                    count = -(-n_words // STRIDE)
-                    for low in range(0, count, 512):
-                        mine = (at // STRIDE >= low) & (at // STRIDE < low + 512)
-                        rows = _matrix(at[mine] // STRIDE - low, terms[mine], min(512, count - low), idf)
-                        total += rows.T @ (rows @ held.astype("f4"))
-                        n += len(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([total.astype("f4").tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["product", "n"])
-
-        parts = sample.repartition(FIT_TASKS).mapInArrow(run, "product binary, n long").collect()
-        product, passages = np.zeros(basis.shape), 0
+                for part in _portions(batch):
+                    at = [np.frombuffer(v.as_py(), "i4") for v in part.column("at")]
+                    terms = [np.frombuffer(v.as_py(), "i4") for v in part.column("terms")]
+                    text = np.repeat(np.arange(len(at)), [len(p) for p in at])
+                    lengths = part.column("n_words").to_numpy(zero_copy_only=False)
+                    n += _add_product(total, np.concatenate(at), np.concatenate(terms), text, lengths, idf, held)
+            yield packed(total, n)
+
+        def add(batches: Iterator[pa.RecordBatch], shape=shape) -> Iterator[pa.RecordBatch]:
+            total, n = np.zeros(shape), 0
+            for batch in batches:
+                for product, passages in zip(batch.column("product"), batch.column("n"), strict=True):
+                    total += np.frombuffer(product.as_py(), "f4").reshape(shape)
+                    n += passages.as_py()
+            yield packed(total, n)
+
+        parts = texts.mapInArrow(multiply, schema).repartition(FIT_TASKS).mapInArrow(add, schema).collect()
+        product, passages = np.zeros(shape), 0
         for p in parts:
-            product += np.frombuffer(bytes(p["product"]), "f4").reshape(basis.shape)
+            product += np.frombuffer(bytes(p["product"]), "f4").reshape(shape)
             passages += p["n"]
-        # The items weigh as much as all sampled passages, so the space holds their directions.
+        # The items weigh as much as all passages, so the space holds their directions.
         product += max(passages, 1) / max(len(own), 1) * (own.T @ (own @ basis))
         basis = np.linalg.qr(product)[0]
     latent = own @ basis
@@ -346,8 +381,9 @@ def _portions(batch: pa.RecordBatch, size: int = 160_000) -> Iterator[pa.RecordB
 
 def _leaks_of_block(bodies: DataFrame, items: Items, cosine: float, rank: int, schema: str) -> DataFrame:
     words = item_words(bodies, items)
-    n_docs, df = document_counts(words, items.n_terms)
-    space = fit_space(words, items, n_docs, df, rank)
+    texts = different_texts(words)
+    n_docs, df = document_counts(texts, items.n_terms)
+    space = fit_space(texts, items, n_docs, df, rank)
     longest = max(map(len, items.words))
 
     numbers = [[items.terms[w] for w in own] for own in items.words]

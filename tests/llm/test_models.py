@@ -114,6 +114,36 @@ def test_paraphrases_are_found(spark):
     assert len(got - want) <= 0.05 * len(want)
 
 
+def test_space_is_fitted_on_all_different_texts(spark):
+    """The same product of all strides, whole in numpy, spans the same space; copies of a text count once."""
+    rng = random.Random(5)
+    vocabulary = [f"t{i}" for i in range(60)]
+    bodies = [" ".join(rng.choices(vocabulary, [1 / (k + 4) for k in range(60)], k=rng.choice([3, 20, 70]))) for _ in range(3000)]
+    docs = spark.createDataFrame([(d, b) for d, b in enumerate([*bodies, *bodies[:900], "", ""])], "doc_id long, body string")
+    asked = [rng.sample(vocabulary, 12) for _ in range(9)]
+    items = decontam.Items(list(range(9)), asked, asked)
+    texts = decontam.different_texts(decontam.item_words(docs.repartition(5), items))
+    n_docs, df = decontam.document_counts(texts, items.n_terms)
+    different = sorted({*bodies, ""})
+    assert n_docs == len(different) > 2500
+    assert df.tolist() == [sum(w in b.split() for b in different) for w in sorted(items.terms, key=items.terms.get)]
+    space = decontam.fit_space(texts, items, n_docs, df, rank=6)
+
+    strides = [b.split()[i : i + decontam.STRIDE] for b in different for i in range(0, len(b.split()), decontam.STRIDE)]
+    rows = np.zeros((len(strides), items.n_terms))
+    for row, own in zip(rows, strides, strict=True):
+        for w in own:
+            if w in items.terms:
+                row[items.terms[w]] += 1
+    weigh = lambda counts: (x := np.log1p(counts) * space.idf) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    rows = weigh(rows)
+    own = weigh(np.array([[w in item for w in sorted(items.terms, key=items.terms.get)] for item in asked], float))
+    basis = np.linalg.qr(np.random.default_rng(7).standard_normal((items.n_terms, 6)))[0]
+    for _ in range(decontam.POWER_STEPS):
+        basis = np.linalg.qr(rows.T @ (rows @ basis) + len(rows) / len(own) * (own.T @ (own @ basis)))[0]
+    assert np.abs(basis @ basis.T - space.basis.astype("f8") @ space.basis.T).max() < 1e-3
+
+
 def test_items_in_blocks_find_the_same(spark):
     bench = spark.createDataFrame([(i, " ".join(f"b{i}x{k}" for k in range(20))) for i in range(7)] + [(9, ""), (10, None)], "item_id long, text string")
     docs = spark.createDataFrame([(d, "some words " * 30 + " ".join(f"b{d % 7}x{k}" for k in range(20)) + " end") for d in range(20)] + [(50, None), (51, "")], "doc_id long, text string")
