@@ -171,17 +171,17 @@ def _backfilled(spark, sf_dir, plan, name):
     _kind_pages(df).write.parquet(pages_path)
     table, content = store.articles(spark, base), store.contents(spark, base)
     new_table, new_content = plan(table, content, spark.read.parquet(pages_path))
-    staged = scratch_dir(spark, f"{name}-new")
-    new_table.write.parquet(f"{staged}/table")
-    new_content.write.parquet(f"{staged}/content")
+    staged = scratch_dir(spark, f"{name}-outcomes")
+    new_table.select("backfill").write.parquet(staged)
     dates = [row[0] for row in table.select("collection_date").distinct().collect()]
-    new_table = spark.read.parquet(f"{staged}/table")
-    store.rewrite_backfilled(new_table, spark.read.parquet(f"{staged}/content"), base, dates)
-    report = rollups.backfill_report(new_table)
-    stored = store.articles(spark, base).join(store.contents(spark, base), store.KEY)
+    store.rewrite_backfilled(new_table, new_content, base, dates)
+    report = rollups.backfill_report(spark.read.parquet(staged))
+    # Digests, not texts, go through the join.
+    digests = store.contents(spark, base).select(*store.KEY, F.md5("content").alias("digest"))
+    stored = store.articles(spark, base).join(digests, store.KEY)
     counts = report.select(F.inline(F.array(*(F.struct(F.lit(c).alias("key"), F.col(c).alias("n")) for c in ("updated", "failed", "total")))))
     return stored.select(
-        F.lit("article").alias("what"), F.col("url").alias("key"), F.col("content_length").cast("long").alias("n"), F.md5("content").alias("digest")
+        F.lit("article").alias("what"), F.col("url").alias("key"), F.col("content_length").cast("long").alias("n"), "digest"
     ).union(counts.select(F.lit("report"), "key", "n", F.lit("")))
 
 

@@ -82,36 +82,46 @@ def save_articles(batch: DataFrame, base: str, dates: list | None = None, fresh:
 
     old_articles, old_contents = of_days(articles(spark, base)), of_days(contents(spark, base))
     if fresh:
-        ids = batch.select(*KEY)
-        kept_articles = old_articles.join(ids, KEY, "left_anti").select(*meta_columns)
-        replaced = old_articles.join(ids, KEY, "left_semi").withColumn("content_length", F.lit(REPLACING)).select(*meta_columns)
-        kept_contents = old_contents.join(ids, KEY, "left_anti")
-        _replace(kept_articles.unionByName(replaced), f"{base}/articles")
+        kept_articles = _without(old_articles, batch).select(*meta_columns)
+        kept_contents = _without(old_contents, batch)
+        # A mark stands for metadata that is never shown again, so it needs no more than the key.
+        marks = old_articles.select(*KEY).join(batch.select(*KEY), KEY, "left_semi").withColumn("content_length", F.lit(REPLACING))
+        _replace(kept_articles.unionByName(marks, allowMissingColumns=True), f"{base}/articles")
         _replace(kept_contents.select(*content_columns).unionByName(batch.select(*content_columns)), f"{base}/content")
-        kept_articles = of_days(articles(spark, base)).join(ids, KEY, "left_anti").select(*meta_columns)
+        kept_articles = _without(of_days(articles(spark, base)), batch).select(*meta_columns)
         _replace(kept_articles.unionByName(batch.select(*meta_columns)), f"{base}/articles")
     else:
         # Content without metadata is what a run cut short has left, of whatever state: it gives way to the batch's.
         alone = old_contents.select(*KEY).join(old_articles.select(*KEY), KEY, "left_anti").join(batch.select(*KEY), KEY, "left_semi")
         if alone.limit(1).count():
-            kept_contents = old_contents.join(alone, KEY, "left_anti")
-            added = batch.join(kept_contents.select(*KEY), KEY, "left_anti")
+            kept_contents = _without(old_contents, alone)
+            added = _without(batch, kept_contents)
             _replace(kept_contents.select(*content_columns).unionByName(added.select(*content_columns)), f"{base}/content")
         else:
-            missing_content = batch.join(old_contents.select(*KEY), KEY, "left_anti")
+            missing_content = _without(batch, old_contents)
             _write(missing_content.select(*content_columns), f"{base}/content")
-        missing_meta = batch.join(old_articles.select(*KEY), KEY, "left_anti")
+        missing_meta = _without(batch, old_articles)
         _write(missing_meta.select(*meta_columns), f"{base}/articles")
     drop_dir(spark, staged)
 
 
+def _without(table: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows of `table` whose key is not in `others`; both are stored, so keys are cheap to read.
+
+    Whole rows go through a join only where some of them stay and some do not.
+    """
+    keys, known = table.select(*KEY), others.select(*KEY)
+    if not keys.join(known, KEY, "left_anti").limit(1).count():
+        return table.limit(0)
+    if not keys.join(known, KEY, "left_semi").limit(1).count():
+        return table
+    return table.join(known, KEY, "left_anti")
+
+
 def _replace(table: DataFrame, path: str) -> None:
-    """Overwrites the partitions of a table's days, from which it may itself be read."""
-    spark = table.sparkSession
-    staged = scratch_dir(spark, "replaced")
-    table.write.parquet(staged)
-    _write(spark.read.schema(table.schema).parquet(staged), path, replace=True)
-    drop_dir(spark, staged)
+    """Overwrites the partitions of a table's days, from which it may itself be read: old files
+    go when all new ones are written."""
+    _write(table, path, replace=True)
 
 
 def stored_pairs(spark: SparkSession, base: str) -> DataFrame:
@@ -126,6 +136,8 @@ def new_only(batch: DataFrame, base: str) -> DataFrame:
     old_articles, old_contents = (
         t.select(*KEY).join(dates, "collection_date", "left_semi") for t in (articles(spark, base), contents(spark, base))
     )
+    if not old_articles.join(old_contents, KEY, "left_semi").limit(1).count():
+        return batch
     return drop_stored(batch, old_articles, old_contents, KEY)
 
 
@@ -163,7 +175,7 @@ def backfill_content(
 
 
 def rewrite_backfilled(new_table: DataFrame, new_content: DataFrame, base: str, dates: list) -> None:
-    """Write back the partitions a backfill touched, content first."""
+    """Write back the partitions a backfill touched, content first; both tables may be read from the store itself."""
     columns, content_columns = ARTICLES.fieldNames(), ARTICLE_CONTENT.fieldNames()
     _write(_in_dates(new_content, dates).select(*content_columns), f"{base}/content", replace=True)
     _write(_in_dates(new_table, dates).select(*columns), f"{base}/articles", replace=True)
