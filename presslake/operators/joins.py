@@ -8,13 +8,15 @@ shuffles and splits skewed keys.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslake.functions import lexicons as lex
 from presslake.functions.match import NOT_WORD, WHOLE_WORD, WORD, TermScanner, bind
 from presslake.operators.shape import compute_once
+from presslake.session import scratch_dir
 
 
 def drop_seen(items: DataFrame, seen: DataFrame, fresh: bool = False, keys: Sequence[str] = ("url",)) -> DataFrame:
@@ -78,6 +80,10 @@ def explode_matches(
     `lexicon` has a column `term`, each term once in lower case. Up to `block` terms are compiled
     into one scan of the texts; a larger lexicon stays a table, see `join_matches`. Both give the same rows.
     """
+    # A lexicon may be costly itself; it is read several times below.
+    staged = scratch_dir(df.sparkSession, "lexicon")
+    lexicon.write.parquet(staged)
+    lexicon = df.sparkSession.read.schema(lexicon.schema).parquet(staged)
     rows = lexicon.limit(block + 1).collect()
     if len(rows) <= block:
         return _scan_matches(df, rows, lexicon, key, text)
@@ -86,6 +92,8 @@ def explode_matches(
 
 #: Up to so many bytes of terms are broadcast; beyond, both sides are shuffled.
 BROADCAST_BYTES = 32 << 20
+#: Up to so many terms of rare lengths are looked for in a scan of the texts.
+SCANNED_TERMS = 256
 #: Parts a term's texts are spread over in a shuffled join.
 TERM_SALTS = 8
 
@@ -107,18 +115,28 @@ def join_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str, broadca
         F.octet_length("run").alias("bytes"),
     )
     # At most four rows per length.
-    shapes = shapes.groupBy("tokens", "first", "last").agg(F.sum(F.col("bytes") + 64).alias("bytes")).collect()
-    patterns = [_run_pattern(s["tokens"], s["first"], s["last"]) for s in shapes]
-    if not patterns:
+    sizes = [F.sum(F.col("bytes") + 64).alias("bytes"), F.count(F.lit(1)).alias("terms")]
+    shapes = sorted(shapes.groupBy("tokens", "first", "last").agg(*sizes).collect(), key=lambda s: s["terms"])
+    if not shapes:
         return _no_matches(df, lexicon, key)
+    # Cutting texts into runs of a shape pays for many terms only. Of the rare shapes the terms are looked for in one scan.
+    scanned = []
+    while len(shapes) > 1 and sum(s["terms"] for s in scanned) + shapes[0]["terms"] <= SCANNED_TERMS:
+        scanned.append(shapes.pop(0))
+    found = _no_matches(df, lexicon, key)
+    if scanned:
+        rare = reduce(Column.__or__, [(tokens == s["tokens"]) & (F.col("run").rlike(f"^{WORD}") == s["first"]) & (F.col("run").rlike(f"{WORD}$") == s["last"]) for s in scanned])
+        found = _scan_matches(df, terms.where(rare).select(*lexicon.columns).collect(), lexicon, key, text)
+        terms = terms.where(~rare)
+    patterns = [_run_pattern(s["tokens"], s["first"], s["last"]) for s in shapes]
     low = F.lower(F.coalesce(text, F.lit("")))
     runs = bind(low, lambda t: F.array_distinct(F.concat(*(F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in patterns))))
     each = df.select(key, F.explode(runs).alias("run"))
     if sum(s["bytes"] for s in shapes) <= broadcast_bytes:
-        return each.join(F.broadcast(terms), "run").select(key, *lexicon.columns)
+        return each.join(F.broadcast(terms), "run").select(key, *lexicon.columns).unionByName(found)
     each = each.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(TERM_SALTS)).cast("int"))
     terms = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1))))
-    return each.join(terms.hint("merge"), ["run", "salt"]).select(key, *lexicon.columns)
+    return each.join(terms.hint("merge"), ["run", "salt"]).select(key, *lexicon.columns).unionByName(found)
 
 
 def _run_pattern(tokens: int, first: bool, last: bool) -> str:
@@ -127,8 +145,11 @@ def _run_pattern(tokens: int, first: bool, last: bool) -> str:
     Next to a character that is no word, whole-word matching asks for a word outside the run.
     """
     word, other = f"{WORD}++", NOT_WORD
+    if tokens == 1 and first:
+        # Words do not overlap.
+        return f"({word})"
     if tokens == 1:
-        body = word if first else other
+        body = other
     else:
         body = (word if first else other) + f"(?:{word}|{other}){{{tokens - 2}}}" + (word if last else other)
     start = f"(?<!{WORD})" if first else f"(?<={WORD})"
@@ -136,7 +157,7 @@ def _run_pattern(tokens: int, first: bool, last: bool) -> str:
 
 
 def _scan_matches(df: DataFrame, rows: list, lexicon: DataFrame, key: str, text: str) -> DataFrame:
-    terms = [row["term"] for row in rows if row["term"]]
+    terms = list(dict.fromkeys(row["term"] for row in rows if row["term"]))
     # The block's rows, bounded by its size, may be broadcast.
     listed = df.sparkSession.createDataFrame(rows, lexicon.schema)
     if not terms:
