@@ -14,9 +14,11 @@ candidates, in which the term itself is then looked for, so the result is that o
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,43 @@ def grams(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(bind(chars, starts))
 
 
+def _gram_codes(text: str) -> np.ndarray:
+    """The grams of a text as numbers of 63 bits, 21 for each character."""
+    if not text:
+        return np.zeros(0, "i8")
+    c = np.frombuffer((text + PAD * (GRAM - 1)).encode("utf-32-le"), "u4").astype("i8")
+    return c[:-2] << 42 | c[1:-1] << 21 | c[2:]
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch: for each gram and block the slots of the rows that hold it, as `grams` gives them for the row's fields."""
+    for batch in batches:
+        fields = [batch.column(i) for i in range(3, batch.num_columns)]
+        slots = batch.column("slot").to_numpy(zero_copy_only=False)
+        blocks: dict[tuple, list[int]] = {}
+        for row, place in enumerate(zip(batch.column(0).to_pylist(), batch.column("block").to_pylist(), strict=True)):
+            blocks.setdefault(place, []).append(row)
+        for rows in blocks.values():
+            own = [np.unique(np.concatenate([_gram_codes(f[row].as_py()) for f in fields])) for row in rows]
+            codes, owner = np.concatenate(own), np.repeat(rows, [len(o) for o in own])
+            order = np.argsort(codes, kind="stable")
+            codes, held = codes[order], slots[owner[order]].astype("i4")
+            starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, "i8")
+            mask = (1 << 21) - 1
+            chars = np.stack([codes[starts] >> 42, codes[starts] >> 21 & mask, codes[starts] & mask], axis=1).astype("u4")
+            shown = chars.tobytes().decode("utf-32-le")
+            first = pa.array(np.full(len(starts), rows[0]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(first),
+                    batch.column(1).take(first),
+                    pa.array([shown[i : i + GRAM] for i in range(0, len(shown), GRAM)], pa.string()),
+                    pa.ListArray.from_arrays(pa.array(np.append(starts, len(codes)).astype("i4")), pa.array(held)),
+                ],
+                names=[DAY, "block", "gram", "slots"],
+            )
+
+
 def term_grams(term: str) -> list[str]:
     return sorted({term[i : i + GRAM] for i in range(len(term) - GRAM + 1)})
 
@@ -71,9 +110,11 @@ def append(batch: DataFrame, path: str, name: str, fields: Sequence[str] = ("tit
     docs = f"{path}/docs/attempt={attempt}"
     numbered.write.partitionBy(DAY, "block").parquet(docs)
     written = spark.read.schema(numbered.schema).parquet(docs)
-    texts = F.flatten(F.array(*(grams(F.lower(F.coalesce(f, F.lit("")))) for f in fields)))
-    each = written.select(DAY, "block", "slot", F.explode(F.array_distinct(texts)).alias("gram"))
-    lists = each.groupBy(DAY, "gram", "block").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+    low = [F.lower(F.coalesce(f, F.lit(""))).alias(f"field_{i}") for i, f in enumerate(fields)]
+    kind = written.schema[DAY].dataType.simpleString()
+    lists = written.select(DAY, "block", "slot", *low).mapInArrow(_lists, f"{DAY} {kind}, block string, gram string, slots array<int>")
+    # A batch of rows has one list per gram and block; a block's lists are put together.
+    lists = lists.groupBy(DAY, "gram", "block").agg(F.sort_array(F.flatten(F.collect_list("slots"))).alias("slots"))
     lists = lists.repartitionByRange(DAY, "gram").sortWithinPartitions(DAY, "gram")
     lists.write.partitionBy(DAY).parquet(f"{path}/postings/attempt={attempt}")
     spark.createDataFrame([(name, attempt)], BATCHES).write.mode("append").parquet(f"{path}/batches")
