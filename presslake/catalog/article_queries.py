@@ -382,7 +382,7 @@ def quality_model_auc(spark, sf_dir):
     """The same for a model fitted on three quarters of the labelled texts, over the others; copies of a text are on one side."""
     labels = load(spark, sf_dir, "labels").select("doc_id", "quality")
     texts = load(spark, sf_dir, "documents").select("doc_id", "text").withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(4)))
-    rows = quality.features(texts, "text").join(labels, "doc_id")
+    rows = quality.stage_features(quality.features(texts, "text").join(labels, "doc_id"), "doc_id", "fold", "quality")
     model = quality.fit_quality(rows.where("fold > 0"))
     return quality.auc(quality.model_score(rows.where("fold = 0"), model), label="quality")
 

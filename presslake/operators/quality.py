@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from presslake.functions import lexicons as lex
 from presslake.functions.match import WHOLE_WORD, TermScanner
 from presslake.operators.shape import compute_once
+from presslake.session import scratch_dir
 
 FEATURES = (
     "log_chars", "word_chars", "sentence_words", "distinct_share", "line_share", "digit_share", "mark_share", "upper_share", "keywords",
@@ -51,6 +52,14 @@ def features(df: DataFrame, text: str, keywords: Sequence[str] = lex.NEWS_KEYWOR
     return compute_once(read, **columns).drop("q_words", "q_lines", "q_hits")
 
 
+def stage_features(rows: DataFrame, *columns: str) -> DataFrame:
+    """The features and the named columns of `rows`, computed once into the shared scratch folder: fitting reads them several times."""
+    staged = scratch_dir(rows.sparkSession, "features")
+    slim = rows.select(*columns, *FEATURES)
+    slim.write.parquet(staged)
+    return rows.sparkSession.read.schema(slim.schema).parquet(staged)
+
+
 def formula_score(weights: Mapping[str, float] = WEIGHTS) -> Column:
     """Weighted sum of features, to six places."""
     total = F.lit(0.0)
@@ -87,6 +96,10 @@ def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFr
     """
     rows = scored.select(F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("l")).where("s IS NOT NULL AND l IS NOT NULL")
     counted = rows.groupBy("s").agg(F.count_if(F.col("l") == 1).alias("p"), F.count_if(F.col("l") != 1).alias("n"))
+    # Scores are counted once: their texts would be read again for the range, the slices and the ranks.
+    staged = scratch_dir(scored.sparkSession, "scores")
+    counted.write.parquet(staged)
+    counted = scored.sparkSession.read.schema(counted.schema).parquet(staged)
     span = counted.agg(F.min("s").alias("low"), F.max("s").alias("high")).first()
     low, width = span["low"] or 0.0, ((span["high"] or 0.0) - (span["low"] or 0.0)) or 1.0
     sliced = counted.withColumn("slice", F.floor((F.col("s") - low) / width * (SLICES - 1)))
