@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from presslake.functions.text import title_case
 from presslake.operators.rollups import UNKNOWN
+from presslake.session import drop_dir, scratch_dir
 from presslake.sources.tables import read_or_empty
 
 NAMES = "kind string, name string, number long"
@@ -33,6 +34,10 @@ def add_batch(batch: DataFrame, path: str, name: str) -> None:
         F.coalesce("content_length", F.lit(0)).alias("chars"),
         F.coalesce("tags.matched_keywords", F.array().cast("array<string>")).alias("keywords"),
     )
+    # The batch is computed once: reading keywords from texts would be repeated for each table.
+    staged = scratch_dir(spark, "rollup-batch")
+    slim.write.parquet(staged)
+    slim = spark.read.schema(slim.schema).parquet(staged)
     sums = slim.groupBy("collection_date").agg(
         F.count(F.lit(1)).alias("articles"), F.sum("chars").cast("long").alias("chars"), F.count_if("unnamed").alias("unnamed")
     )
@@ -47,6 +52,7 @@ def add_batch(batch: DataFrame, path: str, name: str) -> None:
     marks = marks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
     sums.write.mode("overwrite").parquet(f"{path}/days/batch={name}")
     marks.write.mode("overwrite").parquet(f"{path}/marks/batch={name}")
+    drop_dir(spark, staged)
 
 
 def _numbered(spark: SparkSession, seen: DataFrame, path: str) -> DataFrame:
