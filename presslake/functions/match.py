@@ -75,7 +75,10 @@ def _prefix_tree(terms: Iterable[tuple[str, str]]) -> str:
 
 
 def _first_chars(terms: Iterable[str]) -> str:
-    return "[" + "".join(escape(c) for c in sorted({t[0] for t in terms})) + "]"
+    """A class per place for the first characters all terms have, at most three: most places fail here, before the tree."""
+    terms = list(terms)
+    places = range(min(3, min(map(len, terms))))
+    return "".join("[" + "".join(escape(c) for c in sorted({t[i] for t in terms})) + "]" for i in places)
 
 
 def _implied(shorter: str, mode: str, longer: str) -> bool:
