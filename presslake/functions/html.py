@@ -166,15 +166,33 @@ def _reader(rule: TextRule):
     return read
 
 
+def _senate_or_main(rule: TextRule):
+    def one(senate: str | None, page: str | None) -> tuple:
+        special = None if senate is None else page_reader.senate_text(senate)
+        return special, page_reader.main_text(page, rule) if special is None and page is not None else None
+
+    @F.pandas_udf("special string, main string")
+    def read(senate: pd.Series, page: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(*pair) for pair in zip(senate, page, strict=True)], columns=["special", "main"], dtype=object)
+
+    return read
+
+
 def extract_text(df: DataFrame, rule: TextRule, into: str = "content", html: str = "html") -> DataFrame:
     """Adds the main text of each page by a rule; NULL if there is none long enough."""
+    plain = _plain_text(df, html, rule)
+    read = _reader(rule)(F.when(F.col("plain_text").isNull(), F.col(html)))
+    text = compute_once(plain, **{into: F.coalesce("plain_text", read)}).drop("plain_text")
+    return text.withColumn(into, F.when(F.char_length(into) > rule.min_chars, F.col(into)))
+
+
+def _plain_text(df: DataFrame, html: str, rule: TextRule) -> DataFrame:
+    """Adds `plain_text`: what built-ins read, NULL where the reader is needed."""
     plain = _plain_article(df, html, rule, "plain_text")
     if rule.enough:
         long = F.char_length("plain_text") > rule.enough
         plain = plain.withColumn("plain_text", F.when(long, F.col("plain_text")))
-    read = _reader(rule)(F.when(F.col("plain_text").isNull(), F.col(html)))
-    text = compute_once(plain, **{into: F.coalesce("plain_text", read)}).drop("plain_text")
-    return text.withColumn(into, F.when(F.char_length(into) > rule.min_chars, F.col(into)))
+    return plain
 
 
 # ---------------------------------------------------------------------------
@@ -226,13 +244,15 @@ def extract_content(df: DataFrame, rule: TextRule = LEGISLATION_RULE, into: str
     xml, version = (F.col(c) if c in df.columns else none for c in ("bill_xml", "bill_html"))
     url, html = F.col("url"), F.col("html")
     bill = F.when(url.contains(BILL_PATH), extract_bill(xml, version))
-    special = F.coalesce(bill, extract_senate(F.when(url.contains("senado.leg.br"), html)))
-    ruled = compute_once(df, special_text=special)
-    generic = F.when(F.col("special_text").isNull(), html)
-    read = extract_text(ruled.withColumn("page_html", generic), rule, "generic_text", "page_html")
-    return read.withColumn(into, F.coalesce("special_text", "generic_text")).drop(
-        "special_text", "generic_text", "page_html"
-    )
+    ruled = compute_once(df, bill_text=bill)
+    plain = _plain_text(ruled.withColumn("page_html", F.when(F.col("bill_text").isNull(), html)), "page_html", rule)
+    page = F.col("page_html")
+    senate = F.when(url.contains("senado.leg.br") & page.contains("textoMateria"), page)
+    # Both readers are in one Python step: each step has workers of its own.
+    texts = compute_once(plain, texts=_senate_or_main(rule)(senate, F.when(F.col("plain_text").isNull(), page)))
+    generic = F.coalesce("plain_text", "texts.main")
+    generic = F.when(F.char_length(generic) > rule.min_chars, generic)
+    return texts.withColumn(into, F.coalesce("bill_text", "texts.special", generic)).drop("bill_text", "plain_text", "texts", "page_html")
 
 
 # ---------------------------------------------------------------------------
