@@ -26,15 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslake.llm.common import fresh, staged, text_key, whole_text, words_of
+from presslake.llm.common import fresh, portions, staged, text_key, tidy, whole_text, words_of
 from presslake.llm.components import components
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 6
+#: Texts, and words or shingles, worked on at once: some ten arrays of their hashes are held. A longer text is alone.
+PORTION_TEXTS, PORTION_WORDS = 128, 1 << 16
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -151,46 +154,53 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(column.flatten()).view("u8"), lengths
 
 
+def _word_portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of batches (key, words) of so many texts and words at most."""
+    for batch in batches:
+        for part in range(0, batch.num_rows, PORTION_TEXTS):
+            piece = batch.slice(part, PORTION_TEXTS)
+            yield from portions(piece, np.diff(np.asarray(piece.column("words").offsets)), PORTION_WORDS)
+
+
 def sketches(texts: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE_WORDS) -> DataFrame:
     """For texts (key, body): key, the number of shingles and the band hashes; texts without words are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in range(0, batch.num_rows, 128):
-                piece = batch.slice(part, 128)
-                words, lengths = _lists(piece.column("words"))
-                hashes, text = shingle_hashes(words, lengths, size)
-                n = np.bincount(text, minlength=len(lengths))
-                keys, some = piece.column("key"), n > 0
-                registers = signatures(*multisets(hashes, text), len(lengths), bands * rows)
-                bits = band_hashes(registers[some], bands, rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        keys.filter(pa.array(some)),
-                        pa.array(n[some], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * bands, pa.int32()), pa.array(bits.reshape(-1))),
-                    ],
-                    names=["key", "n", "bands"],
-                )
+        for piece in _word_portions(batches):
+            words, lengths = _lists(piece.column("words"))
+            hashes, text = shingle_hashes(words, lengths, size)
+            n = np.bincount(text, minlength=len(lengths))
+            keys, some = piece.column("key"), n > 0
+            registers = signatures(*multisets(hashes, text), len(lengths), bands * rows)
+            bits = band_hashes(registers[some], bands, rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    keys.filter(pa.array(some)),
+                    pa.array(n[some], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * bands, pa.int32()), pa.array(bits.reshape(-1))),
+                ],
+                names=["key", "n", "bands"],
+            )
 
     prepared = texts.select("key", _word_hashes(F.col("body")).alias("words"))
-    return prepared.mapInArrow(run, "key binary, n long, bands array<long>")
+    return prepared.mapInArrow(tidy(run), "key binary, n long, bands array<long>")
 
 
 def shingle_lists(texts: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     """For texts (key, body): key and the sorted hashes of all shingles as bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, lengths = _lists(batch.column("words"))
-            hashes, text = shingle_hashes(words, lengths, size)
-            order = np.lexsort((hashes, text))
-            cuts = np.cumsum(np.bincount(text, minlength=len(lengths)))[:-1]
-            lists = [part.tobytes() for part in np.split(hashes[order], cuts)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(lists, pa.binary())], names=["key", "shingles"])
-
     prepared = texts.select("key", _word_hashes(F.col("body")).alias("words"))
-    return prepared.mapInArrow(run, "key binary, shingles binary")
+    return prepared.mapInArrow(tidy(lambda batches: _sorted_shingles(batches, size)), "key binary, shingles binary")
+
+
+def _sorted_shingles(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for piece in _word_portions(batches):
+        words, lengths = _lists(piece.column("words"))
+        hashes, text = shingle_hashes(words, lengths, size)
+        order = np.lexsort((hashes, text))
+        cuts = np.cumsum(np.bincount(text, minlength=len(lengths)))[:-1]
+        lists = [part.tobytes() for part in np.split(hashes[order], cuts)]
+        yield pa.RecordBatch.from_arrays([piece.column("key"), pa.array(lists, pa.binary())], names=["key", "shingles"])
 
 
 def _verified(pairs: DataFrame, lists: DataFrame) -> DataFrame:
@@ -207,7 +217,7 @@ def _verified(pairs: DataFrame, lists: DataFrame) -> DataFrame:
 
     left = lists.select(F.col("key").alias("a"), F.col("shingles").alias("left"))
     right = lists.select(F.col("key").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a binary, b binary, sim double")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(tidy(run), "a binary, b binary, sim double")
 
 
 def near_links(
@@ -289,11 +299,18 @@ def _still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _own_shingles(lists: DataFrame) -> DataFrame:
     """For each key of `lists` that has any: how many of its shingles no other key of `lists` has."""
+    shingles = lists.mapInArrow(tidy(_single_shingles), "key binary, shingle long, n long")
+    held = shingles.groupBy("shingle").agg(F.min("key").alias("key"), F.max("key").alias("other"), F.first("n").alias("n"))
+    return held.filter(F.col("key") == F.col("other")).groupBy("key").agg(F.sum("n").alias("own"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, parts, counts = batch.column("key"), [], []
-            for value in batch.column("shingles"):
+
+def _single_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of batches (key, shingles): a row per distinct shingle of a key. They are several times the size of what comes in."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("shingles")).to_numpy(zero_copy_only=False) // 8
+        for piece in portions(batch, sizes, PORTION_WORDS):
+            keys, parts, counts = piece.column("key"), [], []
+            for value in piece.column("shingles"):
                 part, count = np.unique(np.frombuffer(value.as_buffer(), "u8"), return_counts=True)
                 parts.append(part)
                 counts.append(count)
@@ -304,10 +321,6 @@ def _own_shingles(lists: DataFrame) -> DataFrame:
                     names=["key", "shingle", "n"],
                 )
 
-    shingles = lists.mapInArrow(run, "key binary, shingle long, n long")
-    held = shingles.groupBy("shingle").agg(F.min("key").alias("key"), F.max("key").alias("other"), F.first("n").alias("n"))
-    return held.filter(F.col("key") == F.col("other")).groupBy("key").agg(F.sum("n").alias("own"))
-
 
 def _most_alike(shared, sizes):
     """The similarity two texts of `sizes` shingles together have at most, with `shared` in common at most."""

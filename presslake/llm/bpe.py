@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslake.llm.common import whole_text
+from presslake.llm.common import tidy, whole_text
 
 LEAF_BYTES = 16
 #: Windows up to this length are merged by looking through all pairs.
@@ -197,7 +197,7 @@ def encode_table(
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return narrow.mapInArrow(run, fields).withColumnRenamed("row_id", id_col)
+    return narrow.mapInArrow(tidy(run), fields).withColumnRenamed("row_id", id_col)
 
 
 def decode_column(ids: Column, path: str, pattern: str) -> Column:

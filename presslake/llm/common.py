@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,31 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def portions(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose rows' `sizes` add up to `most` at most, a larger row alone but for empty ones."""
+    low = held = 0
+    for i, own in enumerate(sizes.tolist()):
+        if held and held + own > most:
+            yield batch.slice(low, i - low)
+            low, held = i, 0
+        held += own
+    if low < batch.num_rows:
+        yield batch.slice(low)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` for mapInArrow, at whose end a worker returns what it has freed: workers outlive their tasks."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+                pool.release_unused()
+
+    return tidied
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A supplied table, or the named columns of it."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslake.llm.common import staged, text_key, whole_text
+from presslake.llm.common import portions, staged, text_key, tidy, whole_text
 
 STRIDE = 32
 #: Passages compared with the items at once.
@@ -142,7 +142,7 @@ def item_words(docs: DataFrame, items: Items) -> DataFrame:
                 names=["doc_id", "key", "n_words", "at", "terms"],
             )
 
-    return staged(docs.select("doc_id", text_key(F.col("body")).alias("key"), "body").mapInArrow(run, WORDS), "item-words")
+    return staged(docs.select("doc_id", text_key(F.col("body")).alias("key"), "body").mapInArrow(tidy(run), WORDS), "item-words")
 
 
 def different_texts(words: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def document_counts(texts: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], n))], names=["term", "n"])
 
-    counts = texts.select("terms").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    counts = texts.select("terms").mapInArrow(tidy(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(n_terms)
     total = 0
     for term, n in counts:
@@ -247,7 +247,7 @@ def fit_space(texts: DataFrame, items: Items, n_docs: int, df: np.ndarray, rank:
                     n += passages.as_py()
             yield packed(total, n)
 
-        parts = texts.mapInArrow(multiply, schema).repartition(FIT_TASKS).mapInArrow(add, schema).collect()
+        parts = texts.mapInArrow(tidy(multiply), schema).repartition(FIT_TASKS).mapInArrow(tidy(add), schema).collect()
         product, passages = np.zeros(shape), 0
         for p in parts:
             product += np.frombuffer(bytes(p["product"]), "f4").reshape(shape)
@@ -368,15 +368,7 @@ def _blocks(numbered: DataFrame, size: int) -> Iterator[Items]:
 
 def _portions(batch: pa.RecordBatch, size: int = 160_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about so many bytes of places, a long text alone."""
-    sizes = pc.binary_length(batch.column("at")).to_numpy(zero_copy_only=False)
-    low = held = 0
-    for i, own in enumerate(sizes):
-        if held and held + own > size:
-            yield batch.slice(low, i - low)
-            low, held = i, 0
-        held += own
-    if low < batch.num_rows:
-        yield batch.slice(low)
+    return portions(batch, pc.binary_length(batch.column("at")).to_numpy(zero_copy_only=False), size)
 
 
 def _leaks_of_block(bodies: DataFrame, items: Items, cosine: float, rank: int, schema: str) -> DataFrame:
@@ -435,4 +427,4 @@ def _leaks_of_block(bodies: DataFrame, items: Items, cosine: float, rank: int, s
                 [pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["doc_id", "item", "cosine", "lcs", "answer", "kind"]
             )
 
-    return words.select("doc_id", "n_words", "at", "terms").mapInArrow(run, schema)
+    return words.select("doc_id", "n_words", "at", "terms").mapInArrow(tidy(run), schema)

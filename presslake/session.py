@@ -11,10 +11,10 @@ from pyspark.sql import SparkSession
 
 def configure(spark: SparkSession) -> SparkSession:
     """Settings the library's results depend on, and small batches to Python: a batch of long texts is held by
-    the JVM and by its worker at once."""
+    the JVM, whose buffers may be twice its size, and by its worker at once, with what comes back."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
     return spark
 
 
