@@ -21,8 +21,6 @@ FEATURES = (
 )
 #: Points of the formula: what an article gains by being long, varied and in sentences, and loses by marks and digits.
 WEIGHTS = {"log_chars": 0.1, "distinct_share": 0.3, "digit_share": -2.0, "mark_share": -1.0, "keywords": 0.05}
-#: Labelled rows the model is fitted on, at most.
-MAX_LABELS = 200_000
 #: Slices of the scores that ranks are counted in.
 SLICES = 1024
 
@@ -68,12 +66,9 @@ def formula_score(weights: Mapping[str, float] = WEIGHTS) -> Column:
     return F.round(total, 6)
 
 
-def fit_quality(labelled: DataFrame, label: str = "quality", max_rows: int = MAX_LABELS) -> PipelineModel:
-    """A logistic model of FEATURES, fitted on at most about `max_rows` labelled rows, drawn by a hash of their features."""
+def fit_quality(labelled: DataFrame, label: str = "quality") -> PipelineModel:
+    """A logistic model of FEATURES, fitted on all rows with a label; it reads them several times, so they should be staged."""
     rows = labelled.where(F.col(label).isNotNull()).select(*FEATURES, F.col(label).cast("double").alias("label"))
-    count = rows.count()
-    if count > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64(*FEATURES), F.lit(count)) < max_rows)
     stages = [
         VectorAssembler(inputCols=list(FEATURES), outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),

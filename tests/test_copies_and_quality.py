@@ -122,6 +122,16 @@ def test_a_fitted_model_ranks_held_out_texts(spark, sf):
     assert quality.model_score(null, model).where("score IS NOT NULL").count() == 2
 
 
+def test_a_model_is_fitted_on_all_labelled_rows(spark):
+    n = 250_000
+    label = F.when(F.col("id") < n, (F.col("id") % 7 > 2).cast("int"))
+    rows = spark.range(n + 10).select(*[(F.col("id") % (n - i)).cast("double").alias(name) for i, name in enumerate(quality.FEATURES)], label.alias("quality"))
+    _, scaler, logistic = quality.fit_quality(rows).stages
+    assert logistic.summary.predictions.count() == n
+    mean = rows.where("quality IS NOT NULL").agg(*[F.avg(name) for name in quality.FEATURES]).first()
+    assert np.allclose(scaler.mean, mean, rtol=1e-9)
+
+
 # ---------------------------------------------------------------------------
 # Incremental rollups
 # ---------------------------------------------------------------------------
